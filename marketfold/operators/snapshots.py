@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
+from marketfold.session import cut_lineage
 from marketfold.functions.exprs import compute_mid, compute_spread_bps, iso_utc_from_epoch, iso_utc_from_micros, strip_ws
 
 DAY = 86400
@@ -55,21 +56,22 @@ class Gauge:
 
 
 def _gauges() -> list[Gauge]:
-    kind = F.lower(strip_ws(F.coalesce(F.col("kind"), F.lit(""))))
+    """Gauge inputs over a row that already has ``kind_n`` / ``side_n``
+    (lower-cased, trimmed) and the market's venue ``m_venue``."""
+    kind = F.col("kind_n")
     spot = F.col("m_venue") == C.SPOT_VENUE
     pred = F.col("m_venue") == C.PREDICTION_VENUE
     trade = kind == "trade"
     meta = kind == "meta"
     event = ~meta
-    pside = F.lower(strip_ws(F.coalesce(F.col("side"), F.lit(""))))
-    yes, no = pside == "yes", pside == "no"
+    yes, no = F.col("side_n") == "yes", F.col("side_n") == "no"
     arrival_us = F.coalesce(F.col("event_us"), F.col("recv_s") * F.lit(1_000_000))
     return [
         Gauge("best_bid", F.col("bid"), spot & event),
         Gauge("best_ask", F.col("ask"), spot & event),
         Gauge("last_trade_px", F.when(trade, F.col("price")).otherwise(F.col("last_trade_px")), spot & event),
         Gauge("last_trade_size", F.col("size"), spot & trade),
-        Gauge("last_trade_side", F.upper(strip_ws(F.coalesce(F.col("side"), F.lit("")))), spot & trade),
+        Gauge("last_trade_side", F.upper(F.col("side_t")), spot & trade),
         Gauge("yes_best_bid", F.col("bid"), pred & event & yes),
         Gauge("yes_best_ask", F.col("ask"), pred & event & yes),
         Gauge("no_best_bid", F.col("bid"), pred & event & no),
@@ -142,18 +144,29 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
     rows = rows.withColumn("block", F.floor(F.col("snap_ts") / F.lit(b)).cast("bigint"))
-
-    kind = F.lower(strip_ws(F.coalesce(F.col("kind"), F.lit(""))))
-    is_event = (F.col("row_type") == "e") & (kind != "meta")
-    aggs = [
-        F.count(F.when(is_event, 1)).alias("msg_count_1s"),
-        F.count(F.when(is_event & (kind == "trade"), 1)).alias("trade_count_1s"),
-        F.count(F.when(is_event & kind.isin(*C.BOOK_KINDS), 1)).alias("book_update_count_1s"),
-        F.sum(F.when(F.col("row_type") == "d", F.col("n"))).alias("dropped_raw"),
+    # Canonical events carry trimmed kind / side (the parsers normalise);
+    # only case is folded here, once per row.
+    rows = rows.withColumn("side_t", F.coalesce(F.col("side"), F.lit("")))
+    rows = (rows.withColumn("kind_n", F.when(F.col("row_type") == "e", F.lower(F.coalesce(F.col("kind"), F.lit("")))))
+                .withColumn("side_n", F.lower(F.col("side_t"))))
+    is_event = (F.col("row_type") == "e") & (F.col("kind_n") != "meta")
+    measures = [
+        F.when(is_event, F.lit(1)).alias("c_msg"),
+        F.when(is_event & (F.col("kind_n") == "trade"), F.lit(1)).alias("c_trade"),
+        F.when(is_event & F.col("kind_n").isin(*C.BOOK_KINDS), F.lit(1)).alias("c_book"),
+        F.when(F.col("row_type") == "d", F.col("n")).alias("c_drop"),
     ]
     for g in _gauges():
         c = (F.col("row_type") == "e") & g.cond & g.value.isNotNull()
-        aggs.append(F.max_by(F.when(c, g.value), F.when(c, F.col("seq"))).alias(g.name))
+        measures.append(F.when(c, g.value).alias(f"v_{g.name}"))
+        measures.append(F.when(c, F.col("seq")).alias(f"o_{g.name}"))
+    rows = rows.select("market_key", "m_venue", "block", "snap_ts", *measures)
+    aggs = [
+        F.count("c_msg").alias("msg_count_1s"),
+        F.count("c_trade").alias("trade_count_1s"),
+        F.count("c_book").alias("book_update_count_1s"),
+        F.sum("c_drop").alias("dropped_raw"),
+    ] + [F.max_by(f"v_{n}", f"o_{n}").alias(n) for n in GAUGE_NAMES]
     return rows.groupBy("market_key", "m_venue", "block", "snap_ts").agg(*aggs)
 
 
@@ -164,6 +177,9 @@ def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
     grid = boundary_grid(markets, lo, hi, interval_s)
     agg = interval_aggregates(canonical, markets, interval_s, drops, grid)
     agg = agg.filter((F.col("snap_ts") >= F.lit(lo)) & (F.col("snap_ts") <= F.lit(hi)))
+    # Two consumers below (in-block carry and the per-block summary): cut
+    # the lineage once so the events are aggregated exactly once.
+    agg = cut_lineage(agg)
 
     # Carry within a block (bounded window partitions).
     w_in = (Window.partitionBy("market_key", "block").orderBy("snap_ts")
@@ -173,9 +189,10 @@ def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
         "book_update_count_1s", "dropped_raw",
         *[F.last(g, ignorenulls=True).over(w_in).alias(g) for g in GAUGE_NAMES])
 
-    # Carry across blocks: last value of each block, then of all earlier blocks.
-    per_block = agg.groupBy("market_key", "block").agg(
-        *[F.max_by(F.col(g), F.when(F.col(g).isNotNull(), F.col("snap_ts"))).alias(g) for g in GAUGE_NAMES])
+    # Carry across blocks: the last row of every block holds the block's
+    # final value; carry those over earlier blocks (markets x days rows).
+    per_block = carried.groupBy("market_key", "block").agg(
+        *[F.max_by(F.col(g), F.col("snap_ts")).alias(g) for g in GAUGE_NAMES])
     w_prev = (Window.partitionBy("market_key").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
     carry_in = per_block.select("market_key", "block",

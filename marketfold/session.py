@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on: UTC wall clock for every timestamp
 # rendering, AQE for runtime re-planning (partition coalescing, skew-join
@@ -17,6 +17,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -44,6 +45,16 @@ def ensure_session_defaults(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder.
+
+    Used where an intermediate result has two consumers (so it is computed
+    once) and where a long lineage should not be replayed after an
+    executor loss.  Never a machine-local checkpoint."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and control tables.
 
@@ -51,12 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     shared folder there).  Only when it is unset -- tests, local runs --
     a private scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return str(current).rstrip("/")
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return str(configured).rstrip("/")
+    # Unset: tests and local runs only.
     local = tempfile.mkdtemp(prefix="marketfold-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
