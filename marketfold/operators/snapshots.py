@@ -106,18 +106,20 @@ def run_window(canonical: DataFrame, interval_s: int, drops: DataFrame | None =
     return lo, hi
 
 
-def boundary_grid(markets: DataFrame, lo: int, hi: int, interval_s: int) -> DataFrame:
+def boundary_grid(markets: DataFrame, lo: int, hi: int, interval_s: int, parts: int | None = None) -> DataFrame:
     """(market_key, m_venue, block, snap_ts) for every boundary in [lo, hi].
 
     Generated per (market, block) so no task explodes more than one day of
-    boundaries, and without any cross join: each market row explodes its own
-    block ids, the (market, block) rows are spread over the cluster, then each
-    explodes its boundaries."""
+    boundaries, and without any join: each market row explodes its own
+    block ids, the (market, block) rows are spread over ``parts`` tasks
+    (an explicit count, so the adaptive planner does not fold the tiny
+    block table back into one task), then each explodes its boundaries."""
     i, b = int(interval_s), block_seconds(interval_s)
     blo, bhi = lo // b, hi // b
     blocks = markets.select(F.col("market_key"), F.col("venue").alias("m_venue"),
                             F.explode(F.sequence(F.lit(blo), F.lit(bhi))).alias("block"))
-    blocks = blocks.repartition("market_key", "block")
+    n = parts or int(markets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(max(1, n), "market_key", "block")
     # b is a multiple of i, so every block starts on a boundary.
     start = F.greatest(F.lit(lo), F.col("block") * F.lit(b))
     end = F.least(F.lit(hi), F.col("block") * F.lit(b) + F.lit(b - i))
@@ -174,25 +176,37 @@ def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
                     drops: DataFrame | None = None, window: tuple[int, int] | None = None) -> DataFrame:
     """Dense per-market interval snapshots (typed; blanks are NULL)."""
     lo, hi = window if window is not None else run_window(canonical, interval_s, drops)
-    grid = boundary_grid(markets, lo, hi, interval_s)
-    agg = interval_aggregates(canonical, markets, interval_s, drops, grid)
+    agg = interval_aggregates(canonical, markets, interval_s, drops)
     agg = agg.filter((F.col("snap_ts") >= F.lit(lo)) & (F.col("snap_ts") <= F.lit(hi)))
     # Two consumers below (in-block carry and the per-block summary): cut
-    # the lineage once so the events are aggregated exactly once.
+    # the lineage once so the events are aggregated exactly once.  The
+    # aggregate is sparse: at most one row per (market, boundary) with events.
     agg = cut_lineage(agg)
 
-    # Carry within a block (bounded window partitions).
-    w_in = (Window.partitionBy("market_key", "block").orderBy("snap_ts")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = agg.select(
+    # Dense rows: the grid is UNIONed (not joined) with the sparse aggregate;
+    # inside each (market, block) window partition a boundary that has an
+    # aggregate row sorts before its grid row, the carried gauges flow
+    # through both, and the grid row is dropped when its boundary had events.
+    grid = boundary_grid(markets, lo, hi, interval_s).select(
+        "market_key", "m_venue", "block", "snap_ts",
+        *[F.lit(0).cast("bigint").alias(c) for c in ("msg_count_1s", "trade_count_1s", "book_update_count_1s")],
+        F.lit(None).cast("bigint").alias("dropped_raw"),
+        F.lit(1).alias("is_grid"))
+    rows = agg.withColumn("is_grid", F.lit(0)).unionByName(grid, allowMissingColumns=True)
+    w_in = Window.partitionBy("market_key", "block").orderBy("snap_ts", "is_grid")
+    w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = rows.select(
         "market_key", "m_venue", "block", "snap_ts", "msg_count_1s", "trade_count_1s",
-        "book_update_count_1s", "dropped_raw",
-        *[F.last(g, ignorenulls=True).over(w_in).alias(g) for g in GAUGE_NAMES])
-
-    # Carry across blocks: the last row of every block holds the block's
-    # final value; carry those over earlier blocks (markets x days rows).
-    per_block = carried.groupBy("market_key", "block").agg(
-        *[F.max_by(F.col(g), F.col("snap_ts")).alias(g) for g in GAUGE_NAMES])
+        "book_update_count_1s", "dropped_raw", "is_grid",
+        F.lag("snap_ts").over(w_in).alias("prev_snap"),
+        *[F.last(g, ignorenulls=True).over(w_run).alias(g) for g in GAUGE_NAMES])
+    carried = carried.filter((F.col("is_grid") == 0) | F.col("prev_snap").isNull()
+                             | (F.col("prev_snap") != F.col("snap_ts")))
+
+    # Carry across blocks: last value of every block (from the sparse
+    # aggregate), then of all earlier blocks -- a (markets x days) table.
+    per_block = agg.groupBy("market_key", "block").agg(
+        *[F.max_by(F.col(g), F.when(F.col(g).isNotNull(), F.col("snap_ts"))).alias(g) for g in GAUGE_NAMES])
     w_prev = (Window.partitionBy("market_key").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
     carry_in = per_block.select("market_key", "block",
