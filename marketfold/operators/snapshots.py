@@ -106,6 +106,13 @@ def run_window(canonical: DataFrame, interval_s: int, drops: DataFrame | None =
     return lo, hi
 
 
+def grid_blocks(markets: DataFrame, lo: int, hi: int, interval_s: int) -> DataFrame:
+    """(market_key, m_venue, block) for every block of the run window."""
+    b = block_seconds(interval_s)
+    return markets.select(F.col("market_key"), F.col("venue").alias("m_venue"),
+                          F.explode(F.sequence(F.lit(lo // b), F.lit(hi // b))).alias("block"))
+
+
 def boundary_grid(markets: DataFrame, lo: int, hi: int, interval_s: int, parts: int | None = None) -> DataFrame:
     """(market_key, m_venue, block, snap_ts) for every boundary in [lo, hi].
 
@@ -115,9 +122,7 @@ def boundary_grid(markets: DataFrame, lo: int, hi: int, interval_s: int, parts:
     (an explicit count, so the adaptive planner does not fold the tiny
     block table back into one task), then each explodes its boundaries."""
     i, b = int(interval_s), block_seconds(interval_s)
-    blo, bhi = lo // b, hi // b
-    blocks = markets.select(F.col("market_key"), F.col("venue").alias("m_venue"),
-                            F.explode(F.sequence(F.lit(blo), F.lit(bhi))).alias("block"))
+    blocks = grid_blocks(markets, lo, hi, interval_s)
     n = parts or int(markets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = blocks.repartition(max(1, n), "market_key", "block")
     # b is a multiple of i, so every block starts on a boundary.
@@ -209,6 +214,8 @@ def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
         *[F.max_by(F.col(g), F.when(F.col(g).isNotNull(), F.col("snap_ts"))).alias(g) for g in GAUGE_NAMES])
     w_prev = (Window.partitionBy("market_key").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
+    per_block = grid_blocks(markets, lo, hi, interval_s).select("market_key", "block").join(
+        per_block, ["market_key", "block"], "left")
     carry_in = per_block.select("market_key", "block",
                                 *[F.last(g, ignorenulls=True).over(w_prev).alias(f"{g}__in") for g in GAUGE_NAMES])
     full = carried.join(carry_in, ["market_key", "block"], "left")
