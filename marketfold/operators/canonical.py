@@ -26,6 +26,7 @@ from marketfold.functions.exprs import epoch_whole_seconds
 
 CANONICAL_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
+    T.StructField("pos", T.LongType()),
     T.StructField("recv_s", T.LongType()),
     T.StructField("venue", T.StringType()),
     T.StructField("market_key", T.StringType()),
@@ -76,13 +77,14 @@ def _kind(event_type) -> F.Column:
     return out
 
 
-def events_to_canonical(events: DataFrame) -> DataFrame:
+def events_to_canonical(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``events(event_id, ts, user_id, event_type, value, props)`` ->
     canonical events.  Projection only: no shuffle, fully codegen'd.
 
     Written as two projections so that the per-row parses (``props`` JSON,
     epoch conversion, market pick) are computed once and referenced, not
-    inlined into every CASE branch."""
+    inlined into every CASE branch.  ``keep`` passes source columns
+    (``event_type``, ``value``, ``k``) through for frame synthesis."""
     base = events.select(
         "event_id", "event_type", "value",
         F.element_at(F.array(*[F.lit(m) for m in ADAPTER_MARKET_ORDER]),
@@ -105,6 +107,7 @@ def events_to_canonical(events: DataFrame) -> DataFrame:
     is_trade = F.col("event_type") == "purchase"
     return base.select(
         F.col("event_id").alias("seq"),
+        F.lit(0).cast("bigint").alias("pos"),
         F.col("es").alias("recv_s"),
         F.when(is_spot, F.lit(C.SPOT_VENUE)).otherwise(F.lit(C.PREDICTION_VENUE)).alias("venue"),
         mk.alias("market_key"),
@@ -118,13 +121,22 @@ def events_to_canonical(events: DataFrame) -> DataFrame:
         F.when(is_trade & (F.pmod(k, F.lit(7)) != 0), k / F.lit(10.0)).alias("size"),
         side.alias("side"),
         F.when(~is_spot & is_trade, F.when(F.pmod(k, F.lit(2)) == 0, F.lit("BUY")).otherwise(F.lit("SELL"))).alias("trade_side"),
-        F.when(~is_spot, F.concat_ws("-", mk, F.col("pside"))).alias("asset_id"),
+        F.when(~is_spot, F.concat_ws("-", mk, F.col("pside"), F.col("bucket").cast("string"))).alias("asset_id"),
         F.when(~is_spot, F.col("slug0")).alias("slug"),
         F.when(~is_spot, F.col("bucket")).alias("bucket_start_ts"),
         F.when(~is_spot, F.concat(F.lit("0x"), F.sha2(F.col("slug0"), 256))).alias("condition_id"),
+        *[F.col(c) for c in keep],
     )
 
 
+def conform(df: DataFrame) -> DataFrame:
+    """Project any event-shaped frame onto the canonical column set
+    (missing columns are NULL, types cast)."""
+    cols = set(df.columns)
+    return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in cols else F.lit(None).cast(f.dataType)).alias(f.name)
+                       for f in CANONICAL_SCHEMA.fields])
+
+
 def events_to_drop_notices(events: DataFrame) -> DataFrame:
     """Feed drop counters derived from ``error`` events: one notice per
     error, ``n = k % 4 - 1`` (so negative notices exist and are clipped by

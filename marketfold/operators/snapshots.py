@@ -88,7 +88,7 @@ def _gauges() -> list[Gauge]:
 GAUGE_NAMES = ["best_bid", "best_ask", "last_trade_px", "last_trade_size", "last_trade_side",
                "yes_best_bid", "yes_best_ask", "no_best_bid", "no_best_ask", "last_trade_px_yes",
                "last_trade_px_no", "slug", "bucket_start_ts", "condition_id", "last_event_us"]
-_EVENT_COLS = ["seq", "recv_s", "kind", "event_us", "bid", "ask", "last_trade_px", "price", "size", "side",
+_EVENT_COLS = ["seq", "pos", "recv_s", "kind", "event_us", "bid", "ask", "last_trade_px", "price", "size", "side",
                "slug", "bucket_start_ts", "condition_id"]
 
 
@@ -166,7 +166,7 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
     for g in _gauges():
         c = (F.col("row_type") == "e") & g.cond & g.value.isNotNull()
         measures.append(F.when(c, g.value).alias(f"v_{g.name}"))
-        measures.append(F.when(c, F.col("seq")).alias(f"o_{g.name}"))
+        measures.append(F.when(c, F.struct(F.col("seq"), F.coalesce(F.col("pos"), F.lit(0)))).alias(f"o_{g.name}"))
     rows = rows.select("market_key", "m_venue", "block", "snap_ts", *measures)
     aggs = [
         F.count("c_msg").alias("msg_count_1s"),

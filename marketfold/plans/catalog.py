@@ -8,9 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketfold.operators import canonical as canon
 from marketfold.operators import snapshots as snap
+from marketfold.operators import spot_parser
+from marketfold.sources import frames
 from marketfold.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +34,29 @@ def q_snapshots_dense(spark: SparkSession, sf_dir: str, interval_s: int = FLAGSH
                                 drops=_drops(spark, sf_dir))
 
 
+def _spot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_parser.parse_spot_frames(frames.spot_frames(read_table(spark, sf_dir, "events")))
+
+
+def q_parse_coinbase_trades(spark, sf_dir):
+    return _spot(spark, sf_dir).filter(F.col("kind") == "trade").select(
+        "seq", "pos", "market_key", "kind", "event_us", "product_id", "price", "size", "side")
+
+
+def q_parse_coinbase_ticker(spark, sf_dir):
+    return _spot(spark, sf_dir).filter(F.col("kind") == "quote").select(
+        "seq", "pos", "market_key", "kind", "event_us", "product_id", "bid", "ask", "last_trade_px")
+
+
+def q_parse_coinbase_heartbeat(spark, sf_dir):
+    return _spot(spark, sf_dir).filter(F.col("kind") == "heartbeat").select(
+        "seq", "pos", "market_key", "kind", "event_us", "product_id")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
+        "parse_coinbase_trades": q_parse_coinbase_trades,
+        "parse_coinbase_ticker": q_parse_coinbase_ticker,
+        "parse_coinbase_heartbeat": q_parse_coinbase_heartbeat,
     }

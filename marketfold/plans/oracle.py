@@ -9,4 +9,7 @@ from marketfold.plans.catalog import FLAGSHIP_INTERVAL_S
 def oracles() -> dict[str, str]:
     return {
         "snapshots_dense": P.snapshots_sql(FLAGSHIP_INTERVAL_S),
+        "parse_coinbase_trades": P.spot_parse_sql("trades"),
+        "parse_coinbase_ticker": P.spot_parse_sql("ticker"),
+        "parse_coinbase_heartbeat": P.spot_parse_sql("heartbeat"),
     }

@@ -43,7 +43,7 @@ canon AS (
          CASE WHEN is_spot THEN (CASE WHEN k % 5 = 0 THEN '' WHEN k % 2 = 0 THEN 'buy' ELSE 'SELL' END)
               ELSE pside END AS side,
          CASE WHEN NOT is_spot AND event_type = 'purchase' THEN (CASE WHEN k % 2 = 0 THEN 'BUY' ELSE 'SELL' END) END AS trade_side,
-         CASE WHEN NOT is_spot THEN mk || '-' || pside END AS asset_id,
+         CASE WHEN NOT is_spot THEN mk || '-' || pside || '-' || CAST(bucket AS VARCHAR) END AS asset_id,
          CASE WHEN NOT is_spot THEN (CASE WHEN mk = 'pm-btc' THEN 'btc-updown-5m' ELSE 'eth-updown-5m' END) || '-' || CAST(bucket AS VARCHAR) END AS slug,
          CASE WHEN NOT is_spot THEN bucket END AS bucket_start_ts,
          CASE WHEN NOT is_spot THEN '0x' || sha256((CASE WHEN mk = 'pm-btc' THEN 'btc-updown-5m' ELSE 'eth-updown-5m' END) || '-' || CAST(bucket AS VARCHAR)) END AS condition_id
@@ -154,3 +154,32 @@ SELECT
   CASE WHEN m_venue = 'polymarket' THEN last_trade_px_yes END AS last_trade_px_yes,
   CASE WHEN m_venue = 'polymarket' THEN last_trade_px_no END AS last_trade_px_no
 FROM carried"""
+
+
+SPOT_EV_SQL = """sp AS (
+  SELECT c.*, e.event_type, e.value, TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k
+  FROM canon c JOIN events e ON e.event_id = c.seq
+  WHERE c.venue = 'coinbase'
+)"""
+
+
+def spot_parse_sql(which: str) -> str:
+    head = f"WITH {CANON_SQL},\n{SPOT_EV_SQL}\n"
+    if which == "trades":
+        return head + """SELECT seq, CAST(0 AS BIGINT) AS pos, market_key, 'trade' AS kind, event_us, product_id,
+       price, size, upper(trim(side)) AS side
+FROM sp WHERE event_type = 'purchase' AND seq % 17 <> 0"""
+    if which == "ticker":
+        return head + """SELECT seq, CAST(0 AS BIGINT) AS pos, market_key, 'quote' AS kind, event_us, product_id,
+       CASE WHEN seq % 5 <> 0 AND bid = 0 THEN NULL ELSE bid END AS bid,
+       CASE WHEN seq % 5 <> 0 AND ask = 0 THEN NULL ELSE ask END AS ask,
+       last_trade_px
+FROM sp WHERE event_type = 'view'"""
+    if which == "heartbeat":
+        return head + """SELECT seq, CAST(0 AS BIGINT) AS pos, market_key, 'heartbeat' AS kind, event_us, product_id
+FROM sp WHERE event_type = 'signup' AND seq % 2 = 0
+UNION ALL
+SELECT seq, CAST(p.j AS BIGINT) AS pos, p.mk AS market_key, 'heartbeat' AS kind, event_us, p.pid AS product_id
+FROM sp, (VALUES (0, 'BTC-USD', 'cb-btcusd'), (1, 'ETH-USD', 'cb-ethusd')) AS p(j, pid, mk)
+WHERE event_type = 'signup' AND seq % 2 = 1"""
+    raise ValueError(which)
