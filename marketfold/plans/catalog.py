@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from marketfold.operators import canonical as canon
 from marketfold.operators import snapshots as snap
+from marketfold.operators import prediction_parser
+from marketfold.operators import reference_data as refdata
 from marketfold.operators import spot_parser
 from marketfold.sources import frames
 from marketfold.sources.tables import read_table
@@ -53,10 +55,44 @@ def q_parse_coinbase_heartbeat(spark, sf_dir):
         "seq", "pos", "market_key", "kind", "event_us", "product_id")
 
 
+_PRED_IDENT = ("seq", "pos", "market_key", "side", "asset_id", "slug", "bucket_start_ts", "condition_id", "event_us")
+
+
+def _pred_inputs(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    bindings = refdata.bindings_from_canonical(canon.events_to_canonical(ev))
+    return prediction_parser.messages(frames.prediction_frames(ev)), bindings
+
+
+def q_parse_pm_price_change(spark, sf_dir):
+    msgs, b = _pred_inputs(spark, sf_dir)
+    return prediction_parser.parse_price_changes(msgs, b).select(*_PRED_IDENT, "kind", "bid", "ask", "price")
+
+
+def q_parse_pm_book_top(spark, sf_dir):
+    msgs, b = _pred_inputs(spark, sf_dir)
+    return prediction_parser.parse_books(msgs, b).select(*_PRED_IDENT, "kind", "bid", "ask")
+
+
+def q_parse_pm_trades(spark, sf_dir):
+    msgs, b = _pred_inputs(spark, sf_dir)
+    return prediction_parser.parse_last_trades(msgs, b).select(*_PRED_IDENT, "kind", "price", "size", "trade_side")
+
+
+def q_binding_enrich(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    b = refdata.bindings_from_canonical(canon.events_to_canonical(ev))
+    return prediction_parser.parse_prediction_frames(frames.prediction_frames(ev), b).select(*_PRED_IDENT, "kind")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
         "parse_coinbase_trades": q_parse_coinbase_trades,
         "parse_coinbase_ticker": q_parse_coinbase_ticker,
         "parse_coinbase_heartbeat": q_parse_coinbase_heartbeat,
+        "parse_pm_price_change": q_parse_pm_price_change,
+        "parse_pm_book_top": q_parse_pm_book_top,
+        "parse_pm_trades": q_parse_pm_trades,
+        "binding_enrich": q_binding_enrich,
     }

@@ -12,4 +12,8 @@ def oracles() -> dict[str, str]:
         "parse_coinbase_trades": P.spot_parse_sql("trades"),
         "parse_coinbase_ticker": P.spot_parse_sql("ticker"),
         "parse_coinbase_heartbeat": P.spot_parse_sql("heartbeat"),
+        "parse_pm_price_change": P.pred_parse_sql("price_change"),
+        "parse_pm_book_top": P.pred_parse_sql("book"),
+        "parse_pm_trades": P.pred_parse_sql("trades"),
+        "binding_enrich": P.pred_parse_sql("enrich"),
     }

@@ -183,3 +183,32 @@ SELECT seq, CAST(p.j AS BIGINT) AS pos, p.mk AS market_key, 'heartbeat' AS kind,
 FROM sp, (VALUES (0, 'BTC-USD', 'cb-btcusd'), (1, 'ETH-USD', 'cb-ethusd')) AS p(j, pid, mk)
 WHERE event_type = 'signup' AND seq % 2 = 1"""
     raise ValueError(which)
+
+
+PRED_EV_SQL = """pe AS (
+  SELECT c.*, e.event_type, e.value, TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k,
+         CAST(round(CAST(CAST(c.event_us // 1000000 AS VARCHAR) || '.' || lpad(CAST(c.event_us % 1000000 AS VARCHAR), 6, '0') AS DOUBLE) * 1000000.0) AS BIGINT) AS feed_us
+  FROM canon c JOIN events e ON e.event_id = c.seq
+  WHERE c.venue = 'polymarket' AND c.seq % 19 <> 0
+)"""
+
+
+def pred_parse_sql(which: str) -> str:
+    head = f"WITH {CANON_SQL},\n{PRED_EV_SQL}\n"
+    ident = "seq, CAST(0 AS BIGINT) AS pos, market_key, side, asset_id, slug, bucket_start_ts, condition_id, feed_us AS event_us"
+    if which == "price_change":
+        return head + f"""SELECT {ident}, 'book_update' AS kind, bid, ask, value AS price
+FROM pe WHERE event_type = 'click'"""
+    if which == "book":
+        return head + f"""SELECT {ident}, 'book_update' AS kind,
+       CASE WHEN seq % 7 = 0 AND seq % 3 <> 0 THEN NULL ELSE value - 0.5 END AS bid, value + 0.5 AS ask
+FROM pe WHERE event_type = 'signup'"""
+    if which == "trades":
+        return head + f"""SELECT {ident}, 'trade' AS kind, price, CAST(k AS DOUBLE) AS size,
+       CASE WHEN k % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS trade_side
+FROM pe WHERE event_type = 'purchase'"""
+    if which == "enrich":
+        return head + f"""SELECT {ident},
+       CASE event_type WHEN 'purchase' THEN 'trade' WHEN 'view' THEN 'quote' ELSE 'book_update' END AS kind
+FROM pe WHERE event_type IN ('click', 'view', 'purchase', 'signup')"""
+    raise ValueError(which)
