@@ -85,6 +85,31 @@ def q_binding_enrich(spark, sf_dir):
     return prediction_parser.parse_prediction_frames(frames.prediction_frames(ev), b).select(*_PRED_IDENT, "kind")
 
 
+def _resolved(spark, sf_dir):
+    c = _canonical(spark, sf_dir)
+    return refdata.resolve_markets(refdata.refresh_points(c), refdata.metadata_landing(c))
+
+
+def q_market_resolve(spark, sf_dir):
+    return _resolved(spark, sf_dir)
+
+
+def q_yes_no_pick(spark, sf_dir):
+    return _resolved(spark, sf_dir).filter(F.col("error").isNull()).select("slug", "yes_asset_id", "no_asset_id")
+
+
+def q_binding_unpivot(spark, sf_dir):
+    return refdata.meta_to_bindings(_resolved(spark, sf_dir))
+
+
+def q_meta_upsert(spark, sf_dir):
+    return refdata.meta_in_effect(_resolved(spark, sf_dir))
+
+
+def q_subscription_delta(spark, sf_dir):
+    return refdata.subscription_delta(refdata.meta_in_effect(_resolved(spark, sf_dir)))
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -95,4 +120,9 @@ def registry() -> dict[str, QueryFn]:
         "parse_pm_book_top": q_parse_pm_book_top,
         "parse_pm_trades": q_parse_pm_trades,
         "binding_enrich": q_binding_enrich,
+        "market_resolve": q_market_resolve,
+        "yes_no_pick": q_yes_no_pick,
+        "binding_unpivot": q_binding_unpivot,
+        "meta_upsert": q_meta_upsert,
+        "subscription_delta": q_subscription_delta,
     }

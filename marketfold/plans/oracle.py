@@ -16,4 +16,9 @@ def oracles() -> dict[str, str]:
         "parse_pm_book_top": P.pred_parse_sql("book"),
         "parse_pm_trades": P.pred_parse_sql("trades"),
         "binding_enrich": P.pred_parse_sql("enrich"),
+        "market_resolve": P.refdata_sql("resolve"),
+        "yes_no_pick": P.refdata_sql("pick"),
+        "binding_unpivot": P.refdata_sql("unpivot"),
+        "meta_upsert": P.refdata_sql("upsert"),
+        "subscription_delta": P.refdata_sql("delta"),
     }

@@ -212,3 +212,73 @@ FROM pe WHERE event_type = 'purchase'"""
        CASE event_type WHEN 'purchase' THEN 'trade' WHEN 'view' THEN 'quote' ELSE 'book_update' END AS kind
 FROM pe WHERE event_type IN ('click', 'view', 'purchase', 'signup')"""
     raise ValueError(which)
+
+
+RESOLVED_SQL = """pev AS (SELECT * FROM canon WHERE venue = 'polymarket'),
+rng AS (SELECT min(recv_s) - min(recv_s) % 300 AS lo, max(recv_s) - max(recv_s) % 300 AS hi FROM pev),
+pts AS (
+  SELECT s.symbol, s.mk AS market_key, CAST(g.b AS BIGINT) AS bucket_start_ts,
+         s.prefix || '-' || CAST(g.b AS VARCHAR) AS slug
+  FROM (VALUES ('btc', 'pm-btc', 'btc-updown-5m'), ('eth', 'pm-eth', 'eth-updown-5m')) AS s(symbol, mk, prefix)
+  CROSS JOIN (SELECT unnest(generate_series(lo, hi, 300)) AS b FROM rng) g
+),
+seen AS (SELECT DISTINCT market_key, bucket_start_ts, condition_id FROM pev),
+res0 AS (
+  SELECT p.*, s.condition_id AS cond, s.market_key IS NOT NULL AS found,
+         CAST((p.bucket_start_ts // 300) % 6 AS INTEGER) AS r,
+         p.market_key || '-yes-' || CAST(p.bucket_start_ts AS VARCHAR) AS ytok,
+         p.market_key || '-no-' || CAST(p.bucket_start_ts AS VARCHAR) AS ntok
+  FROM pts p LEFT JOIN seen s ON s.market_key = p.market_key AND s.bucket_start_ts = p.bucket_start_ts
+),
+resolved AS (
+  SELECT symbol, market_key, bucket_start_ts, slug,
+         CASE WHEN found AND r <> 4 THEN cond END AS condition_id,
+         CASE WHEN NOT found OR r = 4 THEN NULL WHEN r = 5 THEN ntok ELSE ytok END AS yes_asset_id,
+         CASE WHEN NOT found OR r = 4 THEN NULL ELSE ntok END AS no_asset_id,
+         CASE WHEN NOT found THEN 'gamma_market_not_found:' || slug
+              WHEN r = 4 THEN 'gamma_missing_token_ids:' || symbol || ':' || slug END AS error
+  FROM res0
+)"""
+
+
+def refdata_sql(which: str) -> str:
+    head = f"WITH {CANON_SQL},\n{RESOLVED_SQL}"
+    if which == "resolve":
+        return head + "\nSELECT * FROM resolved"
+    if which == "pick":
+        return head + "\nSELECT slug, yes_asset_id, no_asset_id FROM resolved WHERE error IS NULL"
+    if which == "unpivot":
+        return head + """
+SELECT yes_asset_id AS asset_id, symbol, market_key, 'yes' AS side, slug, bucket_start_ts, condition_id FROM resolved WHERE error IS NULL
+UNION ALL
+SELECT no_asset_id AS asset_id, symbol, market_key, 'no' AS side, slug, bucket_start_ts, condition_id FROM resolved WHERE error IS NULL"""
+    eff = head + """,
+eff0 AS (
+  SELECT market_key, bucket_start_ts AS refresh_ts,
+    last_value(CASE WHEN error IS NULL THEN bucket_start_ts END IGNORE NULLS) OVER w AS meta_bucket,
+    last_value(CASE WHEN error IS NULL THEN slug END IGNORE NULLS) OVER w AS meta_slug,
+    last_value(CASE WHEN error IS NULL THEN condition_id END IGNORE NULLS) OVER w AS condition_id,
+    last_value(CASE WHEN error IS NULL THEN yes_asset_id END IGNORE NULLS) OVER w AS yes_asset_id,
+    last_value(CASE WHEN error IS NULL THEN no_asset_id END IGNORE NULLS) OVER w AS no_asset_id
+  FROM resolved
+  WINDOW w AS (PARTITION BY market_key ORDER BY bucket_start_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+eff AS (
+  SELECT *, CASE WHEN meta_bucket IS NULL THEN NULL ELSE
+    concat_ws('|', CAST(meta_bucket AS VARCHAR), meta_slug, condition_id, yes_asset_id, no_asset_id) END AS k
+  FROM eff0
+)"""
+    if which == "upsert":
+        return eff + """
+SELECT market_key, refresh_ts, meta_bucket, meta_slug, condition_id, yes_asset_id, no_asset_id,
+       coalesce(k IS NOT NULL AND k IS DISTINCT FROM lag(k) OVER (PARTITION BY market_key ORDER BY refresh_ts), false) AS meta_changed
+FROM eff"""
+    if which == "delta":
+        return eff + """,
+des AS (SELECT DISTINCT refresh_ts, a AS asset_id FROM eff, unnest([yes_asset_id, no_asset_id]) t(a) WHERE yes_asset_id IS NOT NULL),
+times AS (SELECT DISTINCT refresh_ts FROM eff),
+prv AS (SELECT d.refresh_ts + 300 AS refresh_ts, d.asset_id FROM des d WHERE d.refresh_ts + 300 IN (SELECT refresh_ts FROM times))
+SELECT refresh_ts, asset_id, 'subscribe' AS op FROM (SELECT * FROM des EXCEPT SELECT * FROM prv)
+UNION ALL
+SELECT refresh_ts, asset_id, 'unsubscribe' AS op FROM (SELECT * FROM prv EXCEPT SELECT * FROM des)"""
+    raise ValueError(which)
