@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketfold.functions import constants as C
+from marketfold.operators import batches
 from marketfold.operators import canonical as canon
+from marketfold.operators import silver
 from marketfold.operators import snapshots as snap
 from marketfold.operators import prediction_parser
 from marketfold.operators import reference_data as refdata
@@ -110,6 +113,50 @@ def q_subscription_delta(spark, sf_dir):
     return refdata.subscription_delta(refdata.meta_in_effect(_resolved(spark, sf_dir)))
 
 
+def _snapshot_rows(spark, sf_dir):
+    return batches.snapshot_row_json(q_snapshots_dense(spark, sf_dir))
+
+
+def _batched(spark, sf_dir):
+    return batches.chunk_batches(_snapshot_rows(spark, sf_dir), C.INGEST_BATCH_SIZE)
+
+
+def q_batch_chunks(spark, sf_dir):
+    return batches.batch_envelopes(_batched(spark, sf_dir))
+
+
+def q_batch_validate(spark, sf_dir):
+    """Batches cut per venue only (markets interleaved in time order) and
+    declaring the first row's market: the homogeneity check rejects them."""
+    b = batches.chunk_batches(_snapshot_rows(spark, sf_dir), C.INGEST_BATCH_SIZE, keys=("venue",),
+                              tiebreak=("market_key",))
+    w = Window.partitionBy("venue", "batch_no")
+    b = b.withColumn("declared_source", F.col("venue")).withColumn(
+        "declared_market", F.min_by(F.col("market_key"), F.col("rn")).over(w))
+    return batches.validate_batches(b)
+
+
+def _silver(spark, sf_dir):
+    b = _batched(spark, sf_dir).withColumnRenamed("venue", "source").withColumn("market", F.col("market_key"))
+    return silver.normalize(silver.parse_row_text(b))
+
+
+def q_silver_normalize(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    micros = {"ts_utc", "last_event_ts_utc", "bucket_start_ts_utc"}
+    return s.select(*[(F.unix_micros(F.col(c)).alias(f"{c}_us") if c in micros else F.col(c)) for c in s.columns])
+
+
+def q_partition_paths(spark, sf_dir):
+    s = silver.partition_hour(_silver(spark, sf_dir))
+    per_batch = s.groupBy("batch_id", "snapshot_date", "source", "market").agg(F.first("hour").alias("hour"))
+    d, so, m, b, h = (F.col(c) for c in ("snapshot_date", "source", "market", "batch_id", "hour"))
+    rel = silver.export_relpath(b, d, so, m, h)
+    return per_batch.select("batch_id", silver.bronze_path(d, so, m, b).alias("bronze_path"),
+                            silver.silver_path(b, d, so, m, h).alias("silver_path"), rel.alias("target_relpath"),
+                            silver.staged_path(rel).alias("staged_path"), silver.manifest_path(b).alias("manifest_path"))
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -125,4 +172,8 @@ def registry() -> dict[str, QueryFn]:
         "binding_unpivot": q_binding_unpivot,
         "meta_upsert": q_meta_upsert,
         "subscription_delta": q_subscription_delta,
+        "batch_chunks": q_batch_chunks,
+        "batch_validate": q_batch_validate,
+        "silver_normalize": q_silver_normalize,
+        "partition_paths": q_partition_paths,
     }

@@ -21,4 +21,8 @@ def oracles() -> dict[str, str]:
         "binding_unpivot": P.refdata_sql("unpivot"),
         "meta_upsert": P.refdata_sql("upsert"),
         "subscription_delta": P.refdata_sql("delta"),
+        "batch_chunks": P.batch_sql("chunks"),
+        "batch_validate": P.batch_sql("validate"),
+        "silver_normalize": P.batch_sql("silver"),
+        "partition_paths": P.batch_sql("paths"),
     }

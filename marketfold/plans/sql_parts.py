@@ -282,3 +282,59 @@ SELECT refresh_ts, asset_id, 'subscribe' AS op FROM (SELECT * FROM des EXCEPT SE
 UNION ALL
 SELECT refresh_ts, asset_id, 'unsubscribe' AS op FROM (SELECT * FROM prv EXCEPT SELECT * FROM des)"""
     raise ValueError(which)
+
+
+def _snap_cte(interval_s: int = 300) -> str:
+    return f"snap AS (\n{snapshots_sql(interval_s)}\n)"
+
+
+def batch_sql(which: str) -> str:
+    head = "WITH " + _snap_cte() + """,
+n AS (SELECT *, row_number() OVER (PARTITION BY venue, market_key ORDER BY snapshot_ts) AS rn FROM snap),
+b AS (SELECT *, (rn - 1) // 250 AS batch_no FROM n),
+f AS (SELECT *, first_value(ts_utc) OVER (PARTITION BY venue, market_key, batch_no ORDER BY rn) AS batch_first_ts FROM b),
+g AS (SELECT *, sha256(venue || '|' || market_key || '|' || batch_first_ts || '|' || CAST(batch_no AS VARCHAR)) AS batch_id,
+             substr(batch_first_ts, 1, 10) AS snapshot_date FROM f)
+"""
+    if which == "chunks":
+        return head + """SELECT batch_id, venue AS source, market_key AS market, snapshot_date, CAST(batch_no AS BIGINT) AS batch_no,
+       CAST(count(*) AS BIGINT) AS row_count, min(ts_utc) AS first_ts, max(ts_utc) AS last_ts
+FROM g GROUP BY batch_id, venue, market_key, snapshot_date, batch_no"""
+    if which == "silver":
+        return head + """SELECT batch_id, snapshot_date, venue AS source, market_key AS market,
+  CAST((snapshot_ts % 86400) // 3600 AS INTEGER) AS snapshot_hour,
+  CAST(snapshot_ts * 1000000 AS BIGINT) AS ts_utc_us,
+  epoch_us(CAST(last_event_ts_utc AS TIMESTAMPTZ)) AS last_event_ts_utc_us,
+  CAST(bucket_start_ts * 1000000 AS BIGINT) AS bucket_start_ts_utc_us,
+  snapshot_interval_s, msg_count_1s, trade_count_1s, book_update_count_1s, dropped_events_1s,
+  stale_ms, best_bid, best_ask, mid, spread_bps, last_trade_px, last_trade_size, last_trade_side, slug, condition_id,
+  yes_best_bid, yes_best_ask, yes_mid, no_best_bid, no_best_ask, no_mid, last_trade_px_yes, last_trade_px_no
+FROM g"""
+    if which == "paths":
+        return head + """, p AS (
+  SELECT DISTINCT batch_id, snapshot_date, venue AS source, market_key AS market,
+         lpad(CAST(CAST(substr(batch_first_ts, 12, 2) AS INTEGER) AS VARCHAR), 2, '0') AS hh FROM g)
+SELECT batch_id,
+  'raw/ndjson-zstd/date=' || snapshot_date || '/source=' || source || '/market=' || market || '/' || batch_id || '.ndjson.zst' AS bronze_path,
+  'silver/parquet/date=' || snapshot_date || '/source=' || source || '/market=' || market || '/hour=' || hh || '/' || batch_id || '.parquet' AS silver_path,
+  snapshot_date || '/' || source || '/' || market || '/' || hh || '/' || batch_id || '.parquet' AS target_relpath,
+  'relay/payloads/' || snapshot_date || '/' || source || '/' || market || '/' || hh || '/' || batch_id || '.parquet' AS staged_path,
+  'relay/manifests/' || batch_id || '.json' AS manifest_path
+FROM p"""
+    if which == "validate":
+        return "WITH " + _snap_cte() + """,
+n AS (SELECT *, row_number() OVER (PARTITION BY venue ORDER BY snapshot_ts, market_key) AS rn FROM snap),
+b AS (SELECT *, (rn - 1) // 250 AS batch_no FROM n),
+f AS (SELECT *, first_value(ts_utc) OVER w AS fts, first_value(market_key) OVER w AS dm
+      FROM b WINDOW w AS (PARTITION BY venue, batch_no ORDER BY rn)),
+v AS (
+  SELECT sha256(venue || '|' || fts || '|' || CAST(batch_no AS VARCHAR)) AS batch_id, venue AS source, dm AS market,
+         CAST(count(*) AS BIGINT) AS row_count,
+         arg_min(market_key, rn) FILTER (WHERE market_key <> dm) AS bad_market
+  FROM f GROUP BY venue, batch_no, fts, dm)
+SELECT batch_id, source, market, row_count,
+  CASE WHEN bad_market IS NULL THEN 'accepted' ELSE 'rejected' END AS status,
+  CASE WHEN bad_market IS NOT NULL THEN 'mixed_snapshot_batch_detected:expected_source=' || source || ',expected_market=' || market
+       || ',actual_source=' || source || ',actual_market=' || bad_market END AS error
+FROM v"""
+    raise ValueError(which)
