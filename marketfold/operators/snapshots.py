@@ -269,3 +269,15 @@ def finalize_snapshots(df: DataFrame, g: dict, interval_s: int) -> DataFrame:
         pred_only(g["last_trade_px_yes"]).alias("last_trade_px_yes"),
         pred_only(g["last_trade_px_no"]).alias("last_trade_px_no"),
     )
+
+
+def merge_drop_counts(feeds: list[DataFrame], markets: DataFrame, interval_s: int) -> DataFrame:
+    """Drop counters of several feed drivers, merged per (market, boundary):
+    UNION, sum, clip at 0 (a negative total counts as 0).  Unknown markets
+    are ignored (left-semi against the universe)."""
+    u = feeds[0].select("market_key", "recv_s", "n")
+    for f in feeds[1:]:
+        u = u.unionByName(f.select("market_key", "recv_s", "n"))
+    u = u.join(markets.select("market_key"), "market_key", "left_semi")
+    return (u.groupBy("market_key", boundary_of(F.col("recv_s"), interval_s).alias("snapshot_ts"))
+             .agg(F.greatest(F.lit(0), F.sum("n")).cast("bigint").alias("dropped_events_1s")))

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
 from marketfold.operators import batches
+from marketfold.operators import ledger
+from marketfold.operators import observability as obs
 from marketfold.operators import canonical as canon
 from marketfold.operators import silver
 from marketfold.operators import snapshots as snap
 from marketfold.operators import prediction_parser
 from marketfold.operators import reference_data as refdata
 from marketfold.operators import spot_parser
-from marketfold.sources import frames
+from marketfold.sources import derived, frames
 from marketfold.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +159,89 @@ def q_partition_paths(spark, sf_dir):
                             silver.staged_path(rel).alias("staged_path"), silver.manifest_path(b).alias("manifest_path"))
 
 
+def q_interval_counts(spark, sf_dir):
+    a = snap.interval_aggregates(_canonical(spark, sf_dir), canon.markets_frame(spark), FLAGSHIP_INTERVAL_S)
+    return a.select("market_key", F.col("snap_ts").alias("snapshot_ts"), "msg_count_1s", "trade_count_1s",
+                    "book_update_count_1s")
+
+
+def q_cb_quote_spread(spark, sf_dir):
+    return q_snapshots_dense(spark, sf_dir).filter(F.col("venue") == "coinbase").select(
+        "market_key", "snapshot_ts", "best_bid", "best_ask", "mid", "spread_bps")
+
+
+def q_cb_last_trade(spark, sf_dir):
+    return q_snapshots_dense(spark, sf_dir).filter(F.col("venue") == "coinbase").select(
+        "market_key", "snapshot_ts", "last_trade_px", "last_trade_size", "last_trade_side")
+
+
+def q_pm_side_pivot(spark, sf_dir):
+    return q_snapshots_dense(spark, sf_dir).filter(F.col("venue") == "polymarket").select(
+        "market_key", "snapshot_ts", "yes_best_bid", "yes_best_ask", "yes_mid", "no_best_bid", "no_best_ask", "no_mid",
+        "last_trade_px_yes", "last_trade_px_no", "slug", "bucket_start_ts", "condition_id")
+
+
+def q_dropped_merge(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    spot = canon.events_to_drop_notices(ev)
+    pred = (ev.filter(F.col("event_type") == "error")
+              .select(F.element_at(F.array(*[F.lit(m) for m in canon.ADAPTER_MARKET_ORDER]),
+                                   (F.pmod(F.col("user_id"), F.lit(4)) + 1).cast("int")).alias("market_key"),
+                      F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000)).cast("bigint").alias("recv_s"),
+                      (F.pmod(F.floor(F.from_json("props", "k INT").getField("k") / F.lit(10)), F.lit(3)) - 1).cast("bigint").alias("n")))
+    return snap.merge_drop_counts([spot, pred], canon.markets_frame(spark), FLAGSHIP_INTERVAL_S)
+
+
+def q_max_stale(spark, sf_dir):
+    return q_snapshots_dense(spark, sf_dir).groupBy("snapshot_ts").agg(
+        F.max(F.coalesce(F.col("stale_ms"), F.lit(0.0))).alias("ws_stale_ms"))
+
+
+def _claims(spark, sf_dir):
+    return ledger.claims_from_envelopes(q_batch_chunks(spark, sf_dir))
+
+
+def q_ledger_first_wins(spark, sf_dir):
+    return ledger.first_wins(_claims(spark, sf_dir))
+
+
+def q_ledger_new_only(spark, sf_dir):
+    c = _claims(spark, sf_dir)
+    existing = ledger.first_wins(c.filter((F.pmod(F.col("batch_no"), F.lit(2)) == 0) & (F.col("delivery") == 0)))
+    return ledger.new_only(c, existing).select("stage", "id", "delivery", "produced_at")
+
+
+def q_stage_lag(spark, sf_dir):
+    return obs.stage_lags(ledger.first_wins(_claims(spark, sf_dir)))
+
+
+def q_alert_gap(spark, sf_dir):
+    fw = ledger.first_wins(_claims(spark, sf_dir)).filter(F.col("stage") == "persist")
+    writes = fw.select(F.unix_micros(F.to_timestamp(F.regexp_replace("produced_at", "Z$", ""))).alias("ts_us"))
+    return obs.freshness_gaps(writes)
+
+
+def q_metric_rollup(spark, sf_dir):
+    return obs.metric_rollup(derived.metric_samples(read_table(spark, sf_dir, "events")))
+
+
+def q_metric_text(spark, sf_dir):
+    return obs.metric_text(q_metric_rollup(spark, sf_dir))
+
+
+def q_liveness(spark, sf_dir):
+    return obs.liveness(derived.worker_ops(read_table(spark, sf_dir, "events")))
+
+
+def q_alert_sustained(spark, sf_dir):
+    return obs.sustained_above(derived.queue_depth(read_table(spark, sf_dir, "events")), "queue", "ts_us", "depth",
+                               500.0, 600)
+
+
+def q_alert_rate(spark, sf_dir):
+    return obs.rate_alerts(derived.failures(read_table(spark, sf_dir, "events")), "ts")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -176,4 +261,19 @@ def registry() -> dict[str, QueryFn]:
         "batch_validate": q_batch_validate,
         "silver_normalize": q_silver_normalize,
         "partition_paths": q_partition_paths,
+        "interval_counts": q_interval_counts,
+        "cb_quote_spread": q_cb_quote_spread,
+        "cb_last_trade": q_cb_last_trade,
+        "pm_side_pivot": q_pm_side_pivot,
+        "dropped_merge": q_dropped_merge,
+        "max_stale": q_max_stale,
+        "ledger_first_wins": q_ledger_first_wins,
+        "ledger_new_only": q_ledger_new_only,
+        "stage_lag": q_stage_lag,
+        "alert_gap": q_alert_gap,
+        "metric_rollup": q_metric_rollup,
+        "metric_text": q_metric_text,
+        "liveness": q_liveness,
+        "alert_sustained": q_alert_sustained,
+        "alert_rate": q_alert_rate,
     }

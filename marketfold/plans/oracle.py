@@ -25,4 +25,19 @@ def oracles() -> dict[str, str]:
         "batch_validate": P.batch_sql("validate"),
         "silver_normalize": P.batch_sql("silver"),
         "partition_paths": P.batch_sql("paths"),
+        "interval_counts": P.interval_counts_sql(FLAGSHIP_INTERVAL_S),
+        "cb_quote_spread": P.snapshot_view_sql("cb_quote_spread"),
+        "cb_last_trade": P.snapshot_view_sql("cb_last_trade"),
+        "pm_side_pivot": P.snapshot_view_sql("pm_side_pivot"),
+        "dropped_merge": P.dropped_merge_sql(FLAGSHIP_INTERVAL_S),
+        "max_stale": P.snapshot_view_sql("max_stale"),
+        "ledger_first_wins": P.ledger_sql("first_wins"),
+        "ledger_new_only": P.ledger_sql("new_only"),
+        "stage_lag": P.ledger_sql("stage_lag"),
+        "alert_gap": P.ledger_sql("alert_gap"),
+        "metric_rollup": P.ops_sql("metric_rollup"),
+        "metric_text": P.ops_sql("metric_text"),
+        "liveness": P.ops_sql("liveness"),
+        "alert_sustained": P.ops_sql("alert_sustained"),
+        "alert_rate": P.ops_sql("alert_rate"),
     }

@@ -338,3 +338,185 @@ SELECT batch_id, source, market, row_count,
        || ',actual_source=' || source || ',actual_market=' || bad_market END AS error
 FROM v"""
     raise ValueError(which)
+
+
+def snapshot_view_sql(which: str) -> str:
+    base = f"WITH {_snap_cte()}\n"
+    if which == "cb_quote_spread":
+        return base + "SELECT market_key, snapshot_ts, best_bid, best_ask, mid, spread_bps FROM snap WHERE venue = 'coinbase'"
+    if which == "cb_last_trade":
+        return base + "SELECT market_key, snapshot_ts, last_trade_px, last_trade_size, last_trade_side FROM snap WHERE venue = 'coinbase'"
+    if which == "pm_side_pivot":
+        return base + """SELECT market_key, snapshot_ts, yes_best_bid, yes_best_ask, yes_mid, no_best_bid, no_best_ask, no_mid,
+       last_trade_px_yes, last_trade_px_no, slug, bucket_start_ts, condition_id FROM snap WHERE venue = 'polymarket'"""
+    if which == "max_stale":
+        return base + "SELECT snapshot_ts, max(coalesce(stale_ms, 0.0)) AS ws_stale_ms FROM snap GROUP BY snapshot_ts"
+    raise ValueError(which)
+
+
+def interval_counts_sql(i: int = 300) -> str:
+    return f"""WITH {MARKETS_SQL},
+{CANON_SQL}
+SELECT c.market_key, c.recv_s - c.recv_s % {i} + {i} AS snapshot_ts,
+       CAST(count(*) AS BIGINT) AS msg_count_1s,
+       CAST(count(*) FILTER (WHERE c.kind = 'trade') AS BIGINT) AS trade_count_1s,
+       CAST(count(*) FILTER (WHERE c.kind IN ('book_update', 'book_snapshot', 'quote')) AS BIGINT) AS book_update_count_1s
+FROM canon c JOIN markets m USING (market_key)
+GROUP BY 1, 2"""
+
+
+def dropped_merge_sql(i: int = 300) -> str:
+    return f"""WITH {MARKETS_SQL},
+{DROPS_SQL},
+pdrops AS (
+  SELECT CASE user_id % 4 WHEN 0 THEN 'cb-btcusd' WHEN 1 THEN 'cb-ethusd' WHEN 2 THEN 'pm-btc' ELSE 'pm-eth' END AS market_key,
+         CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS recv_s,
+         CAST((TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) // 10) % 3 - 1 AS BIGINT) AS n
+  FROM events WHERE event_type = 'error'
+),
+u AS (SELECT * FROM drops UNION ALL SELECT * FROM pdrops)
+SELECT market_key, recv_s - recv_s % {i} + {i} AS snapshot_ts, CAST(greatest(0, sum(n)) AS BIGINT) AS dropped_events_1s
+FROM u WHERE market_key IN (SELECT market_key FROM markets)
+GROUP BY 1, 2"""
+
+
+def _claims_cte() -> str:
+    return batch_sql("chunks").replace("SELECT batch_id, venue AS source", ", env AS (SELECT batch_id, venue AS source", 1) + """),
+st AS (SELECT * FROM (VALUES ('persist', 1), ('transform', 2), ('export', 3), ('relay', 4)) AS t(stage, off)),
+cl0 AS (
+  SELECT st.stage, env.batch_id AS id, d.delivery, env.batch_no, env.source, env.market, env.snapshot_date, env.row_count,
+         strftime(CAST(substr(env.last_ts, 1, 19) AS TIMESTAMP) + to_seconds(st.off * (1 + env.batch_no % 7) + d.delivery * 60),
+                  '%Y-%m-%dT%H:%M:%SZ') AS produced_at
+  FROM env CROSS JOIN st
+  JOIN (VALUES (0), (1)) AS d(delivery) ON d.delivery = 0 OR env.batch_no % 3 = 0
+),
+claims AS (
+  SELECT *, '{"batch_id":"' || id || '","source":"' || source || '","market":"' || market || '","snapshot_date":"'
+            || snapshot_date || '","row_count":' || CAST(row_count AS VARCHAR) || ',"produced_at":"' || produced_at || '"}' AS payload
+  FROM cl0
+),
+fw AS (
+  SELECT stage, id, arg_min(produced_at, delivery) AS produced_at, arg_min(payload, delivery) AS payload,
+         CAST(count(*) AS BIGINT) AS deliveries, CAST(count(*) - 1 AS BIGINT) AS duplicates
+  FROM claims GROUP BY stage, id
+)"""
+
+
+def ledger_sql(which: str) -> str:
+    head = _claims_cte()
+    if which == "first_wins":
+        return head + "\nSELECT * FROM fw"
+    if which == "new_only":
+        return head + """
+SELECT stage, id, delivery, produced_at FROM claims c
+WHERE NOT EXISTS (SELECT 1 FROM claims x WHERE x.batch_no % 2 = 0 AND x.delivery = 0 AND x.stage = c.stage AND x.id = c.id)"""
+    if which == "stage_lag":
+        return head + """,
+p AS (
+  SELECT id, max(CASE WHEN stage = 'persist' THEN epoch(CAST(replace(produced_at, 'Z', '') AS TIMESTAMP)) END) AS a,
+             max(CASE WHEN stage = 'transform' THEN epoch(CAST(replace(produced_at, 'Z', '') AS TIMESTAMP)) END) AS b,
+             max(CASE WHEN stage = 'export' THEN epoch(CAST(replace(produced_at, 'Z', '') AS TIMESTAMP)) END) AS c,
+             max(CASE WHEN stage = 'relay' THEN epoch(CAST(replace(produced_at, 'Z', '') AS TIMESTAMP)) END) AS d
+  FROM fw GROUP BY id)
+SELECT id AS batch_id, CAST(coalesce(greatest(0, b - a), 0) AS BIGINT) AS transform_lag_s,
+       CAST(coalesce(greatest(0, c - b), 0) AS BIGINT) AS export_lag_s, CAST(coalesce(greatest(0, d - c), 0) AS BIGINT) AS relay_lag_s
+FROM p"""
+    if which == "alert_gap":
+        return head + """,
+w AS (SELECT epoch_us(CAST(replace(produced_at, 'Z', '') AS TIMESTAMP)) AS ts_us FROM fw WHERE stage = 'persist'),
+o AS (SELECT ts_us, lag(ts_us) OVER (ORDER BY ts_us) AS prev_us FROM w)
+SELECT prev_us AS last_write_us, ts_us AS next_write_us, (ts_us - prev_us) / 1000000.0 AS gap_s
+FROM o WHERE (ts_us - prev_us) / 1000000.0 > 300"""
+    raise ValueError(which)
+
+
+OPS_BASE_SQL = """b AS (
+  SELECT event_id AS seq, user_id, event_type, value, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         epoch_us(ts) AS ts_us, ts,
+         CASE user_id % 4 WHEN 0 THEN 'cb-btcusd' WHEN 1 THEN 'cb-ethusd' WHEN 2 THEN 'pm-btc' ELSE 'pm-eth' END AS mk,
+         CASE user_id % 5 WHEN 0 THEN 'ingest' WHEN 1 THEN 'persist' WHEN 2 THEN 'transform' WHEN 3 THEN 'export' ELSE 'relay' END AS worker
+  FROM events
+)"""
+
+
+def ops_sql(which: str) -> str:
+    if which in ("metric_rollup", "metric_text"):
+        roll = f"""WITH {OPS_BASE_SQL},
+s AS (
+  SELECT seq,
+    CASE event_type WHEN 'purchase' THEN 'ingest_batches_published_total' WHEN 'click' THEN 'persist_batches_total'
+         WHEN 'view' THEN 'ws_stale_ms' WHEN 'signup' THEN 'worker_ready' ELSE 'mixed_metric_name' END AS name,
+    CASE WHEN event_type IN ('purchase', 'click')
+         THEN 'market="' || mk || '",source="' || (CASE WHEN starts_with(mk, 'cb-') THEN 'coinbase' ELSE 'polymarket' END) || '"'
+         WHEN event_type IN ('view', 'signup') THEN 'worker="' || worker || '"'
+         ELSE 'market_key="' || mk || '"' END AS label_text,
+    CASE WHEN event_type IN ('purchase', 'click') THEN 'inc' WHEN event_type IN ('view', 'signup') THEN 'set'
+         WHEN k % 2 = 0 THEN 'inc' ELSE 'set' END AS op,
+    CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'click' THEN CAST(k AS DOUBLE) WHEN 'view' THEN value
+         WHEN 'signup' THEN 1.0 ELSE CAST(k AS DOUBLE) END AS value
+  FROM b
+),
+ls AS (
+  SELECT name, label_text, max(seq) FILTER (WHERE op = 'set') AS set_seq, arg_max(value, seq) FILTER (WHERE op = 'set') AS set_value
+  FROM s GROUP BY name, label_text
+),
+ia AS (
+  SELECT s.name, s.label_text, sum(s.value) AS inc_after
+  FROM s JOIN ls USING (name, label_text)
+  WHERE s.op = 'inc' AND (ls.set_seq IS NULL OR s.seq > ls.set_seq)
+  GROUP BY 1, 2
+),
+roll AS (
+  SELECT ls.name, ls.label_text, CASE WHEN set_seq IS NOT NULL THEN 'gauge' ELSE 'counter' END AS kind,
+         coalesce(set_value, 0.0) + coalesce(inc_after, 0.0) AS value
+  FROM ls LEFT JOIN ia USING (name, label_text)
+)"""
+        if which == "metric_rollup":
+            return roll + "\nSELECT * FROM roll"
+        return roll + """
+SELECT name, label_text, '# TYPE ' || name || ' ' || kind AS type_line,
+       name || CASE WHEN label_text <> '' THEN '{' || label_text || '}' ELSE '' END || ' ' || CAST(value AS VARCHAR) AS sample_line
+FROM roll"""
+    if which == "liveness":
+        return f"""WITH {OPS_BASE_SQL},
+o AS (
+  SELECT worker, seq, ts_us,
+    CASE WHEN event_type IN ('signup', 'click') THEN 'heartbeat' WHEN event_type = 'view' THEN 'ready'
+         WHEN event_type = 'error' THEN 'unhealthy' ELSE 'healthy' END AS op,
+    CASE WHEN event_type = 'error' THEN 'error:' || CAST(k AS VARCHAR) END AS reason
+  FROM b
+),
+per AS (
+  SELECT worker,
+    coalesce(max(ts_us) FILTER (WHERE op = 'heartbeat'), min(ts_us)) AS hb_us, max(ts_us) AS last_us,
+    max(CASE WHEN op = 'ready' THEN 1 ELSE 0 END) AS ready_i,
+    arg_max(op = 'healthy', seq) FILTER (WHERE op IN ('healthy', 'unhealthy')) AS ok,
+    arg_max(coalesce(reason, ''), seq) FILTER (WHERE op IN ('healthy', 'unhealthy')) AS why
+  FROM o GROUP BY worker
+),
+a AS (SELECT *, greatest(0.0, (max(last_us) OVER () - hb_us) / 1000000.0) AS age FROM per)
+SELECT worker, coalesce(ok, true) AND NOT (age > 120.0) AS healthy, ready_i = 1 AS ready,
+       CASE WHEN age > 120.0 THEN 'heartbeat_timeout' WHEN coalesce(ok, true) THEN '' ELSE why END AS reason,
+       round(age, 3) AS heartbeat_age_seconds
+FROM a"""
+    if which == "alert_sustained":
+        return f"""WITH {OPS_BASE_SQL},
+q AS (
+  SELECT CASE user_id % 4 WHEN 0 THEN 'ws-snapshot-batches' WHEN 1 THEN 'ws-bronze-written' WHEN 2 THEN 'ws-export-intents'
+         ELSE 'ws-relay-intents' END AS queue, ts_us, value * 10.0 AS depth
+  FROM b
+),
+r AS (SELECT queue, CAST(floor(ts_us / 60000000.0) AS BIGINT) AS minute, count(*) AS n, min(depth) AS vmin,
+              min(ts_us) AS first_us, max(ts_us) AS last_us FROM q GROUP BY 1, 2),
+f AS (SELECT *, vmin > 500.0 AS hot, lag(vmin > 500.0) OVER (PARTITION BY queue ORDER BY minute) AS ph FROM r),
+g AS (SELECT *, sum(CASE WHEN hot AND (ph IS NULL OR NOT ph) THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY queue ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM f),
+isl AS (SELECT queue, island, min(first_us) AS start_us, max(last_us) AS end_us, CAST(sum(n) AS BIGINT) AS samples
+        FROM g WHERE hot GROUP BY queue, island)
+SELECT queue, start_us, end_us, samples FROM isl WHERE end_us - start_us >= 600000000"""
+    if which == "alert_rate":
+        return """WITH f AS (SELECT epoch_us(ts) AS us FROM events WHERE event_type = 'error'),
+w AS (SELECT CAST(floor(us / 60000000.0) AS BIGINT) * 60 - j * 60 AS ws FROM f, range(0, 15) t(j))
+SELECT CAST(ws AS BIGINT) AS window_start_s, CAST(ws + 900 AS BIGINT) AS window_end_s, CAST(count(*) AS BIGINT) AS failures
+FROM w GROUP BY ws HAVING count(*) >= 3"""
+    raise ValueError(which)
