@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
 from marketfold.operators import batches
+from marketfold.operators import book
 from marketfold.operators import ledger
 from marketfold.operators import observability as obs
 from marketfold.operators import canonical as canon
@@ -242,6 +243,25 @@ def q_alert_rate(spark, sf_dir):
     return obs.rate_alerts(derived.failures(read_table(spark, sf_dir, "events")), "ts")
 
 
+def _l2_frames(spark, sf_dir):
+    return frames.spot_frames(read_table(spark, sf_dir, "events"))
+
+
+def q_book_levels_lifetime(spark, sf_dir):
+    lt = book.level_lifetimes(book.book_ops(_l2_frames(spark, sf_dir))).filter(F.col("size") > 0)
+    return lt.select("product", "side", "epoch", "price", "size", F.col("valid_from.seq").alias("from_seq"),
+                     F.col("valid_to.ord.seq").alias("to_seq"))
+
+
+def q_book_as_of(spark, sf_dir):
+    return book.book_as_of_day_end(book.book_ops(_l2_frames(spark, sf_dir)))
+
+
+def q_book_best_per_message(spark, sf_dir):
+    return book.best_per_message(_l2_frames(spark, sf_dir)).select("seq", "pos", "market_key", "kind", "event_us",
+                                                                   "product_id", "bid", "ask")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -276,4 +296,7 @@ def registry() -> dict[str, QueryFn]:
         "liveness": q_liveness,
         "alert_sustained": q_alert_sustained,
         "alert_rate": q_alert_rate,
+        "book_levels_lifetime": q_book_levels_lifetime,
+        "book_as_of": q_book_as_of,
+        "book_best_per_message": q_book_best_per_message,
     }

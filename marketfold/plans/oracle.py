@@ -40,4 +40,6 @@ def oracles() -> dict[str, str]:
         "liveness": P.ops_sql("liveness"),
         "alert_sustained": P.ops_sql("alert_sustained"),
         "alert_rate": P.ops_sql("alert_rate"),
+        "book_levels_lifetime": P.book_sql("lifetime"),
+        "book_as_of": P.book_sql("as_of"),
     }

@@ -520,3 +520,57 @@ w AS (SELECT CAST(floor(us / 60000000.0) AS BIGINT) * 60 - j * 60 AS ws FROM f,
 SELECT CAST(ws AS BIGINT) AS window_start_s, CAST(ws + 900 AS BIGINT) AS window_end_s, CAST(count(*) AS BIGINT) AS failures
 FROM w GROUP BY ws HAVING count(*) >= 3"""
     raise ValueError(which)
+
+
+BOOK_OPS_SQL = """l2 AS (
+  SELECT c.seq, c.recv_s, c.product_id AS product, e.value AS v,
+         TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k
+  FROM canon c JOIN events e ON e.event_id = c.seq
+  WHERE c.venue = 'coinbase' AND e.event_type = 'click'
+),
+ops AS (
+  SELECT product, seq, recv_s, 'bid' AS side, 0 AS phase, -1 AS j, NULL::DOUBLE AS price, NULL::DOUBLE AS size, true AS is_reset FROM l2 WHERE seq % 11 = 0
+  UNION ALL SELECT product, seq, recv_s, 'bid', 0, 0, v - 0.5, 2.0, false FROM l2 WHERE seq % 11 = 0
+  UNION ALL SELECT product, seq, recv_s, 'bid', 0, 1, (v - 0.5) - 1, 1.0, false FROM l2 WHERE seq % 11 = 0
+  UNION ALL SELECT product, seq, recv_s, 'ask', 1, -1, NULL, NULL, true FROM l2 WHERE seq % 11 = 0
+  UNION ALL SELECT product, seq, recv_s, 'ask', 1, 0, v + 0.5, 1.0, false FROM l2 WHERE seq % 11 = 0
+  UNION ALL SELECT product, seq, recv_s, 'bid', 2, 0, v - 0.5, CASE WHEN k % 6 = 0 THEN 0.0 ELSE k / 10.0 END, false FROM l2 WHERE seq % 11 <> 0
+  UNION ALL SELECT product, seq, recv_s, 'ask', 2, 1, v + 0.5, CASE WHEN k % 6 = 0 THEN 0.0 ELSE k / 10.0 END, false FROM l2 WHERE seq % 11 <> 0
+),
+ep AS (
+  SELECT *, seq * 1000 + phase * 100 + j + 1 AS ok,
+         sum(CASE WHEN is_reset THEN 1 ELSE 0 END) OVER (PARTITION BY product, side ORDER BY seq, phase, j
+                                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch
+  FROM ops
+),
+rs AS (SELECT product, side, epoch - 1 AS epoch, ok AS rok, seq AS rseq, recv_s AS rrecv FROM ep WHERE is_reset),
+lv AS (
+  SELECT e.*, lead(ok) OVER w AS nok, lead(seq) OVER w AS nseq, lead(recv_s) OVER w AS nrecv
+  FROM ep e WHERE NOT is_reset
+  WINDOW w AS (PARTITION BY product, side, epoch, price ORDER BY seq, phase, j)
+),
+lt AS (
+  SELECT lv.product, lv.side, lv.epoch, lv.price, lv.size, lv.seq AS from_seq, lv.recv_s,
+         CASE WHEN nok IS NULL THEN rs.rseq WHEN rs.rok IS NULL THEN nseq WHEN nok < rs.rok THEN nseq ELSE rs.rseq END AS to_seq,
+         CASE WHEN nok IS NULL THEN rs.rrecv WHEN rs.rok IS NULL THEN nrecv WHEN nok < rs.rok THEN nrecv ELSE rs.rrecv END AS to_recv
+  FROM lv LEFT JOIN rs ON rs.product = lv.product AND rs.side = lv.side AND rs.epoch = lv.epoch
+)"""
+
+
+def book_sql(which: str) -> str:
+    head = f"WITH {CANON_SQL},\n{BOOK_OPS_SQL}"
+    if which == "lifetime":
+        return head + "\nSELECT product, side, CAST(epoch AS BIGINT) AS epoch, price, size, from_seq, to_seq FROM lt WHERE size > 0"
+    if which == "as_of":
+        return head + """,
+last AS (SELECT product, max(recv_s // 86400) AS last_day FROM ops GROUP BY product),
+d AS (
+  SELECT lt.product, lt.side, lt.price, lt.recv_s // 86400 AS fd,
+         coalesce(lt.to_recv // 86400 - 1, last.last_day) AS td
+  FROM lt JOIN last USING (product) WHERE lt.size > 0
+),
+x AS (SELECT product, side, price, unnest(generate_series(fd, td)) AS day FROM d WHERE td >= fd)
+SELECT product, side, CAST(day AS BIGINT) AS day,
+       CASE WHEN side = 'bid' THEN max(price) ELSE min(price) END AS best_price, CAST(count(*) AS BIGINT) AS levels
+FROM x GROUP BY product, side, day"""
+    raise ValueError(which)
