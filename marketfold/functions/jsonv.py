@@ -83,3 +83,74 @@ def to_text(v: Column) -> Column:
 def text_norm(v: Column, upper: bool = False) -> Column:
     s = strip_ws(to_text(v))
     return F.upper(s) if upper else F.lower(s)
+
+
+# --- column-materialising API (hot paths) ------------------------------------
+# ``extract`` adds one VARIANT column and one kind column per JSON path, so
+# every path is navigated and typed once per row; the pair helpers below
+# then only compare plain columns (no repeated JSON work, codegen-friendly).
+
+def extract(df, src: str, paths: dict[str, str]):
+    """Add per path: ``n`` (VARIANT), ``n__t`` (kind) and ``n__ok``
+    (Python truthiness), each computed once per row."""
+    df = df.select("*", *[F.try_variant_get(F.col(src), p, "variant").alias(n) for n, p in paths.items()])
+    df = df.select("*", *[vtype(F.col(n)).alias(f"{n}__t") for n in paths])
+    return df.select("*", *[_truthy_ft(F.col(n), F.col(f"{n}__t")).alias(f"{n}__ok") for n in paths])
+
+
+def _truthy_ft(f: Column, t: Column) -> Column:
+    return (F.when(f.isNull() | t.isNull() | (t == "VOID"), F.lit(False))
+             .when(t == "STRING", F.try_variant_get(f, "$", "string") != "")
+             .when(t == "BOOLEAN", F.try_variant_get(f, "$", "boolean"))
+             .when(t.startswith("ARRAY"), F.size(F.try_variant_get(f, "$", "array<variant>")) > 0)
+             .when(t.startswith("OBJECT"), t != "OBJECT<>")
+             .otherwise(F.coalesce(F.try_variant_get(f, "$", "double") != 0, F.lit(False))))
+
+
+def pair(name: str) -> tuple[Column, Column, Column]:
+    return F.col(name), F.col(f"{name}__t"), F.col(f"{name}__ok")
+
+
+def p_truthy(p) -> Column:
+    return p[2]
+
+
+def p_first(*pairs) -> tuple[Column, Column, Column]:
+    """Python ``a or b or c`` over extracted pairs -> (value, kind, truthy).
+    Conditions are the precomputed truthiness columns, so the CASE chains
+    stay small however often the result is referenced."""
+    f, t = pairs[-1][0], pairs[-1][1]
+    for pf, pt, pok in reversed(pairs[:-1]):
+        f, t = F.when(pok, pf).otherwise(f), F.when(pok, pt).otherwise(t)
+    ok = pairs[0][2]
+    for p in pairs[1:]:
+        ok = ok | p[2]
+    return f, t, ok
+
+
+def p_float(p) -> Column:
+    f, t = p[0], p[1]
+    return (F.when(t == "STRING", coerce_float_text(F.try_variant_get(f, "$", "string")))
+             .when(t == "BOOLEAN", F.try_variant_get(f, "$", "boolean").cast("double"))
+             .when(t.isin(*_NUMERIC) | t.startswith("DECIMAL"), F.try_variant_get(f, "$", "double")))
+
+
+def p_text(p) -> Column:
+    return F.when(p[2], F.try_variant_get(p[0], "$", "string")).otherwise(F.lit(""))
+
+
+def p_norm(p, upper: bool = False) -> Column:
+    s = strip_ws(p_text(p))
+    return F.upper(s) if upper else F.lower(s)
+
+
+def p_is_object(p) -> Column:
+    return F.coalesce(p[1].startswith("OBJECT"), F.lit(False))
+
+
+def p_is_array(p) -> Column:
+    return F.coalesce(p[1].startswith("ARRAY"), F.lit(False))
+
+
+def p_array(p) -> Column:
+    return F.when(p_is_array(p), F.try_variant_get(p[0], "$", "array<variant>"))

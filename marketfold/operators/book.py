@@ -34,57 +34,74 @@ from marketfold.operators.spot_parser import frame_envelope, product_market_map
 from marketfold.session import cut_lineage
 
 DAY_US = 86_400_000_000
-_OPS_TYPE = "array<struct<side:string,phase:int,j:int,price:double,size:double,is_reset:boolean>>"
 
 
-def _snapshot_levels(ev, side: str, phase: int) -> F.Column:
-    lst = J.as_array(J.field(ev, f"$.{side}s"))
-    lv = F.transform(lst, lambda x, j: F.struct(
-        F.lit(side).alias("side"), F.lit(phase).alias("phase"), j.cast("int").alias("j"),
-        F.when(J.is_object(x), J.to_float(J.first_truthy(x, "$.price", "$.price_level")))
-         .when(J.is_array(x) & (F.size(J.as_array(x)) >= 2), J.to_float(F.element_at(J.as_array(x), 1))).alias("price"),
-        F.when(J.is_object(x), J.to_float(J.first_truthy(x, "$.size", "$.new_quantity", "$.qty")))
-         .when(J.is_array(x) & (F.size(J.as_array(x)) >= 2), J.to_float(F.element_at(J.as_array(x), 2))).alias("size"),
-        F.lit(False).alias("is_reset")))
-    lv = F.filter(lv, lambda r: r["price"].isNotNull() & r["size"].isNotNull() & (r["size"] > 0))
-    reset = F.array(F.struct(F.lit(side).alias("side"), F.lit(phase).alias("phase"), F.lit(-1).alias("j"),
-                             F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("size"),
-                             F.lit(True).alias("is_reset")))
-    return F.when(lst.isNotNull(), F.concat(reset, lv)).otherwise(F.array().cast(_OPS_TYPE))
+_OP_COLS = ["product", "market_key", "seq", "i", "recv_us", "event_us", "side", "phase", "j", "price", "size", "is_reset"]
+
+
+def _finish_ops(df: DataFrame) -> DataFrame:
+    return df.select(*_OP_COLS).select(
+        "*", F.struct("seq", "i", "phase", "j").alias("ord"),
+        F.floor(F.col("recv_us") / F.lit(DAY_US)).cast("bigint").alias("day"))
+
+
+_ELEM = "struct<side:string,phase:int,j:int,el:variant,is_reset:boolean>"
 
 
 def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
     """Level-2 frames -> ops (one row per reset / level / update).
 
-    The ops table feeds several consumers (epoch counts, next-op lookups,
-    resets), so it is materialised once into the checkpoint folder instead
-    of re-parsing the JSON frames per consumer."""
+    One pass: each event's snapshot lists and updates are tagged and
+    concatenated into one element list, exploded once, and every JSON path
+    is extracted once per element.  The ops table feeds several consumers
+    (epoch counts, next-op lookups, resets), so it is materialised once into
+    the checkpoint folder instead of re-parsing the frames per consumer."""
     env = frame_envelope(frames).filter(F.col("channel") == "level2")
-    ev = (env.select("seq", "recv_us", "fallback_us", F.posexplode("events").alias("i", "ev"))
-             .filter(J.is_object(F.col("ev"))))
-    e = F.col("ev")
-    product = J.text_norm(J.first_truthy(e, "$.product_id", "$.productId"), upper=True)
-    ev = ev.withColumn("product", product).withColumn("market_key", F.element_at(product_market_map(), F.col("product")))
-    ev = ev.filter(F.col("market_key").isNotNull())
-    upd = J.as_array(J.field(e, "$.updates"))
-    updates = F.transform(F.coalesce(upd, F.array().cast("array<variant>")), lambda u, j: F.struct(
-        F.when(J.text_norm(J.first_truthy(u, "$.side", "$.book_side")).isin(*C.BID_SIDES), F.lit("bid"))
-         .otherwise(F.lit("ask")).alias("side"),
-        F.lit(2).alias("phase"), j.cast("int").alias("j"),
-        F.when(J.is_object(u), J.to_float(J.first_truthy(u, "$.price_level", "$.price", "$.px"))).alias("price"),
-        F.coalesce(J.to_float(J.first_truthy(u, "$.new_quantity", "$.size", "$.qty")), F.lit(0.0)).alias("size"),
-        F.lit(False).alias("is_reset")))
-    updates = F.filter(updates, lambda r: r["price"].isNotNull())
-    allops = F.concat(_snapshot_levels(e, "bid", 0), _snapshot_levels(e, "ask", 1), updates)
-    ops = ev.select("seq", "recv_us", "fallback_us", "i", "product", "market_key", F.explode(allops).alias("op"))
-    ops = ops.select("product", "market_key", "seq", "i", "recv_us", F.col("fallback_us").alias("event_us"),
-                      F.col("op.side").alias("side"), F.col("op.phase").alias("phase"), F.col("op.j").alias("j"),
-                      F.col("op.price").alias("price"),
-                      F.when(F.col("op.size") > 0, F.col("op.size")).otherwise(F.lit(0.0)).alias("size"),
-                      F.col("op.is_reset").alias("is_reset"),
-                      F.struct("seq", "i", F.col("op.phase").alias("phase"), F.col("op.j").alias("j")).alias("ord"),
-                      F.floor(F.col("recv_us") / F.lit(DAY_US)).cast("bigint").alias("day"))
-    return cut_lineage(ops) if materialize else ops
+    ev = env.select("seq", "recv_us", F.col("fallback_us").alias("event_us"), F.posexplode("events").alias("i", "ev"))
+    ev = J.extract(ev, "ev", {"x_pid": "$.product_id", "x_pidc": "$.productId", "x_bids": "$.bids",
+                              "x_asks": "$.asks", "x_upd": "$.updates"})
+    ev = ev.withColumn("product", J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True))
+    ev = ev.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))).filter(F.col("market_key").isNotNull())
+
+    def tagged(name: str, side, phase: int, with_reset: bool):
+        arr = J.p_array(J.pair(name))
+        items = F.transform(F.coalesce(arr, F.array().cast("array<variant>")), lambda x, j: F.struct(
+            F.lit(side).cast("string").alias("side"), F.lit(phase).alias("phase"), j.cast("int").alias("j"),
+            x.alias("el"), F.lit(False).alias("is_reset")))
+        if not with_reset:
+            return items
+        reset = F.array(F.struct(F.lit(side).alias("side"), F.lit(phase).alias("phase"), F.lit(-1).alias("j"),
+                                 F.lit(None).cast("variant").alias("el"), F.lit(True).alias("is_reset")))
+        return F.when(arr.isNotNull(), F.concat(reset, items)).otherwise(F.array().cast(f"array<{_ELEM}>"))
+
+    elems = F.concat(tagged("x_bids", "bid", 0, True), tagged("x_asks", "ask", 1, True), tagged("x_upd", None, 2, False))
+    base = ["product", "market_key", "seq", "i", "recv_us", "event_us"]
+    x = ev.select(*base, F.explode(elems).alias("e")).select(*base, "e.*")
+    x = x.withColumn("el_t", J.vtype(F.col("el")))
+    x = J.extract(x, "el", {"l_p": "$.price", "l_pl": "$.price_level", "l_px": "$.px", "l_s": "$.size",
+                            "l_nq": "$.new_quantity", "l_q": "$.qty", "l_0": "$[0]", "l_1": "$[1]",
+                            "u_sd": "$.side", "u_bs": "$.book_side"})
+    is_obj = F.coalesce(F.col("el_t").startswith("OBJECT"), F.lit(False))
+    is_pair = F.coalesce(F.col("el_t").startswith("ARRAY"), F.lit(False)) & F.col("l_1").isNotNull()
+    snap = F.col("phase") < 2
+    # snapshot levels: price|price_level, size|new_quantity|qty (or [px, qty]);
+    # updates: price_level|price|px, new_quantity|size|qty.
+    price = (F.when(snap & is_obj, J.p_float(J.p_first(J.pair("l_p"), J.pair("l_pl"))))
+              .when(snap & is_pair, J.p_float(J.pair("l_0")))
+              .when(~snap & is_obj, J.p_float(J.p_first(J.pair("l_pl"), J.pair("l_p"), J.pair("l_px")))))
+    size = (F.when(snap & is_obj, J.p_float(J.p_first(J.pair("l_s"), J.pair("l_nq"), J.pair("l_q"))))
+             .when(snap & is_pair, J.p_float(J.pair("l_1")))
+             .when(~snap & is_obj, J.p_float(J.p_first(J.pair("l_nq"), J.pair("l_s"), J.pair("l_q")))))
+    upd_side = F.when(J.p_norm(J.p_first(J.pair("u_sd"), J.pair("u_bs"))).isin(*C.BID_SIDES), F.lit("bid")).otherwise(F.lit("ask"))
+    x = x.select(*base, F.when(snap, F.col("side")).otherwise(upd_side).alias("side"), "phase", "j", "is_reset",
+                 price.alias("price"), size.alias("size"))
+    keep = (F.col("is_reset")
+            | (snap & F.col("price").isNotNull() & F.col("size").isNotNull() & (F.col("size") > 0))
+            | (~snap & F.col("price").isNotNull()))
+    x = x.filter(keep).withColumn("size", F.when(F.col("size") > 0, F.col("size")).otherwise(F.lit(0.0)))
+    x = x.withColumn("price", F.when(~F.col("is_reset"), F.col("price")))
+    ops = _finish_ops(x)
+    return cut_lineage(ops, "book_ops") if materialize else ops
 
 
 def running_count(df: DataFrame, keys: list[str], flag: str, out: str) -> DataFrame:
@@ -201,9 +218,9 @@ def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame
 
     ops = book_ops(frames, materialize=False)
     env = frame_envelope(frames).filter(F.col("channel") == "level2")
-    evs = (env.select("seq", "recv_us", "fallback_us", F.posexplode("events").alias("i", "ev"))
-              .filter(J.is_object(F.col("ev"))))
-    evs = evs.withColumn("product", J.text_norm(J.first_truthy(F.col("ev"), "$.product_id", "$.productId"), upper=True))
+    evs = env.select("seq", "recv_us", "fallback_us", F.posexplode("events").alias("i", "ev"))
+    evs = J.extract(evs, "ev", {"x_pid": "$.product_id", "x_pidc": "$.productId"})
+    evs = evs.withColumn("product", J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True))
     evs = evs.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))).filter(F.col("market_key").isNotNull())
     evs = evs.select("product", "market_key", "seq", "i", "recv_us", "fallback_us",
                      (F.col("recv_us") / F.lit(1_000_000)).alias("_t"))

@@ -22,23 +22,30 @@ _ASSET_ALIASES = ("$.asset_id", "$.assetId", "$.asset", "$.token_id")
 
 
 def messages(frames: DataFrame) -> DataFrame:
-    """One row per message object: (seq, recv_us, i, event_type, item)."""
+    """One row per message object: (seq, recv_us, i, event_type, item).
+    Non-object messages have no type and are dropped with the control
+    messages."""
     v = F.try_parse_json(F.col("value"))
     df = frames.select("seq", "recv_us", v.alias("v")).filter(F.col("v").isNotNull())
     lst = F.when(J.is_array(F.col("v")), J.as_array(F.col("v"))).otherwise(F.array(F.col("v")))
-    df = df.select("seq", "recv_us", F.posexplode(lst).alias("i", "item")).filter(J.is_object(F.col("item")))
-    etype = J.text_norm(J.first_truthy(F.col("item"), "$.event_type", "$.type"))
-    return df.withColumn("event_type", etype).filter(~F.col("event_type").isin(*C.IGNORED_PREDICTION_TYPES))
+    df = df.select("seq", "recv_us", F.posexplode(lst).alias("i", "item"))
+    df = J.extract(df, "item", {"x_et": "$.event_type", "x_type": "$.type"})
+    etype = J.p_norm(J.p_first(J.pair("x_et"), J.pair("x_type")))
+    return (df.select("seq", "recv_us", "i", "item", etype.alias("event_type"))
+              .filter(~F.col("event_type").isin(*C.IGNORED_PREDICTION_TYPES)))
 
 
-def _event_us(obj) -> F.Column:
-    ts = J.to_float(J.field(obj, "$.timestamp"))
+_ASSET_PATHS = {"x_a1": "$.asset_id", "x_a2": "$.assetId", "x_a3": "$.asset", "x_a4": "$.token_id", "x_ts": "$.timestamp"}
+
+
+def _event_us() -> F.Column:
+    ts = J.p_float(J.pair("x_ts"))
     ts = F.when(ts != 0, ts)
     return F.coalesce((F.round(ts * F.lit(1_000_000.0))).try_cast("bigint"), F.col("recv_us"))
 
 
-def _asset(obj) -> F.Column:
-    return J.to_text(J.first_truthy(obj, *_ASSET_ALIASES))
+def _asset() -> F.Column:
+    return J.p_text(J.p_first(*[J.pair(f"x_a{i}") for i in range(1, 5)]))
 
 
 def _enrich(df: DataFrame, bindings: DataFrame, kind: str) -> DataFrame:
@@ -52,41 +59,39 @@ def _enrich(df: DataFrame, bindings: DataFrame, kind: str) -> DataFrame:
 
 
 def parse_price_changes(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = msgs.filter(F.col("event_type") == "price_change")
-    m = m.select("seq", "recv_us", "i", F.posexplode(J.as_array(J.field(F.col("item"), "$.price_changes"))).alias("j", "ch"))
-    m = m.filter(J.is_object(F.col("ch")))
-    ch = F.col("ch")
+    m = J.extract(msgs.filter(F.col("event_type") == "price_change"), "item", {"x_pc": "$.price_changes"})
+    m = m.select("seq", "recv_us", "i", F.posexplode(J.p_array(J.pair("x_pc"))).alias("j", "ch"))
+    m = J.extract(m, "ch", {**_ASSET_PATHS, "x_bb": "$.best_bid", "x_b": "$.bid", "x_ba": "$.best_ask", "x_a": "$.ask",
+                            "x_px": "$.price"})
     m = m.select("seq", "recv_us", (F.col("i") * F.lit(POS_STRIDE) + F.col("j")).alias("pos"),
-                 _asset(ch).alias("asset_id"), _event_us(ch).alias("event_us"),
-                 J.to_float(J.first_truthy(ch, "$.best_bid", "$.bid")).alias("bid"),
-                 J.to_float(J.first_truthy(ch, "$.best_ask", "$.ask")).alias("ask"),
-                 J.to_float(J.field(ch, "$.price")).alias("price"))
+                 _asset().alias("asset_id"), _event_us().alias("event_us"),
+                 J.p_float(J.p_first(J.pair("x_bb"), J.pair("x_b"))).alias("bid"),
+                 J.p_float(J.p_first(J.pair("x_ba"), J.pair("x_a"))).alias("ask"),
+                 J.p_float(J.pair("x_px")).alias("price"))
     return _enrich(m, bindings, "book_update")
 
 
-def _single(msgs: DataFrame, etype: str) -> DataFrame:
-    m = msgs.filter(F.col("event_type") == etype)
-    it = F.col("item")
-    return m.select("seq", "recv_us", (F.col("i") * F.lit(POS_STRIDE)).alias("pos"), "item",
-                    _asset(it).alias("asset_id"), _event_us(it).alias("event_us"))
+def _single(msgs: DataFrame, etype: str, paths: dict[str, str]) -> DataFrame:
+    m = J.extract(msgs.filter(F.col("event_type") == etype), "item", {**_ASSET_PATHS, **paths})
+    return m.withColumn("pos", F.col("i") * F.lit(POS_STRIDE)).withColumn("asset_id", _asset()) \
+            .withColumn("event_us", _event_us())
 
 
 def parse_best_bid_ask(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = _single(msgs, "best_bid_ask")
-    it = F.col("item")
+    m = _single(msgs, "best_bid_ask", {"x_bb": "$.best_bid", "x_b": "$.bid", "x_ba": "$.best_ask", "x_a": "$.ask"})
     m = m.select("seq", "recv_us", "pos", "asset_id", "event_us",
-                 J.to_float(J.first_truthy(it, "$.best_bid", "$.bid")).alias("bid"),
-                 J.to_float(J.first_truthy(it, "$.best_ask", "$.ask")).alias("ask"))
+                 J.p_float(J.p_first(J.pair("x_bb"), J.pair("x_b"))).alias("bid"),
+                 J.p_float(J.p_first(J.pair("x_ba"), J.pair("x_a"))).alias("ask"))
     return _enrich(m, bindings, "quote")
 
 
 def parse_last_trades(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = _single(msgs, "last_trade_price")
-    it = F.col("item")
+    m = _single(msgs, "last_trade_price", {"x_px": "$.price", "x_ltp": "$.last_trade_price", "x_sz": "$.size",
+                                           "x_side": "$.side"})
     m = m.select("seq", "recv_us", "pos", "asset_id", "event_us",
-                 J.to_float(J.first_truthy(it, "$.price", "$.last_trade_price")).alias("price"),
-                 J.to_float(J.field(it, "$.size")).alias("size"),
-                 J.text_norm(J.field(it, "$.side"), upper=True).alias("trade_side"))
+                 J.p_float(J.p_first(J.pair("x_px"), J.pair("x_ltp"))).alias("price"),
+                 J.p_float(J.pair("x_sz")).alias("size"),
+                 J.p_norm(J.pair("x_side"), upper=True).alias("trade_side"))
     return _enrich(m, bindings, "trade")
 
 
@@ -102,11 +107,10 @@ def book_top(levels: F.Column, want_max: bool) -> F.Column:
 
 
 def parse_books(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = _single(msgs, "book")
-    it = F.col("item")
+    m = _single(msgs, "book", {"x_bids": "$.bids", "x_asks": "$.asks"})
     m = m.select("seq", "recv_us", "pos", "asset_id", "event_us",
-                 book_top(J.field(it, "$.bids"), True).alias("bid"),
-                 book_top(J.field(it, "$.asks"), False).alias("ask"))
+                 book_top(F.col("x_bids"), True).alias("bid"),
+                 book_top(F.col("x_asks"), False).alias("ask"))
     return _enrich(m, bindings, "book_update")
 
 

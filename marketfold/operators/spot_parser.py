@@ -28,81 +28,74 @@ def product_market_map(products: dict[str, str] | None = None) -> F.Column:
     return F.create_map(*items)
 
 
+def is_object_fast(v) -> F.Column:
+    """Object check that does not walk nested values (shallow map cast)."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
 def frame_envelope(frames: DataFrame) -> DataFrame:
-    """Parse once; expose channel, fallback time and the events list."""
-    v = F.try_parse_json(F.col("value"))
-    df = frames.select("seq", "recv_us", v.alias("v"))
-    df = df.filter(J.is_object(F.col("v")))
-    msg_ts = parse_iso8601(J.to_text(J.field(F.col("v"), "$.timestamp")))
+    """Parse once; expose channel, fallback time and the events list.
+    Non-object payloads yield no channel and so no events.
+
+    The projection carries a non-deterministic marker column: it keeps the
+    optimizer from pushing channel filters below it, which would re-evaluate
+    the JSON parse inside the filter (and inline the whole frame-producing
+    expression into it)."""
+    df = frames.select("seq", "recv_us", F.try_parse_json(F.col("value")).alias("v"))
+    df = J.extract(df, "v", {"m_channel": "$.channel", "m_ts": "$.timestamp", "m_events": "$.events"})
+    msg_ts = parse_iso8601(J.p_text(J.pair("m_ts")))
     return df.select(
         "seq", "recv_us",
-        J.text_norm(J.field(F.col("v"), "$.channel")).alias("channel"),
+        J.p_norm(J.pair("m_channel")).alias("channel"),
         F.coalesce(F.unix_micros(msg_ts), F.col("recv_us")).alias("fallback_us"),
-        J.as_array(J.field(F.col("v"), "$.events")).alias("events"))
-
-
-def _events(env: DataFrame, channel: str) -> DataFrame:
-    return (env.filter(F.col("channel") == channel)
-               .select("seq", "recv_us", "fallback_us", F.posexplode("events").alias("i", "ev"))
-               .filter(J.is_object(F.col("ev"))))
-
+        J.p_array(J.pair("m_events")).alias("events"),
+        F.spark_partition_id().alias("_barrier"))
 
-def _finish(df: DataFrame, kind: str) -> DataFrame:
-    """Common canonical projection; unknown products dropped."""
-    return (df.withColumn("market_key", F.element_at(product_market_map(), F.col("product_id")))
-              .filter(F.col("market_key").isNotNull())
-              .withColumn("kind", F.lit(kind)).withColumn("venue", F.lit(C.SPOT_VENUE))
-              .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
 
-
-def _product(obj) -> F.Column:
-    return J.text_norm(J.first_truthy(obj, "$.product_id", "$.productId"), upper=True)
-
-
-def parse_heartbeats(env: DataFrame) -> DataFrame:
-    ev = _events(env, "heartbeats")
-    pid = _product(F.col("ev"))
-    hb = parse_heartbeat_time(J.to_text(J.field(F.col("ev"), "$.current_time")))
-    all_products = F.array(*[F.lit(p) for p in C.SPOT_PRODUCTS])
-    df = ev.select("seq", "recv_us", "i", F.coalesce(F.unix_micros(hb), F.col("fallback_us")).alias("event_us"),
-                   F.posexplode(F.when(pid != "", F.array(pid)).otherwise(all_products)).alias("j", "product_id"))
-    df = df.withColumn("pos", F.col("i") * F.lit(POS_STRIDE) + F.col("j"))
-    return _finish(df, "heartbeat")
-
-
-def parse_tickers(env: DataFrame) -> DataFrame:
-    ev = _events(env, "ticker")
-    tickers = J.field(F.col("ev"), "$.tickers")
-    lst = F.when(J.is_array(tickers), J.as_array(tickers)).otherwise(F.array(F.col("ev")))
-    df = ev.select("seq", "recv_us", "fallback_us", "i", F.posexplode(lst).alias("j", "tk")).filter(J.is_object(F.col("tk")))
-    tk = F.col("tk")
-    df = df.select("seq", "recv_us", (F.col("i") * F.lit(POS_STRIDE) + F.col("j")).alias("pos"),
-                   F.col("fallback_us").alias("event_us"), _product(tk).alias("product_id"),
-                   J.to_float(J.first_truthy(tk, "$.best_bid", "$.bestBid")).alias("bid"),
-                   J.to_float(J.first_truthy(tk, "$.best_ask", "$.bestAsk")).alias("ask"),
-                   J.to_float(J.field(tk, "$.price")).alias("last_trade_px"))
-    return _finish(df, "quote")
-
-
-def parse_trades(env: DataFrame) -> DataFrame:
-    ev = _events(env, "market_trades")
-    trades = J.as_array(J.field(F.col("ev"), "$.trades"))
-    df = ev.select("seq", "recv_us", "fallback_us", "i", F.posexplode(trades).alias("j", "tr")).filter(J.is_object(F.col("tr")))
-    tr = F.col("tr")
-    t = parse_iso8601(J.to_text(J.field(tr, "$.time")))
-    df = df.select("seq", "recv_us", (F.col("i") * F.lit(POS_STRIDE) + F.col("j")).alias("pos"),
-                   F.coalesce(F.unix_micros(t), F.col("fallback_us")).alias("event_us"),
-                   _product(tr).alias("product_id"),
-                   J.to_float(J.field(tr, "$.price")).alias("price"),
-                   J.to_float(J.field(tr, "$.size")).alias("size"),
-                   J.text_norm(J.field(tr, "$.side"), upper=True).alias("side"))
-    df = df.filter(F.col("price").isNotNull())
-    return _finish(df, "trade")
+_PID = {"x_pid": "$.product_id", "x_pidc": "$.productId"}
+_EL_PATHS = {**_PID, "x_bid": "$.best_bid", "x_bidc": "$.bestBid", "x_ask": "$.best_ask", "x_askc": "$.bestAsk",
+             "x_px": "$.price", "x_sz": "$.size", "x_side": "$.side", "x_time": "$.time", "x_hb": "$.current_time"}
 
 
 def parse_spot_frames(frames: DataFrame) -> DataFrame:
-    """All non-book spot events, canonical columns (book events: ``book``)."""
+    """Heartbeat, quote and trade events in ONE pass over the frames (book
+    events: ``operators.book``).  Per channel the inner list is: heartbeats
+    -> the event itself (objects only, fanned out to every product when it
+    names none); ticker -> ``tickers`` or the event itself; market_trades ->
+    ``trades``.  Unknown products are dropped; trades need a price."""
     from marketfold.operators.canonical import conform
-    env = frame_envelope(frames)
-    return (conform(parse_heartbeats(env)).unionByName(conform(parse_tickers(env)))
-            .unionByName(conform(parse_trades(env))))
+    env = frame_envelope(frames).filter(F.col("channel").isin("heartbeats", "ticker", "market_trades"))
+    ev = env.select("seq", "recv_us", "fallback_us", "channel", F.posexplode("events").alias("i", "ev"))
+    ev = J.extract(ev, "ev", {"x_tickers": "$.tickers", "x_trades": "$.trades"})
+    ch = F.col("channel")
+    inner = (F.when(ch == "heartbeats", F.when(is_object_fast(F.col("ev")), F.array(F.col("ev"))))
+              .when(ch == "ticker", F.when(J.p_is_array(J.pair("x_tickers")), J.p_array(J.pair("x_tickers")))
+                    .otherwise(F.array(F.col("ev"))))
+              .otherwise(J.p_array(J.pair("x_trades"))))
+    el = ev.select("seq", "recv_us", "fallback_us", "channel", "i", F.posexplode(inner).alias("j", "el"))
+    el = J.extract(el, "el", _EL_PATHS)
+    pid = J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True)
+    hb = F.unix_micros(parse_heartbeat_time(J.p_text(J.pair("x_hb"))))
+    tt = F.unix_micros(parse_iso8601(J.p_text(J.pair("x_time"))))
+    is_hb, is_tk, is_tr = ch == "heartbeats", ch == "ticker", ch == "market_trades"
+    df = el.select(
+        "seq", "recv_us", "channel", "i", "j", pid.alias("pid"),
+        F.when(is_hb, F.coalesce(hb, F.col("fallback_us"))).when(is_tr, F.coalesce(tt, F.col("fallback_us")))
+         .otherwise(F.col("fallback_us")).alias("event_us"),
+        F.when(is_tk, J.p_float(J.p_first(J.pair("x_bid"), J.pair("x_bidc")))).alias("bid"),
+        F.when(is_tk, J.p_float(J.p_first(J.pair("x_ask"), J.pair("x_askc")))).alias("ask"),
+        F.when(is_tk, J.p_float(J.pair("x_px"))).alias("last_trade_px"),
+        F.when(is_tr, J.p_float(J.pair("x_px"))).alias("price"),
+        F.when(is_tr, J.p_float(J.pair("x_sz"))).alias("size"),
+        F.when(is_tr, J.p_norm(J.pair("x_side"), upper=True)).alias("side"))
+    df = df.filter(~is_tr | F.col("price").isNotNull())
+    all_products = F.array(*[F.lit(p) for p in C.SPOT_PRODUCTS])
+    fan = F.when(is_hb & (F.col("pid") == ""), all_products).otherwise(F.array(F.col("pid")))
+    df = df.select("*", F.posexplode(fan).alias("k", "product_id"))
+    df = df.withColumn("pos", F.col("i") * F.lit(POS_STRIDE) + F.col("j") + F.col("k"))
+    df = df.withColumn("kind", F.when(is_hb, F.lit("heartbeat")).when(is_tk, F.lit("quote")).otherwise(F.lit("trade")))
+    df = (df.withColumn("market_key", F.element_at(product_market_map(), F.col("product_id")))
+            .filter(F.col("market_key").isNotNull())
+            .withColumn("venue", F.lit(C.SPOT_VENUE))
+            .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
+    return conform(df)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,14 +46,19 @@ def ensure_session_defaults(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from that table.
 
-    Used where an intermediate result has two consumers (so it is computed
-    once) and where a long lineage should not be replayed after an
-    executor loss.  Never a machine-local checkpoint."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Used where an intermediate result has several consumers (so it is
+    computed once), where planning through a long expression lineage is
+    expensive, and where a long lineage should not be replayed after an
+    executor loss.  One write job; the read side gets file statistics for
+    the planner.  Never a machine-local checkpoint."""
+    base = checkpoint_dir(df.sparkSession)
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketfold.functions.exprs import epoch_whole_seconds
 from marketfold.operators.canonical import events_to_canonical
+from marketfold.session import cut_lineage
 
 FRAME_COLUMNS = ("seq", "recv_us", "venue", "value")
 
@@ -28,6 +29,13 @@ def frames_from_text(lines: DataFrame, venue: str) -> DataFrame:
                      F.lit(venue).alias("venue"), "value")
 
 
+def land(frames: DataFrame) -> DataFrame:
+    """Materialise derived frames into the checkpoint folder: the parsers
+    then read a landed table of JSON text, as they would from a landing
+    zone, instead of planning through the frame-building expressions."""
+    return cut_lineage(frames)
+
+
 def _iso_z(us: F.Column) -> F.Column:
     ts = F.timestamp_micros(us)
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."),
@@ -100,8 +108,8 @@ def spot_frames(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     value = (F.when(et == "purchase", trades_msg).when(et == "view", ticker_msg)
               .when(et == "signup", hb_msg).when(et == "click", l2_msg).otherwise(junk))
-    return c.select("seq", (F.col("recv_s") * F.lit(1_000_000)).alias("recv_us"), F.lit("coinbase").alias("venue"),
-                    value.alias("value"))
+    return land(c.select("seq", (F.col("recv_s") * F.lit(1_000_000)).alias("recv_us"), F.lit("coinbase").alias("venue"),
+                         value.alias("value")))
 
 
 def prediction_frames(events: DataFrame) -> DataFrame:
@@ -150,5 +158,5 @@ def prediction_frames(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     value = (F.when(et == "click", price_change).when(et == "view", bba).when(et == "purchase", ltp)
               .when(et == "signup", book).otherwise(junk))
-    return c.select("seq", (F.col("recv_s") * F.lit(1_000_000)).alias("recv_us"), F.lit("polymarket").alias("venue"),
-                    value.alias("value"))
+    return land(c.select("seq", (F.col("recv_s") * F.lit(1_000_000)).alias("recv_us"), F.lit("polymarket").alias("venue"),
+                         value.alias("value")))
