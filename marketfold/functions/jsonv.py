@@ -154,3 +154,16 @@ def p_is_array(p) -> Column:
 
 def p_array(p) -> Column:
     return F.when(p_is_array(p), F.try_variant_get(p[0], "$", "array<variant>"))
+
+
+# --- plan fences ---------------------------------------------------------------
+# Catalyst pushes filters (including join-inferred IS NOT NULL filters)
+# below projections by substituting the projected expressions; for JSON
+# extraction chains that would re-evaluate the parse inside the filter and
+# blow up plan and generated-code size.  A filter that also references a
+# non-deterministic marker column computed right below it cannot be pushed
+# through that projection, so the expensive columns are computed once.
+
+def fenced_filter(df, cond: Column):
+    return (df.withColumn("_fence", F.spark_partition_id())
+              .filter(cond & (F.col("_fence") >= 0)).drop("_fence"))

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from marketfold.functions import constants as C
 from marketfold.functions import jsonv as J
 from marketfold.operators.spot_parser import frame_envelope, product_market_map
-from marketfold.session import cut_lineage
+from marketfold.session import NO_WHOLE_STAGE, cut_lineage
 
 DAY_US = 86_400_000_000
 
@@ -56,12 +56,13 @@ def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
     is extracted once per element.  The ops table feeds several consumers
     (epoch counts, next-op lookups, resets), so it is materialised once into
     the checkpoint folder instead of re-parsing the frames per consumer."""
-    env = frame_envelope(frames).filter(F.col("channel") == "level2")
+    env = J.fenced_filter(frame_envelope(frames), F.col("channel") == "level2")
     ev = env.select("seq", "recv_us", F.col("fallback_us").alias("event_us"), F.posexplode("events").alias("i", "ev"))
     ev = J.extract(ev, "ev", {"x_pid": "$.product_id", "x_pidc": "$.productId", "x_bids": "$.bids",
                               "x_asks": "$.asks", "x_upd": "$.updates"})
     ev = ev.withColumn("product", J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True))
-    ev = ev.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))).filter(F.col("market_key").isNotNull())
+    ev = J.fenced_filter(ev.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))),
+                         F.col("market_key").isNotNull())
 
     def tagged(name: str, side, phase: int, with_reset: bool):
         arr = J.p_array(J.pair(name))
@@ -98,10 +99,10 @@ def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
     keep = (F.col("is_reset")
             | (snap & F.col("price").isNotNull() & F.col("size").isNotNull() & (F.col("size") > 0))
             | (~snap & F.col("price").isNotNull()))
-    x = x.filter(keep).withColumn("size", F.when(F.col("size") > 0, F.col("size")).otherwise(F.lit(0.0)))
+    x = J.fenced_filter(x, keep).withColumn("size", F.when(F.col("size") > 0, F.col("size")).otherwise(F.lit(0.0)))
     x = x.withColumn("price", F.when(~F.col("is_reset"), F.col("price")))
     ops = _finish_ops(x)
-    return cut_lineage(ops, "book_ops") if materialize else ops
+    return cut_lineage(ops, "book_ops", NO_WHOLE_STAGE) if materialize else ops
 
 
 def running_count(df: DataFrame, keys: list[str], flag: str, out: str) -> DataFrame:
@@ -216,18 +217,19 @@ def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame
     from marketfold.operators.batches import number_rows
     from marketfold.operators.canonical import conform
 
-    ops = book_ops(frames, materialize=False)
-    env = frame_envelope(frames).filter(F.col("channel") == "level2")
+    ops = book_ops(frames)
+    env = J.fenced_filter(frame_envelope(frames), F.col("channel") == "level2")
     evs = env.select("seq", "recv_us", "fallback_us", F.posexplode("events").alias("i", "ev"))
     evs = J.extract(evs, "ev", {"x_pid": "$.product_id", "x_pidc": "$.productId"})
     evs = evs.withColumn("product", J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True))
-    evs = evs.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))).filter(F.col("market_key").isNotNull())
+    evs = J.fenced_filter(evs.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))),
+                          F.col("market_key").isNotNull())
     evs = evs.select("product", "market_key", "seq", "i", "recv_us", "fallback_us",
                      (F.col("recv_us") / F.lit(1_000_000)).alias("_t"))
     evs = number_rows(evs, ["product"], "_t", tiebreak=("seq", "i"))
     evs = cut_lineage(evs.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(int(chunk_events))).cast("bigint")))
     chunk_of = evs.select("product", "seq", "i", "chunk")
-    ops = cut_lineage(ops.join(chunk_of, ["product", "seq", "i"], "inner"))
+    ops = ops.join(chunk_of, ["product", "seq", "i"], "inner")
     lt = level_lifetimes(ops, carry=("recv_us", "chunk")).filter(F.col("size") > 0)
     # seed rows: a level alive across the start of chunk c (c after its own
     # chunk, up to the chunk of the op ending it)

@@ -31,8 +31,8 @@ def messages(frames: DataFrame) -> DataFrame:
     df = df.select("seq", "recv_us", F.posexplode(lst).alias("i", "item"))
     df = J.extract(df, "item", {"x_et": "$.event_type", "x_type": "$.type"})
     etype = J.p_norm(J.p_first(J.pair("x_et"), J.pair("x_type")))
-    return (df.select("seq", "recv_us", "i", "item", etype.alias("event_type"))
-              .filter(~F.col("event_type").isin(*C.IGNORED_PREDICTION_TYPES)))
+    return J.fenced_filter(df.select("seq", "recv_us", "i", "item", etype.alias("event_type")),
+                           ~F.col("event_type").isin(*C.IGNORED_PREDICTION_TYPES))
 
 
 _ASSET_PATHS = {"x_a1": "$.asset_id", "x_a2": "$.assetId", "x_a3": "$.asset", "x_a4": "$.token_id", "x_ts": "$.timestamp"}
@@ -53,7 +53,7 @@ def _enrich(df: DataFrame, bindings: DataFrame, kind: str) -> DataFrame:
     a dimension (2 rows per market per 5-minute bucket); the planner
     broadcasts it only when its measured size is under the threshold."""
     b = bindings.select(*BINDING_COLUMNS)
-    out = df.join(b, "asset_id", "inner")
+    out = J.fenced_filter(df, F.col("asset_id").isNotNull() & (F.col("asset_id") != "")).join(b, "asset_id", "inner")
     return (out.withColumn("kind", F.lit(kind)).withColumn("venue", F.lit(C.PREDICTION_VENUE))
                .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
 

@@ -35,12 +35,9 @@ def is_object_fast(v) -> F.Column:
 
 def frame_envelope(frames: DataFrame) -> DataFrame:
     """Parse once; expose channel, fallback time and the events list.
-    Non-object payloads yield no channel and so no events.
-
-    The projection carries a non-deterministic marker column: it keeps the
-    optimizer from pushing channel filters below it, which would re-evaluate
-    the JSON parse inside the filter (and inline the whole frame-producing
-    expression into it)."""
+    Non-object payloads yield no channel and so no events.  Consumers
+    filter channels with ``fenced_filter`` so the parse is not re-evaluated
+    inside a pushed-down filter."""
     df = frames.select("seq", "recv_us", F.try_parse_json(F.col("value")).alias("v"))
     df = J.extract(df, "v", {"m_channel": "$.channel", "m_ts": "$.timestamp", "m_events": "$.events"})
     msg_ts = parse_iso8601(J.p_text(J.pair("m_ts")))
@@ -48,8 +45,7 @@ def frame_envelope(frames: DataFrame) -> DataFrame:
         "seq", "recv_us",
         J.p_norm(J.pair("m_channel")).alias("channel"),
         F.coalesce(F.unix_micros(msg_ts), F.col("recv_us")).alias("fallback_us"),
-        J.p_array(J.pair("m_events")).alias("events"),
-        F.spark_partition_id().alias("_barrier"))
+        J.p_array(J.pair("m_events")).alias("events"))
 
 
 _PID = {"x_pid": "$.product_id", "x_pidc": "$.productId"}
@@ -64,7 +60,7 @@ def parse_spot_frames(frames: DataFrame) -> DataFrame:
     names none); ticker -> ``tickers`` or the event itself; market_trades ->
     ``trades``.  Unknown products are dropped; trades need a price."""
     from marketfold.operators.canonical import conform
-    env = frame_envelope(frames).filter(F.col("channel").isin("heartbeats", "ticker", "market_trades"))
+    env = J.fenced_filter(frame_envelope(frames), F.col("channel").isin("heartbeats", "ticker", "market_trades"))
     ev = env.select("seq", "recv_us", "fallback_us", "channel", F.posexplode("events").alias("i", "ev"))
     ev = J.extract(ev, "ev", {"x_tickers": "$.tickers", "x_trades": "$.trades"})
     ch = F.col("channel")
@@ -88,14 +84,14 @@ def parse_spot_frames(frames: DataFrame) -> DataFrame:
         F.when(is_tr, J.p_float(J.pair("x_px"))).alias("price"),
         F.when(is_tr, J.p_float(J.pair("x_sz"))).alias("size"),
         F.when(is_tr, J.p_norm(J.pair("x_side"), upper=True)).alias("side"))
-    df = df.filter(~is_tr | F.col("price").isNotNull())
+    df = J.fenced_filter(df, ~is_tr | F.col("price").isNotNull())
     all_products = F.array(*[F.lit(p) for p in C.SPOT_PRODUCTS])
     fan = F.when(is_hb & (F.col("pid") == ""), all_products).otherwise(F.array(F.col("pid")))
     df = df.select("*", F.posexplode(fan).alias("k", "product_id"))
     df = df.withColumn("pos", F.col("i") * F.lit(POS_STRIDE) + F.col("j") + F.col("k"))
     df = df.withColumn("kind", F.when(is_hb, F.lit("heartbeat")).when(is_tk, F.lit("quote")).otherwise(F.lit("trade")))
-    df = (df.withColumn("market_key", F.element_at(product_market_map(), F.col("product_id")))
-            .filter(F.col("market_key").isNotNull())
-            .withColumn("venue", F.lit(C.SPOT_VENUE))
+    df = J.fenced_filter(df.withColumn("market_key", F.element_at(product_market_map(), F.col("product_id"))),
+                         F.col("market_key").isNotNull())
+    df = (df.withColumn("venue", F.lit(C.SPOT_VENUE))
             .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
     return conform(df)

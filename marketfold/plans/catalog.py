@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from marketfold.functions import constants as C
 from marketfold.operators import batches
 from marketfold.operators import book
+from marketfold.operators import inventory
 from marketfold.operators import ledger
 from marketfold.operators import observability as obs
 from marketfold.operators import canonical as canon
@@ -262,6 +263,18 @@ def q_book_best_per_message(spark, sf_dir):
                                                                    "product_id", "bid", "ask")
 
 
+def _listing(spark, sf_dir):
+    return derived.file_listing(read_table(spark, sf_dir, "orders"))
+
+
+def q_file_inventory(spark, sf_dir):
+    return inventory.pending_files(_listing(spark, sf_dir))
+
+
+def q_size_projection(spark, sf_dir):
+    return inventory.size_projection(inventory.market_day_sizes(_listing(spark, sf_dir), canon.markets_frame(spark)))
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -299,4 +312,6 @@ def registry() -> dict[str, QueryFn]:
         "book_levels_lifetime": q_book_levels_lifetime,
         "book_as_of": q_book_as_of,
         "book_best_per_message": q_book_best_per_message,
+        "file_inventory": q_file_inventory,
+        "size_projection": q_size_projection,
     }

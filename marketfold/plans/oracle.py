@@ -42,4 +42,6 @@ def oracles() -> dict[str, str]:
         "alert_rate": P.ops_sql("alert_rate"),
         "book_levels_lifetime": P.book_sql("lifetime"),
         "book_as_of": P.book_sql("as_of"),
+        "file_inventory": P.inventory_sql("pending"),
+        "size_projection": P.inventory_sql("projection"),
     }

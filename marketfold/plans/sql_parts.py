@@ -574,3 +574,52 @@ SELECT product, side, CAST(day AS BIGINT) AS day,
        CASE WHEN side = 'bid' THEN max(price) ELSE min(price) END AS best_price, CAST(count(*) AS BIGINT) AS levels
 FROM x GROUP BY product, side, day"""
     raise ValueError(which)
+
+
+LISTING_SQL = """l0 AS (
+  SELECT o_orderkey AS k, o_orderdate AS d, o_totalprice AS p, strftime(o_orderdate, '%Y-%m-%d') AS ds,
+         CASE o_custkey % 4 WHEN 0 THEN 'cb-btcusd' WHEN 1 THEN 'cb-ethusd' WHEN 2 THEN 'pm-btc' ELSE 'pm-eth' END AS mk
+  FROM orders
+),
+l1 AS (
+  SELECT 'landing/' || CASE WHEN k % 5 = 0 THEN 'misc' ELSE ds END || '/' ||
+         CASE k % 7 WHEN 0 THEN mk || '.ndjson.zst' WHEN 1 THEN 'notes-' || CAST(k AS VARCHAR) || '.txt'
+                    WHEN 2 THEN 'BAD NAME ' || CAST(k AS VARCHAR) || '.ndjson.zst'
+                    ELSE mk || '__start_' || strftime(d, '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') || '.ndjson.zst' END AS path,
+         d + to_seconds(k % 86400) AS mtime, CAST(round(p * 10.0) AS BIGINT) AS length
+  FROM l0
+),
+listing AS (
+  SELECT path, max(mtime) AS mtime, max(length) AS length,
+         regexp_extract(path, '([^/]+)$', 1) AS filename, regexp_extract(path, '([^/]+)/[^/]+$', 1) AS parent
+  FROM l1 GROUP BY path
+)"""
+
+
+def inventory_sql(which: str) -> str:
+    rot = "^([a-z0-9-]+)__start_(\\d{8}T\\d{6}Z)__part_(\\d{4})\\.ndjson\\.zst$"
+    if which == "pending":
+        return f"""WITH {LISTING_SQL},
+m AS (
+  SELECT *, CASE WHEN regexp_matches(filename, '{rot}') THEN regexp_extract(filename, '{rot}', 1)
+                 WHEN suffix(filename, '.ndjson.zst') THEN regexp_extract(filename, '^(.*)\\.ndjson\\.zst$', 1) ELSE '' END AS market_key
+  FROM listing WHERE suffix(filename, '.ndjson.zst')
+)
+SELECT path, CASE WHEN regexp_matches(parent, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN parent ELSE strftime(mtime, '%Y-%m-%d') END AS date_str,
+       market_key, filename, CAST(coalesce(length, 0) AS BIGINT) AS size_bytes
+FROM m WHERE market_key <> ''"""
+    if which == "projection":
+        return f"""WITH {MARKETS_SQL},
+{LISTING_SQL},
+c AS (
+  SELECT DISTINCT path, parent AS date_str, length, mtime, x AS market_key
+  FROM listing, unnest([regexp_extract(filename, '^(.*?)__start_.*__part_.*\\.ndjson\\.zst$', 1),
+                        regexp_extract(filename, '^(.*)\\.ndjson\\.zst$', 1)]) t(x)
+  WHERE regexp_matches(parent, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND x IN (SELECT market_key FROM markets)
+),
+s AS (SELECT date_str, market_key, CAST(sum(coalesce(length, 0)) AS BIGINT) AS size_bytes, max(mtime) AS as_of FROM c GROUP BY 1, 2),
+e AS (SELECT *, greatest(1.0, CAST(epoch(as_of) - epoch(CAST(date_str AS TIMESTAMP)) AS DOUBLE)) AS elapsed_s FROM s)
+SELECT date_str, market_key, size_bytes, elapsed_s, size_bytes / elapsed_s * 86400.0 AS projected_bytes,
+       5242880.0 AS target_bytes, size_bytes / elapsed_s * 86400.0 > 5242880.0 AS warning
+FROM e"""
+    raise ValueError(which)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import contextlib
 import tempfile
 import uuid
 
@@ -46,7 +47,30 @@ def ensure_session_defaults(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+@contextlib.contextmanager
+def conf_scope(spark: SparkSession, settings: dict[str, str]):
+    """Temporarily override session settings around an eager action."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# Parsing stages with many JSON paths generate very large fused methods;
+# without whole-stage fusion every expression is compiled on its own (and
+# split into methods as needed) instead of failing compilation and falling
+# back to interpretation.
+NO_WHOLE_STAGE = {"spark.sql.codegen.wholeStage": "false"}
+
+
+def cut_lineage(df: DataFrame, name: str = "stage", settings: dict[str, str] | None = None) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and continue from that table.
 
@@ -57,7 +81,8 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     the planner.  Never a machine-local checkpoint."""
     base = checkpoint_dir(df.sparkSession)
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    with conf_scope(df.sparkSession, settings or {}):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

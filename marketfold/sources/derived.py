@@ -66,3 +66,25 @@ def queue_depth(events: DataFrame) -> DataFrame:
 def failures(events: DataFrame) -> DataFrame:
     """Export failures: the ``error`` events."""
     return events.filter(F.col("event_type") == "error").select(F.col("ts").cast("timestamp").alias("ts"))
+
+
+def file_listing(orders: DataFrame, root: str = "landing") -> DataFrame:
+    """A listing-shaped table ``(path, modificationTime, length)`` derived
+    from ``orders``: rotated part files, legacy per-market files, foreign
+    files and unparsable names, in date directories or a ``misc`` folder
+    (mtime fallback).  Same columns as ``binaryFile`` metadata."""
+    k = F.col("o_orderkey")
+    mk = _pick(("cb-btcusd", "cb-ethusd", "pm-btc", "pm-eth"), F.pmod(F.col("o_custkey"), F.lit(4)))
+    d = F.col("o_orderdate").cast("timestamp")
+    ds = F.date_format(d, "yyyy-MM-dd")
+    dir_ = F.when(F.pmod(k, F.lit(5)) == 0, F.lit("misc")).otherwise(ds)
+    r = F.pmod(k, F.lit(7))
+    name = (F.when(r == 0, F.concat(mk, F.lit(".ndjson.zst")))
+             .when(r == 1, F.concat(F.lit("notes-"), k.cast("string"), F.lit(".txt")))
+             .when(r == 2, F.concat(F.lit("BAD NAME "), k.cast("string"), F.lit(".ndjson.zst")))
+             .otherwise(F.concat(mk, F.lit("__start_"), F.date_format(d, "yyyyMMdd'T'HHmmss'Z'"), F.lit("__part_"),
+                                 F.lpad(F.pmod(k, F.lit(10000)).cast("string"), 4, "0"), F.lit(".ndjson.zst"))))
+    df = orders.select(F.concat_ws("/", F.lit(root), dir_, name).alias("path"),
+                       F.timestamp_seconds(F.unix_seconds(d) + F.pmod(k, F.lit(86400))).alias("modificationTime"),
+                       F.round(F.col("o_totalprice") * F.lit(10.0)).cast("bigint").alias("length"))
+    return df.groupBy("path").agg(F.max("modificationTime").alias("modificationTime"), F.max("length").alias("length"))
