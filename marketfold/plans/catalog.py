@@ -275,6 +275,21 @@ def q_size_projection(spark, sf_dir):
     return inventory.size_projection(inventory.market_day_sizes(_listing(spark, sf_dir), canon.markets_frame(spark)))
 
 
+def q_export_manifest_audit(spark, sf_dir):
+    """Bronze -> Silver -> staged export on files in the shared checkpoint
+    folder, then the manifest integrity audit (rows-only check)."""
+    import uuid
+
+    from marketfold.session import checkpoint_dir
+    from marketfold.sources import medallion
+    base = f"{checkpoint_dir(spark)}/medallion-{uuid.uuid4().hex}"
+    rows = _batched(spark, sf_dir)
+    medallion.persist_bronze(rows, f"{base}/raw", f"{base}/ledger")
+    medallion.transform_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/ledger")
+    medallion.stage_exports(spark, f"{base}/silver", f"{base}/export")
+    return medallion.audit_exports(spark, f"{base}/export")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -313,5 +328,6 @@ def registry() -> dict[str, QueryFn]:
         "book_as_of": q_book_as_of,
         "book_best_per_message": q_book_best_per_message,
         "file_inventory": q_file_inventory,
+        "export_manifest_audit": q_export_manifest_audit,
         "size_projection": q_size_projection,
     }
