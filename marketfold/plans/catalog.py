@@ -290,6 +290,24 @@ def q_export_manifest_audit(spark, sf_dir):
     return medallion.audit_exports(spark, f"{base}/export")
 
 
+def q_stream_snapshots(spark, sf_dir):
+    """Canonical events landed as files, replayed through the streaming
+    snapshot operator (availableNow) into a Parquet sink in the shared
+    checkpoint folder (rows-only check; equality with the batch operator
+    is asserted in tests)."""
+    import uuid
+
+    from marketfold.session import checkpoint_dir
+    from marketfold.streaming.snapshots_stream import stream_snapshots
+    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    _canonical(spark, sf_dir).write.parquet(f"{base}/src")
+    src = spark.readStream.schema(canon.CANONICAL_SCHEMA).parquet(f"{base}/src")
+    q = (stream_snapshots(src, canon.markets_frame(spark), FLAGSHIP_INTERVAL_S).writeStream.format("parquet")
+         .option("checkpointLocation", f"{base}/ck").option("path", f"{base}/out").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -329,5 +347,6 @@ def registry() -> dict[str, QueryFn]:
         "book_best_per_message": q_book_best_per_message,
         "file_inventory": q_file_inventory,
         "export_manifest_audit": q_export_manifest_audit,
+        "stream_snapshots": q_stream_snapshots,
         "size_projection": q_size_projection,
     }
