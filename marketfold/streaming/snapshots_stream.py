@@ -92,7 +92,28 @@ def _clean(v):
 
 
 def make_fold(interval_s: int):
+    """Vectorised per-market fold over one micro-batch: per-boundary
+    counters and last values come from one pandas groupby per column, the
+    carry is a forward fill seeded with the state; only completed
+    boundaries are emitted, the open one stays in the state."""
     i = int(interval_s)
+    cols = [f.name for f in OUT_SCHEMA.fields]
+
+    def rows_for(market, venue, start, stop, counts, gauges, seed):
+        """Dense rows for boundaries start, start+i, ... < stop."""
+        if stop <= start:
+            return None
+        idx = pd.RangeIndex(start, stop, i)
+        out = pd.DataFrame({"market_key": market, "m_venue": venue, "snap_ts": idx.values})
+        for c in _COUNTERS:
+            out[c] = counts[c].reindex(idx, fill_value=0).values if counts is not None else 0
+        for g in GAUGE_NAMES:
+            ser = gauges[g].reindex(idx) if gauges is not None else pd.Series([None] * len(idx), index=idx, dtype="object")
+            ser = ser.astype("object").where(ser.notna(), None)
+            if seed.get(g) is not None and (len(ser) == 0 or ser.iloc[0] is None):
+                ser.iloc[0] = seed[g]
+            out[g] = ser.ffill().values
+        return out
 
     def fold(key, pdfs, state):
         market = key[0]
@@ -101,47 +122,56 @@ def make_fold(interval_s: int):
             st = json.loads(blob)
         else:
             next_t, st = None, {"venue": None, "counts": [0, 0, 0], "g": {g: None for g in GAUGE_NAMES}}
-        out = []
-
-        def emit_until(limit):
-            nonlocal next_t
-            while next_t is not None and next_t < limit:
-                out.append([market, st["venue"], next_t, *st["counts"], *[st["g"][g] for g in GAUGE_NAMES]])
-                st["counts"] = [0, 0, 0]
-                next_t += i
-
         wm_ms = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:
-            emit_until(wm_ms // 1000 + 1)
-        else:
+        parts = []
+        if not state.hasTimedOut:
             pdf = pd.concat(list(pdfs), ignore_index=True)
             if len(pdf):
                 pdf = pdf.sort_values(["seq", "pos"], kind="mergesort").reset_index(drop=True)
                 st["venue"] = st["venue"] or str(pdf["m_venue"].iloc[0])
-                pdf["b"] = pdf["recv_s"] - pdf["recv_s"] % i + i
+                b = pdf["recv_s"] - pdf["recv_s"] % i + i
                 kind = pdf["kind"].fillna("").str.lower()
-                for b, grp in pdf.groupby("b", sort=True):
-                    b = int(b)
-                    if next_t is None:
-                        next_t = b
-                    emit_until(b)
-                    k = kind.loc[grp.index]
-                    ev = k != "meta"
-                    st["counts"][0] += int(ev.sum())
-                    st["counts"][1] += int((ev & (k == "trade")).sum())
-                    st["counts"][2] += int((ev & k.isin(list(C.BOOK_KINDS))).sum())
-                    cand = _gauge_inputs(grp, st["venue"])
-                    for g in GAUGE_NAMES:
-                        s = cand[g].dropna()
-                        if len(s):
-                            st["g"][g] = _clean(s.iloc[-1])
-            if wm_ms > 0:
-                emit_until(wm_ms // 1000 + 1)   # boundaries the watermark has passed
+                ev = kind != "meta"
+                counts = pd.DataFrame({
+                    "msg_count_1s": ev.astype("int64"), "trade_count_1s": (ev & (kind == "trade")).astype("int64"),
+                    "book_update_count_1s": (ev & kind.isin(list(C.BOOK_KINDS))).astype("int64"), "b": b}).groupby("b").sum()
+                cand = _gauge_inputs(pdf, st["venue"])
+                gauges = {g: cand[g].groupby(b).last() for g in GAUGE_NAMES}
+                start = int(b.iloc[0]) if next_t is None else int(next_t)
+                last = int(b.iloc[-1])
+                # the open interval's counters join the first boundary
+                if next_t is not None:
+                    if start not in counts.index:
+                        counts.loc[start] = 0
+                    for n, c in enumerate(_COUNTERS):
+                        counts.loc[start, c] = int(counts.loc[start, c]) + st["counts"][n]
+                    counts = counts.sort_index().astype("int64")
+                dense = rows_for(market, st["venue"], start, last + i, counts, gauges, st["g"])
+                done = dense[dense["snap_ts"] < last]
+                if len(done):
+                    parts.append(done)
+                tail = dense.iloc[-1]
+                next_t = last
+                st["counts"] = [int(tail[c]) for c in _COUNTERS]
+                st["g"] = {g: _clean(tail[g]) for g in GAUGE_NAMES}
+        if next_t is not None and wm_ms > 0 and next_t <= wm_ms // 1000:
+            # boundaries the watermark has passed: the open one, then idle ones
+            stop = (wm_ms // 1000) - ((wm_ms // 1000) - next_t) % i + i
+            first = pd.DataFrame({c: [st["counts"][n]] for n, c in enumerate(_COUNTERS)}, index=[next_t])
+            parts.append(rows_for(market, st["venue"], next_t, stop, first, None, st["g"]))
+            next_t = stop
+            st["counts"] = [0, 0, 0]
         if next_t is not None:
             state.update((next_t, json.dumps(st)))
             state.setTimeoutTimestamp(max(next_t * 1000, wm_ms + 1))
-        cols = [f.name for f in OUT_SCHEMA.fields]
-        yield pd.DataFrame(out, columns=cols) if out else pd.DataFrame({c: [] for c in cols})
+        if parts:
+            out = pd.concat(parts, ignore_index=True)[cols]
+            for c in ("snap_ts", *_COUNTERS, *_INT_GAUGES):
+                out[c] = pd.array([None if v is None or (isinstance(v, float) and math.isnan(v)) else int(v) for v in out[c]],
+                                  dtype="Int64")
+            yield out
+        else:
+            yield pd.DataFrame({c: [] for c in cols})
 
     return fold
 

@@ -40,6 +40,10 @@ def test_stream_equals_batch(spark):
     expected = expected.drop("t0", "t1").drop("dropped_events_1s")
     got = got.drop("dropped_events_1s").select(*expected.columns)
     assert got.count() == expected.count()
+    bad = got.exceptAll(expected)
+    if bad.count():
+        bad.select("market_key", "snapshot_ts", "msg_count_1s", "trade_count_1s", "book_update_count_1s", "yes_best_bid", "bucket_start_ts").show(8)
+        expected.join(bad.select("market_key", "snapshot_ts"), ["market_key", "snapshot_ts"]).select("market_key", "snapshot_ts", "msg_count_1s", "trade_count_1s", "book_update_count_1s", "yes_best_bid", "bucket_start_ts").show(8)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
     # every market keeps emitting: no gaps between its first and last boundary
     gaps = got.groupBy("market_key").agg(((F.max("snapshot_ts") - F.min("snapshot_ts")) / interval + 1 - F.count(F.lit(1))).alias("missing"))
