@@ -34,6 +34,9 @@ from marketfold.operators.spot_parser import frame_envelope, product_market_map
 from marketfold.session import NO_WHOLE_STAGE, cut_lineage
 
 DAY_US = 86_400_000_000
+# Window partitions of the book are cut per hour of arrival: a busy product
+# (even one holding a third of all updates) is spread over many tasks.
+BLOCK_US = 3_600_000_000
 
 
 _OP_COLS = ["product", "market_key", "seq", "i", "recv_us", "event_us", "side", "phase", "j", "price", "size", "is_reset"]
@@ -42,7 +45,8 @@ _OP_COLS = ["product", "market_key", "seq", "i", "recv_us", "event_us", "side",
 def _finish_ops(df: DataFrame) -> DataFrame:
     return df.select(*_OP_COLS).select(
         "*", F.struct("seq", "i", "phase", "j").alias("ord"),
-        F.floor(F.col("recv_us") / F.lit(DAY_US)).cast("bigint").alias("day"))
+        F.floor(F.col("recv_us") / F.lit(DAY_US)).cast("bigint").alias("day"),
+        F.floor(F.col("recv_us") / F.lit(BLOCK_US)).cast("bigint").alias("blk"))
 
 
 _ELEM = "struct<side:string,phase:int,j:int,el:variant,is_reset:boolean>"
@@ -107,13 +111,13 @@ def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
 
 def running_count(df: DataFrame, keys: list[str], flag: str, out: str) -> DataFrame:
     """Running count of ``flag`` rows per ``keys`` in ``ord`` order, split by
-    ``day``: in-day window + offsets from a (keys x days) summary."""
-    per_day = df.groupBy(*keys, "day").agg(F.sum(F.col(flag).cast("int")).alias("_n"))
-    w_days = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    per_day = per_day.select(*keys, "day", F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*keys, "day").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    ``blk`` (hour): in-day window + offsets from a (keys x days) summary."""
+    per_day = df.groupBy(*keys, "blk").agg(F.sum(F.col(flag).cast("int")).alias("_n"))
+    w_days = Window.partitionBy(*keys).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    per_day = per_day.select(*keys, "blk", F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*keys, "blk").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     d = df.withColumn("_in", F.sum(F.col(flag).cast("int")).over(w))
-    return d.join(per_day, [*keys, "day"], "left").withColumn(out, F.col("_off") + F.col("_in")).drop("_off", "_in")
+    return d.join(per_day, [*keys, "blk"], "left").withColumn(out, F.col("_off") + F.col("_in")).drop("_off", "_in")
 
 
 def next_in_key(df: DataFrame, keys: list[str], out: str, carry: tuple[str, ...] = ("recv_us",)) -> DataFrame:
@@ -122,12 +126,12 @@ def next_in_key(df: DataFrame, keys: list[str], out: str, carry: tuple[str, ...]
     for each day's last row, the first row of the key's next active day
     (from a keys x days summary)."""
     nx = F.struct(F.col("ord").alias("ord"), *[F.col(c).alias(c) for c in carry])
-    w = Window.partitionBy(*keys, "day").orderBy("ord")
+    w = Window.partitionBy(*keys, "blk").orderBy("ord")
     d = df.withColumn("_lead", F.lead(nx).over(w))
-    firsts = df.groupBy(*keys, "day").agg(F.min(nx).alias("_first"))
-    w_days = Window.partitionBy(*keys).orderBy("day")
-    nxt = firsts.select(*keys, "day", F.lead("_first").over(w_days).alias("_next_day_first"))
-    d = d.join(nxt, [*keys, "day"], "left")
+    firsts = df.groupBy(*keys, "blk").agg(F.min(nx).alias("_first"))
+    w_days = Window.partitionBy(*keys).orderBy("blk")
+    nxt = firsts.select(*keys, "blk", F.lead("_first").over(w_days).alias("_next_day_first"))
+    d = d.join(nxt, [*keys, "blk"], "left")
     return d.withColumn(out, F.coalesce(F.col("_lead"), F.col("_next_day_first"))).drop("_lead", "_next_day_first")
 
 
@@ -226,7 +230,7 @@ def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame
                           F.col("market_key").isNotNull())
     evs = evs.select("product", "market_key", "seq", "i", "recv_us", "fallback_us",
                      (F.col("recv_us") / F.lit(1_000_000)).alias("_t"))
-    evs = number_rows(evs, ["product"], "_t", tiebreak=("seq", "i"))
+    evs = number_rows(evs, ["product"], "_t", day_seconds=BLOCK_US // 1_000_000, tiebreak=("seq", "i"))
     evs = cut_lineage(evs.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(int(chunk_events))).cast("bigint")))
     chunk_of = evs.select("product", "seq", "i", "chunk")
     ops = ops.join(chunk_of, ["product", "seq", "i"], "inner")

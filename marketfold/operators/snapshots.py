@@ -180,13 +180,19 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
 def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
                     drops: DataFrame | None = None, window: tuple[int, int] | None = None) -> DataFrame:
     """Dense per-market interval snapshots (typed; blanks are NULL)."""
-    lo, hi = window if window is not None else run_window(canonical, interval_s, drops)
     agg = interval_aggregates(canonical, markets, interval_s, drops)
-    agg = agg.filter((F.col("snap_ts") >= F.lit(lo)) & (F.col("snap_ts") <= F.lit(hi)))
+    if window is not None:
+        lo, hi = window
+        agg = agg.filter((F.col("snap_ts") >= F.lit(lo)) & (F.col("snap_ts") <= F.lit(hi)))
     # Two consumers below (in-block carry and the per-block summary): cut
     # the lineage once so the events are aggregated exactly once.  The
     # aggregate is sparse: at most one row per (market, boundary) with events.
-    agg = cut_lineage(agg)
+    agg = cut_lineage(agg, "interval_agg")
+    if window is None:
+        # run window = first..last boundary touched, read from the small
+        # materialised aggregate instead of another pass over the events
+        row = agg.agg(F.min("snap_ts").alias("lo"), F.max("snap_ts").alias("hi")).first()
+        lo, hi = (int(row["lo"]), int(row["hi"])) if row and row["lo"] is not None else (0, -1)
 
     # Dense rows: the grid is UNIONed (not joined) with the sparse aggregate;
     # inside each (market, block) window partition a boundary that has an
