@@ -119,12 +119,19 @@ def minute_rollup(df: DataFrame, ts_us: str, keys: list[str], value: F.Column |
 
 
 def freshness_gaps(writes: DataFrame, ts_us: str = "ts_us", threshold_s: int = 300) -> DataFrame:
-    """Gaps longer than ``threshold_s`` between consecutive writes: the
-    per-minute rollup keeps one row per active minute, so the ordered scan
-    runs over minutes, not writes."""
-    r = minute_rollup(writes, ts_us, [])
-    w = Window.orderBy("minute")
-    g = r.select("first_us", "last_us", F.lag("last_us").over(w).alias("prev_us"))
+    """Gaps longer than ``threshold_s`` between consecutive writes.
+
+    Writes are rolled up per minute (one row per active minute); the ordered
+    scan runs per day over those minutes, and the first minute of a day
+    takes its predecessor from a per-day summary (last write of the
+    previous active day) -- no single ordered partition over all time."""
+    r = minute_rollup(writes, ts_us, []).withColumn("day", F.floor(F.col("minute") / F.lit(1440)).cast("bigint"))
+    w = Window.partitionBy("day").orderBy("minute")
+    r = r.withColumn("prev_in_day", F.lag("last_us").over(w))
+    days = r.groupBy("day").agg(F.max("last_us").alias("day_last"))
+    prev_day = days.select("day", F.lag("day_last").over(Window.orderBy("day")).alias("prev_day_last"))
+    g = r.join(prev_day, "day", "left").select(
+        "first_us", F.coalesce(F.col("prev_in_day"), F.col("prev_day_last")).alias("prev_us"))
     gap = (F.col("first_us") - F.col("prev_us")) / F.lit(1_000_000.0)
     return g.filter(gap > threshold_s).select(F.col("prev_us").alias("last_write_us"), F.col("first_us").alias("next_write_us"),
                                               gap.alias("gap_s"))
