@@ -45,11 +45,14 @@ def coerce_float(c) -> Column:
     with ``_`` is accepted by removing the underscores first.
     """
     s = col_(c).cast("string")
-    t = F.trim(s)
-    suffix = t.rlike("[dDfF]$") & ~F.lower(t).rlike("^[+-]?(inf|infinity)$")
-    grouped = s.contains("_") & s.rlike(_PY_FLOAT_UNDERSCORE)
-    base = F.when(grouped, F.regexp_replace(s, "_", "")).otherwise(s)
-    return F.when(suffix, F.lit(None).cast("double")).otherwise(base.try_cast("double"))
+    # one regex decides the rare cases: a type suffix (rejected unless it is
+    # part of "inf") or digit grouping with "_" (accepted without the "_")
+    odd = s.rlike("[dDfF_]\\s*$|_")
+    suffix = s.rlike("[dDfF]\\s*$") & ~F.lower(F.trim(s)).rlike("^[+-]?(inf|infinity)$")
+    grouped = s.rlike(_PY_FLOAT_UNDERSCORE)
+    fixed = (F.when(suffix, F.lit(None).cast("double")).when(grouped, F.regexp_replace(s, "_", "").try_cast("double"))
+              .otherwise(s.try_cast("double")))
+    return F.when(odd, fixed).otherwise(s.try_cast("double"))
 
 
 def coerce_int(c) -> Column:
@@ -159,11 +162,12 @@ def silver_text(c) -> Column:
 
 
 def silver_float(c) -> Column:
-    return coerce_float(blank_to_null(c))
+    # the cast itself trims whitespace and maps blank text to NULL
+    return coerce_float(c)
 
 
 def silver_int(c, default: int | None = 0) -> Column:
-    v = coerce_int(blank_to_null(c))
+    v = coerce_int(c)
     return F.coalesce(v, F.lit(default).cast("bigint")) if default is not None else v
 
 
