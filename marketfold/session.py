@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import contextlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,8 +91,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and control tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared folder there).  Only when it is unset -- tests, local runs --
-    a private scratch folder is created and registered.
+    shared folder there).  Only where it is unset on a ``local`` master --
+    tests, single-machine runs -- a private scratch folder is created and
+    registered; any other master without the setting is an error, since a
+    machine-local folder would split the data over node disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -101,7 +104,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return str(configured).rstrip("/")
-    # Unset: tests and local runs only.
+    require_local_master(sc.master)
     local = tempfile.mkdtemp(prefix="marketfold-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def require_local_master(master: str) -> None:
+    """Raise unless driver and executors are one process (``local``, ``local[n]``)."""
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
+
+
+def release_cuts(spark: SparkSession) -> None:
+    """Delete every table ``cut_lineage`` has written under this session's
+    checkpoint folder.  Call it when the results built on them are consumed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/tables")
+    path.getFileSystem(conf).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers once per session, so
+    tasks can import it whatever the working directory of the executors."""
+    sc = spark.sparkContext
+    if getattr(sc, "_marketfold_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # Spark's file server hands the archive out for as long as the session lives.
+    target = os.path.join(tempfile.mkdtemp(prefix="marketfold-src-"), "marketfold_src.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for at, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(at, name)
+                z.write(full, os.path.join("marketfold", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._marketfold_shipped = True
