@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketfold.llm import decontam
+from marketfold.llm import decontam, quality_votes
 from marketfold.llm.common import table
 
 
@@ -14,8 +14,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_votes.report(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination,)}
+    return {f.__name__: f for f in (op2_decontamination, op3_quality_votes)}
 
 
 def oracles() -> dict[str, str]:
