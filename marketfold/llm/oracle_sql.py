@@ -27,4 +27,52 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hits USING (r) LEFT JOIN its USING (r)
 """
 
-ORACLES = {"op2_decontamination": OP2}
+def _position(share: str) -> str:
+    """CASE over the curriculum's pieces, from the same knots."""
+    from marketfold.llm.curriculum import SCHEDULES
+    kinds = []
+    for k, schedule in enumerate(SCHEDULES):
+        pieces, arms = schedule.pieces(), []
+        for i, (lo, hi, t0, w0, slope) in enumerate(pieces):
+            due = f"greatest({share} - {lo!r}, 0.0::DOUBLE)"
+            root = f"sqrt(greatest({w0 * w0!r}::DOUBLE + {2 * slope!r}::DOUBLE * {due}, 0.0::DOUBLE))"
+            t = f"{t0!r} + CASE WHEN {due} > 0 THEN 2 * {due} / ({w0!r}::DOUBLE + {root}) ELSE 0.0 END"
+            arms.append(f"WHEN {share} < {hi!r}::DOUBLE THEN {t}" if i < len(pieces) - 1 else f"ELSE {t}")
+        case = f"CASE {' '.join(arms)} END" if len(arms) > 1 else arms[0].removeprefix("ELSE ")
+        kinds.append(f"WHEN rank % {len(SCHEDULES)} = {k} THEN least({case}, 1.0)")
+    return f"CASE {' '.join(kinds)} END"
+
+
+OP4 = f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source IS NULL, source COLLATE "binary") - 1 AS rank
+  FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][rank % 3 + 1] AS DOUBLE) AS weight, 2 * source_size AS cap FROM s),
+f AS (
+  SELECT *, 1.5::DOUBLE * CAST(sum(source_size) OVER () AS BIGINT) AS total,
+         coalesce(CAST(sum(cap) OVER p AS BIGINT), 0) AS full_caps,
+         sum(weight) OVER () - coalesce(sum(weight) OVER p, 0) AS rest
+  FROM w WINDOW p AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (
+  SELECT (total - full_caps) / rest AS level FROM f
+  WHERE (total - full_caps) / rest * weight <= cap ORDER BY cap / weight, rank LIMIT 1),
+t AS (SELECT source, source_size, rank, least(CAST(cap AS DOUBLE), coalesce((SELECT level FROM l), 0) * weight) AS target FROM f),
+q AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.rank,
+         coalesce(CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id NULLS LAST
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start,
+         CAST(round(t.target) AS BIGINT) AS due
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+x AS (
+  SELECT *, start / target AS share, greatest(0, least(size, due - start)) + greatest(0, least(size, due - source_size - start)) AS taken FROM q)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken > 0 THEN {_position("share")} END AS position
+FROM x
+"""
+
+ORACLES = {"op2_decontamination": OP2, "op4_curriculum_mix": OP4}
