@@ -9,11 +9,13 @@ full shingle sets.
 
 Scale: exact copies (equal word sequences) are one class and only the class
 enters the search.  Inside a bucket nobody meets everybody: all members meet
-the bucket's smallest class, those that are not linked to it form the next
-round's smaller bucket, until none is left.  Members of different components
-that still share a bucket are then compared where the triangle inequality of
-the Jaccard distance leaves a link possible.  Links become components by
-repeated star contraction.
+the bucket's smallest class (its head), by estimate and then exactly.  That
+links a family whose texts are all near its head in linear work.  A family
+that this leaves in several components (its texts are near each other, but not
+all near the head) is compared in blocks: its documents are dealt into blocks
+of bounded bytes, each pair of blocks is one group that counts intersections
+exactly and returns a spanning forest of its links, never all of them.  Links
+become components by repeated star contraction.
 
 Defined results: null text, empty text and text without words have no set,
 link with nothing and are kept; equal documents are one class; rows that
@@ -163,13 +165,64 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
 # Five standard deviations of an estimate from 128 values near similarity 0.85.
 MARGIN = 0.17
+# A family holds what is this near its head; what may be 1 - similarity nearer
+# to such a member than to the head (and noise) also meets the bucket's rest.
+FAMILY, FAMILY_REST = 0.30, 0.60
+BLOCK_DOCS, BLOCK_BYTES = 2000, 8_000_000
+
+
+def linked_forest(sets: list[np.ndarray], threshold: int, columns: int = 4096) -> list[tuple[int, int]]:
+    """Spanning forest (child, parent) of the link graph of some shingle sets.
+
+    Intersections of all pairs are counted by products of 0/1 matrices over
+    the shingles that two or more sets have, a slice of shingles at a time."""
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets], dtype=np.float64)
+    owner = np.repeat(np.arange(n), sizes.astype(np.int64))
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = times[at] > 1
+    owner, at = owner[common], np.unique(at[common], return_inverse=True)[1]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    both = np.zeros((n, n), dtype=np.float32)
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, columns):
+        i, j = np.searchsorted(at, (lo, lo + columns))
+        m = np.zeros((n, columns), dtype=np.float32)
+        m[owner[i:j], at[i:j] - lo] = 1.0
+        both += m @ m.T
+    forest, left = [], np.ones(n, dtype=bool)
+    for root in range(n):
+        if not left[root]:
+            continue
+        left[root] = False
+        queue = [root]
+        while queue:
+            at_node = queue.pop()
+            union = sizes[at_node] + sizes - both[at_node]
+            new = np.flatnonzero(left & (100.0 * both[at_node] >= threshold * union))
+            left[new] = False
+            forest += [(int(x), at_node) for x in new]
+            queue += new.tolist()
+    return forest
+
+
+def _block_links(k: int, threshold: int):
+    def run(group: pa.Table) -> pa.Table:
+        memo = WordHashes()
+        ids = group.column("id").to_pylist()
+        order = sorted(range(len(ids)), key=ids.__getitem__)
+        texts = group.column("text").cast(pa.binary()).to_pylist()
+        forest = linked_forest([shingle_hashes(lower_words(texts[i]), k, memo) for i in order], threshold) if len(ids) > 1 else []
+        return pa.table({"a": pa.array([ids[order[x]] for x, _ in forest], pa.int64()), "b": pa.array([ids[order[y]] for _, y in forest], pa.int64())})
+    return run
 
 
 class NearDuplicates:
     """Near-duplicate classes, links and components of ``docs`` (doc_id, text).
 
     ``members``: (id, n, rep) one row per document; ``links``: (a, b) between
-    representatives of classes; ``components()``: (id, n, component)."""
+    representatives of classes, enough to connect all that are linked;
+    ``components()``: (id, n, component)."""
 
     def __init__(self, docs: DataFrame, k: int = 5, similarity: float = 0.8):
         self.k, self.threshold = k, round(similarity * 100)
@@ -183,37 +236,43 @@ class NearDuplicates:
             sets.select("id", "n", "copy").join(classes.select("copy", "rep"), "copy").select("id", "n", "rep"))
         self.bits = classes.groupBy("rep").agg(F.min("bits").alias("bits"))
         spread = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-        shared = spread.groupBy("band", "key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).filter("head < last")
-        self.buckets = cut_lineage(spread.join(cut_lineage(shared.select("band", "key"), "minhash-shared"), ["band", "key"]), "minhash-buckets")
-        wanted = self.buckets.select(F.col("rep").alias("id")).distinct()
-        one_text = self.docs.join(wanted, "id").groupBy("id").agg(F.min("text").alias("text"))
-        self.texts = cut_lineage(one_text, "minhash-texts")
-        self.links = self._search()
-
-    def _similar(self) -> Column:
-        return 100 * F.col("both") >= self.threshold * F.col("either")
-
-    def _compared(self, pairs: DataFrame) -> DataFrame:
-        """Exact sizes of the distinct pairs (a, b) whose estimate allows a link."""
-        both = self.bits.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a"))
+        heads = spread.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).filter("b < last").drop("last")
+        self.met = cut_lineage(spread.join(cut_lineage(heads, "minhash-heads"), ["band", "key"]).withColumnRenamed("rep", "a")
+                               .filter("a > b"), "minhash-met")
+        self.links = None if self.met.isEmpty() else self._search()
+
+    def _estimated(self, pairs: DataFrame) -> DataFrame:
+        one = self.bits.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a"))
         other = self.bits.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b"))
-        near = pairs.distinct().join(both, "a").join(other, "b").filter(
-            estimate("bits_a", "bits_b") >= self.threshold / 100 - MARGIN).select("a", "b")
-        return confirmed(near, self.texts, self.k)
+        return pairs.distinct().join(one, "a").join(other, "b").select("a", "b", estimate("bits_a", "bits_b").alias("near"))
 
     def _search(self) -> DataFrame:
-        rest, links = self.buckets, None
-        while True:
-            heads = rest.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).filter("b < last").drop("last")
-            heads = cut_lineage(heads, "minhash-heads")
-            met = rest.join(heads, ["band", "key"]).filter("rep > b").withColumnRenamed("rep", "a")
-            met = cut_lineage(met, "minhash-met")
-            if met.isEmpty():
-                break
-            found = cut_lineage(self._compared(met.select("a", "b")).filter(self._similar()).select("a", "b"), "minhash-links")
-            links = found if links is None else links.unionByName(found)
-            rest = met.join(found, ["a", "b"], "left_anti").select("band", "key", F.col("a").alias("rep"))
-        return links
+        wanted = self.met.select(F.col("a").alias("id")).unionByName(self.met.select(F.col("b").alias("id"))).distinct()
+        texts = self.docs.join(wanted, "id").groupBy("id").agg(F.min("text").alias("text"))
+        texts = cut_lineage(texts, "minhash-texts")
+        pairs = cut_lineage(self._estimated(self.met.select("a", "b")), "minhash-pairs")
+        sure = confirmed(pairs.filter(F.col("near") >= self.threshold / 100 - MARGIN), texts, self.k) \
+            .filter(100 * F.col("both") >= self.threshold * F.col("either")).select("a", "b")
+        sure = cut_lineage(sure, "minhash-links")
+        # Families: near the head, and the rest of a bucket around its own smallest member.
+        rest = self.met.join(pairs.filter(F.col("near") < FAMILY_REST), ["a", "b"]).select("band", "key", "a")
+        rest_heads = rest.groupBy("band", "key").agg(F.min("a").alias("b"), F.max("a").alias("last")).filter("b < last").drop("last")
+        rest_met = rest.join(cut_lineage(rest_heads, "minhash-heads"), ["band", "key"]).filter("a > b").select("a", "b")
+        family = connected(pairs.filter(F.col("near") >= FAMILY).select("a", "b").unionByName(rest_met.distinct()))
+        inside = connected(sure).withColumnRenamed("root", "part")
+        placed = family.join(inside, "id", "left").withColumn("part", F.coalesce("part", "id"))
+        placed = placed.join(texts.select("id", F.octet_length("text").alias("bytes")), "id")
+        placed = cut_lineage(placed, "minhash-families")
+        open_ = placed.groupBy("root").agg(F.min("part").alias("least"), F.max("part").alias("most"), F.count(F.lit(1)).alias("docs"),
+                                           F.sum("bytes").alias("bytes")).filter("least < most")
+        blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+        open_ = cut_lineage(open_.select("root", blocks.alias("blocks")), "minhash-open")
+        dealt = placed.select("id", "root").join(open_, "root").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("id", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+        found = dealt.join(texts, "id").select("id", "root", "i", "j", "text").groupBy("root", "i", "j") \
+                     .applyInArrow(_block_links(self.k, self.threshold), "a long, b long")
+        return sure.unionByName(cut_lineage(found, "minhash-block-links"))
 
     def components(self) -> DataFrame:
         if self.links is None:

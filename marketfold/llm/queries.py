@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketfold.llm import curriculum, decontam, quality_votes
+from marketfold.llm import bbit_minhash, curriculum, decontam, quality_votes
 from marketfold.llm.common import table
 
 
@@ -22,8 +22,12 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.report(table(spark, sf_dir, "documents"))
 
 
+def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.report(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op3_quality_votes, op4_curriculum_mix)}
+    return {f.__name__: f for f in (op2_decontamination, op3_quality_votes, op4_curriculum_mix, op8_bbit_minhash)}
 
 
 def oracles() -> dict[str, str]:
