@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketfold.llm import bbit_minhash, curriculum, decontam, quality_votes
+from marketfold.llm import bbit_minhash, curriculum, decontam, pfor_tokens, quality_votes
 from marketfold.llm.common import table
 
 
@@ -26,8 +26,18 @@ def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbit_minhash.report(table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path() -> str:
+    """Place of the vocabulary file; the public tokenizers are found at call time."""
+    import public_tokenizers
+    return public_tokenizers.path(pfor_tokens.VOCABULARY)
+
+
+def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfor_tokens.report(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op3_quality_votes, op4_curriculum_mix, op8_bbit_minhash)}
+    return {f.__name__: f for f in (op2_decontamination, op3_quality_votes, op4_curriculum_mix, op8_bbit_minhash, op10_pfor_tokens)}
 
 
 def oracles() -> dict[str, str]:
