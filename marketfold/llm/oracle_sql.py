@@ -75,4 +75,17 @@ SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
 FROM x
 """
 
-ORACLES = {"op2_decontamination": OP2, "op4_curriculum_mix": OP4}
+_STRIP = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP5 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p FROM d),
+k AS (SELECT *, {LOWER.format(f"trim(line, {_STRIP})")} AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+j AS (SELECT k.r, k.p, k.line, f.key IS NOT NULL AND k.doc_id <> f.first AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM d JOIN j USING (r) GROUP BY d.r, d.doc_id, d.lines
+"""
+
+ORACLES = {"op2_decontamination": OP2, "op4_curriculum_mix": OP4, "op5_line_ledger": OP5}

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketfold.llm import bbit_minhash, curriculum, decontam, pfor_tokens, quality_votes
+from marketfold.llm import bbit_minhash, curriculum, decontam, gear_chunks, line_ledger, pfor_tokens, quality_votes
 from marketfold.llm.common import table
 
 
+def op1_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gear_chunks.report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -22,6 +26,10 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.report(table(spark, sf_dir, "documents"))
 
 
+def op5_line_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_ledger.report(table(spark, sf_dir, "documents"))
+
+
 def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbit_minhash.report(table(spark, sf_dir, "documents"))
 
@@ -37,7 +45,7 @@ def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op3_quality_votes, op4_curriculum_mix, op8_bbit_minhash, op10_pfor_tokens)}
+    return {f.__name__: f for f in (op1_gear_chunks, op2_decontamination, op3_quality_votes, op4_curriculum_mix, op5_line_ledger, op8_bbit_minhash, op10_pfor_tokens)}
 
 
 def oracles() -> dict[str, str]:
