@@ -234,7 +234,7 @@ class NearDuplicates:
         classes = cut_lineage(classes.select("copy", "rep", "s.bands", "s.bits"), "minhash-classes")
         self.members = signed.filter("n = 0").select("id", "n", F.col("id").alias("rep")).unionByName(
             sets.select("id", "n", "copy").join(classes.select("copy", "rep"), "copy").select("id", "n", "rep"))
-        self.bits = classes.groupBy("rep").agg(F.min("bits").alias("bits"))
+        self.bits = cut_lineage(classes.groupBy("rep").agg(F.min("bits").alias("bits")), "minhash-bits")
         spread = classes.select("rep", F.posexplode("bands").alias("band", "key"))
         heads = spread.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).filter("b < last").drop("last")
         self.met = cut_lineage(spread.join(cut_lineage(heads, "minhash-heads"), ["band", "key"]).withColumnRenamed("rep", "a")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketfold.llm import bbit_minhash, curriculum, decontam, gear_chunks, line_ledger, pfor_tokens, quality_votes
+from marketfold.llm import bbit_minhash, chat_tools, curriculum, decontam, gear_chunks, line_ledger, pfor_tokens, pitman_yor, quality_votes, url_templates
 from marketfold.llm.common import table
 
 
@@ -44,8 +44,24 @@ def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor_tokens.report(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.report(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_tools.report(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = (op1_gear_chunks, op2_decontamination, op3_quality_votes, op4_curriculum_mix, op5_line_ledger, op6_url_templates,
+           op7_pitman_yor, op8_bbit_minhash, op9_chat_tools, op10_pfor_tokens)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_gear_chunks, op2_decontamination, op3_quality_votes, op4_curriculum_mix, op5_line_ledger, op8_bbit_minhash, op10_pfor_tokens)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracles() -> dict[str, str]:
