@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import byte_texts, id_back, id_key, lower_words, rebatched
+from marketfold.llm.common import byte_texts, id_back, id_key, lower_words, packed, rebatched, unpacked
 from marketfold.session import cut_lineage
 
 PERMUTATIONS, BANDS, BAND_ROWS, LOW_BITS = 128, 25, 5, 4
@@ -314,4 +314,4 @@ def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each component, columns as in ``docs``: the one of the
     smallest id (rows that repeat its id stay together as one document)."""
     c = NearDuplicates(docs, k, similarity).components().filter("id = component").select("id").distinct()
-    return docs.withColumn("_id", id_key()).join(c.withColumnRenamed("id", "_id"), "_id", "left_semi").select(*docs.columns)
+    return unpacked(packed(docs, id_key().alias("_id")).join(c.withColumnRenamed("id", "_id"), "_id", "left_semi"), docs.columns)

@@ -6,8 +6,8 @@ Conventions used by all of them:
 * a null ``doc_id`` ranks after every other id, and all rows without an id
   count as one document (``ID_LAST`` stands for it inside the jobs and is
   turned back into null in results);
-* operators read only the columns they name, so further columns (also ones
-  whose names clash with internal ones) pass through or are ignored.
+* operators read only the columns they name; where rows pass through, all of
+  their columns travel in one struct (``packed``), so no name can clash.
 """
 
 from __future__ import annotations
@@ -49,9 +49,28 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """All columns of ``docs`` as the struct ``_row``, and further columns."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *more)
+
+
+def unpacked(df: DataFrame, columns: list[str], *more: Column | str, **instead: Column) -> DataFrame:
+    """The columns back from ``_row``, some replaced, and further columns."""
+    return df.select(*[instead.get(c, F.col("_row").getField(c)).alias(c) for c in columns], *more)
+
+
+def row_texts(batch: pa.RecordBatch) -> list[bytes]:
+    """``byte_texts`` of the packed rows."""
+    return _bytes(batch.column("_row").field("text"))
+
+
 def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
-    return [b"" if x is None else x for x in batch.column(name).cast(pa.binary()).to_pylist()]
+    return _bytes(batch.column(name))
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
 def lower_words(text: bytes) -> list[bytes]:

@@ -19,7 +19,6 @@ repeated documents are judged one by one.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from itertools import repeat
 
@@ -27,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketfold.llm.common import byte_texts, rebatched
+from marketfold.llm.common import packed, rebatched, row_texts, unpacked
 from marketfold.session import cut_lineage
 
 # A word is a run of [0-9a-z] (after A-Z is lower-cased) and of anything outside ASCII.
@@ -161,7 +161,7 @@ def _scanner(shared):
         automaton = shared.value
         for b in rebatched(batches):
             n_words, n_hit, spans, items = [], [], [], []
-            for text in byte_texts(b):
+            for text in row_texts(b):
                 words = item_words(text)
                 hit, found = automaton.scan(words)
                 n_words.append(len(words))
@@ -169,9 +169,9 @@ def _scanner(shared):
                 spans.append(np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0])))).tolist() if n_hit[-1] else [])
                 items.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(b.num_columns)), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                [b.column("_row"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                  pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
-                names=[*b.schema.names, "_words", "_hit", "_spans", "_items"])
+                names=["_row", "_words", "_hit", "_spans", "_items"])
     return run
 
 
@@ -191,30 +191,31 @@ def _merge_spans(batches):
                                          names=[*(b.schema.names[i] for i in keep), "_hit", "_spans"])
 
 
+FOUND = [T.StructField("_words", T.LongType()), T.StructField("_hit", T.LongType()),
+         T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))]
+
+
 def match_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_words: int = 2_000_000) -> DataFrame:
-    """``docs`` (its ``text`` and whatever other columns) plus ``_words``
-    (count), ``_hit`` (words inside occurrences), ``_spans`` (word positions
-    start, end, start, end ...) and ``_items`` (sorted ids)."""
-    from pyspark.sql import types as T
-
-    spark = docs.sparkSession
-    added = [("_words", "long"), ("_hit", "long"), ("_spans", "array<int>"), ("_items", "array<string>")]
-    out = T.StructType(docs.schema.fields + [T.StructField(n, T._parse_datatype_string(t)) for n, t in added])
-    scans = [docs.mapInArrow(_scanner(spark.sparkContext.broadcast(a)), out) for a in build_automata(benchmark, window, max_words)]
-    if len(scans) == 1:
-        return scans[0]
-    # Several shards: give rows an id once, scan that table per shard, combine.
-    rows = cut_lineage(docs.withColumn("_row", F.expr("uuid()")), "decontam-rows")
-    scanned = match = None
-    for a in build_automata(benchmark, window, max_words):
-        one = T.StructType([T.StructField("_row", T.StringType())] + out.fields[-4:])
-        part = rows.select("_row", "text").mapInArrow(_scanner(spark.sparkContext.broadcast(a)), T.StructType(
-            [T.StructField("_row", T.StringType()), T.StructField("text", T.StringType())] + one.fields[1:])).drop("text")
+    """The documents as ``_row`` plus ``_words`` (count), ``_hit`` (words
+    inside occurrences), ``_spans`` (word positions start, end, start, end
+    ...) and ``_items`` (sorted ids)."""
+    share = docs.sparkSession.sparkContext.broadcast
+    automata = list(build_automata(benchmark, window, max_words))
+    if len(automata) == 1:
+        rows = packed(docs)
+        return rows.mapInArrow(_scanner(share(automata[0])), T.StructType([rows.schema["_row"], *FOUND]))
+    # Several shards: give rows a key once, scan that table per shard, combine.
+    rows = cut_lineage(packed(docs, F.expr("uuid()").alias("_key")), "decontam-rows")
+    slim = rows.select(F.struct("_key", F.col("_row.text").alias("text")).alias("_row"))
+    scanned = None
+    for a in automata:
+        part = slim.mapInArrow(_scanner(share(a)), T.StructType([slim.schema["_row"], *FOUND]))
+        part = part.select("_row._key", "_words", "_spans", "_items")
         scanned = part if scanned is None else scanned.unionByName(part)
-    match = scanned.groupBy("_row").agg(F.first("_words").alias("_words"), F.collect_list("_spans").alias("_all_spans"),
+    match = scanned.groupBy("_key").agg(F.first("_words").alias("_words"), F.collect_list("_spans").alias("_all_spans"),
                                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"))
-    merged = match.mapInArrow(_merge_spans, "_row string, _words long, _items array<string>, _hit long, _spans array<int>")
-    return rows.join(merged, "_row").select(*docs.columns, "_words", "_hit", "_spans", "_items")
+    merged = match.mapInArrow(_merge_spans, "_key string, _words long, _items array<string>, _hit long, _spans array<int>")
+    return rows.join(merged, "_key").select("_row", "_words", "_hit", "_spans", "_items")
 
 
 def contaminated(num: int = COVERAGE_NUM, den: int = COVERAGE_DEN):
@@ -224,7 +225,7 @@ def contaminated(num: int = COVERAGE_NUM, den: int = COVERAGE_DEN):
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """One row per document: counts, digest of the item ids, verdict."""
     m = match_items(docs.select("doc_id", "text"), benchmark, window)
-    return m.select("doc_id", F.col("_words").alias("n_words"), F.col("_hit").alias("n_hit"),
+    return unpacked(m, ["doc_id"], F.col("_words").alias("n_words"), F.col("_hit").alias("n_hit"),
                     F.size("_items").cast("long").alias("n_items"),
                     F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
@@ -249,16 +250,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_s
     (else they stay as they are).  Columns as in ``docs``."""
     kept = match_items(docs, benchmark, window).filter(~contaminated())
     if min_span is None:
-        return kept.select(*docs.columns)
-    name = docs.columns
+        return unpacked(kept, docs.columns)
 
     def cut(batches):
         for b in rebatched(batches):
-            texts = [None if raw is None else cut_spans(raw, spans or [], min_span).decode()
-                     for raw, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("_spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in name], names=name)
-    return kept.select(*name, "_spans").mapInArrow(cut, docs.schema)
-
-
-def item_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+            texts = [cut_spans(raw, spans or [], min_span).decode() for raw, spans in zip(row_texts(b), b.column("_spans").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(texts, pa.string())], names=["_row", "_clean"])
+    cleaned = kept.select("_row", "_spans").mapInArrow(cut, T.StructType([kept.schema["_row"], T.StructField("_clean", T.StringType())]))
+    return unpacked(cleaned, docs.columns, text=F.when(F.col("_row.text").isNotNull(), F.col("_clean")))

@@ -29,8 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketfold.llm.common import byte_texts, id_back, id_key, rebatched
+from marketfold.llm.common import byte_texts, id_back, id_key, packed, rebatched, row_texts, unpacked
 from marketfold.session import cut_lineage
 
 REACH, MIN_WORDS = 24, 12
@@ -104,11 +105,10 @@ def _judge(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rebatched(batches):
             out = []
-            for me, text, held in zip(b.column("_id").to_pylist(), byte_texts(b), b.column("_held").to_pylist()):
+            for me, text, held in zip(b.column("_id").to_pylist(), row_texts(b), b.column("_held").to_pylist()):
                 out.append(judge_text(me, text, held, min_words))
-            names = [c for c in b.schema.names if c not in ("_id", "_held")]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=[*names, *ADDED])
+            yield pa.RecordBatch.from_arrays([b.column("_row"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["_row", *ADDED])
     return run
 
 
@@ -159,17 +159,23 @@ def _char_start(text: bytes, at: int) -> int:
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` plus ``_chunks``, ``_shared_words``, ``_removed``, ``_spans``,
-    ``_from`` and ``_clean`` (the text without its repeated passages)."""
-    from pyspark.sql import types as T
-
+    """The documents as ``_row`` plus ``_chunks``, ``_shared_words``,
+    ``_removed``, ``_spans``, ``_from`` and ``_clean`` (the text without its
+    repeated passages)."""
     slim = docs.select(id_key().alias("id"), F.col("text").cast("string").alias("text"))
     shared = cut_lineage(shared_digests(slim), "chunks-shared")
     held = slim.mapInArrow(_holders, "d1 long, d2 long, id long").join(shared, ["d1", "d2"])
     own = held.groupBy("id").agg(F.collect_list(F.struct("d1", "d2", "first")).alias("_held")).withColumnRenamed("id", "_id")
     kinds = (T.LongType(), T.LongType(), T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.StringType())
-    out = T.StructType(docs.schema.fields + [T.StructField(n, k) for n, k in zip(ADDED, kinds)])
-    return docs.withColumn("_id", id_key()).join(own, "_id", "left").mapInArrow(_judge(min_words), out)
+    rows = packed(docs, id_key().alias("_id"))
+    out = T.StructType([rows.schema["_row"], *(T.StructField(n, k) for n, k in zip(ADDED, kinds))])
+    return rows.join(own, "_id", "left").mapInArrow(_judge(min_words), out)
+
+
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without the repeated passages, columns as they were."""
+    text = F.when(F.col("_row.text").isNotNull(), F.col("_clean"))
+    return unpacked(dedup(docs, min_words), docs.columns, text=text)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -177,6 +183,6 @@ def report(docs: DataFrame) -> DataFrame:
     repeated passages, words and passages removed, the documents that keep
     them, digest of the text that stays."""
     d = dedup(docs.select(id_back(id_key()).alias("doc_id"), "text"))
-    return d.select("doc_id", F.col("_chunks").alias("n_chunks"), F.col("_shared_words").alias("n_shared_words"),
+    return unpacked(d, ["doc_id"], F.col("_chunks").alias("n_chunks"), F.col("_shared_words").alias("n_shared_words"),
                     F.col("_removed").alias("n_removed_words"), F.col("_spans").alias("n_removed_spans"),
                     F.col("_from").alias("kept_in"), F.sha2(F.col("_clean").cast("binary"), 256).alias("kept_sha256"))

@@ -34,8 +34,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketfold.llm.common import ASCII_LOWER, SPACE, byte_texts, id_back, id_key, rebatched
+from marketfold.llm.common import ASCII_LOWER, SPACE, byte_texts, id_back, id_key, packed, rebatched, row_texts, unpacked
 from marketfold.session import cut_lineage
 
 MIN_CHARS = 10
@@ -235,19 +236,23 @@ class LineLedger:
         return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
     def clean(self, docs: DataFrame) -> DataFrame:
-        """``docs`` plus ``_kept`` (its text without repeated lines), ``_lines``
-        and ``_dropped`` (counts)."""
-        from pyspark.sql import types as T
-
-        out = T.StructType(docs.schema.fields + [T.StructField("_kept", T.StringType()), T.StructField("_lines", T.LongType()), T.StructField("_dropped", T.LongType())])
+        """The documents as ``_row`` plus ``_kept`` (its text without repeated
+        lines), ``_lines`` and ``_dropped`` (counts)."""
         drops = self.dropped_keys().select(F.col("id").alias("_id"), F.col("keys").alias("_keys"))
-        return docs.withColumn("_id", id_key()).join(drops, "_id", "left").drop("_id").mapInArrow(_drop_lines, out)
+        rows = packed(docs, id_key().alias("_id"))
+        added = [T.StructField("_kept", T.StringType()), T.StructField("_lines", T.LongType()), T.StructField("_dropped", T.LongType())]
+        return rows.join(drops, "_id", "left").mapInArrow(_drop_lines, T.StructType([rows.schema["_row"], *added]))
+
+    def remove_repeats(self, docs: DataFrame) -> DataFrame:
+        """``docs`` without their repeated lines, columns as they were."""
+        text = F.when(F.col("_row.text").isNotNull(), F.col("_kept"))
+        return unpacked(self.clean(docs), docs.columns, text=text)
 
 
 def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in rebatched(batches):
         kept, n_lines, n_dropped = [], [], []
-        for text, keys in zip(byte_texts(b), b.column("_keys").to_pylist()):
+        for text, keys in zip(row_texts(b), b.column("_keys").to_pylist()):
             lines = text.split(b"\n")
             stay = lines
             if keys:
@@ -256,14 +261,13 @@ def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append((text if len(stay) == len(lines) else b"\n".join(stay)).decode())
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(stay))
-        names = [c for c in b.schema.names if c != "_keys"]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                                         names=[*names, "_kept", "_lines", "_dropped"])
+        yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
+                                         names=["_row", "_kept", "_lines", "_dropped"])
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: lines, lines dropped, digest of the kept text."""
     docs = docs.select(id_back(id_key()).alias("doc_id"), "text")
     cleaned = LineLedger(docs.sparkSession).insert(docs).clean(docs)
-    return cleaned.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+    return unpacked(cleaned, ["doc_id"], F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
                           F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import SPACE_CLASS, text_or_empty, words_of
+from marketfold.llm.common import SPACE_CLASS, text_or_empty, unpacked, words_of
 from marketfold.session import cut_lineage
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -58,10 +58,11 @@ def with_repeat_words(df: DataFrame, words: str, into: str) -> DataFrame:
     return df.withColumn(into, F.coalesce(covered, F.lit(0)).cast("long")).drop("_keys", "_cand", "_windows")
 
 
-def with_features(docs: DataFrame, into: str = "_q") -> DataFrame:
-    """``docs`` plus a struct column of counts over the whole text."""
+def with_features(rows: DataFrame, into: str = "_q") -> DataFrame:
+    """``rows`` (``_row`` and ``_text``) with a struct of counts over the whole
+    text in place of the text."""
     text = F.col("_text")
-    first = docs.withColumn("_text", text_or_empty()).withColumn("_w", words_of(text)).withColumn("_n", F.size("_w"))
+    first = rows.withColumn("_w", words_of(text)).withColumn("_n", F.size("_w"))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     second = with_repeat_words(first.withColumn("_lines", lines), "_w", "_rep")
     chars = F.length(F.array_join("_w", ""))
@@ -178,10 +179,11 @@ def base_failed(at: str = "_q") -> Column:
 
 
 def judge(docs: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
-    """The columns ``keep`` of ``docs`` plus ``_q`` (features), ``_votes``,
-    ``_p_good``, ``_base_failed`` and ``_kept``.  Features are computed once
-    and read again for the verdict."""
-    voted = with_features(docs).withColumn("_votes", votes(rules)).select(*keep, "_q", "_votes")
+    """The columns ``keep`` of ``docs`` as ``_row`` plus ``_q`` (features),
+    ``_votes``, ``_p_good``, ``_base_failed`` and ``_kept``.  Features are
+    computed once and read again for the verdict."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), text_or_empty().alias("_text"))
+    voted = with_features(rows).withColumn("_votes", votes(rules)).select("_row", "_q", "_votes")
     voted = cut_lineage(voted, "quality-features")
     patterns = voted.groupBy(F.col("_votes").alias("v")).agg(F.count(F.lit(1)).alias("n")).orderBy("v").coalesce(1)
     model = fit_votes(cut_lineage(patterns, "quality-patterns"), len(rules))
@@ -192,10 +194,10 @@ def judge(docs: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES, thr
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: counts, base verdict, verdict, posterior, votes."""
     j = judge(docs.select("doc_id", "text"), ["doc_id"])
-    return j.select("doc_id", *[F.col(f"_q.{c}").alias(c) for c in FEATURES], F.col("_base_failed").alias("base_failed"),
+    return unpacked(j, ["doc_id"], *[F.col(f"_q.{c}").alias(c) for c in FEATURES], F.col("_base_failed").alias("base_failed"),
                     F.col("_kept").alias("kept"), F.col("_p_good").alias("p_good"), F.col("_votes").alias("votes"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that are kept, columns as in ``docs``."""
-    return judge(docs, docs.columns).filter("_kept").select(*docs.columns)
+    return unpacked(judge(docs, docs.columns).filter("_kept"), docs.columns)
