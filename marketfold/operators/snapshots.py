@@ -133,8 +133,13 @@ def boundary_grid(markets: DataFrame, lo: int, hi: int, interval_s: int, parts:
 
 
 def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: int,
-                        drops: DataFrame | None = None, grid: DataFrame | None = None) -> DataFrame:
-    """Per (market, boundary) counters and last-in-interval gauge values."""
+                        drops: DataFrame | None = None, gauges: tuple[str, ...] = tuple(GAUGE_NAMES),
+                        not_before: int | None = None, with_order: bool = False) -> DataFrame:
+    """Per (market, boundary) counters and last-in-interval gauge values.
+
+    ``not_before``: rows that arrive for an earlier boundary count in this
+    one (late rows of a stream).  ``with_order`` adds per gauge the order key
+    of its value, so that partial results can be merged."""
     b = block_seconds(interval_s)
     mk = markets.select("market_key", F.col("venue").alias("m_venue"))
     ev = canonical.select("market_key", *_EVENT_COLS).join(mk, "market_key", "inner")
@@ -145,16 +150,15 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
         d = drops.select("market_key", "recv_s", F.col("n").cast("bigint")).join(mk, "market_key", "inner")
         d = d.withColumn("snap_ts", boundary_of(F.col("recv_s"), interval_s)).withColumn("row_type", F.lit("d"))
         parts.append(d)
-    if grid is not None:
-        parts.append(grid.select("market_key", "m_venue", "snap_ts").withColumn("row_type", F.lit("g")))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
+    if not_before is not None:
+        rows = rows.withColumn("snap_ts", F.greatest(F.col("snap_ts"), F.lit(int(not_before)).cast("bigint")))
     rows = rows.withColumn("block", F.floor(F.col("snap_ts") / F.lit(b)).cast("bigint"))
-    # Canonical events carry trimmed kind / side (the parsers normalise);
-    # only case is folded here, once per row.
-    rows = rows.withColumn("side_t", F.coalesce(F.col("side"), F.lit("")))
-    rows = (rows.withColumn("kind_n", F.when(F.col("row_type") == "e", F.lower(F.coalesce(F.col("kind"), F.lit("")))))
+    # Kind and side are trimmed and folded to lower case here, once per row.
+    rows = rows.withColumn("side_t", strip_ws(F.coalesce(F.col("side"), F.lit(""))))
+    rows = (rows.withColumn("kind_n", F.when(F.col("row_type") == "e", F.lower(strip_ws(F.coalesce(F.col("kind"), F.lit(""))))))
                 .withColumn("side_n", F.lower(F.col("side_t"))))
     is_event = (F.col("row_type") == "e") & (F.col("kind_n") != "meta")
     measures = [
@@ -164,6 +168,8 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
         F.when(F.col("row_type") == "d", F.col("n")).alias("c_drop"),
     ]
     for g in _gauges():
+        if g.name not in gauges:
+            continue
         c = (F.col("row_type") == "e") & g.cond & g.value.isNotNull()
         measures.append(F.when(c, g.value).alias(f"v_{g.name}"))
         measures.append(F.when(c, F.struct(F.col("seq"), F.coalesce(F.col("pos"), F.lit(0)))).alias(f"o_{g.name}"))
@@ -173,36 +179,50 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
         F.count("c_trade").alias("trade_count_1s"),
         F.count("c_book").alias("book_update_count_1s"),
         F.sum("c_drop").alias("dropped_raw"),
-    ] + [F.max_by(f"v_{n}", f"o_{n}").alias(n) for n in GAUGE_NAMES]
+    ] + [F.max_by(f"v_{n}", f"o_{n}").alias(n) for n in gauges]
+    if with_order:
+        aggs += [F.max(f"o_{n}").alias(f"{n}__o") for n in gauges]
     return rows.groupBy("market_key", "m_venue", "block", "snap_ts").agg(*aggs)
 
 
 def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
-                    drops: DataFrame | None = None, window: tuple[int, int] | None = None) -> DataFrame:
-    """Dense per-market interval snapshots (typed; blanks are NULL)."""
-    agg = interval_aggregates(canonical, markets, interval_s, drops)
-    if window is not None:
-        lo, hi = window
-        agg = agg.filter((F.col("snap_ts") >= F.lit(lo)) & (F.col("snap_ts") <= F.lit(hi)))
+                    drops: DataFrame | None = None, window: tuple[int, int] | None = None,
+                    gauges: tuple[str, ...] = tuple(GAUGE_NAMES), run: tuple[int, int] | None = None) -> DataFrame:
+    """Dense per-market interval snapshots (typed; blanks are NULL).
+
+    ``window`` (first and last boundary wanted) limits the output only: the
+    carried gauges still see the whole history.  ``gauges`` limits which
+    gauges are aggregated and carried; the others come out NULL.  ``run``
+    (first and last boundary) replaces the span of the given rows."""
     # Two consumers below (in-block carry and the per-block summary): cut
     # the lineage once so the events are aggregated exactly once.  The
     # aggregate is sparse: at most one row per (market, boundary) with events.
-    agg = cut_lineage(agg, "interval_agg")
-    if window is None:
-        # run window = first..last boundary touched, read from the small
-        # materialised aggregate instead of another pass over the events
+    agg = cut_lineage(interval_aggregates(canonical, markets, interval_s, drops, gauges=gauges), "interval_agg")
+    # run window = first..last boundary touched, read from the small
+    # materialised aggregate instead of another pass over the events
+    if run is None:
         row = agg.agg(F.min("snap_ts").alias("lo"), F.max("snap_ts").alias("hi")).first()
-        lo, hi = (int(row["lo"]), int(row["hi"])) if row and row["lo"] is not None else (0, -1)
+        run = (int(row["lo"]), int(row["hi"])) if row and row["lo"] is not None else (0, -1)
+    lo, hi = run
+    full = densify(agg, markets, lo, hi, interval_s, gauges)
+    if window is not None:
+        full = full.filter(F.col("snap_ts").between(*window))
+    g = {name: F.col(name) if name in gauges else F.lit(None) for name in GAUGE_NAMES}
+    return finalize_snapshots(full, g, interval_s)
 
-    # Dense rows: the grid is UNIONed (not joined) with the sparse aggregate;
-    # inside each (market, block) window partition a boundary that has an
-    # aggregate row sorts before its grid row, the carried gauges flow
-    # through both, and the grid row is dropped when its boundary had events.
+
+def densify(agg: DataFrame, markets: DataFrame, lo: int, hi: int, interval_s: int, carried_cols=tuple(GAUGE_NAMES)) -> DataFrame:
+    """Sparse per-(market, boundary) aggregates -> one row per market and
+    boundary of [lo, hi] with counters and the carried columns."""
     grid = boundary_grid(markets, lo, hi, interval_s).select(
         "market_key", "m_venue", "block", "snap_ts",
         *[F.lit(0).cast("bigint").alias(c) for c in ("msg_count_1s", "trade_count_1s", "book_update_count_1s")],
         F.lit(None).cast("bigint").alias("dropped_raw"),
         F.lit(1).alias("is_grid"))
+    # Dense rows: the grid is UNIONed (not joined) with the sparse aggregate;
+    # inside each (market, block) window partition a boundary that has an
+    # aggregate row sorts before its grid row, the carried gauges flow
+    # through both, and the grid row is dropped when its boundary had events.
     rows = agg.withColumn("is_grid", F.lit(0)).unionByName(grid, allowMissingColumns=True)
     w_in = Window.partitionBy("market_key", "block").orderBy("snap_ts", "is_grid")
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -210,23 +230,23 @@ def snapshots_dense(canonical: DataFrame, markets: DataFrame, interval_s: int,
         "market_key", "m_venue", "block", "snap_ts", "msg_count_1s", "trade_count_1s",
         "book_update_count_1s", "dropped_raw", "is_grid",
         F.lag("snap_ts").over(w_in).alias("prev_snap"),
-        *[F.last(g, ignorenulls=True).over(w_run).alias(g) for g in GAUGE_NAMES])
+        *[F.last(g, ignorenulls=True).over(w_run).alias(g) for g in carried_cols])
     carried = carried.filter((F.col("is_grid") == 0) | F.col("prev_snap").isNull()
                              | (F.col("prev_snap") != F.col("snap_ts")))
 
     # Carry across blocks: last value of every block (from the sparse
     # aggregate), then of all earlier blocks -- a (markets x days) table.
     per_block = agg.groupBy("market_key", "block").agg(
-        *[F.max_by(F.col(g), F.when(F.col(g).isNotNull(), F.col("snap_ts"))).alias(g) for g in GAUGE_NAMES])
+        *[F.max_by(F.col(g), F.when(F.col(g).isNotNull(), F.col("snap_ts"))).alias(g) for g in carried_cols])
     w_prev = (Window.partitionBy("market_key").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
     per_block = grid_blocks(markets, lo, hi, interval_s).select("market_key", "block").join(
         per_block, ["market_key", "block"], "left")
     carry_in = per_block.select("market_key", "block",
-                                *[F.last(g, ignorenulls=True).over(w_prev).alias(f"{g}__in") for g in GAUGE_NAMES])
+                                *[F.last(g, ignorenulls=True).over(w_prev).alias(f"{g}__in") for g in carried_cols])
     full = carried.join(carry_in, ["market_key", "block"], "left")
-    g = {name: F.coalesce(F.col(name), F.col(f"{name}__in")) for name in GAUGE_NAMES}
-    return finalize_snapshots(full, g, interval_s)
+    kept = ("market_key", "m_venue", "block", "snap_ts", "msg_count_1s", "trade_count_1s", "book_update_count_1s", "dropped_raw")
+    return full.select(*kept, *[F.coalesce(F.col(name), F.col(f"{name}__in")).alias(name) for name in carried_cols])
 
 
 def finalize_snapshots(df: DataFrame, g: dict, interval_s: int) -> DataFrame:

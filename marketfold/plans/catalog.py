@@ -22,6 +22,7 @@ from marketfold.operators import snapshots as snap
 from marketfold.operators import prediction_parser
 from marketfold.operators import reference_data as refdata
 from marketfold.operators import spot_parser
+from marketfold.session import cut_lineage
 from marketfold.sources import derived, frames
 from marketfold.sources.tables import read_table
 
@@ -167,18 +168,28 @@ def q_interval_counts(spark, sf_dir):
                     "book_update_count_1s")
 
 
+def _venue_view(spark, sf_dir, venue, gauges):
+    """Snapshots of one venue's markets with some of their gauges.  The run
+    window is that of all events, hence the other venue's clock rows."""
+    c, markets = _canonical(spark, sf_dir), canon.markets_frame(spark)
+    span = snap.run_window(c, FLAGSHIP_INTERVAL_S, _drops(spark, sf_dir))
+    own = markets.filter(F.col("venue") == venue)
+    return snap.snapshots_dense(c, own, FLAGSHIP_INTERVAL_S, drops=_drops(spark, sf_dir), gauges=gauges, run=span)
+
+
 def q_cb_quote_spread(spark, sf_dir):
-    return q_snapshots_dense(spark, sf_dir).filter(F.col("venue") == "coinbase").select(
+    return _venue_view(spark, sf_dir, "coinbase", ("best_bid", "best_ask")).select(
         "market_key", "snapshot_ts", "best_bid", "best_ask", "mid", "spread_bps")
 
 
 def q_cb_last_trade(spark, sf_dir):
-    return q_snapshots_dense(spark, sf_dir).filter(F.col("venue") == "coinbase").select(
+    return _venue_view(spark, sf_dir, "coinbase", ("last_trade_px", "last_trade_size", "last_trade_side")).select(
         "market_key", "snapshot_ts", "last_trade_px", "last_trade_size", "last_trade_side")
 
 
 def q_pm_side_pivot(spark, sf_dir):
-    return q_snapshots_dense(spark, sf_dir).filter(F.col("venue") == "polymarket").select(
+    return _venue_view(spark, sf_dir, "polymarket", ("yes_best_bid", "yes_best_ask", "no_best_bid", "no_best_ask", "last_trade_px_yes", "last_trade_px_no", "slug",
+                                              "bucket_start_ts", "condition_id")).select(
         "market_key", "snapshot_ts", "yes_best_bid", "yes_best_ask", "yes_mid", "no_best_bid", "no_best_ask", "no_mid",
         "last_trade_px_yes", "last_trade_px_no", "slug", "bucket_start_ts", "condition_id")
 
@@ -291,21 +302,21 @@ def q_export_manifest_audit(spark, sf_dir):
 
 
 def q_stream_snapshots(spark, sf_dir):
-    """Canonical events landed as files, replayed through the streaming
-    snapshot operator (availableNow) into a Parquet sink in the shared
-    checkpoint folder (rows-only check; equality with the batch operator
-    is asserted in tests)."""
+    """The feed (events and drop notices) lands in four parts; after each the
+    stream is started again from its checkpoint, runs on what is new and
+    stops; then the feed has ended and the open boundary is flushed."""
     import uuid
 
     from marketfold.session import checkpoint_dir
-    from marketfold.streaming.snapshots_stream import stream_snapshots
-    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    _canonical(spark, sf_dir).write.parquet(f"{base}/src")
-    src = spark.readStream.schema(canon.CANONICAL_SCHEMA).parquet(f"{base}/src")
-    q = (stream_snapshots(src, canon.markets_frame(spark), FLAGSHIP_INTERVAL_S).writeStream.format("parquet")
-         .option("checkpointLocation", f"{base}/ck").option("path", f"{base}/out").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    from marketfold.streaming.snapshots_stream import FEED_SCHEMA, SnapshotStream, feed_rows, slices
+    base = f"{checkpoint_dir(spark)}/tables/stream-{uuid.uuid4().hex}"
+    stream = SnapshotStream(spark, canon.markets_frame(spark), FLAGSHIP_INTERVAL_S, base)
+    feed = cut_lineage(feed_rows(_canonical(spark, sf_dir), _drops(spark, sf_dir)), "stream-feed")
+    for part in slices(feed, 4):
+        part.write.mode("append").parquet(f"{base}/landing")
+        stream.start(spark.readStream.schema(FEED_SCHEMA).parquet(f"{base}/landing")).awaitTermination()
+    stream.flush()
+    return stream.output()
 
 
 def registry() -> dict[str, QueryFn]:

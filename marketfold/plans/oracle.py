@@ -43,5 +43,6 @@ def oracles() -> dict[str, str]:
         "book_levels_lifetime": P.book_sql("lifetime"),
         "book_as_of": P.book_sql("as_of"),
         "file_inventory": P.inventory_sql("pending"),
+        "stream_snapshots": P.snapshots_sql(FLAGSHIP_INTERVAL_S),
         "size_projection": P.inventory_sql("projection"),
     }

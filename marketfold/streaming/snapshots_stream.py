@@ -1,189 +1,130 @@
-"""Streaming dense snapshots: canonical events -> per-market state ->
-one row per market per completed interval boundary.
-
-``groupBy(market_key).applyInPandasWithState`` with event-time timeouts:
-
-* events are applied in arrival (``seq, pos``) order; an interval ``T``
-  covers arrivals in ``[T - i, T)`` exactly as in the batch operator;
-* a boundary is emitted once it is complete: when an event of a later
-  interval arrives, or when the watermark passes it (timer), so idle
-  markets keep emitting carried rows; boundaries between two events are
-  emitted densely (counters 0, gauges carried);
-* state per market is one row (open interval counters, carried gauges,
-  next boundary) in the checkpointed state store -- a restart resumes
-  with the gauges intact.
-
-A micro-batch hands one market's rows of that micro-batch to one call, so
-the group size is bounded by the trigger size (``maxFilesPerTrigger``),
-not by history.  Output columns equal ``operators.snapshots.snapshots_dense``.
+"""Streaming dense snapshots: landed feed rows -> one row per market per
+completed interval boundary, with nothing lost.
+
+The stream's rows are canonical events, drop notices and clock ticks
+(``feed_rows``).  Each micro-batch is folded with the batch operator's own
+DataFrame code (``foreachBatch``), never row by row:
+
+1. rows are aggregated per (market, boundary), map-side first; a row that
+   arrives late, for a boundary already emitted, counts in the open one;
+2. the aggregate is merged with the state, one row per market: the open
+   boundary's counters, the carried gauges and the order keys of both;
+3. the clock is the latest arrival of any feed row, so every market of the
+   universe -- idle, or never seen -- emits every boundary up to the clock;
+4. completed boundaries are written, the open one becomes the next state.
+
+State and output of a micro-batch are folders named by its number and are
+overwritten when Spark replays it after a failure, so a replay leaves the
+same data.  A restart resumes from the checkpoint and the last state.
+``flush`` emits the boundary that is still open when a feed has ended.
 """
 
 from __future__ import annotations
 
-import json
-import math
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from marketfold.functions import constants as C
-from marketfold.operators.snapshots import GAUGE_NAMES, finalize_snapshots
-
-_COUNTERS = ("msg_count_1s", "trade_count_1s", "book_update_count_1s")
-_STR_GAUGES = {"last_trade_side", "slug", "condition_id"}
-_INT_GAUGES = {"bucket_start_ts", "last_event_us"}
-
-STATE_SCHEMA = T.StructType([T.StructField("next_t", T.LongType()), T.StructField("blob", T.StringType())])
-OUT_SCHEMA = T.StructType(
-    [T.StructField("market_key", T.StringType()), T.StructField("m_venue", T.StringType()),
-     T.StructField("snap_ts", T.LongType())]
-    + [T.StructField(c, T.LongType()) for c in _COUNTERS]
-    + [T.StructField(g, T.StringType() if g in _STR_GAUGES else (T.LongType() if g in _INT_GAUGES else T.DoubleType()))
-       for g in GAUGE_NAMES])
-
-
-def _gauge_inputs(pdf: pd.DataFrame, venue: str) -> dict[str, pd.Series]:
-    """Per-row candidate value of every gauge (NaN/None where the row does
-    not set it), mirroring the batch gauge table."""
-    kind = pdf["kind"].fillna("").str.lower()
-    side_t = pdf["side"].fillna("")
-    side_n = side_t.str.lower()
-    spot, pred = venue == C.SPOT_VENUE, venue == C.PREDICTION_VENUE
-    trade, meta = kind == "trade", kind == "meta"
-    event = ~meta
-    yes, no = side_n == "yes", side_n == "no"
-    none = pd.Series([None] * len(pdf), index=pdf.index, dtype="object")
-
-    def pick(v, cond):
-        if isinstance(cond, bool):
-            cond = pd.Series([cond] * len(pdf), index=pdf.index)
-        return v.where(cond & v.notna())
-
-    ltp = pdf["price"].where(trade, pdf["last_trade_px"])
-    slug_ok = meta | (pdf["slug"].fillna("") != "")
-    cond_ok = meta | (pdf["condition_id"].fillna("") != "")
-    arrival = pdf["event_us"].where(pdf["event_us"].notna(), pdf["recv_s"] * 1_000_000)
-    return {
-        "best_bid": pick(pdf["bid"], spot & event), "best_ask": pick(pdf["ask"], spot & event),
-        "last_trade_px": pick(ltp, spot & event), "last_trade_size": pick(pdf["size"], spot & trade),
-        "last_trade_side": pick(side_t.str.upper(), spot & trade) if spot else none,
-        "yes_best_bid": pick(pdf["bid"], pred & event & yes), "yes_best_ask": pick(pdf["ask"], pred & event & yes),
-        "no_best_bid": pick(pdf["bid"], pred & event & no), "no_best_ask": pick(pdf["ask"], pred & event & no),
-        "last_trade_px_yes": pick(pdf["price"], pred & trade & yes),
-        "last_trade_px_no": pick(pdf["price"], pred & trade & no),
-        "slug": pick(pdf["slug"], pred & slug_ok) if pred else none,
-        "bucket_start_ts": pick(pdf["bucket_start_ts"], pred) if pred else none,
-        "condition_id": pick(pdf["condition_id"], pred & cond_ok) if pred else none,
-        "last_event_us": pick(arrival, event),
-    }
-
-
-def _clean(v):
-    if v is None:
-        return None
-    if isinstance(v, float) and math.isnan(v):
-        return None
-    if hasattr(v, "item"):
-        return v.item()
-    return v
-
-
-def make_fold(interval_s: int):
-    """Vectorised per-market fold over one micro-batch: per-boundary
-    counters and last values come from one pandas groupby per column, the
-    carry is a forward fill seeded with the state; only completed
-    boundaries are emitted, the open one stays in the state."""
-    i = int(interval_s)
-    cols = [f.name for f in OUT_SCHEMA.fields]
-
-    def rows_for(market, venue, start, stop, counts, gauges, seed):
-        """Dense rows for boundaries start, start+i, ... < stop."""
-        if stop <= start:
-            return None
-        idx = pd.RangeIndex(start, stop, i)
-        out = pd.DataFrame({"market_key": market, "m_venue": venue, "snap_ts": idx.values})
-        for c in _COUNTERS:
-            out[c] = counts[c].reindex(idx, fill_value=0).values if counts is not None else 0
-        for g in GAUGE_NAMES:
-            ser = gauges[g].reindex(idx) if gauges is not None else pd.Series([None] * len(idx), index=idx, dtype="object")
-            ser = ser.astype("object").where(ser.notna(), None)
-            if seed.get(g) is not None and (len(ser) == 0 or ser.iloc[0] is None):
-                ser.iloc[0] = seed[g]
-            out[g] = ser.ffill().values
-        return out
-
-    def fold(key, pdfs, state):
-        market = key[0]
-        if state.exists:
-            next_t, blob = state.get
-            st = json.loads(blob)
-        else:
-            next_t, st = None, {"venue": None, "counts": [0, 0, 0], "g": {g: None for g in GAUGE_NAMES}}
-        wm_ms = state.getCurrentWatermarkMs()
-        parts = []
-        if not state.hasTimedOut:
-            pdf = pd.concat(list(pdfs), ignore_index=True)
-            if len(pdf):
-                pdf = pdf.sort_values(["seq", "pos"], kind="mergesort").reset_index(drop=True)
-                st["venue"] = st["venue"] or str(pdf["m_venue"].iloc[0])
-                b = pdf["recv_s"] - pdf["recv_s"] % i + i
-                kind = pdf["kind"].fillna("").str.lower()
-                ev = kind != "meta"
-                counts = pd.DataFrame({
-                    "msg_count_1s": ev.astype("int64"), "trade_count_1s": (ev & (kind == "trade")).astype("int64"),
-                    "book_update_count_1s": (ev & kind.isin(list(C.BOOK_KINDS))).astype("int64"), "b": b}).groupby("b").sum()
-                cand = _gauge_inputs(pdf, st["venue"])
-                gauges = {g: cand[g].groupby(b).last() for g in GAUGE_NAMES}
-                start = int(b.iloc[0]) if next_t is None else int(next_t)
-                last = int(b.iloc[-1])
-                # the open interval's counters join the first boundary
-                if next_t is not None:
-                    if start not in counts.index:
-                        counts.loc[start] = 0
-                    for n, c in enumerate(_COUNTERS):
-                        counts.loc[start, c] = int(counts.loc[start, c]) + st["counts"][n]
-                    counts = counts.sort_index().astype("int64")
-                dense = rows_for(market, st["venue"], start, last + i, counts, gauges, st["g"])
-                done = dense[dense["snap_ts"] < last]
-                if len(done):
-                    parts.append(done)
-                tail = dense.iloc[-1]
-                next_t = last
-                st["counts"] = [int(tail[c]) for c in _COUNTERS]
-                st["g"] = {g: _clean(tail[g]) for g in GAUGE_NAMES}
-        if next_t is not None and wm_ms > 0 and next_t <= wm_ms // 1000:
-            # boundaries the watermark has passed: the open one, then idle ones
-            stop = (wm_ms // 1000) - ((wm_ms // 1000) - next_t) % i + i
-            first = pd.DataFrame({c: [st["counts"][n]] for n, c in enumerate(_COUNTERS)}, index=[next_t])
-            parts.append(rows_for(market, st["venue"], next_t, stop, first, None, st["g"]))
-            next_t = stop
-            st["counts"] = [0, 0, 0]
-        if next_t is not None:
-            state.update((next_t, json.dumps(st)))
-            state.setTimeoutTimestamp(max(next_t * 1000, wm_ms + 1))
-        if parts:
-            out = pd.concat(parts, ignore_index=True)[cols]
-            for c in ("snap_ts", *_COUNTERS, *_INT_GAUGES):
-                out[c] = pd.array([None if v is None or (isinstance(v, float) and math.isnan(v)) else int(v) for v in out[c]],
-                                  dtype="Int64")
-            yield out
-        else:
-            yield pd.DataFrame({c: [] for c in cols})
-
-    return fold
-
-
-def stream_snapshots(events: DataFrame, markets: DataFrame, interval_s: int, delay: str = "0 seconds") -> DataFrame:
-    """Streaming dense snapshots (append mode) with the batch output schema."""
-    mk = markets.select("market_key", F.col("venue").alias("m_venue"))
-    ev = events.join(mk, "market_key", "inner").withColumn("recv_ts", F.timestamp_seconds(F.col("recv_s")))
-    ev = ev.withWatermark("recv_ts", delay).select(
-        "market_key", "m_venue", "seq", "pos", "recv_s", "recv_ts", "kind", "event_us", "bid", "ask", "price", "last_trade_px",
-        "size", "side", "slug", "bucket_start_ts", "condition_id")
-    raw = ev.groupBy("market_key").applyInPandasWithState(
-        make_fold(interval_s), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    raw = raw.withColumn("dropped_raw", F.lit(None).cast("bigint"))
-    return finalize_snapshots(raw, {g: F.col(g) for g in GAUGE_NAMES}, interval_s)
+
+from marketfold.operators.canonical import CANONICAL_SCHEMA
+from marketfold.operators.snapshots import GAUGE_NAMES, block_seconds, densify, finalize_snapshots, interval_aggregates
+
+FEED_SCHEMA = T.StructType([*CANONICAL_SCHEMA.fields, T.StructField("row_type", T.StringType()), T.StructField("n", T.LongType())])
+_COUNTERS = ("msg_count_1s", "trade_count_1s", "book_update_count_1s", "dropped_raw")
+_ORDERS = tuple(f"{g}__o" for g in GAUGE_NAMES)
+
+
+def feed_rows(events: DataFrame, drops: DataFrame | None = None, ticks: DataFrame | None = None) -> DataFrame:
+    """Events (canonical), drop notices (market_key, recv_s, n) and clock
+    ticks (recv_s) as rows of one feed."""
+    rows = events.withColumn("row_type", F.lit("e"))
+    if drops is not None:
+        rows = rows.unionByName(drops.select("market_key", "recv_s", F.col("n").cast("bigint"), F.lit("d").alias("row_type")), allowMissingColumns=True)
+    if ticks is not None:
+        rows = rows.unionByName(ticks.select("recv_s", F.lit("t").alias("row_type")), allowMissingColumns=True)
+    if "n" not in rows.columns:
+        rows = rows.withColumn("n", F.lit(None).cast("bigint"))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in FEED_SCHEMA.fields])
+
+
+class SnapshotStream:
+    """Streaming snapshots under ``root`` (a folder all executors share):
+    ``state/batch=<n>``, ``out/batch=<n>`` and Spark's own ``checkpoint``."""
+
+    def __init__(self, spark: SparkSession, markets: DataFrame, interval_s: int, root: str):
+        self.spark, self.markets, self.interval_s, self.root = spark, markets, int(interval_s), root.rstrip("/")
+
+    # -- state ----------------------------------------------------------------
+
+    def _versions(self) -> list[int]:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/state")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            return []
+        names = [s.getPath() for s in fs.listStatus(path)]
+        done = [p for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return sorted(int(p.getName().split("=")[1]) for p in done)
+
+    def _state_before(self, batch: int) -> DataFrame | None:
+        older = [v for v in self._versions() if v < batch]
+        return self.spark.read.parquet(f"{self.root}/state/batch={older[-1]}") if older else None
+
+    # -- one micro-batch ---------------------------------------------------------
+
+    def fold(self, rows: DataFrame, batch: int) -> None:
+        """Fold the rows of micro-batch ``batch`` into output and state."""
+        i, state = self.interval_s, self._state_before(batch)
+        opened = state.agg(F.max("snap_ts")).first()[0] if state is not None else None
+        span = rows.agg(F.min("recv_s").alias("lo"), F.max("recv_s").alias("hi")).first()
+        if span["hi"] is None:
+            return
+        clock = int(span["hi"]) - int(span["hi"]) % i + i
+        lo = int(opened) if opened is not None else int(span["lo"]) - int(span["lo"]) % i + i
+        clock = max(clock, lo)
+        new = interval_aggregates(rows.filter("row_type = 'e'"), self.markets, i, rows.filter("row_type = 'd'"), not_before=lo, with_order=True)
+        merged = self._merge(new, state)
+        dense = densify(merged, self.markets, lo, clock, i, (*GAUGE_NAMES, *_ORDERS))
+        # One evaluation: the open boundary is the state, the others go out.
+        dense.write.mode("overwrite").parquet(f"{self.root}/dense/batch={batch}")
+        dense = self.spark.read.parquet(f"{self.root}/dense/batch={batch}")
+        self._emit(dense.filter(F.col("snap_ts") < clock), batch)
+        dense.filter(F.col("snap_ts") == clock).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/state/batch={batch}")
+
+    def _merge(self, new: DataFrame, state: DataFrame | None) -> DataFrame:
+        if state is None:
+            return new
+        both = new.unionByName(state.withColumn("block", F.floor(F.col("snap_ts") / F.lit(block_seconds(self.interval_s))).cast("bigint")))
+        return both.groupBy("market_key", "m_venue", "block", "snap_ts").agg(
+            *[F.sum(c).alias(c) for c in _COUNTERS],
+            *[F.max_by(g, F.when(F.col(g).isNotNull(), F.col(f"{g}__o"))).alias(g) for g in GAUGE_NAMES],
+            *[F.max(o).alias(o) for o in _ORDERS])
+
+    def _emit(self, dense: DataFrame, batch: int | str) -> None:
+        out = finalize_snapshots(dense, {g: F.col(g) for g in GAUGE_NAMES}, self.interval_s)
+        out.write.mode("overwrite").parquet(f"{self.root}/out/batch={batch}")
+
+    # -- running ---------------------------------------------------------------
+
+    def start(self, feed: DataFrame, **trigger):
+        """Run the streaming frame ``feed`` (FEED_SCHEMA)."""
+        return feed.writeStream.foreachBatch(self.fold).option("checkpointLocation", f"{self.root}/checkpoint") \
+                   .trigger(**(trigger or {"availableNow": True})).start()
+
+    def flush(self) -> None:
+        """Emit the open boundary of an ended feed."""
+        versions = self._versions()
+        if versions:
+            self._emit(self.spark.read.parquet(f"{self.root}/state/batch={versions[-1]}"), "end")
+
+    def output(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/out").drop("batch")
+
+
+def slices(feed: DataFrame, n: int) -> list[DataFrame]:
+    """The feed cut into ``n`` parts by arrival (a replay in landing order)."""
+    span = feed.agg(F.min("recv_s").alias("lo"), F.max("recv_s").alias("hi")).first()
+    if span["lo"] is None:
+        return [feed]
+    step = max(1, -(-(span["hi"] - span["lo"] + 1) // n))
+    part = F.floor((F.col("recv_s") - F.lit(span["lo"])) / F.lit(step))
+    return [feed.filter(part == k) for k in range(n)]
