@@ -49,7 +49,8 @@ def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pitman_yor.report(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return pitman_yor.report(docs, blocks=pitman_yor.file_blocks(docs))
 
 
 def op9_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
