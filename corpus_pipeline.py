@@ -9,47 +9,63 @@ the token files in that order (file number, then row of the file).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketfold.llm import bbit_minhash, curriculum, decontam, pfor_tokens, quality_votes
 from marketfold.llm.common import table
 from marketfold.llm.queries import vocabulary_path
-from marketfold.session import cut_lineage, ensure_session_defaults, ship_package
+from marketfold.session import cut_lineage, cuts, drop_cuts, ensure_session_defaults, ship_package
+
+
+# By application: tables that the last stage wrote for itself.  Its result has
+# been written when the next stage starts, so they are deleted then.
+_scratch: dict[str, list[str]] = {}
 
 
-def _ready(spark: SparkSession) -> None:
-    ensure_session_defaults(spark)
-    ship_package(spark)
+def _stage(function):
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ensure_session_defaults(spark)
+        ship_package(spark)
+        app = spark.sparkContext.applicationId
+        drop_cuts(spark, _scratch.pop(app, []))
+        before = len(cuts(spark))
+        out = function(spark, docs, sf_dir)
+        _scratch[app] = cuts(spark)[before:]
+        return out
+    return run_stage
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the vote model reject go."""
-    _ready(spark)
     return quality_votes.keep_good(docs)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, 0.8)."""
-    _ready(spark)
     return bbit_minhash.keep_one(docs, k=5, similarity=0.8)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages over the coverage limit go."""
-    _ready(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per take of a document, in training order."""
-    _ready(spark)
     return curriculum.mix(docs)
 
 
+@_stage
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of the rows read; per row its place in them."""
-    _ready(spark)
     file = F.col("_metadata.file_name")
     ordered = docs.select("doc_id", "text", F.regexp_extract(file, r"part-(\d+)", 1).try_cast("long").alias("_part"),
                           file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
@@ -66,7 +82,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, kept = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if kept:
+            drop_cuts(spark, [kept])
+        kept = cuts(spark)[-1]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -53,7 +53,7 @@ class WordHashes(dict):
     """64-bit hash of a word, remembered; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -168,10 +168,10 @@ MARGIN = 0.17
 # A family holds what is this near its head; what may be 1 - similarity nearer
 # to such a member than to the head (and noise) also meets the bucket's rest.
 FAMILY, FAMILY_REST = 0.30, 0.60
-BLOCK_DOCS, BLOCK_BYTES = 2000, 8_000_000
+BLOCK_DOCS, BLOCK_BYTES = 1000, 4_000_000
 
 
-def linked_forest(sets: list[np.ndarray], threshold: int, columns: int = 4096) -> list[tuple[int, int]]:
+def linked_forest(sets: list[np.ndarray], threshold: int, columns: int = 2048) -> list[tuple[int, int]]:
     """Spanning forest (child, parent) of the link graph of some shingle sets.
 
     Intersections of all pairs are counted by products of 0/1 matrices over

@@ -142,7 +142,7 @@ class VoteModel:
 PRIOR_GOOD, PRIOR_ON_GOOD, PRIOR_ON_BAD = 0.85, (0.01, 0.09, 0.90), (0.25, 0.15, 0.60)
 
 
-def fit_votes(patterns: DataFrame, n_rules: int, rounds: int = 25, tolerance: float = 1e-6, strength: float = 0.02) -> VoteModel:
+def fit_votes(patterns: DataFrame, n_rules: int, rounds: int = 12, tolerance: float = 1e-4, strength: float = 0.02) -> VoteModel:
     """EM over the table (v array<int>, n long) of vote patterns.
 
     Each round is one aggregation of that small table: the posterior of every
