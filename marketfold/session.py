@@ -84,9 +84,28 @@ def cut_lineage(df: DataFrame, name: str = "stage", settings: dict[str, str] | N
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
     with conf_scope(df.sparkSession, settings or {}):
         df.write.mode("overwrite").parquet(path)
+    cuts(df.sparkSession).append(path)
     return df.sparkSession.read.parquet(path)
 
 
+_CUTS: dict[str, list[str]] = {}
+
+
+def cuts(spark: SparkSession) -> list[str]:
+    """Paths of the tables that ``cut_lineage`` has written in this application."""
+    return _CUTS.setdefault(spark.sparkContext.applicationId, [])
+
+
+def drop_cuts(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some of them: tables that nothing still to be computed reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    gone = set(paths)
+    cuts(spark)[:] = [p for p in cuts(spark) if p not in gone]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and control tables.
 
@@ -122,6 +141,7 @@ def release_cuts(spark: SparkSession) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/tables")
     path.getFileSystem(conf).delete(path, True)
+    cuts(spark).clear()
 
 
 def ship_package(spark: SparkSession) -> None:
