@@ -24,24 +24,12 @@ DATE_DIR_RE = "^\\d{4}-\\d{2}-\\d{2}$"
 # Default slug bucket width (seconds) and sizing targets.
 SLUG_BUCKET_SECONDS = 300
 SIZE_TARGET_MB_PER_DAY = 5.0
-ROTATE_THRESHOLD_BYTES = 3_800_000
 INGEST_BATCH_SIZE = 250
-HEARTBEAT_TIMEOUT_SECONDS = 120
 
-# Market universe as rows: (market_key, venue, symbol or product).
+# The market universe as rows: (market_key, venue, symbol or product).
 MARKETS = (
     ("cb-btcusd", SPOT_VENUE, "BTC-USD"),
     ("cb-ethusd", SPOT_VENUE, "ETH-USD"),
     ("pm-btc", PREDICTION_VENUE, "btc"),
     ("pm-eth", PREDICTION_VENUE, "eth"),
 )
-
-# Silver column order (schema contract).
-SILVER_COLUMNS = (
-    "snapshot_date", "source", "market", "snapshot_hour", "ts_utc", "last_event_ts_utc",
-    "bucket_start_ts_utc", "snapshot_interval_s", "msg_count_1s", "trade_count_1s",
-    "book_update_count_1s", "dropped_events_1s", "stale_ms", "best_bid", "best_ask", "mid",
-    "spread_bps", "last_trade_px", "last_trade_size", "last_trade_side", "slug", "condition_id",
-    "yes_best_bid", "yes_best_ask", "yes_mid", "no_best_bid", "no_best_ask", "no_mid",
-    "last_trade_px_yes", "last_trade_px_no",
-)

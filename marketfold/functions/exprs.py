@@ -74,23 +74,12 @@ def compute_spread_bps(bid, ask) -> Column:
 
 # --- time -------------------------------------------------------------------
 
-def epoch_seconds(ts) -> Column:
-    """TIMESTAMP / TIMESTAMP_NTZ -> epoch seconds as DOUBLE (microsecond exact)."""
-    return F.unix_micros(col_(ts).cast("timestamp")) / F.lit(1_000_000.0)
-
 
 def epoch_whole_seconds(ts) -> Column:
     """TIMESTAMP / TIMESTAMP_NTZ -> floor(epoch seconds) as BIGINT."""
     return F.floor(F.unix_micros(col_(ts).cast("timestamp")) / F.lit(1_000_000)).cast("bigint")
 
 
-def ts_floor(ts, window) -> Column:
-    """Floor an integer epoch to a window; ``pmod`` keeps Python's floor
-    semantics for negative values.  A window <= 0 leaves ts unchanged."""
-    w = window if isinstance(window, Column) else F.lit(int(window))
-    return F.when(w > 0, col_(ts) - F.pmod(col_(ts), w)).otherwise(col_(ts))
-
-
 def iso_utc(ts) -> Column:
     """Python ``datetime.isoformat()`` of a UTC instant:
     ``YYYY-MM-DDTHH:MM:SS[.ffffff]+00:00`` (fraction only when non-zero)."""
@@ -115,20 +104,12 @@ def iso_utc_from_micros(us) -> Column:
     return F.when(col_(us).isNotNull(), iso_utc(F.timestamp_micros(col_(us).cast("bigint"))))
 
 
-def utc_stamp_z(ts) -> Column:
-    """Seconds precision with ``Z`` suffix (control-record ``produced_at``)."""
-    return F.date_format(col_(ts).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
 def compact_stamp(ts) -> Column:
     """``YYYYMMDDTHHMMSSZ`` used in rotated file names."""
     return F.date_format(col_(ts).cast("timestamp"), "yyyyMMdd'T'HHmmss'Z'")
 
 
-def utc_date(ts) -> Column:
-    return F.date_format(col_(ts).cast("timestamp"), "yyyy-MM-dd")
-
-
+_ISO_COMPACT = "^\\d{8}([T ]\\d{4}(\\d{2}([.,]\\d+)?)?)?(Z|[+-]\\d{2}:?\\d{2})?$"
 _ISO_PREFIX = "^\\s*\\d{4}-\\d{2}-\\d{2}"
 
 
@@ -136,8 +117,12 @@ def parse_iso8601(c) -> Column:
     """ISO-8601 text -> TIMESTAMP (``Z`` accepted, naive text read as UTC
     because every session runs in UTC); anything else -> NULL."""
     s = strip_ws(col_(c).cast("string"))
-    return F.when(s.rlike(_ISO_PREFIX + "([T ]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?(Z|[+-]\\d{2}:?\\d{2})?$"),
-                  s.try_cast("timestamp"))
+    s = F.when(s.rlike(_ISO_COMPACT), F.regexp_replace(F.regexp_replace(
+        s, "^(\\d{4})(\\d{2})(\\d{2})", "$1-$2-$3"), "([T ]\\d{2})(\\d{2})(\\d{2})?(?=[.Z+-]|$)", "$1:$2:$3")).otherwise(s)
+    s = F.regexp_replace(s, "([T ]\\d{2}:\\d{2}):(?=[.Z+-]|$)", "$1")
+    s = F.regexp_replace(s, "([T ]\\d{2})(?=Z|[+-]|$)", "$1:00")
+    return F.when(s.rlike(_ISO_PREFIX + "([T ]\\d{2}:\\d{2}(:\\d{2}([.,]\\d+)?)?)?(Z|[+-]\\d{2}:?\\d{2})?$"),
+                  F.regexp_replace(s, ",", ".").try_cast("timestamp"))
 
 
 def parse_heartbeat_time(c) -> Column:
@@ -157,28 +142,45 @@ def parse_heartbeat_time(c) -> Column:
 
 # --- silver coercions ---------------------------------------------------------
 
-def silver_text(c) -> Column:
-    return blank_to_null(c)
+# ``c`` is a JSON value's text, ``kind`` what it was: s(tring), n(umber), b(oolean).
+
+def _as_number(c, kind, text_rule) -> Column:
+    """Number as is, boolean as 1 / 0, text by its rule."""
+    return (F.when(kind == "n", col_(c).try_cast("double"))
+             .when(kind == "b", F.when(F.lower(col_(c)) == "true", 1.0).otherwise(0.0))
+             .when(kind == "s", text_rule))
 
 
-def silver_float(c) -> Column:
+def silver_text(c, kind) -> Column:
+    return F.when(kind == "b", F.initcap(col_(c))).otherwise(blank_to_null(c))
+
+
+def silver_float(c, kind) -> Column:
     # the cast itself trims whitespace and maps blank text to NULL
-    return coerce_float(c)
+    return _as_number(c, kind, coerce_float(c))
 
 
-def silver_int(c, default: int | None = 0) -> Column:
-    v = coerce_int(c)
-    return F.coalesce(v, F.lit(default).cast("bigint")) if default is not None else v
+def silver_int(c, kind, default: int | None = 0) -> Column:
+    """Numbers cut to whole ones; text only if it is a whole number (digits
+    may be grouped by ``_``)."""
+    s = strip_ws(col_(c))
+    text = F.when(s.rlike("^[+-]?\\d+(_\\d+)*$"), F.regexp_replace(s, "_", "").try_cast("bigint"))
+    whole = F.when(kind == "s", text).when(kind == "n", F.coalesce(col_(c).try_cast("bigint"), col_(c).try_cast("double").try_cast("bigint"))).when(
+        kind == "b", _as_number(c, kind, F.lit(None)).cast("bigint"))
+    return F.coalesce(whole, F.lit(default).cast("bigint")) if default is not None else whole
 
 
-def silver_timestamp(c) -> Column:
-    """Text -> UTC TIMESTAMP: ISO date-time (naive = UTC), else NULL."""
-    return parse_iso8601(blank_to_null(c))
+def silver_timestamp(c, kind) -> Column:
+    """Number: epoch seconds.  Text: ISO date-time (naive = UTC), else NULL."""
+    return F.when(kind == "s", parse_iso8601(blank_to_null(c))).otherwise(_micros_time(_as_number(c, kind, F.lit(None).cast("double"))))
 
 
-def silver_epoch_seconds(c) -> Column:
+def silver_epoch_seconds(c, kind) -> Column:
     """Float-parsable epoch seconds -> TIMESTAMP (within year 1..9999)."""
-    e = silver_float(c)
+    return _micros_time(silver_float(c, kind))
+
+
+def _micros_time(e) -> Column:
     ok = (e >= F.lit(-62135596800.0)) & (e < F.lit(253402300800.0))
     return F.when(ok, F.timestamp_micros(F.round(e * F.lit(1_000_000.0)).cast("bigint")))
 
@@ -191,6 +193,30 @@ def projected_daily_bytes(bytes_so_far, elapsed_seconds) -> Column:
     return F.when(e <= 0, b).otherwise(b / e * F.lit(86400.0))
 
 
+def sanitize_metric_name(c) -> Column:
+    return F.regexp_replace(col_(c), "[^a-zA-Z0-9_:]", "_")
+
+
+def sanitize_label_name(c) -> Column:
+    return F.regexp_replace(col_(c), "[^a-zA-Z0-9_]", "_")
+
+
+def epoch_seconds(ts) -> Column:
+    """TIMESTAMP / TIMESTAMP_NTZ -> epoch seconds as DOUBLE (microsecond exact)."""
+    return F.unix_micros(col_(ts).cast("timestamp")) / F.lit(1_000_000.0)
+
+
+def ts_floor(ts, window) -> Column:
+    """Floor an integer epoch to a window; ``pmod`` keeps Python's floor
+    semantics for negative values.  A window <= 0 leaves ts unchanged."""
+    w = window if isinstance(window, Column) else F.lit(int(window))
+    return F.when(w > 0, col_(ts) - F.pmod(col_(ts), w)).otherwise(col_(ts))
+
+
+def utc_date(ts) -> Column:
+    return F.date_format(col_(ts).cast("timestamp"), "yyyy-MM-dd")
+
+
 def clean_path(c) -> Column:
     """Backslashes -> '/', each segment trimmed, empty segments dropped."""
     parts = F.split(F.regexp_replace(col_(c).cast("string"), "\\\\", "/"), "/")
@@ -234,14 +260,7 @@ def mask_addr(c) -> Column:
     return F.when(F.length(t) <= 10, t).otherwise(F.concat(F.substring(t, 1, 6), F.lit("..."), F.substring(t, -4, 4)))
 
 
-def compact_text(c, max_len: int = 1200) -> Column:
-    t = col_(c).cast("string")
+def compact_json(c, max_len: int = 1200) -> Column:
+    """A struct, map or array as compact JSON, cut to ``max_len`` with ``...``."""
+    t = F.to_json(col_(c))
     return F.when(F.length(t) <= max_len, t).otherwise(F.concat(F.substring(t, 1, max_len - 3), F.lit("...")))
-
-
-def sanitize_metric_name(c) -> Column:
-    return F.regexp_replace(col_(c), "[^a-zA-Z0-9_:]", "_")
-
-
-def sanitize_label_name(c) -> Column:
-    return F.regexp_replace(col_(c), "[^a-zA-Z0-9_]", "_")

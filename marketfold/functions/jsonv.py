@@ -37,11 +37,6 @@ def is_string(v: Column) -> Column:
     return F.coalesce(vtype(v) == "STRING", F.lit(False))
 
 
-def is_number(v: Column) -> Column:
-    t = vtype(v)
-    return F.coalesce(t.isin(*_NUMERIC) | t.startswith("DECIMAL"), F.lit(False))
-
-
 def as_array(v: Column) -> Column:
     """ARRAY<VARIANT> when ``v`` is a JSON list, else NULL."""
     return F.when(is_array(v), F.try_variant_get(v, "$", "array<variant>"))
@@ -80,11 +75,6 @@ def to_text(v: Column) -> Column:
     return F.when(truthy(v), F.try_variant_get(v, "$", "string")).otherwise(F.lit(""))
 
 
-def text_norm(v: Column, upper: bool = False) -> Column:
-    s = strip_ws(to_text(v))
-    return F.upper(s) if upper else F.lower(s)
-
-
 # --- column-materialising API (hot paths) ------------------------------------
 # ``extract`` adds one VARIANT column and one kind column per JSON path, so
 # every path is navigated and typed once per row; the pair helpers below
@@ -111,10 +101,6 @@ def pair(name: str) -> tuple[Column, Column, Column]:
     return F.col(name), F.col(f"{name}__t"), F.col(f"{name}__ok")
 
 
-def p_truthy(p) -> Column:
-    return p[2]
-
-
 def p_first(*pairs) -> tuple[Column, Column, Column]:
     """Python ``a or b or c`` over extracted pairs -> (value, kind, truthy).
     Conditions are the precomputed truthiness columns, so the CASE chains
@@ -144,10 +130,6 @@ def p_norm(p, upper: bool = False) -> Column:
     return F.upper(s) if upper else F.lower(s)
 
 
-def p_is_object(p) -> Column:
-    return F.coalesce(p[1].startswith("OBJECT"), F.lit(False))
-
-
 def p_is_array(p) -> Column:
     return F.coalesce(p[1].startswith("ARRAY"), F.lit(False))
 

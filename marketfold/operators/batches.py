@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
+from marketfold.functions.exprs import parse_iso8601, strip_ws, utc_date
 
 
 def snapshot_row_json(snapshots: DataFrame) -> DataFrame:
@@ -105,12 +106,12 @@ def validate_batches(batched: DataFrame, declared_source: str = "declared_source
     """Homogeneity check per batch: every row must carry the batch's source
     and market.  Output: (batch_id, source, market, row_count, status,
     error) with the first offending row (in batch order) in the message."""
-    bad = (F.trim(F.coalesce(F.col("venue"), F.lit(""))) != F.col(declared_source)) | \
-          (F.trim(F.coalesce(F.col("market_key"), F.lit(""))) != F.col(declared_market))
+    bad = (strip_ws(F.coalesce(F.col("venue"), F.lit(""))) != F.col(declared_source)) | \
+          (strip_ws(F.coalesce(F.col("market_key"), F.lit(""))) != F.col(declared_market))
     agg = batched.groupBy("batch_id", F.col(declared_source).alias("source"), F.col(declared_market).alias("market")).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.min_by(F.struct(F.trim(F.coalesce(F.col("venue"), F.lit(""))).alias("s"),
-                          F.trim(F.coalesce(F.col("market_key"), F.lit(""))).alias("m")),
+        F.min_by(F.struct(strip_ws(F.coalesce(F.col("venue"), F.lit(""))).alias("s"),
+                          strip_ws(F.coalesce(F.col("market_key"), F.lit(""))).alias("m")),
                  F.when(bad, F.col("rn"))).alias("first_bad"))
     err = F.when(F.col("first_bad").isNotNull(), F.concat(
         F.lit("mixed_snapshot_batch_detected:expected_source="), F.col("source"),
@@ -119,3 +120,24 @@ def validate_batches(batched: DataFrame, declared_source: str = "declared_source
     return agg.select("batch_id", "source", "market", "row_count",
                       F.when(err.isNull(), F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
                       err.alias("error"))
+
+
+def batch_defaults(envelopes: DataFrame) -> DataFrame:
+    """Envelope fields (batch_id, source, market, snapshot_date, first_row,
+    row_count; any of them blank) with their defaults: the first row's venue,
+    market and date, else ``unknown`` and today.  A batch without rows is
+    ``skipped``, one without an id is an ``error``.  ``first_row``: struct of
+    venue, market_key, ts_utc."""
+    def text(c):
+        return strip_ws(F.coalesce(c, F.lit("")))
+
+    def first_of(*columns):
+        return F.coalesce(*[F.when(text(c) != "", text(c)) for c in columns])
+    own_date = utc_date(parse_iso8601(F.col("first_row.ts_utc")))
+    today = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
+    status = F.when(F.coalesce("row_count", F.lit(0)) == 0, F.lit("skipped")).when(text(F.col("batch_id")) == "", F.lit("error")).otherwise(F.lit("accepted"))
+    return envelopes.select(
+        text(F.col("batch_id")).alias("batch_id"), F.coalesce(first_of(F.col("source"), F.col("first_row.venue")), F.lit("unknown")).alias("source"),
+        F.coalesce(first_of(F.col("market"), F.col("first_row.market_key")), F.lit("unknown")).alias("market"),
+        F.coalesce(first_of(F.col("snapshot_date")), own_date, today).alias("snapshot_date"), "row_count", status.alias("status"),
+        F.when(status == "error", F.lit("batch_id_required")).alias("error"))

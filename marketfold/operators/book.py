@@ -23,6 +23,8 @@ chunk start.
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -180,33 +182,47 @@ FOLD_SCHEMA = T.StructType([
 ])
 
 
+class _Side:
+    """One side of a book: sizes by price, and a heap whose dead entries are
+    dropped when they come to its top."""
+
+    def __init__(self, sign: int):
+        self.sign, self.sizes, self.heap = sign, {}, []
+
+    def put(self, price: float, size: float) -> None:
+        if price not in self.sizes:
+            heapq.heappush(self.heap, self.sign * price)
+        self.sizes[price] = size
+
+    def clear(self) -> None:
+        self.sizes, self.heap = {}, []
+
+    def best(self):
+        while self.heap and self.sign * self.heap[0] not in self.sizes:
+            heapq.heappop(self.heap)
+        return self.sign * self.heap[0] if self.heap else None
+
+
 def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
     """Sequential book fold inside one (product, chunk) group."""
     pdf = pdf.sort_values(["kind_order", "seq", "i", "phase", "j"], kind="mergesort")
-    books = {"bid": {}, "ask": {}}
-    out_seq, out_i, out_b, out_a = [], [], [], []
-    for row in pdf.itertuples(index=False):
-        if row.kind == "init":
-            books[row.side][row.price] = row.size
-        elif row.kind == "reset":
-            books[row.side].clear()
-        elif row.kind == "level":
-            if row.size > 0:
-                books[row.side][row.price] = row.size
-            else:
-                books[row.side].pop(row.price, None)
-        else:
-            b = max(books["bid"]) if books["bid"] else None
-            a = min(books["ask"]) if books["ask"] else None
+    books = {"bid": _Side(-1), "ask": _Side(1)}
+    out = []
+    for kind, side, price, size, seq, i in zip(*(pdf[c].tolist() for c in ("kind", "side", "price", "size", "seq", "i"))):
+        if kind == "mark":
+            b, a = books["bid"].best(), books["ask"].best()
             if b is not None or a is not None:
-                out_seq.append(row.seq)
-                out_i.append(row.i)
-                out_b.append(b)
-                out_a.append(a)
+                out.append((seq, i, b, a))
+        elif kind == "reset":
+            books[side].clear()
+        elif size > 0:
+            books[side].put(price, size)
+        else:
+            books[side].sizes.pop(price, None)
+    seqs, places, bids, asks = zip(*out) if out else ((), (), (), ())
     product = pdf["product"].iloc[0] if len(pdf) else None
-    return pd.DataFrame({"product": [product] * len(out_seq), "seq": pd.Series(out_seq, dtype="int64"),
-                         "i": pd.Series(out_i, dtype="int32"), "bid": pd.Series(out_b, dtype="float64"),
-                         "ask": pd.Series(out_a, dtype="float64")})
+    return pd.DataFrame({"product": [product] * len(out), "seq": pd.Series(seqs, dtype="int64"), "i": pd.Series(places, dtype="int32"),
+                         "bid": pd.Series(bids, dtype="float64"), "ask": pd.Series(asks, dtype="float64")})
 
 
 def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame:
@@ -228,9 +244,9 @@ def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame
     evs = evs.withColumn("product", J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True))
     evs = J.fenced_filter(evs.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))),
                           F.col("market_key").isNotNull())
-    evs = evs.select("product", "market_key", "seq", "i", "recv_us", "fallback_us",
-                     (F.col("recv_us") / F.lit(1_000_000)).alias("_t"))
-    evs = number_rows(evs, ["product"], "_t", day_seconds=BLOCK_US // 1_000_000, tiebreak=("seq", "i"))
+    evs = evs.select("product", "market_key", "seq", "i", "recv_us", "fallback_us")
+    # Numbered, like the ops, by seq: in blocks of a million frames.
+    evs = number_rows(evs, ["product"], "seq", day_seconds=1_000_000, tiebreak=("i",))
     evs = cut_lineage(evs.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(int(chunk_events))).cast("bigint")))
     chunk_of = evs.select("product", "seq", "i", "chunk")
     ops = ops.join(chunk_of, ["product", "seq", "i"], "inner")

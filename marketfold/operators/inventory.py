@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
-from marketfold.functions.exprs import projected_daily_bytes
+from marketfold.functions.exprs import compact_stamp, projected_daily_bytes
 
 
 def list_files(spark, root: str, glob: str = "*.ndjson.zst") -> DataFrame:
@@ -84,3 +84,17 @@ def growth_rates(snap_a: DataFrame, snap_b: DataFrame) -> DataFrame:
     age = F.greatest(F.lit(0.001), (F.unix_micros(F.col("t_b").cast("timestamp")) - F.unix_micros(F.col("t_a").cast("timestamp"))) / F.lit(1e6))
     return j.select("path", F.col("len_b").alias("size_bytes"), age.alias("age_seconds"),
                     ((F.col("len_b") - F.col("len_a")) / age).alias("growth_bps"))
+
+
+def next_parts(listing: DataFrame, new_files: DataFrame) -> DataFrame:
+    """Names of new part files ``new_files`` (date_str, market_key, start, k):
+    per (date, market) the parts go on after the largest one listed."""
+    have = listing.select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("date_str"), F.regexp_extract("path", "([^/]+)$", 1).alias("name"))
+    part = F.regexp_extract("name", C.ROTATED_FILE_RE, 3)
+    most = have.filter(part != "").groupBy("date_str", F.regexp_extract("name", C.ROTATED_FILE_RE, 1).alias("market_key")).agg(
+        F.max(part.cast("int")).alias("most"))
+    order = Window.partitionBy("date_str", "market_key").orderBy("start", "k")
+    n = new_files.join(most, ["date_str", "market_key"], "left").withColumn(
+        "part", F.coalesce("most", F.lit(0)) + F.row_number().over(order))
+    name = F.format_string("%s__start_%s__part_%04d.ndjson.zst", F.col("market_key"), compact_stamp("start"), F.col("part"))
+    return n.select("date_str", "market_key", "k", "part", name.alias("filename"))

@@ -9,9 +9,11 @@ whole on one task.  ``new_only`` is an anti-join against the ledger.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketfold.functions.exprs import strip_ws
+
 # Ledger stages in pipeline order.
 STAGES = ("persist", "transform", "export", "relay")
 
@@ -29,25 +31,23 @@ def new_only(claims: DataFrame, ledger: DataFrame) -> DataFrame:
     return claims.join(ledger.select("stage", "id"), ["stage", "id"], "left_anti")
 
 
-def duplicate_counters(decided: DataFrame) -> DataFrame:
-    """Per stage: ``<stage>_duplicate_total`` counter values."""
-    return decided.groupBy("stage").agg(F.sum("duplicates").alias("duplicates"))
-
-
-def claims_from_envelopes(envelopes: DataFrame, redeliver_every: int = 3) -> DataFrame:
-    """Control records each stage would claim for every batch; batches with
-    ``batch_no % redeliver_every == 0`` are delivered twice (the second a
-    minute later), as an at-least-once queue does after a lost ack."""
-    st = F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(i + 1).alias("offset")) for i, s in enumerate(STAGES)])
-    e = envelopes.select("batch_id", "source", "market", "snapshot_date", "batch_no", "row_count", "last_ts",
-                         F.explode(st).alias("s"))
-    dup = F.when(F.pmod(F.col("batch_no"), F.lit(redeliver_every)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    e = e.withColumn("delivery", F.explode(dup))
-    base = F.to_timestamp(F.substring(F.col("last_ts"), 1, 19))
-    step = F.col("s.offset") * (F.lit(1) + F.pmod(F.col("batch_no"), F.lit(7)))
-    produced = F.timestamp_seconds(F.unix_seconds(base) + step + F.col("delivery") * F.lit(60))
-    produced_at = F.date_format(produced, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    payload = F.to_json(F.struct(F.col("batch_id"), F.col("source"), F.col("market"), F.col("snapshot_date"),
-                                 F.col("row_count"), produced_at.alias("produced_at")))
-    return e.select(F.col("s.stage").alias("stage"), F.col("batch_id").alias("id"), "delivery",
-                    produced_at.alias("produced_at"), payload.alias("payload"), "batch_no", "source", "market")
+# Fields of the hand-off records, in order, with their kind.
+RECORDS = {
+    "bronze_written": (("batch_id", "text"), ("bronze_blob_path", "text"), ("source", "text"), ("market", "text"), ("snapshot_date", "text"),
+                       ("content_sha256", "text"), ("row_count", "int"), ("produced_at", "text")),
+    "export_intent": (("export_id", "text"), ("silver_blob_path", "text"), ("target_relpath", "text"), ("content_sha256", "text"),
+                      ("content_length", "int"), ("produced_at", "text"), ("snapshot_date", "text"), ("source", "text"), ("market", "text")),
+    "relay_intent": (("export_id", "text"), ("staged_blob_path", "text"), ("target_relpath", "text"), ("content_sha256", "text"),
+                     ("content_length", "int"), ("produced_at", "text")),
+}
+
+
+def decode_record(payload: Column, record: str) -> list[Column]:
+    """Fields of a record's JSON payload: missing text is empty, text is
+    trimmed, a missing count is 0 (a count that is no number fails)."""
+    out = []
+    for name, kind in RECORDS[record]:
+        raw = F.get_json_object(payload, f"$.{name}")
+        text = strip_ws(F.coalesce(raw, F.lit("")))
+        out.append((F.when(text == "", F.lit(0)).otherwise(text.cast("bigint")) if kind == "int" else text).alias(name))
+    return out

@@ -1,14 +1,15 @@
 """Operational queries: metric registry rollup and text exposition,
 worker liveness, stage lag and the documented alert rules.
 
-Everything is a grouped aggregate or a window over *rollups* (per-minute
-or per-series tables), never over raw rows in one partition."""
+Everything is a grouped aggregate, or a window per hour joined with a
+summary of the hours, never an ordered scan over all rows in one partition."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketfold.session import cut_lineage
 from marketfold.functions.exprs import sanitize_label_name, sanitize_metric_name
 
 
@@ -41,24 +42,32 @@ def series_key(samples: DataFrame) -> DataFrame:
     return samples.withColumn("name", sanitize_metric_name(F.col("name"))).withColumn("label_text", text)
 
 
+SEQ_BLOCK = 1_000_000
+
+
 def metric_rollup(samples: DataFrame) -> DataFrame:
     """Registry semantics over ``(seq, name, labels MAP, op inc|set, value)``:
     a series is a gauge once any ``set`` happened (a later ``inc`` keeps it a
     gauge); value = last set (by seq) + increments after it, or the sum of
-    increments for a counter.  Two hash aggregates and a join on the
-    (small) per-series table; no per-series window."""
-    s = series_key(samples)
+    increments for a counter.
+
+    Samples are reduced map-side per (series, block of ``seq``): the block's
+    last set and a map-side sum of its increments.  Only the blocks that hold
+    a series' last set are read again, for the increments after it."""
+    s = series_key(samples).select("name", "label_text", "seq", "op", "value", F.floor(F.col("seq") / F.lit(SEQ_BLOCK)).alias("blk"))
     key = ["name", "label_text"]
-    last_set = s.groupBy(*key).agg(
-        F.max(F.when(F.col("op") == "set", F.col("seq"))).alias("set_seq"),
-        F.max_by(F.when(F.col("op") == "set", F.col("value")), F.when(F.col("op") == "set", F.col("seq"))).alias("set_value"))
-    incs = s.filter(F.col("op") == "inc").join(last_set, key, "left").filter(
-        F.col("set_seq").isNull() | (F.col("seq") > F.col("set_seq")))
-    inc_sum = incs.groupBy(*key).agg(F.sum("value").alias("inc_after"))
-    out = last_set.join(inc_sum, key, "left")
-    return out.select(*key,
-                      F.when(F.col("set_seq").isNotNull(), F.lit("gauge")).otherwise(F.lit("counter")).alias("kind"),
-                      (F.coalesce(F.col("set_value"), F.lit(0.0)) + F.coalesce(F.col("inc_after"), F.lit(0.0))).alias("value"))
+    is_set = F.col("op") == "set"
+    per = cut_lineage(s.groupBy(*key, "blk").agg(
+        F.max(F.when(is_set, F.struct("seq", "value"))).alias("last_set"), F.sum(F.when(F.col("op") == "inc", F.col("value"))).alias("inc")), "metric-blocks")
+    last = per.groupBy(*key).agg(F.max("last_set").alias("last_set"))
+    last = cut_lineage(last.withColumn("set_blk", F.floor(F.col("last_set.seq") / F.lit(SEQ_BLOCK))), "metric-last")
+    later = per.join(last.select(*key, "set_blk"), key).filter(F.col("set_blk").isNull() | (F.col("blk") > F.col("set_blk")))
+    inside = s.filter("op = 'inc'").join(last.filter("set_blk IS NOT NULL").select(*key, F.col("set_blk").alias("blk"), "last_set.seq"), [*key, "blk"], "left_semi")
+    inside = inside.join(last.select(*key, F.col("last_set.seq").alias("set_seq")), key).filter("seq > set_seq")
+    incs = later.select(*key, "inc").unionByName(inside.select(*key, F.col("value").alias("inc"))).groupBy(*key).agg(F.sum("inc").alias("inc_after"))
+    return last.join(incs, key, "left").select(
+        *key, F.when(F.col("last_set").isNotNull(), F.lit("gauge")).otherwise(F.lit("counter")).alias("kind"),
+        (F.coalesce(F.col("last_set.value"), F.lit(0.0)) + F.coalesce(F.col("inc_after"), F.lit(0.0))).alias("value"))
 
 
 def metric_text(rollup: DataFrame) -> DataFrame:
@@ -66,7 +75,8 @@ def metric_text(rollup: DataFrame) -> DataFrame:
     ``name{k="v"} value``; ``line_order`` gives the global sort order."""
     sample = F.concat(F.col("name"), F.when(F.col("label_text") != "", F.concat(F.lit("{"), F.col("label_text"), F.lit("}")))
                       .otherwise(F.lit("")), F.lit(" "), python_float_text(F.col("value")))
-    return rollup.select("name", "label_text", F.concat(F.lit("# TYPE "), F.col("name"), F.lit(" "), F.col("kind")).alias("type_line"),
+    order = F.row_number().over(Window.orderBy("name", "label_text"))  # one row per series
+    return rollup.select("name", "label_text", order.cast("long").alias("line_order"), F.concat(F.lit("# TYPE "), F.col("name"), F.lit(" "), F.col("kind")).alias("type_line"),
                          sample.alias("sample_line"))
 
 
@@ -108,55 +118,70 @@ def stage_lags(claims_first: DataFrame) -> DataFrame:
                     lag("transform", "export").alias("export_lag_s"), lag("export", "relay").alias("relay_lag_s"))
 
 
-def minute_rollup(df: DataFrame, ts_us: str, keys: list[str], value: F.Column | None = None) -> DataFrame:
-    """Per (keys, minute): count, first/last instant, max value."""
-    m = F.floor(F.col(ts_us) / F.lit(60_000_000)).cast("bigint")
-    aggs = [F.count(F.lit(1)).alias("n"), F.min(ts_us).alias("first_us"), F.max(ts_us).alias("last_us")]
-    if value is not None:
-        aggs.append(F.max(value).alias("vmax"))
-        aggs.append(F.min(value).alias("vmin"))
-    return df.groupBy(*keys, m.alias("minute")).agg(*aggs)
-
-
-def freshness_gaps(writes: DataFrame, ts_us: str = "ts_us", threshold_s: int = 300) -> DataFrame:
-    """Gaps longer than ``threshold_s`` between consecutive writes.
-
-    Writes are rolled up per minute (one row per active minute); the ordered
-    scan runs per day over those minutes, and the first minute of a day
-    takes its predecessor from a per-day summary (last write of the
-    previous active day) -- no single ordered partition over all time."""
-    r = minute_rollup(writes, ts_us, []).withColumn("day", F.floor(F.col("minute") / F.lit(1440)).cast("bigint"))
-    w = Window.partitionBy("day").orderBy("minute")
-    r = r.withColumn("prev_in_day", F.lag("last_us").over(w))
-    days = r.groupBy("day").agg(F.max("last_us").alias("day_last"))
-    prev_day = days.select("day", F.lag("day_last").over(Window.orderBy("day")).alias("prev_day_last"))
-    g = r.join(prev_day, "day", "left").select(
-        "first_us", F.coalesce(F.col("prev_in_day"), F.col("prev_day_last")).alias("prev_us"))
-    gap = (F.col("first_us") - F.col("prev_us")) / F.lit(1_000_000.0)
-    return g.filter(gap > threshold_s).select(F.col("prev_us").alias("last_write_us"), F.col("first_us").alias("next_write_us"),
-                                              gap.alias("gap_s"))
-
-
-def sustained_above(samples: DataFrame, key: str, ts_us: str, value: str, limit: float, min_seconds: int) -> DataFrame:
+HOUR_US = 3_600_000_000
+
+
+def with_previous(df: DataFrame, keys: list[str], ts_us: str, value: str, out: str) -> DataFrame:
+    """Add ``out``: ``value`` of the row before, per ``keys`` in time order.
+
+    The ordered scan runs per (keys, hour); an hour's first row takes the last
+    value of the hour with rows before it from a (keys x hours) summary."""
+    d = df.withColumn("_blk", F.floor(F.col(ts_us) / F.lit(HOUR_US)).cast("bigint"))
+    w = Window.partitionBy(*keys, "_blk").orderBy(ts_us, value)
+    d = d.withColumn("_lag", F.lag(value).over(w))
+    ends = d.groupBy(*keys, "_blk").agg(F.max(F.struct(F.col(ts_us), F.col(value).alias("v")))["v"].alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_blk")
+    ends = ends.select(*keys, "_blk", F.lag("_end").over(before).alias("_before"))
+    return d.join(ends, [*keys, "_blk"]).withColumn(out, F.coalesce("_lag", "_before")).drop("_lag", "_before", "_blk")
+
+
+def with_run(df: DataFrame, keys: list[str], ts_us: str, starts: F.Column, out: str) -> DataFrame:
+    """Add ``out``: running count of ``starts`` per ``keys`` in time order, in
+    the same two levels."""
+    d = df.withColumn("_blk", F.floor(F.col(ts_us) / F.lit(HOUR_US)).cast("bigint")).withColumn("_s", starts.cast("int"))
+    per = d.groupBy(*keys, "_blk").agg(F.sum("_s").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*keys, "_blk").orderBy(ts_us).rangeBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_in", F.sum("_s").over(w))
+    return d.join(per, [*keys, "_blk"]).withColumn(out, F.col("_off") + F.col("_in")).drop("_blk", "_s", "_in", "_off")
+
+
+def freshness_gaps(writes: DataFrame, ts_us: str = "ts_us", threshold_s: float = 300) -> DataFrame:
+    """Gaps longer than ``threshold_s`` between consecutive writes."""
+    g = with_previous(writes.select(F.lit(0).alias("k"), F.col(ts_us).alias("at"), F.col(ts_us).alias("v")), ["k"], "at", "v", "prev_us")
+    gap = (F.col("at") - F.col("prev_us")) / F.lit(1_000_000.0)
+    return g.filter(gap > threshold_s).select(F.col("prev_us").alias("last_write_us"), F.col("at").alias("next_write_us"), gap.alias("gap_s"))
+
+
+def sustained_above(samples: DataFrame, key: str, ts_us: str, value: str, limit: float, min_seconds: int, max_gap_s: int = 1800) -> DataFrame:
     """Runs of consecutive samples (per ``key``) whose value stays above
-    ``limit``, reported when the run spans at least ``min_seconds``.
-
-    Samples are first rolled up per minute (min value, first/last instant),
-    so the ordered scan per key runs over minutes with data, not raw rows;
-    a minute is hot when every sample in it is above the limit."""
-    r = minute_rollup(samples, ts_us, [key], F.col(value))
-    w = Window.partitionBy(key).orderBy("minute")
-    r = r.withColumn("hot", F.col("vmin") > limit).withColumn("prev_hot", F.lag("hot").over(w))
-    start = F.col("hot") & (F.col("prev_hot").isNull() | ~F.col("prev_hot"))
-    r = r.withColumn("island", F.sum(start.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    isl = r.filter("hot").groupBy(key, "island").agg(F.min("first_us").alias("start_us"), F.max("last_us").alias("end_us"),
-                                                     F.sum("n").alias("samples"))
-    return isl.filter((F.col("end_us") - F.col("start_us")) >= F.lit(int(min_seconds) * 1_000_000)).drop("island")
-
-
-def rate_alerts(failures: DataFrame, ts: str, window: str = "15 minutes", slide: str = "1 minute", at_least: int = 3) -> DataFrame:
+    ``limit``, reported when the run spans at least ``min_seconds``.  A run
+    ends at a sample at or below the limit and where no sample came for
+    ``max_gap_s`` (nothing is known about the time between)."""
+    s = samples.select(key, F.col(ts_us).alias("at"), (F.col(value) > limit).alias("hot"))
+    s = s.withColumn("state", F.struct("at", "hot"))
+    s = with_previous(s, [key], "at", "state", "prev")
+    silent = (F.col("at") - F.col("prev.at")) > F.lit(int(max_gap_s) * 1_000_000)
+    starts = F.col("hot") & (F.col("prev").isNull() | ~F.col("prev.hot") | silent)
+    runs = with_run(s, [key], "at", starts, "run").filter("hot").groupBy(key, "run").agg(
+        F.min("at").alias("start_us"), F.max("at").alias("end_us"), F.count(F.lit(1)).alias("samples"))
+    return runs.filter((F.col("end_us") - F.col("start_us")) >= F.lit(int(min_seconds) * 1_000_000)).drop("run")
+
+
+def not_ready_runs(probes: DataFrame, more_than: int = 3) -> DataFrame:
+    """Workers not ready for more than ``more_than`` probes in a row:
+    ``probes`` (worker, ts_us, ready)."""
+    runs = with_run(probes, ["worker"], "ts_us", F.col("ready"), "run").filter(~F.col("ready"))
+    runs = runs.groupBy("worker", "run").agg(F.min("ts_us").alias("start_us"), F.max("ts_us").alias("end_us"), F.count(F.lit(1)).alias("probes"))
+    return runs.filter(F.col("probes") > more_than).drop("run")
+
+
+def rate_alerts(failures: DataFrame, ts: str, window: str = "15 minutes", slide: str = "1 minute", at_least: int = 3,
+                keys: tuple[str, ...] = ()) -> DataFrame:
     """Sliding-window failure counts (each failure lands in every window
-    covering it; partial aggregation per window) at or above a threshold."""
-    w = failures.groupBy(F.window(F.col(ts), window, slide).alias("w")).agg(F.count(F.lit(1)).alias("failures"))
+    covering it; partial aggregation per window) at or above a threshold,
+    overall or per ``keys``."""
+    w = failures.groupBy(*keys, F.window(F.col(ts), window, slide).alias("w")).agg(F.count(F.lit(1)).alias("failures"))
     return w.filter(F.col("failures") >= at_least).select(
-        F.unix_seconds(F.col("w.start")).alias("window_start_s"), F.unix_seconds(F.col("w.end")).alias("window_end_s"), "failures")
+        *keys, F.unix_seconds(F.col("w.start")).alias("window_start_s"), F.unix_seconds(F.col("w.end")).alias("window_end_s"), "failures")

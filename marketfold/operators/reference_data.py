@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
+from marketfold.functions.exprs import strip_ws
 
 
 def bindings_from_canonical(canonical: DataFrame) -> DataFrame:
@@ -86,7 +87,6 @@ def listish(v) -> F.Column:
     """``normalize_listish`` over a VARIANT: list -> its elements as text;
     JSON text -> parsed list or [value]; other text -> [text]; blank -> []."""
     from marketfold.functions import jsonv as J
-    from marketfold.functions.exprs import strip_ws
     as_list = F.transform(J.as_array(v), lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.lit("None")))
     text = strip_ws(F.try_variant_get(v, "$", "string"))
     inner = F.try_parse_json(text)
@@ -101,7 +101,7 @@ def pick_yes_no(tokens: F.Column, outcomes: F.Column) -> tuple[F.Column, F.Colum
     """Zip tokens with outcomes by index; the first token whose outcome is
     yes/up (no/down) wins; fall back to token 1 (token 2)."""
     zipped = F.transform(outcomes, lambda o, i: F.struct(
-        F.lower(F.trim(o)).alias("o"), F.coalesce(F.try_element_at(tokens, i + 1), F.lit("")).alias("t")))
+        F.lower(strip_ws(o)).alias("o"), F.coalesce(F.try_element_at(tokens, i + 1), F.lit("")).alias("t")))
     yes_hit = F.filter(zipped, lambda z: z["o"].isin(*C.YES_OUTCOMES) & (z["t"] != ""))
     no_hit = F.filter(zipped, lambda z: z["o"].isin(*C.NO_OUTCOMES) & (z["t"] != ""))
     yes = F.coalesce(F.try_element_at(yes_hit, F.lit(1))["t"], F.try_element_at(tokens, F.lit(1)), F.lit(""))
@@ -116,7 +116,8 @@ def parse_landing(landing: DataFrame) -> DataFrame:
     the landing table before the lookup join, so the JSON work is once per
     slug and never re-evaluated inside later filters."""
     from marketfold.functions import jsonv as J
-    first = landing.select("slug", "payload").dropDuplicates(["slug"])
+    # Several responses for a slug: the smallest text, so the choice is the same on every run.
+    first = landing.groupBy("slug").agg(F.min("payload").alias("payload"))
     v = F.try_parse_json(F.col("payload"))
     rec0 = F.when(J.is_array(v), F.try_element_at(J.as_array(v), F.lit(1)))
     df = first.select("slug", F.coalesce(F.size(J.as_array(v)) > 0, F.lit(False)).alias("found"),
@@ -125,8 +126,8 @@ def parse_landing(landing: DataFrame) -> DataFrame:
     raw_tokens = listish(J.first_truthy(r, "$.clobTokenIds", "$.clob_token_ids"))
     df = df.select("slug", "found",
                    F.coalesce(J.to_text(J.first_truthy(r, "$.conditionId", "$.condition_id")), F.lit("")).alias("condition_id"),
-                   F.filter(F.transform(raw_tokens, lambda t: F.trim(t)), lambda t: t != "").alias("tokens"),
-                   F.transform(listish(J.field(r, "$.outcomes")), lambda t: F.trim(t)).alias("outcomes"))
+                   F.filter(F.transform(raw_tokens, lambda t: strip_ws(t)), lambda t: t != "").alias("tokens"),
+                   F.transform(listish(J.field(r, "$.outcomes")), lambda t: strip_ws(t)).alias("outcomes"))
     yes, no = pick_yes_no(F.col("tokens"), F.col("outcomes"))
     return df.select("slug", "found", "condition_id", F.size("tokens").alias("n_tokens"),
                      yes.alias("yes_asset_id"), no.alias("no_asset_id"))
@@ -156,6 +157,14 @@ def meta_to_bindings(metas: DataFrame) -> DataFrame:
     return un.select("asset_id", "symbol", "market_key", "side", "slug", "bucket_start_ts", "condition_id")
 
 
+def bindings_by_asset(metas: DataFrame) -> DataFrame:
+    """One binding per asset: of several, the later market's (by key, then
+    bucket), and inside a meta the no side, as it is bound last."""
+    un = meta_to_bindings(metas)
+    last = F.max_by(F.struct(*[c for c in un.columns if c != "asset_id"]), F.struct("market_key", "bucket_start_ts", (F.col("side") == "no").alias("no")))
+    return un.groupBy("asset_id").agg(last.alias("b")).select("asset_id", "b.*")
+
+
 def meta_in_effect(metas: DataFrame) -> DataFrame:
     """Refresh semantics: at each refresh a market keeps its previous meta
     when the lookup fails.  Carry-forward per market over refresh points
@@ -172,18 +181,40 @@ def meta_in_effect(metas: DataFrame) -> DataFrame:
                  F.concat_ws("|", F.col("meta_bucket").cast("string"), "meta_slug", "condition_id", "yes_asset_id", "no_asset_id"))
     prev = F.lag(key).over(Window.partitionBy("market_key").orderBy("refresh_ts"))
     df = df.withColumn("meta_changed", F.coalesce(key != prev, key.isNotNull() & prev.isNull()) & key.isNotNull())
+    # The refresh as a whole changed something if any market's bindings did (a row per market).
+    df = df.withColumn("bindings_changed", F.max("meta_changed").over(Window.partitionBy("refresh_ts")))
     return df.select("market_key", "refresh_ts", "meta_bucket", "meta_slug", "condition_id", "yes_asset_id",
-                     "no_asset_id", "meta_changed")
+                     "no_asset_id", "meta_changed", "bindings_changed")
+
+
+def bindings_in_effect(effective: DataFrame) -> DataFrame:
+    """Asset bindings after each refresh; where two markets bind one asset the
+    later market (by key) and, inside a market, the no side wins."""
+    un = effective.filter(F.col("yes_asset_id").isNotNull()).select("refresh_ts", "market_key", F.expr("stack(2, 0, yes_asset_id, 1, no_asset_id) AS (no, asset_id)"))
+    best = un.groupBy("refresh_ts", "asset_id").agg(F.max(F.struct("market_key", "no")).alias("b"))
+    return best.select("refresh_ts", "asset_id", F.col("b.market_key").alias("market_key"), F.when(F.col("b.no") == 1, "no").otherwise("yes").alias("side"))
 
 
 def subscription_delta(effective: DataFrame, step_s: int = C.SLUG_BUCKET_SECONDS) -> DataFrame:
     """Per refresh: assets to subscribe (desired - subscribed) and to
     unsubscribe (subscribed - desired); subscribed = previous desired set.
-    Two anti-joins on (refresh, asset)."""
+    Refreshes come every ``step_s`` seconds; one aggregate on (refresh, asset)."""
     desired = (effective.filter(F.col("yes_asset_id").isNotNull())
-               .select("refresh_ts", F.explode(F.array_distinct(F.array("yes_asset_id", "no_asset_id"))).alias("asset_id")))
-    times = effective.select("refresh_ts").distinct()
-    prev = desired.select((F.col("refresh_ts") + F.lit(step_s)).alias("refresh_ts"), "asset_id").join(times, "refresh_ts", "left_semi")
-    add = desired.join(prev, ["refresh_ts", "asset_id"], "left_anti").withColumn("op", F.lit("subscribe"))
-    rem = prev.join(desired, ["refresh_ts", "asset_id"], "left_anti").withColumn("op", F.lit("unsubscribe"))
-    return add.unionByName(rem)
+               .select("refresh_ts", F.explode(F.array_distinct(F.array("yes_asset_id", "no_asset_id"))).alias("asset_id")).distinct())
+    last = effective.agg(F.max("refresh_ts").alias("end"))
+    # +1 where an asset is wanted, -1 one step later: what does not cancel is a change.
+    marks = desired.select(F.explode(F.array(F.struct(F.col("refresh_ts"), F.lit(1).alias("n")), F.struct((F.col("refresh_ts") + F.lit(step_s)).alias("refresh_ts"), F.lit(-1).alias("n")))).alias("m"),
+                           "asset_id").select("m.refresh_ts", "asset_id", "m.n")
+    net = marks.groupBy("refresh_ts", "asset_id").agg(F.sum("n").alias("n")).filter("n <> 0")
+    end = last.first()["end"]
+    return net.filter(F.col("refresh_ts") <= F.lit(end)).select(
+        "refresh_ts", "asset_id", F.when(F.col("n") > 0, F.lit("subscribe")).otherwise(F.lit("unsubscribe")).alias("op"))
+
+
+def meta_events(metas: DataFrame) -> DataFrame:
+    """Resolved metas as canonical ``meta`` rows: they arrive at the refresh,
+    ahead of that second's feed rows, and set the identity gauges."""
+    from marketfold.operators.canonical import conform
+    good = metas.filter(F.col("error").isNull())
+    return conform(good.select(F.lit(-1).cast("bigint").alias("seq"), F.col("bucket_start_ts").alias("pos"), F.col("bucket_start_ts").alias("recv_s"),
+                               F.lit(C.PREDICTION_VENUE).alias("venue"), "market_key", F.lit("meta").alias("kind"), "slug", "bucket_start_ts", "condition_id"))

@@ -1,7 +1,8 @@
 """Silver normalisation: untyped snapshot rows -> fixed 30-column schema.
 
-One ``select`` of column expressions over an all-STRING read (no UDF):
-blank/whitespace -> NULL; unparsable float -> NULL; unparsable int -> 0;
+One ``select`` of column expressions over a VARIANT read (no UDF), so JSON
+numbers, booleans and text are told apart: blank/whitespace -> NULL;
+unparsable float -> NULL; unparsable int -> 0; numbers truncate to ints;
 ``ts_utc`` mandatory (a batch with any row lacking it is quarantined with
 ``silver_row_missing_ts_utc``); date/source/market come from the batch,
 not from the row; ``snapshot_hour`` from the row's ``ts_utc``.
@@ -22,9 +23,6 @@ RAW_KEYS = ("ts_utc", "market_key", "venue", "snapshot_interval_s", "msg_count_1
             "bucket_start_ts", "condition_id", "yes_best_bid", "yes_best_ask", "yes_mid", "no_best_bid",
             "no_best_ask", "no_mid", "last_trade_px_yes", "last_trade_px_no")
 
-# All-STRING read schema: number tokens come back verbatim as text.
-BRONZE_STRING_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in RAW_KEYS])
-
 SILVER_SCHEMA = T.StructType([
     T.StructField("snapshot_date", T.StringType(), False),
     T.StructField("source", T.StringType(), False),
@@ -50,28 +48,35 @@ _COUNTS = ("msg_count_1s", "trade_count_1s", "book_update_count_1s", "dropped_ev
 
 
 def parse_row_text(df: DataFrame, col: str = "row_json") -> DataFrame:
-    """NDJSON row text -> one STRING column per key (same as
-    ``spark.read.schema(BRONZE_STRING_SCHEMA).json``)."""
-    parsed = F.from_json(F.col(col), BRONZE_STRING_SCHEMA)
-    return df.withColumn("_r", parsed).select("*", *[F.col("_r").getField(k).alias(f"raw_{k}") for k in RAW_KEYS]).drop("_r")
+    """Row text -> per key ``raw_<key>`` (its text) and ``kind_<key>``
+    (``s`` text, ``n`` number, ``b`` boolean, NULL otherwise), so that the
+    number 1.0 and the text "1.0" stay apart."""
+    df = df.withColumn("_v", F.try_parse_json(F.col(col)))
+    df = df.select("*", *[F.try_variant_get("_v", f"$.{k}", "variant").alias(f"_v_{k}") for k in RAW_KEYS]).drop("_v")
+    out = [F.col(c) for c in df.columns if not c.startswith("_v_")]
+    for k in RAW_KEYS:
+        t = F.schema_of_variant(F.col(f"_v_{k}"))
+        kind = F.when(t == "STRING", F.lit("s")).when(t == "BOOLEAN", F.lit("b")).when(
+            t.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | t.startswith("DECIMAL"), F.lit("n"))
+        out += [F.try_variant_get(F.col(f"_v_{k}"), "$", "string").alias(f"raw_{k}"), kind.alias(f"kind_{k}")]
+    return df.select(*out)
 
 
 def silver_columns(include_hour: bool = True, date="snapshot_date", source="source", market="market") -> list:
-    """The 30 typed Silver columns over ``raw_*`` STRING columns."""
-    ts = X.silver_timestamp(F.col("raw_ts_utc"))
+    """The 30 typed Silver columns over ``raw_*`` / ``kind_*`` columns."""
+    def read(coerce, key):
+        return coerce(F.col(f"raw_{key}"), F.col(f"kind_{key}"))
+    ts = read(X.silver_timestamp, "ts_utc")
     out = [F.col(date).cast("string").alias("snapshot_date"), F.col(source).cast("string").alias("source"),
            F.col(market).cast("string").alias("market"),
            (F.hour(ts) if include_hour else F.lit(None)).cast("int").alias("snapshot_hour"),
            ts.alias("ts_utc"),
-           X.silver_timestamp(F.col("raw_last_event_ts_utc")).alias("last_event_ts_utc"),
-           X.silver_epoch_seconds(F.col("raw_bucket_start_ts")).alias("bucket_start_ts_utc"),
-           X.silver_int(F.col("raw_snapshot_interval_s")).cast("int").alias("snapshot_interval_s")]
-    out += [X.silver_int(F.col(f"raw_{c}")).alias(c) for c in _COUNTS]
+           read(X.silver_timestamp, "last_event_ts_utc").alias("last_event_ts_utc"),
+           read(X.silver_epoch_seconds, "bucket_start_ts").alias("bucket_start_ts_utc"),
+           read(X.silver_int, "snapshot_interval_s").cast("int").alias("snapshot_interval_s")]
+    out += [read(X.silver_int, c).alias(c) for c in _COUNTS]
     for name in SILVER_SCHEMA.fieldNames()[12:]:
-        if name in _FLOATS:
-            out.append(X.silver_float(F.col(f"raw_{name}")).alias(name))
-        else:
-            out.append(X.silver_text(F.col(f"raw_{name}")).alias(name))
+        out.append(read(X.silver_float if name in _FLOATS else X.silver_text, name).alias(name))
     return out
 
 
@@ -81,27 +86,29 @@ def normalize(rows: DataFrame, include_hour: bool = True, keep: tuple[str, ...]
     return rows.select(*[F.col(k) for k in keep], *silver_columns(include_hour))
 
 
+def with_batch_check(silver: DataFrame) -> DataFrame:
+    """Add ``bad``: some row of the batch lacks a parsable ``ts_utc`` (window
+    per batch: bounded by the batch size)."""
+    return silver.withColumn("bad", F.max(F.col("ts_utc").isNull()).over(Window.partitionBy("batch_id")))
+
+
 def split_valid(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, quarantined batches).  A batch with any row lacking a
-    parsable ``ts_utc`` is rejected whole (window per batch: bounded by the
-    batch size)."""
-    bad = F.max(F.col("ts_utc").isNull().cast("int")).over(Window.partitionBy("batch_id"))
-    flagged = silver.withColumn("_bad", bad)
-    ok = flagged.filter(F.col("_bad") == 0).drop("_bad")
-    rejected = (flagged.filter(F.col("_bad") == 1).groupBy("batch_id", "snapshot_date", "source", "market")
+    """(accepted rows, quarantined batches); a batch goes as a whole."""
+    flagged = with_batch_check(silver)
+    rejected = (flagged.filter("bad").groupBy("batch_id", "snapshot_date", "source", "market")
                 .agg(F.count(F.lit(1)).alias("row_count"))
                 .withColumn("error", F.lit("silver_row_missing_ts_utc")))
-    return ok, rejected
+    return flagged.filter(~F.col("bad")).drop("bad"), rejected
 
 
 def partition_hour(silver: DataFrame, placement: str = "first_row") -> DataFrame:
-    """``hour`` partition value: the first row's hour for every row of the
-    batch (``first_row``, as the upstream writer places files) or each
-    row's own hour (``per_row``)."""
+    """``hour`` partition value: the hour of the batch's first row (smallest
+    ``rn``) for all of its rows (``first_row``, as the upstream writer places
+    files), or each row's own hour (``per_row``)."""
     if placement == "per_row":
         return silver.withColumn("hour", F.col("snapshot_hour"))
     w = Window.partitionBy("batch_id")
-    return silver.withColumn("hour", F.min_by(F.col("snapshot_hour"), F.col("ts_utc")).over(w))
+    return silver.withColumn("hour", F.min_by(F.col("snapshot_hour"), F.col("rn")).over(w))
 
 
 def _hour_seg(h) -> F.Column:

@@ -143,11 +143,11 @@ def q_batch_validate(spark, sf_dir):
 
 def _silver(spark, sf_dir):
     b = _batched(spark, sf_dir).withColumnRenamed("venue", "source").withColumn("market", F.col("market_key"))
-    return silver.normalize(silver.parse_row_text(b))
+    return silver.normalize(silver.parse_row_text(b), keep=("batch_id", "rn"))
 
 
 def q_silver_normalize(spark, sf_dir):
-    s = _silver(spark, sf_dir)
+    s = _silver(spark, sf_dir).drop("rn")
     micros = {"ts_utc", "last_event_ts_utc", "bucket_start_ts_utc"}
     return s.select(*[(F.unix_micros(F.col(c)).alias(f"{c}_us") if c in micros else F.col(c)) for c in s.columns])
 
@@ -211,7 +211,7 @@ def q_max_stale(spark, sf_dir):
 
 
 def _claims(spark, sf_dir):
-    return ledger.claims_from_envelopes(q_batch_chunks(spark, sf_dir))
+    return derived.claims_from_envelopes(q_batch_chunks(spark, sf_dir))
 
 
 def q_ledger_first_wins(spark, sf_dir):
@@ -251,10 +251,93 @@ def q_alert_sustained(spark, sf_dir):
                                500.0, 600)
 
 
+def q_alert_not_ready(spark, sf_dir):
+    return obs.not_ready_runs(derived.probes(read_table(spark, sf_dir, "events")))
+
+
+def q_alert_restarts(spark, sf_dir):
+    """Workers that restart more than three times in a sliding window; the
+    derived workers restart rarely, hence 12 hours instead of 15 minutes."""
+    r = derived.restarts(read_table(spark, sf_dir, "events"))
+    return obs.rate_alerts(r, "ts", "12 hours", "30 minutes", 4, ("worker",))
+
+
 def q_alert_rate(spark, sf_dir):
     return obs.rate_alerts(derived.failures(read_table(spark, sf_dir, "events")), "ts")
 
 
+def q_batch_defaults(spark, sf_dir):
+    """Envelopes with some fields left out by batch number, and their defaults."""
+    b = _batched(spark, sf_dir).groupBy("batch_id", "venue", "market_key", "snapshot_date", "batch_no").agg(
+        F.min_by(F.struct(F.col("venue"), F.concat(F.lit(" "), F.col("market_key")).alias("market_key"), "ts_utc"), F.col("rn")).alias("first_row"),
+        F.count(F.lit(1)).alias("n"))
+    no = F.col("batch_no")
+    return batches.batch_defaults(b.select(
+        F.when(no % 7 != 3, F.col("batch_id")).alias("batch_id"), F.when(no % 2 == 0, F.col("venue")).otherwise(F.lit("  ")).alias("source"),
+        F.when(no % 3 == 0, F.col("market_key")).alias("market"), F.when(no % 5 == 0, F.col("snapshot_date")).alias("snapshot_date"),
+        F.when(no % 11 == 4, F.lit(0)).otherwise(F.col("n")).cast("bigint").alias("row_count"),
+        F.when(no % 11 != 4, F.col("first_row")).alias("first_row")))
+
+
+def q_decode_records(spark, sf_dir):
+    c = _claims(spark, sf_dir).filter("stage = 'persist'")
+    return c.select("delivery", *ledger.decode_record(F.col("payload"), "bronze_written"))
+
+
+def q_next_parts(spark, sf_dir):
+    """New part files, one per late order, numbered after the listed ones."""
+    orders = read_table(spark, sf_dir, "orders")
+    new = orders.filter(F.col("o_orderkey") % 4 == 1).select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_str"),
+        F.element_at(F.array(*map(F.lit, canon.ADAPTER_MARKET_ORDER)), (F.pmod("o_custkey", F.lit(4)) + 1).cast("int")).alias("market_key"),
+        F.col("o_orderdate").cast("timestamp").alias("start"), F.col("o_orderkey").alias("k"))
+    return inventory.next_parts(_listing(spark, sf_dir), new)
+
+
+def q_file_growth(spark, sf_dir):
+    listing = _listing(spark, sf_dir)
+    return inventory.growth_rates(listing, derived.later_listing(listing))
+
+
+def q_parse_pm_quotes(spark, sf_dir):
+    msgs, b = _pred_inputs(spark, sf_dir)
+    return prediction_parser.parse_best_bid_ask(msgs, b).select(*_PRED_IDENT, "kind", "bid", "ask")
+
+
+def q_bindings_in_effect(spark, sf_dir):
+    return refdata.bindings_in_effect(refdata.meta_in_effect(_resolved(spark, sf_dir)))
+
+
+def q_text_helpers(spark, sf_dir):
+    """The scalar text and number helpers over derived values of ``events``."""
+    from marketfold.functions import exprs as X
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.from_json("props", "k INT").getField("k").alias("k"),
+                                                    F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    hexed = F.sha2(F.col("event_id").cast("string"), 256)
+    flag = F.element_at(F.array(*map(F.lit, (" Yes", "no", "ON", "1", "y ", "maybe"))), (F.col("k") % 6 + 1).cast("int"))
+    folder = F.concat(F.lit(" \\\\"), F.col("event_type"), F.lit(" / a\\\\ "), F.col("k").cast("string"), F.lit("//"))
+    return ev.select(
+        "event_id", X.clean_path(folder).alias("folder"), X.sign_of(F.col("value") - 20).alias("sign"),
+        X.sign_to_label(X.sign_of(F.col("value") - 20)).alias("label"), X.label_to_sign(F.upper(X.sign_to_label(X.sign_of(F.col("value") - 20)))).alias("sign_again"),
+        X.safe_fmt("value").alias("fmt"), X.mask_addr(F.concat(F.lit("0x"), F.substring(hexed, 1, (F.col("k") % 20).cast("int")))).alias("masked"),
+        X.compact_json(F.struct("event_type", "k"), 30).alias("compact"), X.parse_boolish(flag).alias("flag"),
+        X.normalize_condition_id(F.when(F.col("k") % 3 == 0, F.concat(F.lit(" 0X"), F.upper(hexed))).when(F.col("k") % 3 == 1, hexed).otherwise(F.lit("0x12"))).alias("condition_id"),
+        X.ts_floor(F.col("k") - 50, 30).alias("floored"), X.epoch_seconds(F.timestamp_micros("us")).alias("epoch"),
+        X.utc_date(F.timestamp_micros("us")).alias("date"), X.compact_stamp(F.timestamp_micros("us")).alias("stamp"))
+
+
+def q_feed_to_snapshots(spark, sf_dir):
+    """The whole chain: raw frames -> parsers and order book, resolver metas as
+    ``meta`` rows -> canonical events -> dense snapshots."""
+    ev = read_table(spark, sf_dir, "events")
+    spot = frames.spot_frames(ev)
+    metas = cut_lineage(_resolved(spark, sf_dir), "feed-metas")
+    prediction = prediction_parser.parse_prediction_frames(frames.prediction_frames(ev), refdata.bindings_by_asset(metas))
+    feed = canon.conform(spot_parser.parse_spot_frames(spot)).unionByName(canon.conform(book.best_per_message(spot))) \
+        .unionByName(canon.conform(prediction)).unionByName(refdata.meta_events(metas))
+    return snap.snapshots_dense(feed, canon.markets_frame(spark), FLAGSHIP_INTERVAL_S)
+
+
 def _l2_frames(spark, sf_dir):
     return frames.spot_frames(read_table(spark, sf_dir, "events"))
 
@@ -287,18 +370,19 @@ def q_size_projection(spark, sf_dir):
 
 
 def q_export_manifest_audit(spark, sf_dir):
-    """Bronze -> Silver -> staged export on files in the shared checkpoint
-    folder, then the manifest integrity audit (rows-only check)."""
+    """Bronze -> Silver -> export -> relay on files in the shared checkpoint
+    folder, then the manifests' integrity audit, per partition."""
     import uuid
 
     from marketfold.session import checkpoint_dir
-    from marketfold.sources import medallion
-    base = f"{checkpoint_dir(spark)}/medallion-{uuid.uuid4().hex}"
-    rows = _batched(spark, sf_dir)
-    medallion.persist_bronze(rows, f"{base}/raw", f"{base}/ledger")
-    medallion.transform_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/ledger")
-    medallion.stage_exports(spark, f"{base}/silver", f"{base}/export")
-    return medallion.audit_exports(spark, f"{base}/export")
+    from marketfold.sources.medallion import Medallion
+    store = Medallion(spark, f"{checkpoint_dir(spark)}/tables/medallion-{uuid.uuid4().hex}")
+    store.persist(_batched(spark, sf_dir))
+    store.transform()
+    store.export()
+    store.relay()
+    return store.audit().groupBy("snapshot_date", "source", "market", "hour", "status").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("row_count").alias("row_count"))
 
 
 def q_stream_snapshots(spark, sf_dir):
@@ -360,4 +444,14 @@ def registry() -> dict[str, QueryFn]:
         "export_manifest_audit": q_export_manifest_audit,
         "stream_snapshots": q_stream_snapshots,
         "size_projection": q_size_projection,
+        "alert_not_ready": q_alert_not_ready,
+        "alert_restarts": q_alert_restarts,
+        "batch_defaults": q_batch_defaults,
+        "decode_records": q_decode_records,
+        "next_parts": q_next_parts,
+        "file_growth": q_file_growth,
+        "parse_pm_quotes": q_parse_pm_quotes,
+        "bindings_in_effect": q_bindings_in_effect,
+        "text_helpers": q_text_helpers,
+        "feed_to_snapshots": q_feed_to_snapshots,
     }

@@ -44,5 +44,17 @@ def oracles() -> dict[str, str]:
         "book_as_of": P.book_sql("as_of"),
         "file_inventory": P.inventory_sql("pending"),
         "stream_snapshots": P.snapshots_sql(FLAGSHIP_INTERVAL_S),
+        "export_manifest_audit": P.batch_sql("audit"),
+        "alert_not_ready": P.ops_sql("alert_not_ready"),
+        "alert_restarts": P.ops_sql("alert_restarts"),
+        "batch_defaults": P.batch_sql("defaults"),
+        "decode_records": P.ledger_sql("decoded"),
+        "next_parts": P.inventory_sql("next_parts"),
+        "file_growth": P.inventory_sql("growth"),
+        "parse_pm_quotes": P.pred_parse_sql("quotes"),
+        "bindings_in_effect": P.refdata_sql("in_effect"),
+        "text_helpers": P.text_helpers_sql(),
+        "feed_to_snapshots": P.feed_snapshots_sql(FLAGSHIP_INTERVAL_S),
+        "book_best_per_message": P.book_sql("best"),
         "size_projection": P.inventory_sql("projection"),
     }

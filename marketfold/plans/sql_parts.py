@@ -207,6 +207,8 @@ FROM pe WHERE event_type = 'signup'"""
         return head + f"""SELECT {ident}, 'trade' AS kind, price, CAST(k AS DOUBLE) AS size,
        CASE WHEN k % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS trade_side
 FROM pe WHERE event_type = 'purchase'"""
+    if which == "quotes":
+        return head + f"""SELECT {ident}, 'quote' AS kind, bid, ask FROM pe WHERE event_type = 'view'"""
     if which == "enrich":
         return head + f"""SELECT {ident},
        CASE event_type WHEN 'purchase' THEN 'trade' WHEN 'view' THEN 'quote' ELSE 'book_update' END AS kind
@@ -270,9 +272,19 @@ eff AS (
 )"""
     if which == "upsert":
         return eff + """
-SELECT market_key, refresh_ts, meta_bucket, meta_slug, condition_id, yes_asset_id, no_asset_id,
-       coalesce(k IS NOT NULL AND k IS DISTINCT FROM lag(k) OVER (PARTITION BY market_key ORDER BY refresh_ts), false) AS meta_changed
-FROM eff"""
+, ch AS (
+  SELECT *, coalesce(k IS NOT NULL AND k IS DISTINCT FROM lag(k) OVER (PARTITION BY market_key ORDER BY refresh_ts), false) AS meta_changed FROM eff),
+sets AS (
+  SELECT refresh_ts, list_sort(list(coalesce(market_key || '=' || k, ''))) AS bound FROM eff GROUP BY refresh_ts),
+moved AS (SELECT refresh_ts, bound IS DISTINCT FROM coalesce(lag(bound) OVER (ORDER BY refresh_ts), [repeat('', n) FOR n IN [0, 0]]) AS bindings_changed FROM sets)
+SELECT market_key, refresh_ts, meta_bucket, meta_slug, condition_id, yes_asset_id, no_asset_id, meta_changed, bindings_changed
+FROM ch JOIN moved USING (refresh_ts)"""
+    if which == "in_effect":
+        return eff + """,
+b AS (SELECT refresh_ts, market_key, 'yes' AS side, 0 AS o, yes_asset_id AS asset_id FROM eff WHERE yes_asset_id IS NOT NULL
+      UNION ALL SELECT refresh_ts, market_key, 'no', 1, no_asset_id FROM eff WHERE yes_asset_id IS NOT NULL)
+SELECT refresh_ts, asset_id, market_key, side FROM b
+QUALIFY row_number() OVER (PARTITION BY refresh_ts, asset_id ORDER BY market_key DESC, o DESC) = 1"""
     if which == "delta":
         return eff + """,
 des AS (SELECT DISTINCT refresh_ts, a AS asset_id FROM eff, unnest([yes_asset_id, no_asset_id]) t(a) WHERE yes_asset_id IS NOT NULL),
@@ -321,6 +333,24 @@ SELECT batch_id,
   'relay/payloads/' || snapshot_date || '/' || source || '/' || market || '/' || hh || '/' || batch_id || '.parquet' AS staged_path,
   'relay/manifests/' || batch_id || '.json' AS manifest_path
 FROM p"""
+    if which == "defaults":
+        return head + """, e AS (
+  SELECT batch_id, venue, market_key, snapshot_date, batch_no, first(ts_utc ORDER BY rn) AS fts, count(*) AS n FROM g GROUP BY ALL)
+SELECT CASE WHEN batch_no % 7 <> 3 THEN batch_id ELSE '' END AS batch_id,
+  CASE WHEN batch_no % 2 = 0 OR batch_no % 11 <> 4 THEN venue ELSE 'unknown' END AS source,
+  CASE WHEN batch_no % 3 = 0 OR batch_no % 11 <> 4 THEN market_key ELSE 'unknown' END AS market,
+  CASE WHEN batch_no % 5 = 0 THEN snapshot_date WHEN batch_no % 11 <> 4 THEN substr(fts, 1, 10)
+       ELSE strftime(now() AT TIME ZONE 'UTC', '%Y-%m-%d') END AS snapshot_date,
+  CASE WHEN batch_no % 11 = 4 THEN 0 ELSE n END AS row_count,
+  CASE WHEN batch_no % 11 = 4 THEN 'skipped' WHEN batch_no % 7 = 3 THEN 'error' ELSE 'accepted' END AS status,
+  CASE WHEN batch_no % 11 <> 4 AND batch_no % 7 = 3 THEN 'batch_id_required' END AS error
+FROM e"""
+    if which == "audit":
+        return head + """, p AS (
+  SELECT batch_id, snapshot_date, venue AS source, market_key AS market, substr(batch_first_ts, 12, 2) AS hour, count(*) AS n
+  FROM g GROUP BY ALL)
+SELECT snapshot_date, source, market, hour, 'ok' AS status, CAST(count(*) AS BIGINT) AS batches, CAST(sum(n) AS BIGINT) AS row_count
+FROM p GROUP BY ALL"""
     if which == "validate":
         return "WITH " + _snap_cte() + """,
 n AS (SELECT *, row_number() OVER (PARTITION BY venue ORDER BY snapshot_ts, market_key) AS rn FROM snap),
@@ -406,6 +436,11 @@ def ledger_sql(which: str) -> str:
     head = _claims_cte()
     if which == "first_wins":
         return head + "\nSELECT * FROM fw"
+    if which == "decoded":
+        return head + """
+SELECT delivery, id AS batch_id, '' AS bronze_blob_path, source, market, snapshot_date, '' AS content_sha256,
+       CAST(json_extract_string(payload, '$.row_count') AS BIGINT) AS row_count, produced_at
+FROM claims WHERE stage = 'persist'"""
     if which == "new_only":
         return head + """
 SELECT stage, id, delivery, produced_at FROM claims c
@@ -474,7 +509,7 @@ roll AS (
         if which == "metric_rollup":
             return roll + "\nSELECT * FROM roll"
         return roll + """
-SELECT name, label_text, '# TYPE ' || name || ' ' || kind AS type_line,
+SELECT name, label_text, row_number() OVER (ORDER BY name, label_text) AS line_order, '# TYPE ' || name || ' ' || kind AS type_line,
        name || CASE WHEN label_text <> '' THEN '{' || label_text || '}' ELSE '' END || ' ' || CAST(value AS VARCHAR) AS sample_line
 FROM roll"""
     if which == "liveness":
@@ -506,14 +541,23 @@ q AS (
          ELSE 'ws-relay-intents' END AS queue, ts_us, value * 10.0 AS depth
   FROM b
 ),
-r AS (SELECT queue, CAST(floor(ts_us / 60000000.0) AS BIGINT) AS minute, count(*) AS n, min(depth) AS vmin,
-              min(ts_us) AS first_us, max(ts_us) AS last_us FROM q GROUP BY 1, 2),
-f AS (SELECT *, vmin > 500.0 AS hot, lag(vmin > 500.0) OVER (PARTITION BY queue ORDER BY minute) AS ph FROM r),
-g AS (SELECT *, sum(CASE WHEN hot AND (ph IS NULL OR NOT ph) THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY queue ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM f),
-isl AS (SELECT queue, island, min(first_us) AS start_us, max(last_us) AS end_us, CAST(sum(n) AS BIGINT) AS samples
-        FROM g WHERE hot GROUP BY queue, island)
-SELECT queue, start_us, end_us, samples FROM isl WHERE end_us - start_us >= 600000000"""
+f AS (SELECT *, depth > 500.0 AS hot, lag(depth > 500.0) OVER w AS ph, lag(ts_us) OVER w AS pt FROM q WINDOW w AS (PARTITION BY queue ORDER BY ts_us)),
+g AS (SELECT *, sum(CASE WHEN hot AND (ph IS NULL OR NOT ph OR ts_us - pt > 1800000000) THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY queue ORDER BY ts_us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM f)
+SELECT queue, min(ts_us) AS start_us, max(ts_us) AS end_us, CAST(count(*) AS BIGINT) AS samples
+FROM g WHERE hot GROUP BY queue, run HAVING max(ts_us) - min(ts_us) >= 600000000"""
+    if which == "alert_not_ready":
+        return f"""WITH {OPS_BASE_SQL},
+p AS (SELECT worker, ts_us, event_type NOT IN ('signup', 'click') AS ready FROM b),
+g AS (SELECT *, sum(CASE WHEN ready THEN 1 ELSE 0 END) OVER (PARTITION BY worker ORDER BY ts_us) AS run FROM p)
+SELECT worker, min(ts_us) AS start_us, max(ts_us) AS end_us, CAST(count(*) AS BIGINT) AS probes
+FROM g WHERE NOT ready GROUP BY worker, run HAVING count(*) > 3"""
+    if which == "alert_restarts":
+        return f"""WITH {OPS_BASE_SQL},
+f AS (SELECT worker, ts_us FROM b WHERE event_type IN ('signup', 'error')),
+w AS (SELECT worker, CAST(floor(ts_us / 1800000000.0) AS BIGINT) * 1800 - j * 1800 AS ws FROM f, range(0, 24) t(j))
+SELECT worker, CAST(ws AS BIGINT) AS window_start_s, CAST(ws + 43200 AS BIGINT) AS window_end_s, CAST(count(*) AS BIGINT) AS failures
+FROM w GROUP BY worker, ws HAVING count(*) >= 4"""
     if which == "alert_rate":
         return """WITH f AS (SELECT epoch_us(ts) AS us FROM events WHERE event_type = 'error'),
 w AS (SELECT CAST(floor(us / 60000000.0) AS BIGINT) * 60 - j * 60 AS ws FROM f, range(0, 15) t(j))
@@ -561,6 +605,19 @@ def book_sql(which: str) -> str:
     head = f"WITH {CANON_SQL},\n{BOOK_OPS_SQL}"
     if which == "lifetime":
         return head + "\nSELECT product, side, CAST(epoch AS BIGINT) AS epoch, price, size, from_seq, to_seq FROM lt WHERE size > 0"
+    if which == "best":
+        return head + """,
+marks AS (SELECT DISTINCT l2.seq, l2.product FROM l2),
+lo AS (
+  SELECT lv.product, lv.side, lv.price, lv.size, lv.ok AS from_ok,
+         CASE WHEN nok IS NULL THEN rs.rok WHEN rs.rok IS NULL THEN nok ELSE least(nok, rs.rok) END AS to_ok
+  FROM lv LEFT JOIN rs ON rs.product = lv.product AND rs.side = lv.side AND rs.epoch = lv.epoch WHERE lv.size > 0),
+best AS (
+  SELECT m.seq, m.product, max(price) FILTER (WHERE side = 'bid') AS bid, min(price) FILTER (WHERE side = 'ask') AS ask
+  FROM marks m JOIN lo ON lo.product = m.product AND lo.from_ok <= m.seq * 1000 + 999 AND (lo.to_ok IS NULL OR lo.to_ok > m.seq * 1000 + 999)
+  GROUP BY 1, 2)
+SELECT b.seq, CAST(0 AS BIGINT) AS pos, c.market_key, 'book_update' AS kind, c.event_us, b.product AS product_id, b.bid, b.ask
+FROM best b JOIN canon c ON c.seq = b.seq"""
     if which == "as_of":
         return head + """,
 last AS (SELECT product, max(recv_s // 86400) AS last_day FROM ops GROUP BY product),
@@ -608,6 +665,19 @@ m AS (
 SELECT path, CASE WHEN regexp_matches(parent, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN parent ELSE strftime(mtime, '%Y-%m-%d') END AS date_str,
        market_key, filename, CAST(coalesce(length, 0) AS BIGINT) AS size_bytes
 FROM m WHERE market_key <> ''"""
+    if which == "growth":
+        return f"""WITH {LISTING_SQL},
+g AS (SELECT path, length, (length % 9973) % 7200 * 500000 AS dt, (length % 9973) % 5000 AS dl FROM listing)
+SELECT path, CAST(length + dl AS BIGINT) AS size_bytes, greatest(0.001, dt / 1000000.0) AS age_seconds, dl / greatest(0.001, dt / 1000000.0) AS growth_bps FROM g"""
+    if which == "next_parts":
+        return f"""WITH {LISTING_SQL},
+h AS (SELECT parent AS date_str, regexp_extract(filename, '{rot}', 1) AS market_key, max(CAST(regexp_extract(filename, '{rot}', 3) AS INTEGER)) AS most
+      FROM listing WHERE regexp_matches(filename, '{rot}') GROUP BY 1, 2),
+n AS (SELECT ds AS date_str, mk AS market_key, d, k FROM l0 WHERE k % 4 = 1),
+p AS (SELECT n.date_str, n.market_key, n.k, n.d, CAST(coalesce(most, 0) + row_number() OVER (PARTITION BY n.date_str, n.market_key ORDER BY d, k) AS INTEGER) AS part
+      FROM n LEFT JOIN h USING (date_str, market_key))
+SELECT date_str, market_key, k, part, market_key || '__start_' || strftime(d, '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(part AS VARCHAR), 4, '0') || '.ndjson.zst' AS filename
+FROM p"""
     if which == "projection":
         return f"""WITH {MARKETS_SQL},
 {LISTING_SQL},
@@ -623,3 +693,62 @@ SELECT date_str, market_key, size_bytes, elapsed_s, size_bytes / elapsed_s * 864
        5242880.0 AS target_bytes, size_bytes / elapsed_s * 86400.0 > 5242880.0 AS warning
 FROM e"""
     raise ValueError(which)
+
+
+def text_helpers_sql() -> str:
+    return """WITH e AS (
+  SELECT event_id, event_type, value, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_us(ts) AS us, ts,
+         sha256(CAST(event_id AS VARCHAR)) AS h,
+         CASE WHEN value > 20 THEN 1 WHEN value < 20 THEN -1 ELSE 0 END AS sign FROM events),
+f AS (SELECT *, '{"event_type":"' || event_type || '","k":' || CAST(k AS VARCHAR) || '}' AS j, '0x' || left(h, k % 20) AS addr FROM e)
+SELECT event_id, event_type || '/a/' || CAST(k AS VARCHAR) AS folder, sign,
+  CASE sign WHEN 1 THEN 'Up' WHEN -1 THEN 'Down' ELSE 'Flat' END AS label, sign AS sign_again,
+  rtrim(rtrim(printf('%.10f', value), '0'), '.') AS fmt,
+  CASE WHEN length(addr) <= 10 THEN addr ELSE left(addr, 6) || '...' || right(addr, 4) END AS masked,
+  CASE WHEN length(j) <= 30 THEN j ELSE left(j, 27) || '...' END AS compact,
+  k % 6 NOT IN (1, 5) AS flag,
+  CASE WHEN k % 3 = 2 THEN '' ELSE '0x' || h END AS condition_id,
+  CAST(floor((k - 50) / 30.0) * 30 AS INTEGER) AS floored, us / 1000000.0 AS epoch,
+  strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y%m%dT%H%M%SZ') AS stamp
+FROM f"""
+
+
+def feed_snapshots_sql(i: int = 300) -> str:
+    """Dense snapshots over the parsed feed: the parsers' oracles and the
+    resolver's metas, in place of the adapted events."""
+    def part(sql: str) -> str:
+        return f"({sql})"
+    columns = ("seq", "recv_s", "market_key", "kind", "event_us", "bid", "ask", "last_trade_px", "price", "size", "side", "slug", "bucket_start_ts", "condition_id")
+    shapes = {
+        "trades": (spot_parse_sql("trades"), {"price", "size", "side", "event_us"}),
+        "ticker": (spot_parse_sql("ticker"), {"bid", "ask", "last_trade_px", "event_us"}),
+        "heartbeat": (spot_parse_sql("heartbeat"), {"event_us"}),
+        "best": (book_sql("best"), {"bid", "ask", "event_us"}),
+        "pm_change": (pred_parse_sql("price_change"), {"bid", "ask", "price", "side", "slug", "bucket_start_ts", "condition_id", "event_us"}),
+        "pm_quotes": (pred_parse_sql("quotes"), {"bid", "ask", "side", "slug", "bucket_start_ts", "condition_id", "event_us"}),
+        "pm_book": (pred_parse_sql("book"), {"bid", "ask", "side", "slug", "bucket_start_ts", "condition_id", "event_us"}),
+        "pm_trades": (pred_parse_sql("trades"), {"price", "size", "side", "slug", "bucket_start_ts", "condition_id", "event_us"}),
+    }
+    text = {"kind", "side", "slug", "condition_id"}
+    rows = []
+    for sql, own in shapes.values():
+        bits = []
+        for c in columns:
+            if c == "recv_s":
+                bits.append("CAST(floor(epoch_us(e.ts) / 1000000.0) AS BIGINT) AS recv_s")
+            elif c in own or c in ("seq", "market_key", "kind"):
+                bits.append(f"x.{c}")
+            else:
+                bits.append(f"CAST(NULL AS {'VARCHAR' if c in text else 'DOUBLE'}) AS {c}")
+        rows.append(f"SELECT {', '.join(bits)} FROM {part(sql)} x JOIN events e ON e.event_id = x.seq")
+    meta = refdata_sql("resolve").replace("SELECT * FROM resolved", "SELECT * FROM resolved WHERE error IS NULL")
+    bound = f"SELECT bucket_start_ts, market_key, yes_asset_id = no_asset_id AS one FROM ({meta})"
+    feed = " UNION ALL ".join(rows)
+    feed = f"SELECT f.* FROM ({feed}) f LEFT JOIN ({bound}) b ON b.market_key = f.market_key AND b.bucket_start_ts = f.bucket_start_ts " \
+           "WHERE f.bucket_start_ts IS NULL OR (b.market_key IS NOT NULL AND NOT (b.one AND f.side = 'yes'))"
+    metas = "SELECT CAST(-1 AS BIGINT) AS seq, bucket_start_ts AS recv_s, market_key, 'meta' AS kind, CAST(NULL AS BIGINT) AS event_us, " \
+            + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("bid", "ask", "last_trade_px", "price", "size")) \
+            + f", CAST(NULL AS VARCHAR) AS side, slug, bucket_start_ts, condition_id FROM ({meta})"
+    canon = f"canon AS (SELECT * FROM ({feed}) UNION ALL SELECT * FROM ({metas}))"
+    none = "drops AS (SELECT CAST(NULL AS VARCHAR) AS market_key, CAST(NULL AS BIGINT) AS recv_s, CAST(NULL AS BIGINT) AS n WHERE false)"
+    return snapshots_sql(i).replace(CANON_SQL, canon).replace(DROPS_SQL, none)

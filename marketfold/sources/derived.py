@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketfold.operators.ledger import STAGES as LEDGER_STAGES
+
 # Worker and queue names of the five-stage pipeline.
 WORKERS = ("ingest", "persist", "transform", "export", "relay")
 QUEUES = ("ws-snapshot-batches", "ws-bronze-written", "ws-export-intents", "ws-relay-intents")
@@ -88,3 +90,40 @@ def file_listing(orders: DataFrame, root: str = "landing") -> DataFrame:
                        F.timestamp_seconds(F.unix_seconds(d) + F.pmod(k, F.lit(86400))).alias("modificationTime"),
                        F.round(F.col("o_totalprice") * F.lit(10.0)).cast("bigint").alias("length"))
     return df.groupBy("path").agg(F.max("modificationTime").alias("modificationTime"), F.max("length").alias("length"))
+
+
+def probes(events: DataFrame) -> DataFrame:
+    """(worker, ts_us, ready): every health operation is one probe."""
+    return worker_ops(events).select("worker", "ts_us", (F.col("op") != "heartbeat").alias("ready"))
+
+
+def restarts(events: DataFrame) -> DataFrame:
+    """(worker, ts): the ``signup`` and ``error`` events."""
+    w = _pick(WORKERS, F.pmod(F.col("user_id"), F.lit(5)))
+    return events.filter(F.col("event_type").isin("signup", "error")).select(w.alias("worker"), F.col("ts").cast("timestamp").alias("ts"))
+
+
+def later_listing(listing: DataFrame) -> DataFrame:
+    """The same files some time later: each has grown by its own amount."""
+    h = F.col("length") % 9973
+    return listing.select("path", F.timestamp_micros(F.unix_micros("modificationTime") + (h % 7200) * 500_000).alias("modificationTime"),
+                          (F.col("length") + h % 5000).alias("length"))
+
+
+def claims_from_envelopes(envelopes: DataFrame, redeliver_every: int = 3) -> DataFrame:
+    """Control records each stage would claim for every batch; batches with
+    ``batch_no % redeliver_every == 0`` are delivered twice (the second a
+    minute later), as an at-least-once queue does after a lost ack."""
+    st = F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(i + 1).alias("offset")) for i, s in enumerate(LEDGER_STAGES)])
+    e = envelopes.select("batch_id", "source", "market", "snapshot_date", "batch_no", "row_count", "last_ts",
+                         F.explode(st).alias("s"))
+    dup = F.when(F.pmod(F.col("batch_no"), F.lit(redeliver_every)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    e = e.withColumn("delivery", F.explode(dup))
+    base = F.to_timestamp(F.substring(F.col("last_ts"), 1, 19))
+    step = F.col("s.offset") * (F.lit(1) + F.pmod(F.col("batch_no"), F.lit(7)))
+    produced = F.timestamp_seconds(F.unix_seconds(base) + step + F.col("delivery") * F.lit(60))
+    produced_at = F.date_format(produced, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    payload = F.to_json(F.struct(F.col("batch_id"), F.col("source"), F.col("market"), F.col("snapshot_date"),
+                                 F.col("row_count"), produced_at.alias("produced_at")))
+    return e.select(F.col("s.stage").alias("stage"), F.col("batch_id").alias("id"), "delivery",
+                    produced_at.alias("produced_at"), payload.alias("payload"), "batch_no", "source", "market")

@@ -10,7 +10,7 @@ on data that grows with the input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketfold.functions.exprs import epoch_whole_seconds
@@ -21,12 +21,20 @@ FRAME_COLUMNS = ("seq", "recv_us", "venue", "value")
 
 
 def frames_from_text(lines: DataFrame, venue: str) -> DataFrame:
-    """``spark.read.text(landing_dir)`` rows -> frames.  Arrival order is
-    the file name and line position; arrival time the file's mtime."""
-    df = lines.select(F.col("value"), F.input_file_name().alias("_f"))
-    return df.select(F.monotonically_increasing_id().alias("seq"),
-                     (F.unix_micros(F.current_timestamp())).alias("recv_us"),
-                     F.lit(venue).alias("venue"), "value")
+    """Landed frame files -> frames.  ``lines`` is a ``spark.read.text`` frame
+    of the landing zone: arrival time is the file's modification time; the
+    order is that time, then the file's name, then the place in the file.
+
+    ``seq`` numbers whole files by (time, name) -- a small table -- and lines
+    inside each file, so it is the same however files are split."""
+    df = lines.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_modification_time").alias("_t"),
+                      F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
+    files = df.groupBy("_f", "_t").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_t", "_f").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_f", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_f").orderBy("_b", "_m"))
+    return df.withColumn("_r", inside).join(files, "_f").select(
+        (F.col("_off") + F.col("_r")).alias("seq"), F.unix_micros("_t").alias("recv_us"), F.lit(venue).alias("venue"), "value")
 
 
 def land(frames: DataFrame) -> DataFrame:

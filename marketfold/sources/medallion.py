@@ -1,173 +1,179 @@
-"""Bronze -> Silver -> export staging on files, idempotent per batch.
-
-* Bronze: batch rows as NDJSON text, one directory per batch
-  (``date=/source=/market=/batch_id=``), written with dynamic partition
-  overwrite so re-writing a batch replaces exactly that batch.  Text zstd
-  is not available on stock Spark, so the default codec is gzip; Spark
-  reads ``.zst`` NDJSON as well.
-* Silver: typed Parquet (zstd) partitioned by ``date/source/market/hour``;
-  files are sized by the partition layout, not one per 250-row batch.
-* Ledger: Parquet control table partitioned by ``stage``; a batch is
-  processed only when its (stage, id) is absent (left anti join), and the
-  claim is appended after the write (at-least-once, first write wins).
-* Export: Silver files are listed with ``binaryFile``; hash and length are
-  computed by Spark (``sha2(content)``), payloads are copied by a small
-  per-file helper, manifests are appended as JSON; an audit joins
-  manifests with the staged listing (ok / mismatch / missing).
+"""Bronze -> Silver -> export -> relay on files, idempotent per batch.
+
+Layout under one root that every executor can reach (any Hadoop path):
+
+* ``raw/date=/source=/market=/``     Bronze: one JSON row per line, with its
+  ``batch_id`` and row number; batches share files;
+* ``silver/date=/source=/market=/hour=/``  typed Parquet;
+* ``quarantine/``                    batches that Silver refused, and why;
+* ``payloads/date=/source=/market=/hour=/``, ``manifests/``  the export;
+* ``ledger/stage=/``                 claims: first write wins per (stage, batch).
+
+Every stage (1) evaluates its input once, (2) appends only batches that its
+store does not hold yet, (3) reads the stored batches back and claims those
+that are not claimed.  A stage that ran twice, or whose claim was lost after
+its write, so leaves the same data; claims name stored files and hash what is
+stored.  Tasks use Spark's readers and writers only.
 """
 
 from __future__ import annotations
 
-import os
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketfold.operators import silver as S
-from marketfold.session import conf_scope
+from marketfold.session import cut_lineage
 
-DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 LEDGER_SCHEMA = "stage string, id string, produced_at string, payload string"
-
-
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-
-
-def _exists(path: str) -> bool:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.exists(p)
-
-
-def append_claims(claims: DataFrame, path: str) -> None:
-    claims.select("stage", "id", "produced_at", "payload").write.mode("append").partitionBy("stage").parquet(path)
-
-
-def batch_content(rows: DataFrame) -> DataFrame:
-    """Per batch: row count and SHA-256 of its NDJSON text in row order
-    (a batch is bounded by the batch size, so collecting it is bounded)."""
-    w = F.array_sort(F.collect_list(F.struct("rn", "row_json")))
-    text = F.array_join(F.transform(w, lambda x: x["row_json"]), "\n")
-    return rows.groupBy("batch_id", "snapshot_date", F.col("venue").alias("source"), F.col("market_key").alias("market")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.sha2(F.concat(text, F.lit("\n")), 256).alias("content_sha256"))
-
-
-def persist_bronze(rows: DataFrame, bronze_root: str, ledger_path: str, compression: str = "gzip") -> dict:
-    """J13: write batches not yet persisted, then claim them.  Returns
-    counts of written and duplicate batches."""
-    spark = rows.sparkSession
-    ledger = read_ledger(spark, ledger_path).filter(F.col("stage") == "persist")
-    content = batch_content(rows)
-    new = content.join(ledger.select(F.col("id").alias("batch_id")), "batch_id", "left_anti")
-    dup = content.join(ledger.select(F.col("id").alias("batch_id")), "batch_id", "left_semi").count()
-    todo = rows.join(new.select("batch_id"), "batch_id", "left_semi")
-    out = todo.select(F.col("snapshot_date").alias("date"), F.col("venue").alias("source"),
-                      F.col("market_key").alias("market"), "batch_id", F.col("row_json").alias("value"), "rn")
-    out = out.repartition("date", "source", "market", "batch_id").sortWithinPartitions("batch_id", "rn").drop("rn")
-    with conf_scope(spark, DYNAMIC):
-        out.write.mode("overwrite").partitionBy("date", "source", "market", "batch_id") \
-           .option("compression", compression).text(bronze_root)
-    produced = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    path = S.bronze_path(F.col("snapshot_date"), F.col("source"), F.col("market"), F.col("batch_id"))
-    claims = new.select(F.lit("persist").alias("stage"), F.col("batch_id").alias("id"), produced.alias("produced_at"),
-                        F.to_json(F.struct("batch_id", path.alias("bronze_blob_path"), "source", "market", "snapshot_date",
-                                           "content_sha256", "row_count", produced.alias("produced_at"))).alias("payload"))
-    n_new = claims.count()
-    append_claims(claims, ledger_path)
-    return {"written": n_new, "duplicates": dup}
-
-
-def read_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
-    """All-STRING read of every Bronze row (partition columns from the
-    layout); malformed JSON fails the read."""
-    schema = T.StructType(S.BRONZE_STRING_SCHEMA.fields + [
-        T.StructField("date", T.StringType()), T.StructField("source", T.StringType()),
-        T.StructField("market", T.StringType()), T.StructField("batch_id", T.StringType())])
-    df = spark.read.schema(schema).option("mode", "FAILFAST").json(bronze_root)
-    return df.select(*[F.col(k).alias(f"raw_{k}") for k in S.RAW_KEYS], F.col("date").alias("snapshot_date"),
-                     "source", "market", "batch_id")
-
-
-def transform_silver(spark: SparkSession, bronze_root: str, silver_root: str, ledger_path: str) -> dict:
-    """J14/J15: Bronze batches not yet transformed -> Silver Parquet; a batch
-    with a row lacking ``ts_utc`` is quarantined whole."""
-    ledger = read_ledger(spark, ledger_path).filter(F.col("stage") == "transform")
-    raw = read_bronze(spark, bronze_root).join(ledger.select(F.col("id").alias("batch_id")), "batch_id", "left_anti")
-    silver = S.normalize(raw)
-    ok, rejected = S.split_valid(silver)
-    placed = S.partition_hour(ok)
-    out = placed.withColumnRenamed("snapshot_date", "date").withColumn("snapshot_date", F.col("date"))
-    out = out.repartition("date", "source", "market", "hour")
-    with conf_scope(spark, DYNAMIC):
-        out.write.mode("append").partitionBy("date", "source", "market", "hour") \
-           .option("compression", "zstd").parquet(silver_root)
-    produced = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    batches = placed.select("batch_id").distinct()
-    claims = batches.select(F.lit("transform").alias("stage"), F.col("batch_id").alias("id"), produced.alias("produced_at"),
-                            F.to_json(F.struct("batch_id")).alias("payload"))
-    n = claims.count()
-    append_claims(claims, ledger_path)
-    return {"transformed": n, "quarantined": rejected.count()}
-
-
-def _copy_files(batches):
-    """Copy each listed file to its staged path (tiny per-file helper)."""
-    for pdf in batches:
-        for src, dst in zip(pdf["src"], pdf["dst"]):
-            s = src[len("file:"):] if src.startswith("file:") else src
-            d = dst[len("file:"):] if dst.startswith("file:") else dst
-            os.makedirs(os.path.dirname(d), exist_ok=True)
-            if not os.path.exists(d):
-                with open(s, "rb") as fi, open(d + ".tmp", "wb") as fo:
-                    fo.write(fi.read())
-                os.replace(d + ".tmp", d)
-        yield pd.DataFrame({"dst": pdf["dst"]})
-
-
-def stage_exports(spark: SparkSession, silver_root: str, export_root: str) -> DataFrame:
-    """J16: every Silver file -> staged payload + manifest row
-    (export_id = SHA-256 of the relative path)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.parquet").load(silver_root)
-    rel = F.regexp_extract(F.col("path"), "date=([^/]+)/source=([^/]+)/market=([^/]+)/hour=([^/]+)/([^/]+)$", 0)
-    parts = [F.regexp_extract(F.col("path"), "date=([^/]+)/source=([^/]+)/market=([^/]+)/hour=([^/]+)/([^/]+)$", i)
-             for i in range(1, 6)]
-    target = F.concat_ws("/", *parts)
-    m = files.select(F.col("path").alias("silver_blob_path"), target.alias("target_relpath"),
-                     F.sha2(F.col("content"), 256).alias("content_sha256"), F.col("length").alias("content_length"),
-                     parts[0].alias("snapshot_date"), parts[1].alias("source"), parts[2].alias("market"))
-    m = m.filter(rel != "")
-    m = m.withColumn("export_id", F.sha2(F.col("target_relpath"), 256)) \
-         .withColumn("staged_blob_path", S.staged_path(F.col("target_relpath"))) \
-         .withColumn("produced_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    base = export_root.rstrip("/")
-    copies = m.select(F.col("silver_blob_path").alias("src"), F.concat(F.lit(base + "/"), F.col("staged_blob_path")).alias("dst"))
-    copies.mapInPandas(_copy_files, "dst string").write.format("noop").mode("overwrite").save()
-    manifest = m.select("export_id", "silver_blob_path", "staged_blob_path", "target_relpath", "content_sha256",
-                        "content_length", "snapshot_date", "source", "market", "produced_at")
-    manifest.write.mode("append").json(f"{base}/relay/manifests")
-    return manifest
-
-
-def audit_exports(spark: SparkSession, export_root: str) -> DataFrame:
-    """J17 at scale: latest manifest per export joined with the staged
-    payload listing -> status ok | mismatch | missing."""
-    base = export_root.rstrip("/")
-    man = spark.read.schema("export_id string, staged_blob_path string, content_sha256 string, content_length bigint, "
-                            "produced_at string").json(f"{base}/relay/manifests")
-    latest = man.withColumn("_r", F.row_number().over(Window.partitionBy("export_id").orderBy(F.desc("produced_at")))) \
-                .filter("_r = 1").drop("_r")
-    staged = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{base}/relay/payloads")
-    rel = F.regexp_extract(F.col("path"), "(relay/payloads/.*)$", 1)
-    staged = staged.select(rel.alias("staged_blob_path"), F.sha2(F.col("content"), 256).alias("actual_sha256"),
-                           F.col("length").alias("actual_length"))
-    j = latest.join(staged, "staged_blob_path", "left")
-    status = (F.when(F.col("actual_sha256").isNull(), F.lit("missing"))
-               .when((F.col("content_sha256") != "") & (F.col("content_sha256") != F.col("actual_sha256")), F.lit("mismatch"))
-               .otherwise(F.lit("ok")))
-    return j.select("export_id", "staged_blob_path", "content_sha256", "actual_sha256", "content_length",
-                    "actual_length", status.alias("status"))
+BRONZE_SCHEMA = "value string, date string, source string, market string"
+QUARANTINE_SCHEMA = "batch_id string, snapshot_date string, source string, market string, row_count long, error string"
+MANIFEST_SCHEMA = ("export_id string, target_relpath string, staged_path string, content_sha256 string, row_count long, "
+                   "snapshot_date string, source string, market string, hour string, produced_at string")
+STAGES = ("persist", "transform", "export", "relay")
+PLACES = ("date", "source", "market", "hour")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its (local or remote) file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)
+
+
+def _now() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+class Medallion:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _read(self, name: str, schema, fmt: str = "parquet") -> DataFrame:
+        path = f"{self.root}/{name}"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).format(fmt).load(path)
+
+    # -- ledger ---------------------------------------------------------------
+
+    def ledger(self) -> DataFrame:
+        return self._read("ledger", LEDGER_SCHEMA)
+
+    def claimed(self, stage: str) -> DataFrame:
+        return self.ledger().filter(F.col("stage") == stage).select(F.col("id").alias("batch_id")).distinct()
+
+    def _claim(self, stage: str, records: DataFrame) -> int:
+        """Claim the records' batches that are not claimed; payload: the record."""
+        payload = F.to_json(F.struct(*records.columns, _now().alias("produced_at")))
+        claims = records.join(self.claimed(stage), "batch_id", "left_anti").select(
+            F.lit(stage).alias("stage"), F.col("batch_id").alias("id"), _now().alias("produced_at"), payload.alias("payload"))
+        claims = cut_lineage(claims, f"claims-{stage}")
+        claims.write.mode("append").partitionBy("stage").parquet(f"{self.root}/ledger")
+        return claims.count()
+
+    def _append(self, rows: DataFrame, held: DataFrame, name: str, places: tuple[str, ...], fmt: str, order: tuple[str, ...], **options) -> None:
+        """Append the batches of ``rows`` that the store does not hold."""
+        new = rows.join(held.select("batch_id").distinct(), "batch_id", "left_anti")
+        out = new.repartition(*places).sortWithinPartitions(*places, *order)
+        if fmt == "text":
+            out = out.select("value", *places)
+        out.write.mode("append").partitionBy(*places).options(**options).format(fmt).save(f"{self.root}/{name}")
+
+    # -- Bronze -----------------------------------------------------------------
+
+    def bronze(self) -> DataFrame:
+        """Stored lines with their batch and row number."""
+        raw = self._read("raw", BRONZE_SCHEMA, "text")
+        if "file" not in raw.columns:
+            raw = raw.withColumn("file", F.input_file_name())
+        head = F.from_json("value", "batch_id string, rn long")
+        return raw.select("*", head.getField("batch_id").alias("batch_id"), head.getField("rn").alias("rn"))
+
+    def persist(self, rows: DataFrame, compression: str = "gzip") -> dict:
+        """Batches (operators.batches columns) -> Bronze lines."""
+        tail = F.regexp_replace("row_json", "^\\s*\\{\\s*", "")
+        value = F.concat(F.lit('{"batch_id":"'), F.col("batch_id"), F.lit('","rn":'), F.col("rn").cast("string"), F.when(tail == "}", F.lit("")).otherwise(F.lit(",")), tail)
+        todo = cut_lineage(rows.select("batch_id", "rn", F.col("snapshot_date").alias("date"), F.col("venue").alias("source"),
+                                       F.col("market_key").alias("market"), value.alias("value")), "bronze-todo")
+        asked = todo.select("batch_id").distinct()
+        duplicates = asked.join(self.claimed("persist"), "batch_id", "left_semi").count()
+        self._append(todo, self.bronze(), "raw", PLACES[:3], "text", ("batch_id", "rn"), compression=compression)
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "value"))), lambda x: x["value"]), "\n")
+        stored = self.bronze().join(asked, "batch_id", "left_semi").groupBy("batch_id", "date", "source", "market").agg(
+            F.count(F.lit(1)).alias("row_count"), F.min("file").alias("bronze_path"), F.sha2(F.concat(text, F.lit("\n")), 256).alias("content_sha256"))
+        return {"written": self._claim("persist", stored), "duplicates": duplicates}
+
+    # -- Silver -------------------------------------------------------------------
+
+    SILVER_STORED = T.StructType([f for f in S.SILVER_SCHEMA.fields if f.name not in ("source", "market")]
+                                 + [T.StructField("batch_id", T.StringType()), T.StructField("rn", T.LongType())]
+                                 + [T.StructField(p, T.StringType()) for p in PLACES])
+
+    def silver(self) -> DataFrame:
+        return self._read("silver", self.SILVER_STORED)
+
+    def quarantine(self) -> DataFrame:
+        return self._read("quarantine", QUARANTINE_SCHEMA)
+
+    def transform(self) -> dict:
+        """Unclaimed Bronze batches -> Silver rows, or quarantine as a whole."""
+        raw = self.bronze().join(self.claimed("transform"), "batch_id", "left_anti").withColumnRenamed("date", "snapshot_date")
+        rows = S.normalize(S.parse_row_text(raw, "value"), keep=("batch_id", "rn"))
+        checked = cut_lineage(S.with_batch_check(rows), "silver-checked")
+        good = S.partition_hour(checked.filter(~F.col("bad")).drop("bad"))
+        out = good.withColumn("date", F.col("snapshot_date")).withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+        self._append(out, self.silver(), "silver", PLACES, "parquet", ("batch_id", "rn"), compression="zstd")
+        refused = checked.filter("bad").groupBy("batch_id", "snapshot_date", "source", "market").agg(
+            F.count(F.lit(1)).alias("row_count"), F.lit("silver_row_missing_ts_utc").alias("error"))
+        held = self.quarantine().select("batch_id")
+        refused.join(held, "batch_id", "left_anti").write.mode("append").parquet(f"{self.root}/quarantine")
+        asked = checked.select("batch_id").distinct()
+        done = self.silver().join(asked, "batch_id", "left_semi").groupBy("batch_id", *PLACES).agg(
+            F.count(F.lit(1)).alias("row_count"), F.lit("silver").alias("status"))
+        kept_out = self.quarantine().join(asked, "batch_id", "left_semi").select("batch_id", "row_count", "error", F.lit("quarantined").alias("status"))
+        return {"transformed": self._claim("transform", done), "quarantined": self._claim("transform", kept_out)}
+
+    # -- export and relay -----------------------------------------------------------
+
+    @staticmethod
+    def _digests(rows: DataFrame) -> DataFrame:
+        """Per batch: rows and a digest of its rows in order (bounded by the batch)."""
+        columns = [f.name for f in S.SILVER_SCHEMA.fields]
+        line = F.to_json(F.struct("rn", *columns))
+        text = F.array_join(F.array_sort(F.collect_list(line)), "\n")
+        return rows.groupBy("batch_id", *PLACES).agg(F.count(F.lit(1)).alias("row_count"), F.sha2(text, 256).alias("content_sha256"))
+
+    def payloads(self) -> DataFrame:
+        return self._read("payloads", self.SILVER_STORED)
+
+    def manifests(self) -> DataFrame:
+        return self._read("manifests", MANIFEST_SCHEMA, "json")
+
+    def export(self) -> dict:
+        """Unclaimed Silver batches -> staged payloads and one manifest each.
+        A batch that was exported before keeps its first manifest."""
+        todo = cut_lineage(self.silver().join(self.claimed("export"), "batch_id", "left_anti"), "export-todo")
+        self._append(todo, self.payloads(), "payloads", PLACES, "parquet", ("batch_id", "rn"), compression="zstd")
+        target = S.export_relpath(F.col("batch_id"), F.col("date"), F.col("source"), F.col("market"), F.col("hour").cast("int"))
+        made = self._digests(todo).select(
+            F.col("batch_id").alias("export_id"), target.alias("target_relpath"), S.staged_path(target).alias("staged_path"), "content_sha256", "row_count",
+            F.col("date").alias("snapshot_date"), "source", "market", "hour", _now().alias("produced_at"))
+        held = self.manifests().select("export_id")
+        made.join(held, "export_id", "left_anti").write.mode("append").json(f"{self.root}/manifests")
+        asked = todo.select("batch_id").distinct()
+        done = self.manifests().withColumnRenamed("export_id", "batch_id").join(asked, "batch_id", "left_semi").drop("produced_at")
+        return {"exported": self._claim("export", done)}
+
+    def audit(self) -> DataFrame:
+        """Manifests against the staged payloads: ok, mismatch or missing."""
+        staged = self._digests(self.payloads()).select(F.col("batch_id").alias("export_id"), F.col("content_sha256").alias("actual_sha256"),
+                                                       F.col("row_count").alias("actual_rows"))
+        status = F.when(F.col("actual_sha256").isNull(), F.lit("missing")).when(
+            (F.col("content_sha256") != F.col("actual_sha256")) | (F.col("row_count") != F.col("actual_rows")), F.lit("mismatch")).otherwise(F.lit("ok"))
+        return self.manifests().join(staged, "export_id", "left").withColumn("status", status)
+
+    def relay(self) -> dict:
+        """Exports whose payload is intact are handed on once."""
+        ready = self.audit().filter("status = 'ok'").select(F.col("export_id").alias("batch_id"), "staged_path", "target_relpath", "content_sha256")
+        return {"relayed": self._claim("relay", ready)}

@@ -1,37 +1,57 @@
-import os
-import tempfile
+"""File layer: running a stage twice, or again after its claim was lost, leaves the same data."""
+
+import shutil
 
 from pyspark.sql import functions as F
 
 from marketfold.plans import catalog
-from marketfold.sources import medallion
+from marketfold.session import cut_lineage
+from marketfold.sources.medallion import STAGES, Medallion
 from tests.conftest import SF001
 
 
-def test_bronze_silver_export_idempotent(spark):
-    base = tempfile.mkdtemp(prefix="mf-med-")
-    rows = catalog._batched(spark, SF001)
-    n_batches = rows.select("batch_id").distinct().count()
-    first = medallion.persist_bronze(rows, f"{base}/raw", f"{base}/ledger")
-    again = medallion.persist_bronze(rows, f"{base}/raw", f"{base}/ledger")
-    assert first == {"written": n_batches, "duplicates": 0}
-    assert again == {"written": 0, "duplicates": n_batches}
-    bronze = medallion.read_bronze(spark, f"{base}/raw")
-    assert bronze.count() == rows.count()
-    t1 = medallion.transform_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/ledger")
-    t2 = medallion.transform_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/ledger")
-    assert t1["transformed"] == n_batches and t2["transformed"] == 0
-    silver = spark.read.parquet(f"{base}/silver")
-    assert silver.count() == rows.count()
-    assert set(["date", "source", "market", "hour"]).issubset(silver.columns)
-    medallion.stage_exports(spark, f"{base}/silver", f"{base}/export")
-    audit = medallion.audit_exports(spark, f"{base}/export")
-    statuses = {r[0]: r[1] for r in audit.groupBy("status").count().collect()}
-    assert set(statuses) == {"ok"} and statuses["ok"] > 0
-    # tamper one staged payload -> mismatch
-    victim = audit.first().staged_blob_path
-    path = os.path.join(base, "export", victim)
-    with open(path, "ab") as fh:
-        fh.write(b"x")
-    audit2 = medallion.audit_exports(spark, f"{base}/export")
-    assert audit2.filter(F.col("status") == "mismatch").count() == 1
+def contents(store):
+    tables = {"bronze": store.bronze().select("value"), "silver": store.silver(), "payloads": store.payloads(),
+              "manifests": store.manifests().drop("produced_at"), "quarantine": store.quarantine()}
+    return {k: sorted(map(str, t.collect())) for k, t in tables.items()}
+
+
+def run_all(store, rows):
+    return store.persist(rows), store.transform(), store.export(), store.relay()
+
+
+def test_stages_are_idempotent_and_survive_lost_claims(spark, tmp_path):
+    rows = cut_lineage(catalog._batched(spark, SF001).filter("batch_no < 4"), "test-batches")
+    broken = rows.filter("batch_no = 3").withColumn("row_json", F.when(F.col("rn") % 250 == 5, F.lit('{"mid": 1}')).otherwise(F.col("row_json")))
+    rows = rows.filter("batch_no < 3").unionByName(broken)
+    n, bad = (d.select("batch_id").distinct().count() for d in (rows, broken))
+    store = Medallion(spark, str(tmp_path / "m"))
+    p, t, e, r = run_all(store, rows)
+    assert p == {"written": n, "duplicates": 0} and t == {"transformed": n - bad, "quarantined": bad}
+    assert e == {"exported": n - bad} and r == {"relayed": n - bad}
+    first = contents(store)
+    assert len(first["bronze"]) == rows.count() and len(first["manifests"]) == n - bad
+    p, t, e, r = run_all(store, rows)
+    assert p == {"written": 0, "duplicates": n} and t == {"transformed": 0, "quarantined": 0} and e == {"exported": 0} and r == {"relayed": 0}
+    assert contents(store) == first
+    for stage in STAGES:  # the claim is lost after the write, and the stage runs again
+        shutil.rmtree(tmp_path / "m" / "ledger" / f"stage={stage}")
+        run_all(store, rows)
+        assert contents(store) == first
+    assert {s: store.claimed(s).count() for s in STAGES} == {"persist": n, "transform": n, "export": n - bad, "relay": n - bad}
+
+
+def test_claims_name_stored_files_and_audit_sees_changes(spark, tmp_path):
+    rows = cut_lineage(catalog._batched(spark, SF001).filter("batch_no < 2"), "test-batches")
+    store = Medallion(spark, str(tmp_path / "m"))
+    run_all(store, rows)
+    paths = store.ledger().filter("stage = 'persist'").select(F.get_json_object("payload", "$.bronze_path")).distinct().collect()
+    files = {r[0] for r in store.bronze().select(F.input_file_name()).distinct().collect()}
+    assert {r[0] for r in paths} <= files
+    assert {r["status"] for r in store.audit().collect()} == {"ok"}
+    victim = store.payloads().first()["batch_id"]
+    again = store.payloads().filter(F.col("batch_id") == victim).limit(1)
+    again.write.mode("append").partitionBy("date", "source", "market", "hour").parquet(f"{store.root}/payloads")
+    assert [r["export_id"] for r in store.audit().filter("status = 'mismatch'").collect()] == [victim]
+    store.root = str(tmp_path / "none")
+    assert store.audit().count() == 0

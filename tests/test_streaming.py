@@ -1,50 +1,83 @@
-import os
-import tempfile
-import time
+"""Streaming snapshots against the batch operator: order of arrival, restarts, idle markets, drops."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketfold.operators import canonical as canon
 from marketfold.operators import snapshots as snap
 from marketfold.sources.tables import read_table
-from marketfold.streaming.snapshots_stream import stream_snapshots
+from marketfold.streaming.snapshots_stream import FEED_SCHEMA, SnapshotStream, feed_rows, slices
 from tests.conftest import SF001
 
+INTERVAL = 3600
 
-def land_in_chunks(spark, df, src, chunks=4):
-    """Write canonical events as successive files (arrival order)."""
-    bounds = df.agg(F.min("seq"), F.max("seq")).first()
-    lo, hi = bounds[0], bounds[1]
-    step = (hi - lo) // chunks + 1
-    for c in range(chunks):
-        part = df.filter((F.col("seq") >= lo + c * step) & (F.col("seq") < lo + (c + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(src)
-        time.sleep(1.1)
 
+def run_parts(spark, root, parts, interval=INTERVAL, markets=None):
+    stream = SnapshotStream(spark, markets if markets is not None else canon.markets_frame(spark), interval, str(root))
+    for part in parts:  # each part: started again from the checkpoint
+        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        stream.start(spark.readStream.schema(FEED_SCHEMA).parquet(f"{root}/landing")).awaitTermination()
+    stream.flush()
+    return stream
 
-def test_stream_equals_batch(spark):
-    base = tempfile.mkdtemp(prefix="mf-stream-")
+
+def same(a, b):
+    return a.select(*b.columns).exceptAll(b).isEmpty() and b.exceptAll(a.select(*b.columns)).isEmpty()
+
+
+def test_stream_with_restarts_equals_batch(spark, tmp_path):
+    ev = canon.events_to_canonical(read_table(spark, SF001, "events"))
+    drops = canon.events_to_drop_notices(read_table(spark, SF001, "events"))
+    stream = run_parts(spark, tmp_path, slices(feed_rows(ev, drops), 3))
+    assert same(stream.output(), snap.snapshots_dense(ev, canon.markets_frame(spark), INTERVAL, drops=drops))
+
+
+def event(spark, rows):
+    """(seq, recv_s, market, kind, price)"""
+    df = spark.createDataFrame(rows, "seq long, recv_s long, market_key string, kind string, price double")
+    return feed_rows(canon.conform(df.withColumn("pos", F.lit(0).cast("long"))))
+
+
+def test_late_rows_count_in_the_open_boundary_and_idle_markets_emit(spark, tmp_path):
+    parts = [[(1, 1000, "cb-btcusd", "trade", 1.0), (2, 1130, "cb-btcusd", "trade", 2.0), (3, 1010, "cb-btcusd", "trade", 3.0)],
+             [(4, 1005, "cb-btcusd", "trade", 4.0)], [(5, 1250, "cb-ethusd", "trade", 5.0)]]
+    stream = run_parts(spark, tmp_path, [event(spark, p) for p in parts], 60)
+    out = stream.output().collect()
+    btc = {r["snapshot_ts"]: (r["trade_count_1s"], r["last_trade_px"]) for r in out if r["market_key"] == "cb-btcusd"}
+    assert btc == {1020: (2, 3.0), 1080: (0, 3.0), 1140: (2, 4.0), 1200: (0, 4.0), 1260: (0, 4.0)}
+    for market in ("cb-ethusd", "pm-btc", "pm-eth"):
+        assert sorted(r["snapshot_ts"] for r in out if r["market_key"] == market) == [1020, 1080, 1140, 1200, 1260]
+
+
+def test_replayed_micro_batch_leaves_the_same_output(spark, tmp_path):
+    rows = [event(spark, [(1, 1000, "cb-btcusd", "trade", 1.0)]), event(spark, [(2, 1300, "cb-btcusd", "trade", 2.0)])]
+    stream = run_parts(spark, tmp_path, rows, 60)
+    before = sorted(map(str, stream.output().collect()))
+    stream.fold(rows[1], 1)
+    assert sorted(map(str, stream.output().collect())) == before
+
+
+def test_window_keeps_the_history_of_gauges(spark):
     ev = canon.events_to_canonical(read_table(spark, SF001, "events"))
-    src, out, ck = os.path.join(base, "src"), os.path.join(base, "out"), os.path.join(base, "ck")
-    land_in_chunks(spark, ev, src)
-    interval = 3600
-    stream = spark.readStream.schema(canon.CANONICAL_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (stream_snapshots(stream, canon.markets_frame(spark), interval).writeStream.format("parquet")
-         .option("checkpointLocation", ck).option("path", out).trigger(availableNow=True).start())
-    q.awaitTermination(600)
-    got = spark.read.parquet(out)
-    assert got.count() > 0
-    batch = snap.snapshots_dense(ev, canon.markets_frame(spark), interval)
-    firsts = got.groupBy("market_key").agg(F.min("snapshot_ts").alias("t0"), F.max("snapshot_ts").alias("t1"))
-    expected = batch.join(firsts, "market_key").filter((F.col("snapshot_ts") >= F.col("t0")) & (F.col("snapshot_ts") <= F.col("t1")))
-    expected = expected.drop("t0", "t1").drop("dropped_events_1s")
-    got = got.drop("dropped_events_1s").select(*expected.columns)
-    assert got.count() == expected.count()
-    bad = got.exceptAll(expected)
-    if bad.count():
-        bad.select("market_key", "snapshot_ts", "msg_count_1s", "trade_count_1s", "book_update_count_1s", "yes_best_bid", "bucket_start_ts").show(8)
-        expected.join(bad.select("market_key", "snapshot_ts"), ["market_key", "snapshot_ts"]).select("market_key", "snapshot_ts", "msg_count_1s", "trade_count_1s", "book_update_count_1s", "yes_best_bid", "bucket_start_ts").show(8)
-    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-    # every market keeps emitting: no gaps between its first and last boundary
-    gaps = got.groupBy("market_key").agg(((F.max("snapshot_ts") - F.min("snapshot_ts")) / interval + 1 - F.count(F.lit(1))).alias("missing"))
-    assert gaps.filter(F.col("missing") != 0).count() == 0
+    whole = snap.snapshots_dense(ev, canon.markets_frame(spark), INTERVAL)
+    lo, hi = whole.agg(F.min("snapshot_ts") + 40 * INTERVAL, F.min("snapshot_ts") + 90 * INTERVAL).first()
+    part = snap.snapshots_dense(ev, canon.markets_frame(spark), INTERVAL, window=(lo, hi))
+    assert same(part, whole.filter(F.col("snapshot_ts").between(lo, hi)))
+
+
+def test_meta_rows_set_the_identity_gauges(spark):
+    rows = [(1, 1000, "pm-btc", "meta", None), (2, 1100, "pm-btc", "trade", 0.5)]
+    df = spark.createDataFrame(rows, "seq long, recv_s long, market_key string, kind string, price double")
+    df = canon.conform(df.withColumn("pos", F.lit(0).cast("long")).withColumn("slug", F.when(F.col("kind") == "meta", F.lit("s-1")))
+                       .withColumn("condition_id", F.when(F.col("kind") == "meta", F.lit("0xab"))).withColumn("bucket_start_ts", F.lit(900).cast("long")))
+    out = {r["snapshot_ts"]: r for r in snap.snapshots_dense(df, canon.markets_frame(spark), 60).collect() if r["market_key"] == "pm-btc"}
+    assert out[1020]["slug"] == "s-1" and out[1020]["msg_count_1s"] == 0 and out[1140]["condition_id"] == "0xab" and out[1140]["msg_count_1s"] == 1
+
+
+def test_checkpoint_folder_is_required_off_a_local_master():
+    from marketfold.session import require_local_master
+    require_local_master("local[4]")
+    require_local_master("local")
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://https://host"):
+        with pytest.raises(ValueError):
+            require_local_master(master)
