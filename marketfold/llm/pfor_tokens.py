@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import binascii
 import os
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -49,9 +50,10 @@ class WordEncoder(dict):
 
     For vocabularies whose pre-tokenizer drops white space and never matches
     across it: a text's ids are then its words' ids in a row.  Words are
-    remembered; the memory is emptied when it has grown large."""
+    remembered, by a worker also from task to task; the memory is emptied when
+    it has grown large."""
 
-    LIMIT = 400_000
+    LIMIT = 1_500_000
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,11 +63,13 @@ class WordEncoder(dict):
     def learn(self, texts: list[list[bytes]]) -> None:
         if len(self) > self.LIMIT:
             self.clear()
-        new = list({w for words in texts for w in words if w not in self})
+        words: set[bytes] = set()
+        words.update(*texts)
+        new = [w for w in words if w not in self]
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self[word] = np.array(e.ids, dtype="<u4").tobytes()
+                self[word] = struct.pack(f"<{len(e)}I", *e.ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
@@ -73,6 +77,16 @@ class WordEncoder(dict):
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_for(vocabulary: str) -> WordEncoder:
+    """The worker's encoder of a vocabulary file."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = WordEncoder(vocabulary)
+    return _encoders[vocabulary]
+
+
 # ---- blocks -----------------------------------------------------------------
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -148,7 +162,7 @@ def _blocks_of(vocabulary: str, end_id: int, block: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, rows, held = WordEncoder(vocabulary), [], []
+        encoder, rows, held = encoder_for(vocabulary), [], []
         shard, start, filled = None, 0, 0
         for b in rebatched(batches, 512):
             for doc, part, ids in zip(b.column("id").to_pylist(), b.column("shard").to_pylist(), encoder.encode(byte_texts(b))):
