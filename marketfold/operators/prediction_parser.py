@@ -48,51 +48,10 @@ def _asset() -> F.Column:
     return J.p_text(J.p_first(*[J.pair(f"x_a{i}") for i in range(1, 5)]))
 
 
-def _enrich(df: DataFrame, bindings: DataFrame, kind: str) -> DataFrame:
-    """Binding lookup (inner equi-join on asset id).  The bindings table is
-    a dimension (2 rows per market per 5-minute bucket); the planner
-    broadcasts it only when its measured size is under the threshold."""
-    b = bindings.select(*BINDING_COLUMNS)
-    out = J.fenced_filter(df, F.col("asset_id").isNotNull() & (F.col("asset_id") != "")).join(b, "asset_id", "inner")
-    return (out.withColumn("kind", F.lit(kind)).withColumn("venue", F.lit(C.PREDICTION_VENUE))
-               .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
-
-
-def parse_price_changes(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = J.extract(msgs.filter(F.col("event_type") == "price_change"), "item", {"x_pc": "$.price_changes"})
-    m = m.select("seq", "recv_us", "i", F.posexplode(J.p_array(J.pair("x_pc"))).alias("j", "ch"))
-    m = J.extract(m, "ch", {**_ASSET_PATHS, "x_bb": "$.best_bid", "x_b": "$.bid", "x_ba": "$.best_ask", "x_a": "$.ask",
-                            "x_px": "$.price"})
-    m = m.select("seq", "recv_us", (F.col("i") * F.lit(POS_STRIDE) + F.col("j")).alias("pos"),
-                 _asset().alias("asset_id"), _event_us().alias("event_us"),
-                 J.p_float(J.p_first(J.pair("x_bb"), J.pair("x_b"))).alias("bid"),
-                 J.p_float(J.p_first(J.pair("x_ba"), J.pair("x_a"))).alias("ask"),
-                 J.p_float(J.pair("x_px")).alias("price"))
-    return _enrich(m, bindings, "book_update")
-
-
-def _single(msgs: DataFrame, etype: str, paths: dict[str, str]) -> DataFrame:
-    m = J.extract(msgs.filter(F.col("event_type") == etype), "item", {**_ASSET_PATHS, **paths})
-    return m.withColumn("pos", F.col("i") * F.lit(POS_STRIDE)).withColumn("asset_id", _asset()) \
-            .withColumn("event_us", _event_us())
-
-
-def parse_best_bid_ask(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = _single(msgs, "best_bid_ask", {"x_bb": "$.best_bid", "x_b": "$.bid", "x_ba": "$.best_ask", "x_a": "$.ask"})
-    m = m.select("seq", "recv_us", "pos", "asset_id", "event_us",
-                 J.p_float(J.p_first(J.pair("x_bb"), J.pair("x_b"))).alias("bid"),
-                 J.p_float(J.p_first(J.pair("x_ba"), J.pair("x_a"))).alias("ask"))
-    return _enrich(m, bindings, "quote")
-
-
-def parse_last_trades(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = _single(msgs, "last_trade_price", {"x_px": "$.price", "x_ltp": "$.last_trade_price", "x_sz": "$.size",
-                                           "x_side": "$.side"})
-    m = m.select("seq", "recv_us", "pos", "asset_id", "event_us",
-                 J.p_float(J.p_first(J.pair("x_px"), J.pair("x_ltp"))).alias("price"),
-                 J.p_float(J.pair("x_sz")).alias("size"),
-                 J.p_norm(J.pair("x_side"), upper=True).alias("trade_side"))
-    return _enrich(m, bindings, "trade")
+_PRICE_PATHS = {"x_bb": "$.best_bid", "x_b": "$.bid", "x_ba": "$.best_ask", "x_a": "$.ask", "x_px": "$.price",
+                "x_ltp": "$.last_trade_price", "x_sz": "$.size", "x_side": "$.side", "x_bids": "$.bids", "x_asks": "$.asks"}
+# Message types and the kind of event they become.
+KINDS = {"price_change": "book_update", "best_bid_ask": "quote", "last_trade_price": "trade", "book": "book_update"}
 
 
 def book_top(levels: F.Column, want_max: bool) -> F.Column:
@@ -106,20 +65,54 @@ def book_top(levels: F.Column, want_max: bool) -> F.Column:
     return F.array_max(px) if want_max else F.array_min(px)
 
 
+def parse_messages(msgs: DataFrame, bindings: DataFrame, types: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
+    """Messages of the wanted types -> events, in one pass: a price change is
+    its list of changes, any other message itself; every path is extracted
+    once; one binding lookup (inner equi-join on asset id).
+
+    The bindings table is a dimension (2 rows per market per 5-minute bucket);
+    the planner broadcasts it only when its measured size is under the
+    threshold."""
+    m = J.fenced_filter(msgs, F.col("event_type").isin(*types))
+    is_change = F.col("event_type") == "price_change"
+    m = J.extract(m, "item", {"x_pc": "$.price_changes"})
+    inner = F.when(is_change, J.p_array(J.pair("x_pc"))).otherwise(F.array("item"))
+    m = m.select("seq", "recv_us", "i", "event_type", F.posexplode(inner).alias("j", "el"))
+    m = J.extract(m, "el", {**_ASSET_PATHS, **_PRICE_PATHS})
+    et = F.col("event_type")
+    is_book, is_trade = et == "book", et == "last_trade_price"
+    bid, ask = J.p_float(J.p_first(J.pair("x_bb"), J.pair("x_b"))), J.p_float(J.p_first(J.pair("x_ba"), J.pair("x_a")))
+    kind = F.lit(None).cast("string")
+    for name, value in KINDS.items():
+        kind = F.when(et == name, F.lit(value)).otherwise(kind)
+    m = m.select(
+        "seq", "recv_us", (F.col("i") * F.lit(POS_STRIDE) + F.col("j")).alias("pos"), _asset().alias("asset_id"), _event_us().alias("event_us"),
+        F.when(is_book, book_top(F.col("x_bids"), True)).when(~is_trade, bid).alias("bid"),
+        F.when(is_book, book_top(F.col("x_asks"), False)).when(~is_trade, ask).alias("ask"),
+        F.when(is_trade, J.p_float(J.p_first(J.pair("x_px"), J.pair("x_ltp")))).when(is_change, J.p_float(J.pair("x_px"))).alias("price"),
+        F.when(is_trade, J.p_float(J.pair("x_sz"))).alias("size"), F.when(is_trade, J.p_norm(J.pair("x_side"), upper=True)).alias("trade_side"),
+        kind.alias("kind"))
+    out = J.fenced_filter(m, F.col("asset_id").isNotNull() & (F.col("asset_id") != "")).join(bindings.select(*BINDING_COLUMNS), "asset_id", "inner")
+    return (out.withColumn("venue", F.lit(C.PREDICTION_VENUE))
+               .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
+
+
+def parse_price_changes(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
+    return parse_messages(msgs, bindings, ("price_change",))
+
+
+def parse_best_bid_ask(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
+    return parse_messages(msgs, bindings, ("best_bid_ask",))
+
+
+def parse_last_trades(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
+    return parse_messages(msgs, bindings, ("last_trade_price",))
+
+
 def parse_books(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
-    m = _single(msgs, "book", {"x_bids": "$.bids", "x_asks": "$.asks"})
-    m = m.select("seq", "recv_us", "pos", "asset_id", "event_us",
-                 book_top(F.col("x_bids"), True).alias("bid"),
-                 book_top(F.col("x_asks"), False).alias("ask"))
-    return _enrich(m, bindings, "book_update")
+    return parse_messages(msgs, bindings, ("book",))
 
 
 def parse_prediction_frames(frames: DataFrame, bindings: DataFrame) -> DataFrame:
     from marketfold.operators.canonical import conform
-    msgs = messages(frames)
-    parts = [parse_price_changes(msgs, bindings), parse_best_bid_ask(msgs, bindings),
-             parse_last_trades(msgs, bindings), parse_books(msgs, bindings)]
-    out = conform(parts[0])
-    for p in parts[1:]:
-        out = out.unionByName(conform(p))
-    return out
+    return conform(parse_messages(messages(frames), bindings))

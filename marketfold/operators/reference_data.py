@@ -63,8 +63,8 @@ def metadata_landing(canonical: DataFrame) -> DataFrame:
 
 def refresh_points(canonical: DataFrame, symbols: dict[str, str] | None = None) -> DataFrame:
     """Every (symbol, 5-minute bucket) in the run window of the prediction
-    events: the lookups the resolver performs.  One row per symbol explodes
-    its own bucket range (no join)."""
+    events: the lookups the resolver performs.  Each symbol explodes its days,
+    spread over the tasks, and each (symbol, day) its buckets (no join)."""
     p = canonical.filter(F.col("venue") == C.PREDICTION_VENUE)
     w = C.SLUG_BUCKET_SECONDS
     rng = p.agg(F.min("recv_s").alias("lo"), F.max("recv_s").alias("hi"))
@@ -74,7 +74,12 @@ def refresh_points(canonical: DataFrame, symbols: dict[str, str] | None = None)
     out = rng.select(F.explode(F.array(*[F.lit(s) for s in syms])).alias("symbol"),
                      (F.col("lo") - F.pmod(F.col("lo"), F.lit(w))).alias("lo"),
                      (F.col("hi") - F.pmod(F.col("hi"), F.lit(w))).alias("hi"))
-    out = out.select("symbol", F.explode(F.sequence("lo", "hi", F.lit(w).cast("bigint"))).alias("bucket_start_ts"))
+    day = w * max(1, 86400 // w)
+    out = out.select("symbol", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / day), F.floor(F.col("hi") / day))).alias("d"))
+    parts = int(canonical.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartition(parts, "symbol", "d")
+    out = out.select("symbol", F.explode(F.sequence(F.greatest(F.col("lo"), F.col("d") * day), F.least(F.col("hi"), F.col("d") * day + day - w),
+                                                    F.lit(w).cast("bigint"))).alias("bucket_start_ts"))
     return out.select("symbol", element(keys, "symbol").alias("market_key"), "bucket_start_ts",
                       F.concat_ws("-", element(prefixes, "symbol"), F.col("bucket_start_ts").cast("string")).alias("slug"))
 

@@ -53,14 +53,18 @@ _EL_PATHS = {**_PID, "x_bid": "$.best_bid", "x_bidc": "$.bestBid", "x_ask": "$.b
              "x_px": "$.price", "x_sz": "$.size", "x_side": "$.side", "x_time": "$.time", "x_hb": "$.current_time"}
 
 
-def parse_spot_frames(frames: DataFrame) -> DataFrame:
+# The channels read here.
+CHANNELS = ("heartbeats", "ticker", "market_trades")
+
+
+def parse_spot_frames(frames: DataFrame, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
     """Heartbeat, quote and trade events in ONE pass over the frames (book
-    events: ``operators.book``).  Per channel the inner list is: heartbeats
+    events: ``operators.book``); ``channels`` picks the ones wanted.  Per channel the inner list is: heartbeats
     -> the event itself (objects only, fanned out to every product when it
     names none); ticker -> ``tickers`` or the event itself; market_trades ->
     ``trades``.  Unknown products are dropped; trades need a price."""
     from marketfold.operators.canonical import conform
-    env = J.fenced_filter(frame_envelope(frames), F.col("channel").isin("heartbeats", "ticker", "market_trades"))
+    env = J.fenced_filter(frame_envelope(frames), F.col("channel").isin(*channels))
     ev = env.select("seq", "recv_us", "fallback_us", "channel", F.posexplode("events").alias("i", "ev"))
     ev = J.extract(ev, "ev", {"x_tickers": "$.tickers", "x_trades": "$.trades"})
     ch = F.col("channel")

@@ -44,22 +44,22 @@ def q_snapshots_dense(spark: SparkSession, sf_dir: str, interval_s: int = FLAGSH
                                 drops=_drops(spark, sf_dir))
 
 
-def _spot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spot_parser.parse_spot_frames(frames.spot_frames(read_table(spark, sf_dir, "events")))
+def _spot(spark: SparkSession, sf_dir: str, channel: str) -> DataFrame:
+    return spot_parser.parse_spot_frames(frames.spot_frames(read_table(spark, sf_dir, "events")), (channel,))
 
 
 def q_parse_coinbase_trades(spark, sf_dir):
-    return _spot(spark, sf_dir).filter(F.col("kind") == "trade").select(
+    return _spot(spark, sf_dir, "market_trades").select(
         "seq", "pos", "market_key", "kind", "event_us", "product_id", "price", "size", "side")
 
 
 def q_parse_coinbase_ticker(spark, sf_dir):
-    return _spot(spark, sf_dir).filter(F.col("kind") == "quote").select(
+    return _spot(spark, sf_dir, "ticker").select(
         "seq", "pos", "market_key", "kind", "event_us", "product_id", "bid", "ask", "last_trade_px")
 
 
 def q_parse_coinbase_heartbeat(spark, sf_dir):
-    return _spot(spark, sf_dir).filter(F.col("kind") == "heartbeat").select(
+    return _spot(spark, sf_dir, "heartbeats").select(
         "seq", "pos", "market_key", "kind", "event_us", "product_id")
 
 
@@ -211,7 +211,8 @@ def q_max_stale(spark, sf_dir):
 
 
 def _claims(spark, sf_dir):
-    return derived.claims_from_envelopes(q_batch_chunks(spark, sf_dir))
+    """Control records; cut, as its readers use them more than once."""
+    return cut_lineage(derived.claims_from_envelopes(q_batch_chunks(spark, sf_dir)), "claims")
 
 
 def q_ledger_first_wins(spark, sf_dir):
