@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import binascii
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -45,31 +46,96 @@ PERCENTILES = (90.0, 95.0, 98.0, 99.0, 100.0)
 
 # ---- encoding ---------------------------------------------------------------
 
+# A word of ASCII and Latin-1 letters, then ASCII marks: two pre-tokens at most,
+# nothing to normalise but case.
+PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!#$%&()*,./:;?@|_~+=^\"-]*)")
+# Lower case of those letters' bytes (a byte of 0x80 .. 0x9E only follows 0xC3 there).
+PLAIN_LOWER = bytes(c + 32 if 65 <= c <= 90 or 0x80 <= c <= 0x9E else c for c in range(256))
+
+
+class _Packers(dict):
+    """Packers of n unsigned 32-bit integers."""
+
+    def __missing__(self, n: int):
+        packer = struct.Struct(f"<{n}I").pack
+        if n < 1000:
+            self[n] = packer
+        return packer
+
+
+PACK = _Packers()
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level alphabet, by its rule: printable Latin-1 stands for itself,
+    every other byte for the next letter from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class WordEncoder(dict):
     """Ids of a word, as little-endian bytes, through the tokenizers library.
 
     For vocabularies whose pre-tokenizer drops white space and never matches
-    across it: a text's ids are then its words' ids in a row.  Words are
-    remembered, by a worker also from task to task; the memory is emptied when
-    it has grown large."""
+    across it: a text's ids are then its words' ids in a row.  Plain words go
+    straight to the vocabulary's BPE model if a set of probes shows that this
+    gives what the whole tokenizer gives; all others, and all words of other
+    vocabularies, take the whole tokenizer.  Words are remembered, by a worker
+    also from task to task; the memory is emptied when it has grown large."""
 
     LIMIT = 1_500_000
+    PROBES = ("a", "The", "Zwölf", "straße", "ÀÉÎÕÜÞ", "ÿïñ", "word.", "and,", "x***", "fin!!", "A-", "e%%%", "ab|", "Ça;", 'q"', "end/", "n_", "o~", "p+=", "s@^", "t(#)$&:?")
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+        self.marks: dict[bytes, bytes] = {b"": b""}
+        self.direct = all(self.plain(w.encode()) == self._bytes(self._whole(w)) for w in self.PROBES)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return PACK[len(ids)](*ids)
+
+    def plain(self, word: bytes) -> bytes | None:
+        """Ids of a plain word, None for any other."""
+        if word.isalpha():  # ASCII letters spell themselves
+            return PACK[len(t := self.tokenize(word.lower().decode()))](*[x.id for x in t])
+        m = PLAIN.fullmatch(word)
+        if m is None:
+            return None
+        letters, marks = m.groups()
+        tail = self.marks.get(marks)
+        if tail is None:
+            tail = self._bytes(self._whole(marks.decode()))
+            if len(self.marks) < 10_000:
+                self.marks[marks] = tail
+        spelled = letters.lower().decode() if letters.isascii() else letters.translate(PLAIN_LOWER).decode("latin-1").translate(self.letters)
+        return PACK[len(t := self.tokenize(spelled))](*[x.id for x in t]) + tail
 
     def learn(self, texts: list[list[bytes]]) -> None:
         if len(self) > self.LIMIT:
             self.clear()
         words: set[bytes] = set()
         words.update(*texts)
-        new = [w for w in words if w not in self]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
+        rest = []
+        for w in words:
+            if w not in self:
+                ids = self.plain(w) if self.direct else None
+                if ids is None:
+                    rest.append(w)
+                else:
+                    self[w] = ids
+        for at in range(0, len(rest), 4096):
+            part = rest[at:at + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self[word] = struct.pack(f"<{len(e)}I", *e.ids)
+                self[word] = self._bytes(e.ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
