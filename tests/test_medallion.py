@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketfold.plans import catalog
 from marketfold.session import cut_lineage
-from marketfold.sources.medallion import STAGES, Medallion
+from marketfold.sources.medallion import STAGES, Medallion, write_rolling
 from tests.conftest import SF001
 
 
@@ -55,3 +55,13 @@ def test_claims_name_stored_files_and_audit_sees_changes(spark, tmp_path):
     assert [r["export_id"] for r in store.audit().filter("status = 'mismatch'").collect()] == [victim]
     store.root = str(tmp_path / "none")
     assert store.audit().count() == 0
+
+
+def test_rolling_files_start_anew_by_day_market_and_size(spark, tmp_path):
+    rows = spark.createDataFrame([(f"2025-02-0{1 + i % 2}", "m", "x" * 99) for i in range(100)], "date string, market string, row_json string")
+    write_rolling(rows, str(tmp_path / "r"), max_bytes=2000, compression="none")
+    sizes = {}
+    for f in (tmp_path / "r").rglob("*.txt"):
+        sizes.setdefault(f.parent.parent.name, []).append(f.stat().st_size)
+    assert set(sizes) == {"date=2025-02-01", "date=2025-02-02"}
+    assert all(len(s) == 3 and max(s) <= 2000 and sum(s) == 5000 for s in sizes.values())
