@@ -35,6 +35,7 @@ from marketfold.session import cut_lineage
 WORD_MAP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 COVERAGE_NUM, COVERAGE_DEN = 1, 20
+MAX_WORDS = 200_000  # of a shard's items: an automaton of some hundred megabytes at most
 
 
 def item_words(text: bytes) -> list[bytes]:
@@ -142,17 +143,19 @@ class ItemAutomaton:
                     s = link[s]
 
 
-def build_automata(benchmark: DataFrame, window: int, max_words: int):
-    """Yield one automaton per shard of items; a shard has about ``max_words``
-    words at most (or is one single longer item)."""
+def item_shards(benchmark: DataFrame, max_words: int) -> tuple[DataFrame, int]:
+    """Items (item_id, text) that can have windows, and how many shards they
+    need: a shard has about ``max_words`` words at most (or is one longer item)."""
     items = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     n_words = items.agg(F.sum(F.ceil(F.length("text") / 2))).first()[0] or 0  # words are at most half the characters
-    shards = max(1, -(-int(n_words) // max_words))
-    for k in range(shards):
-        part = items if shards == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k)
-        rows = sorted({(r["item_id"], r["text"]) for r in part.toLocalIterator()})
-        yield ItemAutomaton([(name, item_words(text.encode())) for name, text in rows], window)
+    return items, max(1, -(-int(n_words) // max_words))
+
+
+def shard_automaton(items: DataFrame, shards: int, k: int, window: int) -> ItemAutomaton:
+    part = items if shards == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k)
+    rows = sorted({(r["item_id"], r["text"]) for r in part.toLocalIterator()})
+    return ItemAutomaton([(name, item_words(text.encode())) for name, text in rows], window)
 
 
 def _scanner(shared):
@@ -195,22 +198,25 @@ FOUND = [T.StructField("_words", T.LongType()), T.StructField("_hit", T.LongType
          T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))]
 
 
-def match_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_words: int = 2_000_000) -> DataFrame:
+def match_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_words: int = MAX_WORDS) -> DataFrame:
     """The documents as ``_row`` plus ``_words`` (count), ``_hit`` (words
     inside occurrences), ``_spans`` (word positions start, end, start, end
     ...) and ``_items`` (sorted ids)."""
     share = docs.sparkSession.sparkContext.broadcast
-    automata = list(build_automata(benchmark, window, max_words))
-    if len(automata) == 1:
+    items, shards = item_shards(benchmark, max_words)
+    if shards == 1:
         rows = packed(docs)
-        return rows.mapInArrow(_scanner(share(automata[0])), T.StructType([rows.schema["_row"], *FOUND]))
-    # Several shards: give rows a key once, scan that table per shard, combine.
+        return rows.mapInArrow(_scanner(share(shard_automaton(items, 1, 0, window))), T.StructType([rows.schema["_row"], *FOUND]))
+    # Several shards: give rows a key once, scan that table shard by shard (one
+    # automaton at a time), combine.
     rows = cut_lineage(packed(docs, F.expr("uuid()").alias("_key")), "decontam-rows")
     slim = rows.select(F.struct("_key", F.col("_row.text").alias("text")).alias("_row"))
     scanned = None
-    for a in automata:
-        part = slim.mapInArrow(_scanner(share(a)), T.StructType([slim.schema["_row"], *FOUND]))
-        part = part.select("_row._key", "_words", "_spans", "_items")
+    for k in range(shards):
+        held = share(shard_automaton(items, shards, k, window))
+        part = slim.mapInArrow(_scanner(held), T.StructType([slim.schema["_row"], *FOUND])).select("_row._key", "_words", "_spans", "_items")
+        part = cut_lineage(part, "decontam-shard")
+        held.destroy()
         scanned = part if scanned is None else scanned.unionByName(part)
     match = scanned.groupBy("_key").agg(F.first("_words").alias("_words"), F.collect_list("_spans").alias("_all_spans"),
                                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"))
