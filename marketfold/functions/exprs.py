@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WS = "^[\\s\\u00a0]+|[\\s\\u00a0]+$"
+# What ``str.strip()`` takes for white space.
+_WS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def col_(c) -> Column:
@@ -23,7 +24,7 @@ def col_(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Trim every kind of whitespace (``str.strip()``), not only spaces."""
-    return F.regexp_replace(col_(c), _WS, "")
+    return F.btrim(col_(c), F.lit(_WS))
 
 
 def blank_to_null(c) -> Column:
