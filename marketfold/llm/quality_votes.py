@@ -128,11 +128,9 @@ class VoteModel:
 
     def posterior(self, vote: Column) -> Column:
         """P(good | votes): a plain expression of the vote array."""
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for j, (g, b) in enumerate(zip(self.on_good, self.on_bad)):
-            v = F.get(vote, F.lit(j))
-            down, none, up = (math.log(x / y) for x, y in zip(g, b))
-            odds = odds + F.when(v == 1, F.lit(up)).when(v == -1, F.lit(down)).otherwise(F.lit(none))
+        weights = F.lit([math.log(x / y) for g, b in zip(self.on_good, self.on_bad) for x, y in zip(g, b)])
+        each = F.transform(vote, lambda v, j: F.get(weights, v + 1 + 3 * j))
+        odds = F.aggregate(each, F.lit(math.log(self.prior / (1 - self.prior))), lambda sum_, x: sum_ + x)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
@@ -145,27 +143,25 @@ PRIOR_GOOD, PRIOR_ON_GOOD, PRIOR_ON_BAD = 0.85, (0.01, 0.09, 0.90), (0.25, 0.15,
 def fit_votes(patterns: DataFrame, n_rules: int, rounds: int = 12, tolerance: float = 1e-4, strength: float = 0.02) -> VoteModel:
     """EM over the table (v array<int>, n long) of vote patterns.
 
-    Each round is one aggregation of that small table: the posterior of every
-    pattern, then the expected counts of each vote in both classes.  The
-    Dirichlet prior above, worth ``strength`` of all rows, fixes which class
-    is which and keeps rules that never vote in place."""
+    Each round is one aggregation of that small table, to three rows a rule:
+    the posterior of every pattern, then the expected counts of each vote in
+    both classes.  The Dirichlet prior above, worth ``strength`` of all rows,
+    fixes which class is which and keeps rules that never vote in place."""
     model = VoteModel(PRIOR_GOOD, (PRIOR_ON_GOOD,) * n_rules, (PRIOR_ON_BAD,) * n_rules)
     for _ in range(rounds):
-        p, n = model.posterior(F.col("v")), F.col("n").cast("double")
-        sums = [F.sum("n").alias("all"), F.sum(n * p).alias("good")]
-        for j in range(n_rules):
-            for vote in (-1, 0, 1):
-                cast = F.when(F.get(F.col("v"), F.lit(j)) == vote, n).otherwise(0.0)
-                sums += [F.sum(cast * p).alias(f"g{j}_{vote + 1}"), F.sum(cast * (1 - p)).alias(f"b{j}_{vote + 1}")]
-        s = patterns.agg(*sums).first()
-        if not s["all"]:
+        n = F.col("n").cast("double")
+        cast = patterns.select(n.alias("n"), model.posterior(F.col("v")).alias("p"), F.posexplode("v").alias("j", "vote"))
+        sums = cast.groupBy("j", "vote").agg(F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad")).collect()
+        if not sums:
             return model
-        extra = 1.0 + strength * s["all"]
-
-        def shares(which: str, prior: tuple[float, ...], size: float) -> tuple[tuple[float, ...], ...]:
-            return tuple(tuple((s[f"{which}{j}_{k}"] + prior[k] * extra) / (size + extra) for k in range(3)) for j in range(n_rules))
-        new = VoteModel((s["good"] + PRIOR_GOOD * extra) / (s["all"] + extra),
-                        shares("g", PRIOR_ON_GOOD, s["good"]), shares("b", PRIOR_ON_BAD, s["all"] - s["good"]))
+        good, bad = ({(r["j"], r["vote"] + 1): r[c] for r in sums} for c in ("good", "bad"))
+        all_good, all_bad = (sum(x.get((0, k), 0.0) for k in range(3)) for x in (good, bad))
+        extra = 1.0 + strength * (all_good + all_bad)
+
+        def shares(counts: dict, prior: tuple[float, ...], size: float) -> tuple[tuple[float, ...], ...]:
+            return tuple(tuple((counts.get((j, k), 0.0) + prior[k] * extra) / (size + extra) for k in range(3)) for j in range(n_rules))
+        new = VoteModel((all_good + PRIOR_GOOD * extra) / (all_good + all_bad + extra),
+                        shares(good, PRIOR_ON_GOOD, all_good), shares(bad, PRIOR_ON_BAD, all_bad))
         moved = max(abs(x - y) for a, b in zip(new.on_good + new.on_bad, model.on_good + model.on_bad) for x, y in zip(a, b))
         model = new
         if moved < tolerance:
