@@ -20,3 +20,13 @@ def test_numbering_is_the_same_however_files_are_split(spark, tmp_path):
         assert rows[0]["recv_us"] == 1_700_000_000_000_000
         seen.append(rows)
     assert seen[0] == seen[1]
+
+
+def test_listing_of_real_files_finds_pending_ones(spark, tmp_path):
+    from marketfold.operators import inventory
+    day = tmp_path / "2025-02-03"
+    day.mkdir()
+    for name, size in (("pm-btc__start_20250203T000000Z__part_0007.ndjson.zst", 30), ("pm-eth.ndjson.zst", 5), ("notes.txt", 9)):
+        (day / name).write_bytes(b"x" * size)
+    got = inventory.pending_files(inventory.list_files(spark, str(tmp_path))).collect()
+    assert {(r["date_str"], r["market_key"], r["size_bytes"]) for r in got} == {("2025-02-03", "pm-btc", 30), ("2025-02-03", "pm-eth", 5)}
