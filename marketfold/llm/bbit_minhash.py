@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import byte_texts, id_back, id_key, lower_words, packed, rebatched, unpacked
+from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, lower_words, packed, rebatched, unpacked
 from marketfold.session import cut_lineage
 
 PERMUTATIONS, BANDS, BAND_ROWS, LOW_BITS = 128, 25, 5, 4
@@ -228,7 +228,7 @@ class NearDuplicates:
         self.k, self.threshold = k, round(similarity * 100)
         self.docs = docs.select(id_key().alias("id"), F.col("text").cast("string").alias("text"))
         signed = self.docs.mapInArrow(_sign(k), "id long, copy binary, n long, bands array<long>, bits array<long>")
-        signed = cut_lineage(signed, "minhash-signed")
+        signed = cut_lineage(signed, "minhash-signed", SMALL_BATCHES)
         sets = signed.filter("n > 0")
         classes = sets.groupBy("copy").agg(F.min("id").alias("rep"), F.min(F.struct("bands", "bits")).alias("s"))
         classes = cut_lineage(classes.select("copy", "rep", "s.bands", "s.bits"), "minhash-classes")
@@ -253,7 +253,7 @@ class NearDuplicates:
         pairs = cut_lineage(self._estimated(self.met.select("a", "b")), "minhash-pairs")
         sure = confirmed(pairs.filter(F.col("near") >= self.threshold / 100 - MARGIN), texts, self.k) \
             .filter(100 * F.col("both") >= self.threshold * F.col("either")).select("a", "b")
-        sure = cut_lineage(sure, "minhash-links")
+        sure = cut_lineage(sure, "minhash-links", SMALL_BATCHES)
         # Families: near the head, and the rest of a bucket around its own smallest member.
         rest = self.met.join(pairs.filter(F.col("near") < FAMILY_REST), ["a", "b"]).select("band", "key", "a")
         rest_heads = rest.groupBy("band", "key").agg(F.min("a").alias("b"), F.max("a").alias("last")).filter("b < last").drop("last")
@@ -272,7 +272,7 @@ class NearDuplicates:
         dealt = dealt.select("id", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
         found = dealt.join(texts, "id").select("id", "root", "i", "j", "text").groupBy("root", "i", "j") \
                      .applyInArrow(_block_links(self.k, self.threshold), "a long, b long")
-        return sure.unionByName(cut_lineage(found, "minhash-block-links"))
+        return sure.unionByName(cut_lineage(found, "minhash-block-links", SMALL_BATCHES))
 
     def components(self) -> DataFrame:
         if self.links is None:

@@ -27,6 +27,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ID_LAST = 2**63 - 1
 
 
+# For jobs whose tasks hand whole texts to Python: batches of fewer rows than
+# Spark's default keep the memory of a task and its worker small.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import byte_texts, id_back, id_key, rebatched, text_or_empty
-from marketfold.session import checkpoint_dir
+from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, rebatched, text_or_empty
+from marketfold.session import checkpoint_dir, conf_scope
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
 BLOCK = 16_384
@@ -84,7 +84,7 @@ class WordEncoder(dict):
     vocabularies, take the whole tokenizer.  Words are remembered, by a worker
     also from task to task; the memory is emptied when it has grown large."""
 
-    LIMIT = 1_500_000
+    LIMIT = 500_000
     PROBES = ("a", "The", "Zwölf", "straße", "ÀÉÎÕÜÞ", "ÿïñ", "word.", "and,", "x***", "fin!!", "A-", "e%%%", "ab|", "Ça;", 'q"', "end/", "n_", "o~", "p+=", "s@^", "t(#)$&:?")
 
     def __init__(self, vocabulary: str):
@@ -273,9 +273,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, order: tuple[str,
     keyed = docs.select(id_key().alias("id"), text_or_empty().alias("text"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
     by = [F.col(f"_k{i}").asc_nulls_last() for i in range(len(keys))]
     ranged = keyed.repartitionByRange(*by).sortWithinPartitions(*by, "id", "text")
-    ranged.select("id", "text", F.spark_partition_id().alias("shard")) \
-          .mapInArrow(_blocks_of(vocabulary, end_id, block), BLOCK_SCHEMA) \
-          .write.mode("overwrite").option("compression", "none").parquet(path)
+    blocks = ranged.select("id", "text", F.spark_partition_id().alias("shard")).mapInArrow(_blocks_of(vocabulary, end_id, block), BLOCK_SCHEMA)
+    with conf_scope(docs.sparkSession, SMALL_BATCHES):
+        blocks.write.mode("overwrite").option("compression", "none").parquet(path)
 
 
 # ---- reading ----------------------------------------------------------------
