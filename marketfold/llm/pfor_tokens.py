@@ -84,7 +84,7 @@ class WordEncoder(dict):
     vocabularies, take the whole tokenizer.  Words are remembered, by a worker
     also from task to task; the memory is emptied when it has grown large."""
 
-    LIMIT = 500_000
+    LIMIT = 600_000
     PROBES = ("a", "The", "Zwölf", "straße", "ÀÉÎÕÜÞ", "ÿïñ", "word.", "and,", "x***", "fin!!", "A-", "e%%%", "ab|", "Ça;", 'q"', "end/", "n_", "o~", "p+=", "s@^", "t(#)$&:?")
 
     def __init__(self, vocabulary: str):
@@ -119,28 +119,17 @@ class WordEncoder(dict):
         spelled = letters.lower().decode() if letters.isascii() else letters.translate(PLAIN_LOWER).decode("latin-1").translate(self.letters)
         return PACK[len(t := self.tokenize(spelled))](*[x.id for x in t]) + tail
 
-    def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self) > self.LIMIT:
-            self.clear()
-        words: set[bytes] = set()
-        words.update(*texts)
-        rest = []
-        for w in words:
-            if w not in self:
-                ids = self.plain(w) if self.direct else None
-                if ids is None:
-                    rest.append(w)
-                else:
-                    self[w] = ids
-        for at in range(0, len(rest), 4096):
-            part = rest[at:at + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self[word] = self._bytes(e.ids)
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.plain(word) if self.direct else None
+        if ids is None:
+            ids = self._bytes(self._whole(word.decode()))
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self.learn(split)
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        if len(self) > self.LIMIT:
+            self.clear()
+        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 _encoders: dict[str, WordEncoder] = {}
