@@ -331,6 +331,34 @@ def test_seats_keep_every_customer():
     assert np.add.reduceat(seats.size, first).tolist() == [4, 1, 5, 10, 3]
 
 
+def test_a_sweep_seats_all_customers_of_a_dish():
+    # The law of one sweep is the one that reseating customers one by one converges to, wherever a dish started.
+    rng, d, many = np.random.default_rng(2), 0.6, 4000
+    drawn = pitman_yor.table_counts(np.full(many, 40), np.full(many, 0.8), d, rng)
+    seats = pitman_yor.Seats(np.full(many, 40), np.ones(many))
+    for _ in range(3000):
+        seats.reseat(np.full(many, 0.8), d, rng)
+    assert drawn.mean() == pytest.approx(seats.count.mean(), rel=0.04) and drawn.std() == pytest.approx(seats.count.std(), rel=0.08)
+    # One sweep from the model's start has that law too, whatever a dish's size.
+    totals = pitman_yor.Totals(np.array([4e6]), np.array([9.0]), 9.0, 1.0, 1, d, 0.5)
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"shard": [0], "word": [b"w"], "c": [4_000_000], "ctx": [[0]], "n": [[4_000_000]]})
+    ends = {next(pitman_yor._sweep(totals, 1, True, False, 4, seed)(iter([batch]))).column("tables")[0][0].as_py() for seed in range(12)}
+    assert len(ends) > 8 and max(ends) - min(ends) > 50
+
+
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.8, 0.95])
+@pytest.mark.parametrize("new", [1e-6, 0.02, 1.0, 40.0, 3000.0, 1e6])
+def test_law_of_large_dishes_is_the_listed_one(d, new):
+    for n in (60, 1024):
+        listed = pitman_yor._log_seatings(d)[n, 1:n + 1] + np.log(new) * np.arange(1, n + 1)
+        listed = np.exp(listed - listed.max())
+        start, weight = pitman_yor._large_law(n, new, d)
+        got = np.zeros(n + 1)
+        got[start:start + len(weight)] = weight
+        assert np.abs(got[1:] / got.sum() - listed / listed.sum()).max() < 1e-7
+
+
 # ---- op8 ----------------------------------------------------------------------
 
 def plain_components(rows, k=3, percent=85):
