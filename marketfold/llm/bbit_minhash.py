@@ -18,9 +18,9 @@ exactly and returns a spanning forest of its links, never all of them.  Links
 become components by repeated star contraction.
 
 Defined results: null text, empty text and text without words have no set,
-link with nothing and are kept; equal documents are one class; rows that
-repeat a ``doc_id`` are one document of the smallest text by hash; documents
-without an id count as one document ranked last.
+link with nothing and are kept; every row is a document of its own, also
+where ids repeat or are null; a ``doc_id`` only ranks (null last), and of each
+component exactly one row stays.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, lower_words, packed, rebatched, unpacked
+from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, lower_words, packed, rebatched, row_texts, unpacked
 from marketfold.session import cut_lineage
 
 PERMUTATIONS, BANDS, BAND_ROWS, LOW_BITS = 128, 25, 5, 4
@@ -121,6 +122,26 @@ def _sign(k: int):
     return run
 
 
+def _with_copy(texts, at: str):
+    """Rows plus ``copy``, the digest of their words (null without words).  Of
+    rows equal in the column ``at`` and in it, a task passes on the first (and
+    more when it has emptied its memory)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for b in rebatched(batches):
+            copies, first = [], []
+            for row, text in zip(b.column(at).to_pylist(), texts(b)):
+                words = lower_words(text)
+                copies.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+                first.append(not words or (row, copies[-1]) not in seen)
+                seen.add((row, copies[-1]))
+            if len(seen) > 200_000:
+                seen.clear()
+            out = pa.RecordBatch.from_arrays([*b.columns, pa.array(copies, pa.binary())], names=[*b.schema.names, "copy"])
+            yield out if all(first) else out.filter(pa.array(first))
+    return run
+
+
 def estimate(a: str, b: str) -> Column:
     """Similarity from the packed low bits: share of equal ``LOW_BITS``-bit
     values, corrected for the share that agrees by chance."""
@@ -220,21 +241,20 @@ def _block_links(k: int, threshold: int):
 class NearDuplicates:
     """Near-duplicate classes, links and components of ``docs`` (doc_id, text).
 
-    ``members``: (id, n, rep) one row per document; ``links``: (a, b) between
-    representatives of classes, enough to connect all that are linked;
-    ``components()``: (id, n, component)."""
+    Rows of equal words are one class, named by its row of the smallest id
+    (``rep``, a number of the row).  ``links``: (a, b) between classes, enough
+    to connect all that are linked; ``components()``: (id, n, component, kept),
+    one row per document."""
 
     def __init__(self, docs: DataFrame, k: int = 5, similarity: float = 0.8):
         self.k, self.threshold = k, round(similarity * 100)
         self.docs = docs.select(id_key().alias("id"), F.col("text").cast("string").alias("text"))
         signed = self.docs.mapInArrow(_sign(k), "id long, copy binary, n long, bands array<long>, bits array<long>")
-        signed = cut_lineage(signed, "minhash-signed", SMALL_BATCHES)
-        sets = signed.filter("n > 0")
-        classes = sets.groupBy("copy").agg(F.min("id").alias("rep"), F.min(F.struct("bands", "bits")).alias("s"))
-        classes = cut_lineage(classes.select("copy", "rep", "s.bands", "s.bits"), "minhash-classes")
-        self.members = signed.filter("n = 0").select("id", "n", F.col("id").alias("rep")).unionByName(
-            sets.select("id", "n", "copy").join(classes.select("copy", "rep"), "copy").select("id", "n", "rep"))
-        self.bits = cut_lineage(classes.groupBy("rep").agg(F.min("bits").alias("bits")), "minhash-bits")
+        signed = cut_lineage(signed.withColumn("row", F.monotonically_increasing_id()), "minhash-signed", SMALL_BATCHES)
+        self.signed, sets = signed, signed.filter("n > 0")
+        classes = sets.groupBy("copy").agg(F.min(F.struct("id", "row", "bands", "bits")).alias("s"))
+        classes = cut_lineage(classes.select("copy", "s.id", F.col("s.row").alias("rep"), "s.bands", "s.bits"), "minhash-classes")
+        self.classes, self.bits = classes.select("copy", "id", "rep"), classes.select("rep", "bits")
         spread = classes.select("rep", F.posexplode("bands").alias("band", "key"))
         heads = spread.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).filter("b < last").drop("last")
         self.met = cut_lineage(spread.join(cut_lineage(heads, "minhash-heads"), ["band", "key"]).withColumnRenamed("rep", "a")
@@ -248,7 +268,9 @@ class NearDuplicates:
 
     def _search(self) -> DataFrame:
         wanted = self.met.select(F.col("a").alias("id")).unionByName(self.met.select(F.col("b").alias("id"))).distinct()
-        texts = self.docs.join(wanted, "id").groupBy("id").agg(F.min("text").alias("text"))
+        wanted = self.classes.join(wanted.withColumnRenamed("id", "rep"), "rep")
+        texts = self.docs.mapInArrow(_with_copy(byte_texts, "id"), "id long, text string, copy binary")
+        texts = texts.join(wanted, ["id", "copy"]).groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text"))
         texts = cut_lineage(texts, "minhash-texts")
         pairs = cut_lineage(self._estimated(self.met.select("a", "b")), "minhash-pairs")
         sure = confirmed(pairs.filter(F.col("near") >= self.threshold / 100 - MARGIN), texts, self.k) \
@@ -274,12 +296,21 @@ class NearDuplicates:
                      .applyInArrow(_block_links(self.k, self.threshold), "a long, b long")
         return sure.unionByName(cut_lineage(found, "minhash-block-links", SMALL_BATCHES))
 
-    def components(self) -> DataFrame:
+    def leaders(self) -> DataFrame:
+        """(copy, component, keeper, keeper_copy) of every class: the smallest
+        id of its component, and the row and class that stay for it."""
         if self.links is None:
-            return self.members.select("id", "n", F.col("rep").alias("component"))
-        roots = connected(self.links)
-        return self.members.join(roots.withColumnRenamed("id", "rep"), "rep", "left") \
-                   .select("id", "n", F.coalesce("root", "rep").alias("component"))
+            return self.classes.select("copy", F.col("id").alias("component"), F.col("rep").alias("keeper"), F.col("copy").alias("keeper_copy"))
+        roots = connected(self.links).withColumnRenamed("id", "rep")
+        placed = cut_lineage(self.classes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "minhash-placed")
+        least = placed.groupBy("root").agg(F.min(F.struct("id", "rep", "copy")).alias("least"))
+        return placed.select("copy", "root").join(least, "root").select(
+            "copy", F.col("least.id").alias("component"), F.col("least.rep").alias("keeper"), F.col("least.copy").alias("keeper_copy"))
+
+    def components(self) -> DataFrame:
+        alone = self.signed.filter("n = 0").select("id", "n", F.col("id").alias("component"), F.lit(True).alias("kept"))
+        return self.signed.filter("n > 0").select("id", "n", "row", "copy").join(self.leaders().drop("keeper_copy"), "copy") \
+                   .select("id", "n", "component", (F.col("row") == F.col("keeper")).alias("kept")).unionByName(alone)
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -307,11 +338,15 @@ def report(docs: DataFrame, k: int = 3, similarity: float = 0.85) -> DataFrame:
     """One row per document: size of its set, component, whether it stays."""
     c = NearDuplicates(docs, k, similarity).components()
     return c.select(id_back("id").alias("doc_id"), F.col("n").alias("n_shingles"), id_back("component").alias("component_id"),
-                    (F.col("id") == F.col("component")).alias("kept"))
+                    "kept")
 
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One document of each component, columns as in ``docs``: the one of the
-    smallest id (rows that repeat its id stay together as one document)."""
-    c = NearDuplicates(docs, k, similarity).components().filter("id = component").select("id").distinct()
-    return unpacked(packed(docs, id_key().alias("_id")).join(c.withColumnRenamed("id", "_id"), "_id", "left_semi"), docs.columns)
+    """One row of each component, columns as in ``docs``: a row of the smallest
+    id; and all rows without words."""
+    stay = NearDuplicates(docs, k, similarity).leaders().filter("copy = keeper_copy").select(F.col("component").alias("_id"), "copy", F.lit(True).alias("_stays"))
+    rows = packed(docs, id_key().alias("_id"))
+    rows = rows.mapInArrow(_with_copy(row_texts, "_id"), T.StructType([*rows.schema, T.StructField("copy", T.BinaryType())]))
+    rows = rows.withColumn("_alone", F.when(F.col("copy").isNull(), F.monotonically_increasing_id()))
+    rows = rows.join(stay, ["_id", "copy"], "left").filter("_stays OR copy IS NULL")
+    return unpacked(rows.dropDuplicates(["_id", "copy", "_alone"]), docs.columns)
