@@ -3,16 +3,17 @@
 Rules (host and path prefix) decide first; the longest that fits wins.  URLs
 that no rule fits are judged by the template they fall under.  Per host the
 paths form a tree by segments.  Level by level a segment stays literal only if
-it carries a fair share of its node and the labelled verdicts below it differ
-significantly from those of the node; rare, many-valued and statistically
-similar branches all merge into a wildcard.  A template is rejected by the
+the labelled verdicts below it are enough for the test and differ significantly
+from those of the node; statistically similar branches merge into a wildcard.
+Levels go on while a node below the first ``LEVELS`` still has labels of both
+kinds: under any other no branch can differ.  A template is rejected by the
 share of blocked labels under it, smoothed towards its host's, and that
 towards the domain's and the whole table's.
 
 Labels are the verdicts of the rules (or any labelled URLs given).
 
 Scale: one aggregation per level over distinct (host, path); the branches that
-stay literal are few per node and are joined back by sort-merge, so a host
+stay literal are joined back by sort-merge, so a host
 with a third of all pages is summed up map-side and split in joins.
 
 Defined results: null, or no ``://``: host and path are empty, no rule fits
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from marketfold.llm.common import LOWER, UPPER
 from marketfold.session import cut_lineage
 
-MAX_DEPTH = 8          # deeper segments are one wildcard
-MIN_SHARE = 0.05       # of its node's pages, for a literal branch
+LEVELS = 8             # deeper ones are looked at while labels under a node differ
+MIN_LABELS = 5         # below a branch, for the test to hold
 SIGNIFICANT = 2.0      # standard deviations from the node's share
 SMOOTHING = 4.0        # labels that the wider share is worth
 REJECT = 0.6
@@ -77,30 +78,36 @@ def rule_blocks(name: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.when(name.isin([r.name for r in rules if not r.allow]), True).when(name.isNotNull(), False)
 
 
-def templates(paths: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def templates(paths: DataFrame, levels: int = LEVELS) -> DataFrame:
     """(host, path, n, labelled, blocked) -> the same plus ``template``."""
     segments = F.slice(F.split("path", "/"), 2, 2**31 - 1)
     state = cut_lineage(paths.withColumn("_segs", segments).withColumn("template", F.lit("")), "url-level")
-    deepest = state.agg(F.max(F.size("_segs"))).first()[0] or 0
-    for depth in range(min(deepest, max_depth)):
-        state = cut_lineage(_level(state, depth), "url-level")
-    tail = F.when(F.size("_segs") > max_depth, F.lit("/**")).otherwise(F.lit(""))
+    deepest, depth = state.agg(F.max(F.size("_segs"))).first()[0] or 0, 0
+    while depth < deepest and (depth < levels or _may_differ(state, depth)):
+        state, depth = cut_lineage(_level(state, depth), "url-level"), depth + 1
+    tail = F.when(F.size("_segs") > depth, F.lit("/**")).otherwise(F.lit(""))
     return state.withColumn("template", F.concat("template", tail)).drop("_segs")
 
 
+def _may_differ(state: DataFrame, depth: int) -> bool:
+    """Whether a node that goes on has labels of both kinds."""
+    node = state.filter(F.size("_segs") > depth).groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+    return not node.filter((F.col("l") >= MIN_LABELS) & (F.col("b") > 0) & (F.col("b") < F.col("l"))).isEmpty()
+
+
 def _level(state: DataFrame, depth: int) -> DataFrame:
     """Append one segment, literal or wildcard, to every template that goes on."""
     state = state.withColumn("_seg", F.get("_segs", F.lit(depth)))
     branch = state.filter("_seg IS NOT NULL").groupBy("host", "template", "_seg").agg(
         F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     branch = cut_lineage(branch, "url-branches")
-    node = branch.groupBy("host", "template").agg(F.sum("n").alias("all_n"), F.sum("labelled").alias("all_l"), F.sum("blocked").alias("all_b"),
+    node = branch.groupBy("host", "template").agg(F.sum("labelled").alias("all_l"), F.sum("blocked").alias("all_b"),
                                                  F.count(F.lit(1)).alias("kinds"))
     share = F.try_divide(F.col("all_b"), F.col("all_l"))
     spread = F.sqrt(F.greatest(F.col("labelled") * share * (1 - share), F.lit(1e-12)))
     differs = F.abs(F.col("blocked") - F.col("labelled") * share) > SIGNIFICANT * spread
     literal = branch.join(cut_lineage(node, "url-nodes"), ["host", "template"]).filter(
-        (F.col("kinds") == 1) & (F.col("n") >= 2) | (F.col("n") >= MIN_SHARE * F.col("all_n")) & (F.col("labelled") > 0) & differs)
+        (F.col("kinds") == 1) & (F.col("n") >= 2) | (F.col("labelled") >= MIN_LABELS) & differs)
     literal = cut_lineage(literal.select("host", "template", "_seg", F.lit(True).alias("_stays")), "url-literal")
     joined = state.join(literal, ["host", "template", "_seg"], "left")
     step = F.when(F.col("_seg").isNull(), F.lit("")).when(F.col("_stays"), F.concat(F.lit("/"), F.col("_seg"))).otherwise(F.lit("/*"))

@@ -275,6 +275,15 @@ def test_template_tree_learns_blocked_branches(shipped):
         {(r["template"], r["verdict"]) for r in got} == {("/spam/*/*", "block"), ("/news/*/*", "allow")}
 
 
+def test_small_and_deep_branches_that_differ_stay(shipped):
+    deep = "/a/b/c/d/e/f/g/h/i"
+    pages = [f"/s{i % 40}/{i}" for i in range(1600)] + [f"{deep}/{'spam' if i % 2 else 'news'}/{i}" for i in range(200)]
+    labels = [("s.net" if p[1] == "s" else "d.net", p, int(p.startswith("/s7/") or "spam" in p)) for p in pages[:800] + pages[1600:1700]]
+    df = shipped.createDataFrame([(i, f"h://{'s' if p[1] == 's' else 'd'}.net{p}") for i, p in enumerate(pages)], "page_id long, url string")
+    got = url_templates.judge(df, (), shipped.createDataFrame(labels, "host string, path string, blocked int")).collect()
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == {i for i, p in enumerate(pages) if p.startswith("/s7/") or "spam" in p}
+
+
 # ---- op7 ----------------------------------------------------------------------
 
 def test_pitman_yor_sums_to_one_and_beats_the_base(make_docs, shipped):
