@@ -11,11 +11,12 @@ key digest:
   has one reference.
 
 Inserting documents asks the shard's filter for every key (once per
-key, not once per document): unknown keys are entered and need nothing else;
-known ones are recounted exactly from the postings.  Deleting documents takes
+key, not once per document): unknown keys are new; known ones are looked up in
+the postings, and those held there are recounted exactly.  Every new key gets
+an entry of its own, also where the filter has an equal one.  Deleting documents takes
 their postings away, recounts the keys of ``refs`` they held and
 deletes from the filters the keys that nobody holds any more.  So a filter's
-false positive costs a recount and never changes a result.
+false positive costs a look-up and never changes a result.
 
 Postings of a key that very many documents hold are only ever aggregated (map
 side first) or joined by sort-merge, where Spark splits skewed partitions.
@@ -139,29 +140,25 @@ def postings_of(docs: DataFrame) -> DataFrame:
     return docs.select(id_key().alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(_postings, "key binary, id long")
 
 
-FILTER_OUT = "key binary, known boolean, shard int, slots binary"
+def _known(group: pa.Table) -> pa.Table:
+    """One shard: the keys that its filter (if there is one) knows."""
+    keys, slots = (group.column(c).to_pylist() for c in ("key", "slots"))
+    old = next((s for s in slots if s is not None), None)
+    kept = CuckooFilter(data=old) if old else ()
+    return pa.table({"key": pa.array([k for k in keys if k is not None and k in kept], pa.binary())})
 
 
-def _ask_and_enter(group: pa.Table) -> pa.Table:
-    """One shard: its filter (if there is one) and new keys.  A key is known if
-    the filter has it or the batch itself has it from two or more documents."""
+def _enter(group: pa.Table) -> pa.Table:
+    """One shard: its filter (if there is one) with an entry for each of the
+    given keys, which nobody held."""
     shard = group.column("shard")[0].as_py()
-    keys, twice, slots = (group.column(c).to_pylist() for c in ("key", "twice", "slots"))
+    keys, slots = (group.column(c).to_pylist() for c in ("key", "slots"))
     old = next((s for s in slots if s is not None), None)
-    new = sum(k is not None for k in keys)
-    kept = CuckooFilter(data=old) if old else CuckooFilter(capacity=max(2 * new, KEYS_PER_SHARD))
-    names, known = [], []
-    for k, more in zip(keys, twice):
-        if k is not None:
-            seen = k in kept
-            if not seen:
-                kept.add(k)
-            if seen or more:
-                names.append(k)
-                known.append(True)
-    return pa.table({"key": pa.array([*names, None], pa.binary()), "known": pa.array([*known, None], pa.bool_()),
-                     "shard": pa.array([None] * len(names) + [shard], pa.int32()),
-                     "slots": pa.array([None] * len(names) + [kept.to_bytes()], pa.binary())})
+    new = [k for k in keys if k is not None]
+    kept = CuckooFilter(data=old) if old else CuckooFilter(capacity=max(2 * len(new), KEYS_PER_SHARD))
+    for k in new:
+        kept.add(k)
+    return pa.table({"shard": pa.array([shard], pa.int32()), "slots": pa.array([kept.to_bytes()], pa.binary())})
 
 
 def _forget(group: pa.Table) -> pa.Table:
@@ -204,12 +201,16 @@ class LineLedger:
         per_key = new.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
         if self.shards is None:
             self.shards = max(1, -(-new.count() // KEYS_PER_SHARD))
-        asked = per_key.select(self._shard(), "key", (F.col("first") < F.col("last")).alias("twice"), F.lit(None).cast("binary").alias("slots"))
+        per_key = cut_lineage(per_key, "ledger-keys")
+        asked = per_key.select(self._shard(), "key", F.lit(None).cast("binary").alias("slots"))
+        entered, known = asked, per_key.filter("first < last").select("key")
         if self.filters is not None:
-            asked = asked.unionByName(self.filters.select("shard", F.lit(None).cast("binary").alias("key"), F.lit(None).cast("boolean").alias("twice"), "slots"))
-        answers = cut_lineage(asked.groupBy("shard").applyInArrow(_ask_and_enter, FILTER_OUT), "ledger-answers")
-        known = answers.filter("known").select("key")
-        filters = answers.filter("slots IS NOT NULL").select("shard", "slots")
+            with_filters = self.filters.select("shard", F.lit(None).cast("binary").alias("key"), "slots")
+            seen = cut_lineage(asked.unionByName(with_filters).groupBy("shard").applyInArrow(_known, "key binary"), "ledger-seen")
+            held = cut_lineage(self.postings.join(seen, "key", "left_semi").select("key").distinct(), "ledger-held")
+            entered = asked.join(held, "key", "left_anti").select("shard", "key", "slots").unionByName(with_filters)
+            known = known.unionByName(held).distinct()
+        filters = cut_lineage(entered.groupBy("shard").applyInArrow(_enter, "shard int, slots binary"), "ledger-filters")
         postings = new if self.postings is None else self.postings.unionByName(new)
         counted = cut_lineage(self._count(postings, known), "ledger-refs")
         refs = counted if self.refs is None else cut_lineage(

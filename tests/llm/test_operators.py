@@ -238,6 +238,21 @@ def test_line_ledger_grows_and_shrinks(make_docs, shipped):
     assert line_ledger.report(make_docs([])).count() == 0
 
 
+def test_a_false_positive_keeps_its_own_entry(make_docs, shipped):
+    # Two keys with one fingerprint and the same buckets: the filter says of the second that it knows it.
+    place, other = line_ledger.CuckooFilter(capacity=line_ledger.KEYS_PER_SHARD), {}
+    for line in (f"some line {i}" for i in range(400_000)):
+        home = place._home(*place._place(line_ledger.line_key(line.encode())))
+        if home in other:
+            break
+        other[home] = line
+    a, b = other[home], line
+    ledger = line_ledger.LineLedger(shipped, shards=1).insert(make_docs([(1, a)])).insert(make_docs([(2, b)]))
+    ledger = ledger.delete(shipped.createDataFrame([(2,)], "doc_id long")).insert(make_docs([(3, a)]))
+    left = ledger.remove_repeats(make_docs([(1, a), (3, a + "\nother words")])).collect()
+    assert a != b and {r["doc_id"]: r["text"] for r in left} == {1: a, 3: "other words"}
+
+
 def test_cuckoo_filter_has_no_false_negatives_and_forgets():
     keys = [hashlib.blake2b(str(i).encode(), digest_size=16).digest() for i in range(6000)]
     f = line_ledger.CuckooFilter(capacity=2000)  # overfilled: the stash holds the rest
