@@ -13,7 +13,8 @@ that order; no conversation is gathered anywhere, however long.
 
 Defined results: of several calls (results) with one id the earliest counts,
 and how many there were is reported; a result without a call is an ``orphan``,
-a call without a result is ``pending``; a call after one that does not exist
+a call without a result is ``pending``; without an id every call is a line of
+its own, ``invalid``, and every result an ``orphan``; a call after one that does not exist
 starts from its own turn (``missing_after``); calls in a cycle, and those after
 them, keep their own turn and depth -1 (``cycle``); null conversation ids are
 one conversation; a null text is empty; an empty table gives an empty result.
@@ -104,9 +105,15 @@ def _conv() -> Column:
     return F.coalesce(F.col("conv_id").cast("string"), F.lit("\0"))
 
 
+def _call_id(kind: str) -> Column:
+    """The call id; rows without one are numbered (their number is not put out)."""
+    return F.coalesce(F.col("call_id").cast("string"), F.concat(F.lit("\0" + kind), F.monotonically_increasing_id().cast("string")))
+
+
 def link_calls(calls: DataFrame, results: DataFrame) -> DataFrame:
     """One row per (conv, call_id) of calls (conv_id, turn, call_id, name,
     arguments, after) and results (conv_id, turn, call_id, content)."""
+    calls, results = calls.withColumn("call_id", _call_id("call")), results.withColumn("call_id", _call_id("result"))
     c = calls.groupBy(_conv().alias("conv"), "call_id").agg(
         F.min(F.struct(F.coalesce("turn", F.lit(0)).cast("long").alias("turn"), "name", "arguments", "after")).alias("call"), F.count(F.lit(1)).alias("n_calls"))
     r = results.groupBy(_conv().alias("conv"), "call_id").agg(
@@ -153,8 +160,11 @@ def _call_lines(tools: dict):
                 text = lambda x: None if x is None or x != x else x
                 result, called = text(r.content), r.n_calls > 0
                 value, errors = check_arguments(text(r.name), text(r.arguments), tools) if called else (None, [])
+                named = None if r.call_id.startswith("\0") else r.call_id
+                if called and named is None:
+                    errors = ["no call id", *errors]
                 status = "orphan" if not called else "invalid" if errors else "pending" if r.n_results == 0 else "ok"
-                line = {"id": r.call_id, "status": status}
+                line = {"id": named, "status": status}
                 if called:
                     line |= {"tool": text(r.name), "arguments": value, "turn": int(r.turn)}
                 if r.n_results:
@@ -165,7 +175,7 @@ def _call_lines(tools: dict):
                     line["errors"] = errors
                 if text(r.order_note):
                     line["order"] = r.order_note
-                out.append((r.conv, int(r.ready), 1, int(r.depth), int(r.turn), r.call_id, status, errors, canonical(line)))
+                out.append((r.conv, int(r.ready), 1, int(r.depth), int(r.turn), named, status, errors, canonical(line)))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in LINES.split(", ")])
     return run
 

@@ -480,6 +480,15 @@ def test_calls_are_linked_ordered_and_validated(shipped):
     assert [r["line"] for r in rows if r["conv"] == "1" and r["kind"] == 0] == ['{"content":"hi","role":"user","turn":0}', '{"content":"","role":"","turn":1}']
 
 
+def test_calls_and_results_without_an_id_are_reported(shipped):
+    calls = shipped.createDataFrame([("c", t, i, "count", '{"words":[]}', None) for t, i in ((1, None), (1, None), (3, "a"))],
+                                    "conv_id string, turn long, call_id string, name string, arguments string, after string")
+    results = shipped.createDataFrame([("c", 2, None, "x"), ("c", 4, "a", "y")], "conv_id string, turn long, call_id string, content string")
+    messages = shipped.createDataFrame([], "conv_id string, turn long, role string, text string")
+    got = [(r["turn"], r["call_id"], r["status"], r["errors"]) for r in chat_tools.format_chats(messages, calls, results).collect()]
+    assert sorted(got, key=str) == [(1, None, "invalid", ["no call id"])] * 2 + [(2, None, "orphan", []), (3, "a", "ok", [])]
+
+
 def test_long_dependency_chain_and_empty_tables(shipped):
     n = 300
     calls = shipped.createDataFrame([(1, n - i, f"c{i}", "search", '{"query":"q","limit":1}', f"c{i - 1}" if i else None) for i in range(n)],
