@@ -20,7 +20,7 @@ become components by repeated star contraction.
 Defined results: null text, empty text and text without words have no set,
 link with nothing and are kept; every row is a document of its own, also
 where ids repeat or are null; a ``doc_id`` only ranks (null last), and of each
-component exactly one row stays.
+component one row stays, with those equal to it in id and words.
 """
 
 from __future__ import annotations
@@ -122,10 +122,10 @@ def _sign(k: int):
     return run
 
 
-def _with_copy(texts, at: str):
-    """Rows plus ``copy``, the digest of their words (null without words).  Of
-    rows equal in the column ``at`` and in it, a task passes on the first (and
-    more when it has emptied its memory)."""
+def _with_copy(texts, at: str, once: bool):
+    """Rows plus ``copy``, the digest of their words (null without words).  With
+    ``once``, of rows equal in the column ``at`` and in it a task passes on the
+    first (and more when it has emptied its memory)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for b in rebatched(batches):
@@ -133,8 +133,9 @@ def _with_copy(texts, at: str):
             for row, text in zip(b.column(at).to_pylist(), texts(b)):
                 words = lower_words(text)
                 copies.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
-                first.append(not words or (row, copies[-1]) not in seen)
-                seen.add((row, copies[-1]))
+                first.append(not once or not words or (row, copies[-1]) not in seen)
+                if once:
+                    seen.add((row, copies[-1]))
             if len(seen) > 200_000:
                 seen.clear()
             out = pa.RecordBatch.from_arrays([*b.columns, pa.array(copies, pa.binary())], names=[*b.schema.names, "copy"])
@@ -269,7 +270,7 @@ class NearDuplicates:
     def _search(self) -> DataFrame:
         wanted = self.met.select(F.col("a").alias("id")).unionByName(self.met.select(F.col("b").alias("id"))).distinct()
         wanted = self.classes.join(wanted.withColumnRenamed("id", "rep"), "rep")
-        texts = self.docs.mapInArrow(_with_copy(byte_texts, "id"), "id long, text string, copy binary")
+        texts = self.docs.mapInArrow(_with_copy(byte_texts, "id", True), "id long, text string, copy binary")
         texts = texts.join(wanted, ["id", "copy"]).groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text"))
         texts = cut_lineage(texts, "minhash-texts")
         pairs = cut_lineage(self._estimated(self.met.select("a", "b")), "minhash-pairs")
@@ -297,20 +298,20 @@ class NearDuplicates:
         return sure.unionByName(cut_lineage(found, "minhash-block-links", SMALL_BATCHES))
 
     def leaders(self) -> DataFrame:
-        """(copy, component, keeper, keeper_copy) of every class: the smallest
-        id of its component, and the row and class that stay for it."""
+        """(copy, component, keeper_copy) of every class: the smallest id of its
+        component, and the class that stays for it."""
         if self.links is None:
-            return self.classes.select("copy", F.col("id").alias("component"), F.col("rep").alias("keeper"), F.col("copy").alias("keeper_copy"))
+            return self.classes.select("copy", F.col("id").alias("component"), F.col("copy").alias("keeper_copy"))
         roots = connected(self.links).withColumnRenamed("id", "rep")
         placed = cut_lineage(self.classes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "minhash-placed")
         least = placed.groupBy("root").agg(F.min(F.struct("id", "rep", "copy")).alias("least"))
         return placed.select("copy", "root").join(least, "root").select(
-            "copy", F.col("least.id").alias("component"), F.col("least.rep").alias("keeper"), F.col("least.copy").alias("keeper_copy"))
+            "copy", F.col("least.id").alias("component"), F.col("least.copy").alias("keeper_copy"))
 
     def components(self) -> DataFrame:
         alone = self.signed.filter("n = 0").select("id", "n", F.col("id").alias("component"), F.lit(True).alias("kept"))
-        return self.signed.filter("n > 0").select("id", "n", "row", "copy").join(self.leaders().drop("keeper_copy"), "copy") \
-                   .select("id", "n", "component", (F.col("row") == F.col("keeper")).alias("kept")).unionByName(alone)
+        return self.signed.filter("n > 0").select("id", "n", "copy").join(self.leaders(), "copy") \
+                   .select("id", "n", "component", ((F.col("id") == F.col("component")) & (F.col("copy") == F.col("keeper_copy"))).alias("kept")).unionByName(alone)
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -342,11 +343,10 @@ def report(docs: DataFrame, k: int = 3, similarity: float = 0.85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row of each component, columns as in ``docs``: a row of the smallest
-    id; and all rows without words."""
+    """Of each component the row of the smallest id (and rows equal to it in id
+    and words), columns as in ``docs``; and all rows without words."""
     stay = NearDuplicates(docs, k, similarity).leaders().filter("copy = keeper_copy").select(F.col("component").alias("_id"), "copy", F.lit(True).alias("_stays"))
     rows = packed(docs, id_key().alias("_id"))
-    rows = rows.mapInArrow(_with_copy(row_texts, "_id"), T.StructType([*rows.schema, T.StructField("copy", T.BinaryType())]))
-    rows = rows.withColumn("_alone", F.when(F.col("copy").isNull(), F.monotonically_increasing_id()))
+    rows = rows.mapInArrow(_with_copy(row_texts, "_id", False), T.StructType([*rows.schema, T.StructField("copy", T.BinaryType())]))
     rows = rows.join(stay, ["_id", "copy"], "left").filter("_stays OR copy IS NULL")
-    return unpacked(rows.dropDuplicates(["_id", "copy", "_alone"]), docs.columns)
+    return unpacked(rows, docs.columns)
