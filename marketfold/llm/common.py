@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +90,18 @@ def rebatched(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[p
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], max_bytes: int, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows whose packed texts have at most
+    ``max_bytes`` bytes (or that are one longer row)."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column("_row").field("text").cast(pa.binary())), 0).to_pylist()
+        at = held = 0
+        for i, size in enumerate(sizes):
+            if i > at and (held + size > max_bytes or i - at >= rows):
+                yield b.slice(at, i - at)
+                at, held = i, 0
+            held += size
+        if len(sizes) > at:
+            yield b.slice(at)

@@ -88,4 +88,39 @@ SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines, CAST(count(*) FILTER (
 FROM d JOIN j USING (r) GROUP BY d.r, d.doc_id, d.lines
 """
 
-ORACLES = {"op2_decontamination": OP2, "op4_curriculum_mix": OP4, "op5_line_ledger": OP5}
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+f AS (
+  SELECT doc_id, part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(first < coalesce(doc_id, 9223372036854775807), false) AS e
+  FROM (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM d)),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+p AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS pattern, count(*) AS n,
+         count(*) FILTER (coalesce(good, false)) AS good, count(*) FILTER (coalesce(toxic, false)) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT x1.x || x2.x || x3.x || x4.x || x5.x AS filter_order, [x1.bit, x2.bit, x3.bit, x4.bit, x5.bit] AS bits
+  FROM x x1, x x2, x x3, x x4, x x5
+  WHERE len(list_distinct([x1.x, x2.x, x3.x, x4.x, x5.x])) = 5),
+s AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS own, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS earlier
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (pattern & (own | earlier) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (pattern & own > 0 AND pattern & earlier = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (pattern & own > 0 AND pattern & earlier > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (pattern = own), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (pattern & own > 0 AND pattern & earlier = 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (pattern & own > 0 AND pattern & earlier = 0), 0) AS toxic_lost
+  FROM p, s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
+ORACLES = {"op2_decontamination": OP2, "op4_curriculum_mix": OP4, "op5_line_ledger": OP5, "op12_filter_audit": OP12}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketfold.llm import bbit_minhash, chat_tools, curriculum, decontam, gear_chunks, line_ledger, pfor_tokens, pitman_yor, quality_votes, url_templates
+from marketfold.llm import (bbit_minhash, chat_tools, cross_parsing, curriculum, decontam, filter_audit, gear_chunks, line_ledger, periodic_runs, pfor_tokens, pitman_yor,
+                            quality_votes, url_templates)
 from marketfold.llm.common import table
 
 
@@ -57,8 +58,21 @@ def op9_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tools.report(table(spark, sf_dir, "conversations"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_parsing.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (op1_gear_chunks, op2_decontamination, op3_quality_votes, op4_curriculum_mix, op5_line_ledger, op6_url_templates,
-           op7_pitman_yor, op8_bbit_minhash, op9_chat_tools, op10_pfor_tokens)
+           op7_pitman_yor, op8_bbit_minhash, op9_chat_tools, op10_pfor_tokens, op11_periodic_runs,
+           op12_filter_audit, op13_cross_parsing)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
