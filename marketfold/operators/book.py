@@ -54,8 +54,13 @@ def _finish_ops(df: DataFrame) -> DataFrame:
 _ELEM = "struct<side:string,phase:int,j:int,el:variant,is_reset:boolean>"
 
 
-def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
-    """Level-2 frames -> ops (one row per reset / level / update).
+# Phase of the row that closes an event: where its best prices are read.
+MARK = 9
+
+
+def book_ops(frames: DataFrame, materialize: bool = True, marks: bool = False) -> DataFrame:
+    """Level-2 frames -> ops (one row per reset / level / update), with
+    ``marks`` also one row of phase ``MARK`` per event, after its ops.
 
     One pass: each event's snapshot lists and updates are tagged and
     concatenated into one element list, exploded once, and every JSON path
@@ -82,6 +87,9 @@ def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
         return F.when(arr.isNotNull(), F.concat(reset, items)).otherwise(F.array().cast(f"array<{_ELEM}>"))
 
     elems = F.concat(tagged("x_bids", "bid", 0, True), tagged("x_asks", "ask", 1, True), tagged("x_upd", None, 2, False))
+    if marks:
+        elems = F.concat(elems, F.array(F.struct(F.lit(None).cast("string").alias("side"), F.lit(MARK).alias("phase"), F.lit(0).alias("j"),
+                                                 F.lit(None).cast("variant").alias("el"), F.lit(False).alias("is_reset"))))
     base = ["product", "market_key", "seq", "i", "recv_us", "event_us"]
     x = ev.select(*base, F.explode(elems).alias("e")).select(*base, "e.*")
     x = x.withColumn("el_t", J.vtype(F.col("el")))
@@ -90,7 +98,7 @@ def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
                             "u_sd": "$.side", "u_bs": "$.book_side"})
     is_obj = F.coalesce(F.col("el_t").startswith("OBJECT"), F.lit(False))
     is_pair = F.coalesce(F.col("el_t").startswith("ARRAY"), F.lit(False)) & F.col("l_1").isNotNull()
-    snap = F.col("phase") < 2
+    snap, mark = F.col("phase") < 2, F.col("phase") == MARK
     # snapshot levels: price|price_level, size|new_quantity|qty (or [px, qty]);
     # updates: price_level|price|px, new_quantity|size|qty.
     price = (F.when(snap & is_obj, J.p_float(J.p_first(J.pair("l_p"), J.pair("l_pl"))))
@@ -100,9 +108,9 @@ def book_ops(frames: DataFrame, materialize: bool = True) -> DataFrame:
              .when(snap & is_pair, J.p_float(J.pair("l_1")))
              .when(~snap & is_obj, J.p_float(J.p_first(J.pair("l_nq"), J.pair("l_s"), J.pair("l_q")))))
     upd_side = F.when(J.p_norm(J.p_first(J.pair("u_sd"), J.pair("u_bs"))).isin(*C.BID_SIDES), F.lit("bid")).otherwise(F.lit("ask"))
-    x = x.select(*base, F.when(snap, F.col("side")).otherwise(upd_side).alias("side"), "phase", "j", "is_reset",
+    x = x.select(*base, F.when(snap, F.col("side")).when(~mark, upd_side).alias("side"), "phase", "j", "is_reset",
                  price.alias("price"), size.alias("size"))
-    keep = (F.col("is_reset")
+    keep = (F.col("is_reset") | mark
             | (snap & F.col("price").isNotNull() & F.col("size").isNotNull() & (F.col("size") > 0))
             | (~snap & F.col("price").isNotNull()))
     x = J.fenced_filter(x, keep).withColumn("size", F.when(F.col("size") > 0, F.col("size")).otherwise(F.lit(0.0)))
@@ -237,14 +245,9 @@ def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame
     from marketfold.operators.batches import number_rows
     from marketfold.operators.canonical import conform
 
-    ops = book_ops(frames)
-    env = J.fenced_filter(frame_envelope(frames), F.col("channel") == "level2")
-    evs = env.select("seq", "recv_us", "fallback_us", F.posexplode("events").alias("i", "ev"))
-    evs = J.extract(evs, "ev", {"x_pid": "$.product_id", "x_pidc": "$.productId"})
-    evs = evs.withColumn("product", J.p_norm(J.p_first(J.pair("x_pid"), J.pair("x_pidc")), upper=True))
-    evs = J.fenced_filter(evs.withColumn("market_key", F.element_at(product_market_map(), F.col("product"))),
-                          F.col("market_key").isNotNull())
-    evs = evs.select("product", "market_key", "seq", "i", "recv_us", "fallback_us")
+    ops = book_ops(frames, marks=True)
+    evs = ops.filter(F.col("phase") == MARK).select("product", "market_key", "seq", "i", "recv_us", F.col("event_us").alias("fallback_us"))
+    ops = ops.filter(F.col("phase") < MARK)
     # Numbered, like the ops, by seq: in blocks of a million frames.
     evs = number_rows(evs, ["product"], "seq", day_seconds=1_000_000, tiebreak=("i",))
     evs = cut_lineage(evs.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(int(chunk_events))).cast("bigint")))
@@ -266,7 +269,7 @@ def best_per_message(frames: DataFrame, chunk_events: int = 50_000) -> DataFrame
     op_rows = ops.select("product", "chunk", F.when(F.col("is_reset"), F.lit("reset")).otherwise(F.lit("level")).alias("kind"),
                          F.lit(1).alias("kind_order"), "seq", "i", "phase", "j", "side", "price", "size")
     marks = evs.select("product", "chunk", F.lit("mark").alias("kind"), F.lit(1).alias("kind_order"), "seq", "i",
-                       F.lit(9).alias("phase"), F.lit(0).alias("j"), F.lit(None).cast("string").alias("side"),
+                       F.lit(MARK).alias("phase"), F.lit(0).alias("j"), F.lit(None).cast("string").alias("side"),
                        F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("size"))
     rows = seed_rows.select(*cols).unionByName(op_rows.select(*cols)).unionByName(marks.select(*cols))
     best = rows.groupBy("product", "chunk").applyInPandas(_fold, FOLD_SCHEMA)

@@ -218,7 +218,8 @@ def subscription_delta(effective: DataFrame, step_s: int = C.SLUG_BUCKET_SECONDS
 
 def meta_events(metas: DataFrame) -> DataFrame:
     """Resolved metas as canonical ``meta`` rows: they arrive at the refresh,
-    ahead of that second's feed rows, and set the identity gauges."""
+    ahead of that second's feed rows, and set the identity gauges whatever
+    the feed said before."""
     from marketfold.operators.canonical import conform
     good = metas.filter(F.col("error").isNull())
     return conform(good.select(F.lit(-1).cast("bigint").alias("seq"), F.col("bucket_start_ts").alias("pos"), F.col("bucket_start_ts").alias("recv_s"),

@@ -134,12 +134,15 @@ def boundary_grid(markets: DataFrame, lo: int, hi: int, interval_s: int, parts:
 
 def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: int,
                         drops: DataFrame | None = None, gauges: tuple[str, ...] = tuple(GAUGE_NAMES),
-                        not_before: int | None = None, with_order: bool = False) -> DataFrame:
+                        not_before: int | None = None, with_order: bool = False, late_at: int | None = None) -> DataFrame:
     """Per (market, boundary) counters and last-in-interval gauge values.
 
+    The last value is that of the latest arrival second; inside a second a
+    ``meta`` row comes ahead of the feed rows, which go by ``(seq, pos)``.
     ``not_before``: rows that arrive for an earlier boundary count in this
-    one (late rows of a stream).  ``with_order`` adds per gauge the order key
-    of its value, so that partial results can be merged."""
+    one (late rows of a stream), as arrived in second ``late_at`` at the
+    earliest.  ``with_order`` adds per gauge the order key of its value, so
+    that partial results can be merged."""
     b = block_seconds(interval_s)
     mk = markets.select("market_key", F.col("venue").alias("m_venue"))
     ev = canonical.select("market_key", *_EVENT_COLS).join(mk, "market_key", "inner")
@@ -153,7 +156,11 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
+    rows = rows.withColumn("arrived", F.col("recv_s"))
     if not_before is not None:
+        if late_at is not None:
+            rows = rows.withColumn("arrived", F.when(F.col("snap_ts") < int(not_before), F.greatest(F.col("recv_s"), F.lit(int(late_at)).cast("bigint")))
+                                   .otherwise(F.col("recv_s")))
         rows = rows.withColumn("snap_ts", F.greatest(F.col("snap_ts"), F.lit(int(not_before)).cast("bigint")))
     rows = rows.withColumn("block", F.floor(F.col("snap_ts") / F.lit(b)).cast("bigint"))
     # Kind and side are trimmed and folded to lower case here, once per row.
@@ -172,7 +179,7 @@ def interval_aggregates(canonical: DataFrame, markets: DataFrame, interval_s: in
             continue
         c = (F.col("row_type") == "e") & g.cond & g.value.isNotNull()
         measures.append(F.when(c, g.value).alias(f"v_{g.name}"))
-        measures.append(F.when(c, F.struct(F.col("seq"), F.coalesce(F.col("pos"), F.lit(0)))).alias(f"o_{g.name}"))
+        measures.append(F.when(c, F.struct("arrived", (F.col("kind_n") != "meta").alias("feed"), "seq", F.coalesce(F.col("pos"), F.lit(0)).alias("pos"))).alias(f"o_{g.name}"))
     rows = rows.select("market_key", "m_venue", "block", "snap_ts", *measures)
     aggs = [
         F.count("c_msg").alias("msg_count_1s"),

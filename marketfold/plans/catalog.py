@@ -286,9 +286,8 @@ def q_decode_records(spark, sf_dir):
 
 
 def q_next_parts(spark, sf_dir):
-    """New part files, one per late order, numbered after the listed ones."""
-    orders = read_table(spark, sf_dir, "orders")
-    new = orders.filter(F.col("o_orderkey") % 4 == 1).select(
+    """New part files, one per order, numbered after the listed ones."""
+    new = read_table(spark, sf_dir, "orders").select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_str"),
         F.element_at(F.array(*map(F.lit, canon.ADAPTER_MARKET_ORDER)), (F.pmod("o_custkey", F.lit(4)) + 1).cast("int")).alias("market_key"),
         F.col("o_orderdate").cast("timestamp").alias("start"), F.col("o_orderkey").alias("k"))
@@ -404,6 +403,67 @@ def q_stream_snapshots(spark, sf_dir):
     return stream.output()
 
 
+def q_stream_book(spark, sf_dir):
+    """Level-2 frames land in three parts; after each the stream of the keyed
+    book is started again from its checkpoint."""
+    from marketfold.session import conf_scope
+    from marketfold.streaming import book_stream
+    base = _stream_root(spark, "book")
+    landed = _l2_frames(spark, sf_dir)
+    for part in _frame_parts(landed, 3):
+        part.write.mode("append").parquet(f"{base}/landing")
+        with conf_scope(spark, book_stream.STATE_STORE):
+            book_stream.best_per_message(frames.stream_frames(spark, f"{base}/landing")).writeStream.format("parquet") \
+                .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(canon.CANONICAL_SCHEMA).parquet(f"{base}/out").select("seq", "pos", "market_key", "kind", "event_us", "product_id", "bid", "ask")
+
+
+def q_stream_feed(spark, sf_dir):
+    """The chain of ``feed_to_snapshots`` as a stream: raw frames and metas land
+    in three parts by arrival, with a restart after each."""
+    from marketfold.streaming import feed_stream
+    from marketfold.streaming.snapshots_stream import SnapshotStream
+    base = _stream_root(spark, "feed")
+    ev = read_table(spark, sf_dir, "events")
+    metas = cut_lineage(_resolved(spark, sf_dir), "feed-metas")
+    landed = frames.spot_frames(ev).unionByName(frames.prediction_frames(ev))
+    refdata.bindings_by_asset(metas).write.parquet(f"{base}/bindings")
+    stream = SnapshotStream(spark, canon.markets_frame(spark), FLAGSHIP_INTERVAL_S, base)
+    cuts = _arrival_cuts(landed, 3)
+    for part, meta in zip(_between(landed, F.col("recv_us"), cuts), _between(refdata.meta_events(metas), F.col("recv_s") * F.lit(1_000_000), cuts)):
+        meta.write.mode("append").parquet(f"{base}/metas")
+        part.write.mode("append").parquet(f"{base}/landing")
+        feed_stream.start(stream, frames.stream_frames(spark, f"{base}/landing"), spark.read.parquet(f"{base}/bindings"),
+                          spark.readStream.schema(canon.CANONICAL_SCHEMA).parquet(f"{base}/metas")).awaitTermination()
+    stream.flush()
+    return stream.output()
+
+
+def _stream_root(spark, name: str) -> str:
+    import uuid
+
+    from marketfold.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/tables/stream-{name}-{uuid.uuid4().hex}"
+
+
+def _arrival_cuts(landed, n: int) -> list[int]:
+    """Bounds of ``n`` equal spans of arrival time, in whole seconds."""
+    lo, hi = landed.agg(F.min("recv_us"), F.max("recv_us")).first()
+    if lo is None:
+        return []
+    return [(lo + (hi - lo) * k // n) // 1_000_000 * 1_000_000 for k in range(1, n)]
+
+
+def _between(rows, at, cuts: list[int]):
+    """The rows cut at ``cuts``; the first and last part are open-ended."""
+    bounds = [None, *cuts, None]
+    return [rows.filter((at >= a if a is not None else F.lit(True)) & (at < b if b is not None else F.lit(True))) for a, b in zip(bounds, bounds[1:])]
+
+
+def _frame_parts(landed, n: int):
+    return _between(landed, F.col("recv_us"), _arrival_cuts(landed, n))
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "snapshots_dense": q_snapshots_dense,
@@ -455,4 +515,6 @@ def registry() -> dict[str, QueryFn]:
         "bindings_in_effect": q_bindings_in_effect,
         "text_helpers": q_text_helpers,
         "feed_to_snapshots": q_feed_to_snapshots,
+        "stream_book": q_stream_book,
+        "stream_feed": q_stream_feed,
     }

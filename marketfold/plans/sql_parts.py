@@ -673,7 +673,7 @@ SELECT path, CAST(length + dl AS BIGINT) AS size_bytes, greatest(0.001, dt / 100
         return f"""WITH {LISTING_SQL},
 h AS (SELECT parent AS date_str, regexp_extract(filename, '{rot}', 1) AS market_key, max(CAST(regexp_extract(filename, '{rot}', 3) AS INTEGER)) AS most
       FROM listing WHERE regexp_matches(filename, '{rot}') GROUP BY 1, 2),
-n AS (SELECT ds AS date_str, mk AS market_key, d, k FROM l0 WHERE k % 4 = 1),
+n AS (SELECT ds AS date_str, mk AS market_key, d, k FROM l0),
 p AS (SELECT n.date_str, n.market_key, n.k, n.d, CAST(coalesce(most, 0) + row_number() OVER (PARTITION BY n.date_str, n.market_key ORDER BY d, k) AS INTEGER) AS part
       FROM n LEFT JOIN h USING (date_str, market_key))
 SELECT date_str, market_key, k, part, market_key || '__start_' || strftime(d, '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(part AS VARCHAR), 4, '0') || '.ndjson.zst' AS filename
@@ -746,9 +746,11 @@ def feed_snapshots_sql(i: int = 300) -> str:
     feed = " UNION ALL ".join(rows)
     feed = f"SELECT f.* FROM ({feed}) f LEFT JOIN ({bound}) b ON b.market_key = f.market_key AND b.bucket_start_ts = f.bucket_start_ts " \
            "WHERE f.bucket_start_ts IS NULL OR (b.market_key IS NOT NULL AND NOT (b.one AND f.side = 'yes'))"
+    # Rows rank by arrival second, then frame; a meta comes ahead of its second's frames.
+    rank = "recv_s * 1000000000 + seq"
     metas = "SELECT CAST(-1 AS BIGINT) AS seq, bucket_start_ts AS recv_s, market_key, 'meta' AS kind, CAST(NULL AS BIGINT) AS event_us, " \
             + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("bid", "ask", "last_trade_px", "price", "size")) \
             + f", CAST(NULL AS VARCHAR) AS side, slug, bucket_start_ts, condition_id FROM ({meta})"
-    canon = f"canon AS (SELECT * FROM ({feed}) UNION ALL SELECT * FROM ({metas}))"
+    canon = f"canon AS (SELECT * EXCLUDE (seq), {rank} AS seq FROM (SELECT * FROM ({feed}) UNION ALL SELECT * FROM ({metas})))"
     none = "drops AS (SELECT CAST(NULL AS VARCHAR) AS market_key, CAST(NULL AS BIGINT) AS recv_s, CAST(NULL AS BIGINT) AS n WHERE false)"
     return snapshots_sql(i).replace(CANON_SQL, canon).replace(DROPS_SQL, none)

@@ -1,8 +1,8 @@
 """Raw feed frames as a table: ``(seq, recv_us, venue, value)``.
 
-A landing zone of raw websocket frames (one JSON text per frame) is read
-with ``spark.read.text`` / ``readStream.text``; ``frames_from_text`` gives
-it this shape.  ``spot_frames`` / ``prediction_frames`` derive frames from
+A landing zone of raw websocket frames (one JSON text per frame) becomes this
+shape by ``frames_from_text`` (batch), ``stream_text_frames`` (stream, bare
+lines) or ``stream_frames`` (stream, frames stamped by their recorder).  ``spot_frames`` / ``prediction_frames`` derive frames from
 the ``events`` table with column expressions (``to_json``), covering every
 message shape the parsers accept plus malformed input, so the parsers run
 on data that grows with the input tables.
@@ -10,7 +10,7 @@ on data that grows with the input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketfold.functions.exprs import epoch_whole_seconds
@@ -18,6 +18,7 @@ from marketfold.operators.canonical import events_to_canonical
 from marketfold.session import cut_lineage
 
 FRAME_COLUMNS = ("seq", "recv_us", "venue", "value")
+FRAME_SCHEMA = "seq long, recv_us long, venue string, value string"
 
 
 def frames_from_text(lines: DataFrame, venue: str) -> DataFrame:
@@ -37,6 +38,32 @@ def frames_from_text(lines: DataFrame, venue: str) -> DataFrame:
         (F.col("_off") + F.col("_r")).alias("seq"), F.unix_micros("_t").alias("recv_us"), F.lit(venue).alias("venue"), "value")
 
 
+def stream_frames(spark: SparkSession, path: str, fmt: str = "parquet", files: int | None = None) -> DataFrame:
+    """A landing zone of recorded frames as a stream.  The recorder stamps each
+    frame with its number and arrival time (``FRAME_SCHEMA``), so the order needs
+    no window; ``files`` bounds a micro-batch."""
+    reader = spark.readStream.schema(FRAME_SCHEMA).format(fmt)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).load(path)
+
+
+def stream_text_frames(spark: SparkSession, path: str, venue: str, files: int | None = None) -> DataFrame:
+    """A landing zone of bare frame files (one frame a line) as a stream."""
+    reader = spark.readStream
+    return numbered_lines((reader.option("maxFilesPerTrigger", files) if files else reader).text(path, wholetext=True), venue)
+
+
+def numbered_lines(texts: DataFrame, venue: str) -> DataFrame:
+    """Whole landed files (``read.text`` or ``readStream.text`` with
+    ``wholetext``) -> frames, without any window: ``seq`` is the file's time in
+    milliseconds and the place of the line in the file (22 bits; landing files
+    are rolled long before four million lines).  Files are closed one after the
+    other by their recorder, so their times differ."""
+    at = F.unix_micros(F.col("_metadata.file_modification_time"))
+    lines = texts.select(at.alias("recv_us"), F.posexplode(F.split("value", "\r?\n")).alias("_p", "value"))
+    return lines.filter(F.col("value") != "").select(
+        (F.floor(F.col("recv_us") / F.lit(1000)).cast("bigint") * F.lit(1 << 22) + F.col("_p")).alias("seq"), "recv_us", F.lit(venue).alias("venue"), "value")
+
+
 def land(frames: DataFrame) -> DataFrame:
     """Materialise derived frames into the checkpoint folder: the parsers
     then read a landed table of JSON text, as they would from a landing

@@ -9,14 +9,20 @@ DataFrame code (``foreachBatch``), never row by row:
    arrives late, for a boundary already emitted, counts in the open one;
 2. the aggregate is merged with the state, one row per market: the open
    boundary's counters, the carried gauges and the order keys of both;
-3. the clock is the latest arrival of any feed row, so every market of the
-   universe -- idle, or never seen -- emits every boundary up to the clock;
-4. completed boundaries are written, the open one becomes the next state.
-
-State and output of a micro-batch are folders named by its number and are
-overwritten when Spark replays it after a failure, so a replay leaves the
-same data.  A restart resumes from the checkpoint and the last state.
-``flush`` emits the boundary that is still open when a feed has ended.
+3. the clock is the latest arrival of any feed row or tick, so every market of
+   the universe -- idle, or never seen -- emits every boundary up to the clock;
+4. one write makes the micro-batch's folder: completed boundaries
+   (``part=done``) and the open one (``part=open``), which is the next state.
+
+Folders are named by the micro-batch and overwritten when Spark replays it
+after a failure, so a replay leaves the same data.  A restart resumes from the
+checkpoint and the last folder.  ``flush`` gives out the boundary that is still
+open when a feed has ended; when the feed goes on after all, that boundary is
+open again and comes out once, when it completes.
+
+Every ``COMPACT`` micro-batches the completed rows of the folders but the last
+``KEEP`` become one sealed folder and the small ones are deleted, so the number
+of files is bounded by the number of sealed folders plus ``COMPACT + KEEP``.
 """
 
 from __future__ import annotations
@@ -27,8 +33,10 @@ from pyspark.sql import types as T
 
 from marketfold.operators.canonical import CANONICAL_SCHEMA
 from marketfold.operators.snapshots import GAUGE_NAMES, block_seconds, densify, finalize_snapshots, interval_aggregates
+from marketfold.sources.files import FileSystem
 
 FEED_SCHEMA = T.StructType([*CANONICAL_SCHEMA.fields, T.StructField("row_type", T.StringType()), T.StructField("n", T.LongType())])
+KEEP, COMPACT = 8, 32
 _COUNTERS = ("msg_count_1s", "trade_count_1s", "book_update_count_1s", "dropped_raw")
 _ORDERS = tuple(f"{g}__o" for g in GAUGE_NAMES)
 
@@ -46,49 +54,68 @@ def feed_rows(events: DataFrame, drops: DataFrame | None = None, ticks: DataFram
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in FEED_SCHEMA.fields])
 
 
+def clock_ticks(spark: SparkSession, source: str = "rate", **options) -> DataFrame:
+    """A stream of ticks (recv_s) from Spark's rate source: with it a feed's
+    boundaries appear while nothing arrives."""
+    reader = spark.readStream.format(source).options(**{"rowsPerSecond": 1} if source == "rate" else {}, **options)
+    return reader.load().select(F.floor(F.unix_micros("timestamp") / F.lit(1_000_000)).cast("bigint").alias("recv_s"))
+
+
 class SnapshotStream:
     """Streaming snapshots under ``root`` (a folder all executors share):
-    ``state/batch=<n>``, ``out/batch=<n>`` and Spark's own ``checkpoint``."""
+    ``folds/batch=<n>/part=done|open``, ``sealed/upto=<n>`` and Spark's own
+    ``checkpoint``."""
 
-    def __init__(self, spark: SparkSession, markets: DataFrame, interval_s: int, root: str):
+    def __init__(self, spark: SparkSession, markets: DataFrame, interval_s: int, root: str, keep: int = KEEP, compact: int = COMPACT):
+        if keep < 2:
+            raise ValueError("a replayed micro-batch needs the state before it: keep at least 2")
         self.spark, self.markets, self.interval_s, self.root = spark, markets, int(interval_s), root.rstrip("/")
+        self.keep, self.compact, self.files = keep, compact, FileSystem(spark)
 
     # -- state ----------------------------------------------------------------
 
-    def _versions(self) -> list[int]:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/state")
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
-            return []
-        names = [s.getPath() for s in fs.listStatus(path)]
-        done = [p for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().split("=")[1]) for p in done)
+    def _numbers(self, name: str) -> list[int]:
+        """Numbers of the complete folders ``name``=<n>."""
+        names = self.files.list(f"{self.root}/{name}")
+        return sorted(int(n.split("=")[1]) for n in names if "=" in n and self.files.exists(f"{self.root}/{name}/{n}/_SUCCESS"))
+
+    def _part(self, batch: int, part: str) -> DataFrame | None:
+        path = f"{self.root}/folds/batch={batch}/part={part}"
+        return self.spark.read.parquet(path) if self.files.exists(path) else None
 
     def _state_before(self, batch: int) -> DataFrame | None:
-        older = [v for v in self._versions() if v < batch]
-        return self.spark.read.parquet(f"{self.root}/state/batch={older[-1]}") if older else None
+        older = [v for v in self._numbers("folds") if v < batch]
+        return self._part(older[-1], "open") if older else None
 
     # -- one micro-batch ---------------------------------------------------------
 
     def fold(self, rows: DataFrame, batch: int) -> None:
-        """Fold the rows of micro-batch ``batch`` into output and state."""
+        """Fold the rows of micro-batch ``batch`` into its folder."""
         i, state = self.interval_s, self._state_before(batch)
-        opened = state.agg(F.max("snap_ts")).first()[0] if state is not None else None
         span = rows.agg(F.min("recv_s").alias("lo"), F.max("recv_s").alias("hi")).first()
         if span["hi"] is None:
             return
         clock = int(span["hi"]) - int(span["hi"]) % i + i
-        lo = int(opened) if opened is not None else int(span["lo"]) - int(span["lo"]) % i + i
+        lo, late_at = int(span["lo"]) - int(span["lo"]) % i + i, None
+        if state is not None:
+            latest = F.greatest(*[F.col(f"{o}.arrived") for o in _ORDERS])
+            lo, late_at = state.agg(F.max("snap_ts"), F.max(latest)).first()
         clock = max(clock, lo)
-        new = interval_aggregates(rows.filter("row_type = 'e'"), self.markets, i, rows.filter("row_type = 'd'"), not_before=lo, with_order=True)
-        merged = self._merge(new, state)
-        dense = densify(merged, self.markets, lo, clock, i, (*GAUGE_NAMES, *_ORDERS))
-        # One evaluation: the open boundary is the state, the others go out.
-        dense.write.mode("overwrite").parquet(f"{self.root}/dense/batch={batch}")
-        dense = self.spark.read.parquet(f"{self.root}/dense/batch={batch}")
-        self._emit(dense.filter(F.col("snap_ts") < clock), batch)
-        dense.filter(F.col("snap_ts") == clock).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/state/batch={batch}")
+        new = interval_aggregates(rows.filter("row_type = 'e'"), self.markets, i, rows.filter("row_type = 'd'"), not_before=lo, with_order=True, late_at=late_at)
+        dense = densify(self._merge(new, state), self.markets, lo, clock, i, (*GAUGE_NAMES, *_ORDERS))
+        part = F.when(F.col("snap_ts") < clock, F.lit("done")).otherwise(F.lit("open"))
+        dense.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/folds/batch={batch}")
+        self._seal()
+
+    def fold_once(self, rows: DataFrame, batch: int) -> None:
+        """``fold`` for a feed whose rows must be computed once (keyed state
+        before the fold): they are written first."""
+        path = f"{self.root}/feed/batch={batch}"
+        rows.write.mode("overwrite").parquet(path)
+        self.fold(self.spark.read.schema(FEED_SCHEMA).parquet(path), batch)
+        for name in self.files.list(f"{self.root}/feed"):
+            if int(name.split("=")[1]) < batch:
+                self.files.delete(f"{self.root}/feed/{name}")
 
     def _merge(self, new: DataFrame, state: DataFrame | None) -> DataFrame:
         if state is None:
@@ -99,25 +126,53 @@ class SnapshotStream:
             *[F.max_by(g, F.when(F.col(g).isNotNull(), F.col(f"{g}__o"))).alias(g) for g in GAUGE_NAMES],
             *[F.max(o).alias(o) for o in _ORDERS])
 
-    def _emit(self, dense: DataFrame, batch: int | str) -> None:
-        out = finalize_snapshots(dense, {g: F.col(g) for g in GAUGE_NAMES}, self.interval_s)
-        out.write.mode("overwrite").parquet(f"{self.root}/out/batch={batch}")
+    # -- retention ----------------------------------------------------------------
+
+    def _seal(self) -> None:
+        """Completed rows of old folders become one sealed folder.  A folder
+        counts as sealed once the sealed one is complete, and is deleted then or
+        by the next call."""
+        upto = max(self._numbers("sealed"), default=-1)
+        done = self._numbers("folds")
+        for n in done:
+            if n <= upto:
+                self.files.delete(f"{self.root}/folds/batch={n}")
+        old = [n for n in done if n > upto][:-self.keep]
+        if len(old) < self.compact:
+            return
+        parts = [p for p in (self._part(n, "done") for n in old) if p is not None]
+        if parts:
+            rows = self.spark.read.parquet(*[f"{self.root}/folds/batch={n}/part=done" for n in old if self.files.exists(f"{self.root}/folds/batch={n}/part=done")])
+            rows.repartition("market_key").write.mode("overwrite").parquet(f"{self.root}/sealed/upto={old[-1]}")
+            for n in old:
+                self.files.delete(f"{self.root}/folds/batch={n}")
 
     # -- running ---------------------------------------------------------------
 
-    def start(self, feed: DataFrame, **trigger):
-        """Run the streaming frame ``feed`` (FEED_SCHEMA)."""
-        return feed.writeStream.foreachBatch(self.fold).option("checkpointLocation", f"{self.root}/checkpoint") \
+    def start(self, feed: DataFrame, once: bool = False, **trigger):
+        """Run the streaming frame ``feed`` (FEED_SCHEMA); ``once`` if its rows
+        pass through keyed state."""
+        return feed.writeStream.foreachBatch(self.fold_once if once else self.fold).option("checkpointLocation", f"{self.root}/checkpoint") \
                    .trigger(**(trigger or {"availableNow": True})).start()
 
     def flush(self) -> None:
-        """Emit the open boundary of an ended feed."""
-        versions = self._versions()
-        if versions:
-            self._emit(self.spark.read.parquet(f"{self.root}/state/batch={versions[-1]}"), "end")
+        """Give out the open boundary of an ended feed, until the feed goes on."""
+        folds = self._numbers("folds")
+        if folds:
+            self.files.create(f"{self.root}/ended/batch={folds[-1]}", b"")
 
     def output(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/out").drop("batch")
+        """All completed boundaries (and the open one after ``flush``)."""
+        sealed = self._numbers("sealed")
+        folds = [n for n in self._numbers("folds") if n > max(sealed, default=-1)]
+        paths = [f"{self.root}/sealed/upto={n}" for n in sealed] + [f"{self.root}/folds/batch={n}/part=done" for n in folds]
+        if folds and self.files.exists(f"{self.root}/ended/batch={folds[-1]}"):
+            paths.append(f"{self.root}/folds/batch={folds[-1]}/part=open")
+        paths = [p for p in paths if self.files.exists(p)]
+        rows = self.spark.read.parquet(*paths) if paths else densify(
+            interval_aggregates(self.spark.createDataFrame([], FEED_SCHEMA), self.markets, self.interval_s, with_order=True), self.markets, 0, -1, self.interval_s,
+            (*GAUGE_NAMES, *_ORDERS)).limit(0)
+        return finalize_snapshots(rows, {g: F.col(g) for g in GAUGE_NAMES}, self.interval_s)
 
 
 def slices(feed: DataFrame, n: int) -> list[DataFrame]:
