@@ -65,14 +65,10 @@ def book_top(levels: F.Column, want_max: bool) -> F.Column:
     return F.array_max(px) if want_max else F.array_min(px)
 
 
-def parse_messages(msgs: DataFrame, bindings: DataFrame, types: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
-    """Messages of the wanted types -> events, in one pass: a price change is
-    its list of changes, any other message itself; every path is extracted
-    once; one binding lookup (inner equi-join on asset id).
-
-    The bindings table is a dimension (2 rows per market per 5-minute bucket);
-    the planner broadcasts it only when its measured size is under the
-    threshold."""
+def message_events(msgs: DataFrame, types: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
+    """Messages of the wanted types -> events by asset id, in one pass: a price
+    change is its list of changes, any other message itself; every path is
+    extracted once."""
     m = J.fenced_filter(msgs, F.col("event_type").isin(*types))
     is_change = F.col("event_type") == "price_change"
     m = J.extract(m, "item", {"x_pc": "$.price_changes"})
@@ -92,11 +88,30 @@ def parse_messages(msgs: DataFrame, bindings: DataFrame, types: tuple[str, ...]
         F.when(is_trade, J.p_float(J.p_first(J.pair("x_px"), J.pair("x_ltp")))).when(is_change, J.p_float(J.pair("x_px"))).alias("price"),
         F.when(is_trade, J.p_float(J.pair("x_sz"))).alias("size"), F.when(is_trade, J.p_norm(J.pair("x_side"), upper=True)).alias("trade_side"),
         kind.alias("kind"))
-    out = J.fenced_filter(m, F.col("asset_id").isNotNull() & (F.col("asset_id") != "")).join(bindings.select(*BINDING_COLUMNS), "asset_id", "inner")
+    out = J.fenced_filter(m, F.col("asset_id").isNotNull() & (F.col("asset_id") != ""))
     return (out.withColumn("venue", F.lit(C.PREDICTION_VENUE))
                .withColumn("recv_s", F.floor(F.col("recv_us") / F.lit(1_000_000)).cast("bigint")))
 
 
+def parse_messages(msgs: DataFrame, bindings: DataFrame, types: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
+    """``message_events`` of bound assets: one binding lookup (inner equi-join
+    on asset id).  The bindings table is a dimension (2 rows per market per
+    5-minute bucket); the planner broadcasts it only when its measured size is
+    under the threshold."""
+    return message_events(msgs, types).join(bindings.select(*BINDING_COLUMNS), "asset_id", "inner")
+
+
+def bound_as_of(events: DataFrame, changes: DataFrame) -> DataFrame:
+    """Events (``message_events``, materialised) with the binding that was in
+    force when they arrived (``reference_data.binding_changes``); events of
+    assets that were free then are dropped."""
+    from marketfold.operators.asof import asof_join
+    met = asof_join(events, changes.withColumnRenamed("at", "recv_s"), "asset_id", "recv_s", "binding").filter("binding.bound")
+    b = F.col("binding")
+    return met.select("*", b["market_key"].alias("market_key"), F.when(b["no"] == 1, "no").otherwise("yes").alias("side"), b["slug"].alias("slug"),
+                      b["bucket_start_ts"].alias("bucket_start_ts"), b["condition_id"].alias("condition_id"), b["since"].alias("since")).drop("binding")
+
+
 def parse_price_changes(msgs: DataFrame, bindings: DataFrame) -> DataFrame:
     return parse_messages(msgs, bindings, ("price_change",))
 

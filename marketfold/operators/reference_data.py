@@ -200,19 +200,36 @@ def bindings_in_effect(effective: DataFrame) -> DataFrame:
     return best.select("refresh_ts", "asset_id", F.col("b.market_key").alias("market_key"), F.when(F.col("b.no") == 1, "no").otherwise("yes").alias("side"))
 
 
-def subscription_delta(effective: DataFrame, step_s: int = C.SLUG_BUCKET_SECONDS) -> DataFrame:
+def binding_changes(effective: DataFrame) -> DataFrame:
+    """(asset_id, at, binding): what an asset is bound to from each refresh on.
+    ``binding`` has ``bound`` false where the next refresh there is no longer
+    binds the asset; where two markets bind it, the later one (by key) and,
+    inside a market, the no side wins."""
+    from marketfold.operators.asof import next_time
+    un = effective.filter(F.col("yes_asset_id").isNotNull()).select("refresh_ts", "market_key", "meta_slug", "meta_bucket", "condition_id",
+                                                                    F.expr("stack(2, 0, yes_asset_id, 1, no_asset_id) AS (no, asset_id)"))
+    fields = [F.lit(True).alias("bound"), "market_key", "no", F.col("meta_slug").alias("slug"), F.col("meta_bucket").alias("bucket_start_ts"), "condition_id",
+              F.col("refresh_ts").alias("since")]
+    best = un.groupBy("refresh_ts", "asset_id").agg(F.max(F.struct(*fields)).alias("binding"))
+    following = next_time(effective.select("refresh_ts"), "refresh_ts").filter("next_at IS NOT NULL")
+    free = F.struct(F.lit(False).alias("bound"), *[F.lit(None).cast(t).alias(n) for n, t in (
+        ("market_key", "string"), ("no", "int"), ("slug", "string"), ("bucket_start_ts", "bigint"), ("condition_id", "string"), ("since", "bigint"))])
+    ends = best.join(following, "refresh_ts").select("asset_id", F.col("next_at").alias("at"), free.alias("binding"))
+    return best.select("asset_id", F.col("refresh_ts").alias("at"), "binding").unionByName(ends).groupBy("asset_id", "at").agg(F.max("binding").alias("binding"))
+
+
+def subscription_delta(effective: DataFrame) -> DataFrame:
     """Per refresh: assets to subscribe (desired - subscribed) and to
-    unsubscribe (subscribed - desired); subscribed = previous desired set.
-    Refreshes come every ``step_s`` seconds; one aggregate on (refresh, asset)."""
+    unsubscribe (subscribed - desired); subscribed = the desired set of the
+    refresh before, whenever that was; one aggregate on (refresh, asset)."""
+    from marketfold.operators.asof import next_time
     desired = (effective.filter(F.col("yes_asset_id").isNotNull())
                .select("refresh_ts", F.explode(F.array_distinct(F.array("yes_asset_id", "no_asset_id"))).alias("asset_id")).distinct())
-    last = effective.agg(F.max("refresh_ts").alias("end"))
-    # +1 where an asset is wanted, -1 one step later: what does not cancel is a change.
-    marks = desired.select(F.explode(F.array(F.struct(F.col("refresh_ts"), F.lit(1).alias("n")), F.struct((F.col("refresh_ts") + F.lit(step_s)).alias("refresh_ts"), F.lit(-1).alias("n")))).alias("m"),
-                           "asset_id").select("m.refresh_ts", "asset_id", "m.n")
-    net = marks.groupBy("refresh_ts", "asset_id").agg(F.sum("n").alias("n")).filter("n <> 0")
-    end = last.first()["end"]
-    return net.filter(F.col("refresh_ts") <= F.lit(end)).select(
+    # +1 where an asset is wanted, -1 at the next refresh: what does not cancel is a change.
+    marks = desired.join(next_time(effective.select("refresh_ts"), "refresh_ts"), "refresh_ts").select("asset_id", F.explode(F.array(
+        F.struct("refresh_ts", F.lit(1).alias("n")), F.struct(F.col("next_at").alias("refresh_ts"), F.lit(-1).alias("n")))).alias("m")).select("asset_id", "m.*")
+    net = marks.filter("refresh_ts IS NOT NULL").groupBy("refresh_ts", "asset_id").agg(F.sum("n").alias("n")).filter("n <> 0")
+    return net.select(
         "refresh_ts", "asset_id", F.when(F.col("n") > 0, F.lit("subscribe")).otherwise(F.lit("unsubscribe")).alias("op"))
 
 

@@ -403,6 +403,25 @@ def q_stream_snapshots(spark, sf_dir):
     return stream.output()
 
 
+def _shared_token(asset):
+    """Tokens that markets share: seven per side, moving on with every bucket."""
+    part = F.split(asset, "-")
+    slot = F.floor(F.get(part, F.lit(3)).cast("bigint") / F.lit(300)).cast("bigint") + F.when(asset.startswith("pm-eth-"), 3).otherwise(0)
+    return F.when(F.size(part) == 4, F.concat(F.lit("tok-"), F.get(part, F.lit(2)), F.lit("-"), F.pmod(slot, F.lit(7)).cast("string"))).otherwise(asset)
+
+
+def q_binding_asof(spark, sf_dir):
+    """Replay: every message meets the binding in force when it arrived.  The
+    derived tokens are shared out anew at every refresh, so they change hands
+    between slugs and markets and are free in between."""
+    effective = refdata.meta_in_effect(_resolved(spark, sf_dir))
+    shared = effective.withColumns({c: _shared_token(F.col(c)) for c in ("yes_asset_id", "no_asset_id")})
+    msgs = prediction_parser.message_events(prediction_parser.messages(frames.prediction_frames(read_table(spark, sf_dir, "events"))))
+    msgs = cut_lineage(msgs.withColumn("asset_id", _shared_token(F.col("asset_id"))), "asof-messages")
+    return prediction_parser.bound_as_of(msgs, refdata.binding_changes(shared)).select(
+        "seq", "pos", "kind", "asset_id", "market_key", "side", "slug", "bucket_start_ts", "condition_id", "since")
+
+
 def q_stream_book(spark, sf_dir):
     """Level-2 frames land in three parts; after each the stream of the keyed
     book is started again from its checkpoint."""
@@ -515,6 +534,7 @@ def registry() -> dict[str, QueryFn]:
         "bindings_in_effect": q_bindings_in_effect,
         "text_helpers": q_text_helpers,
         "feed_to_snapshots": q_feed_to_snapshots,
+        "binding_asof": q_binding_asof,
         "stream_book": q_stream_book,
         "stream_feed": q_stream_feed,
     }

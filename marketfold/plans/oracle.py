@@ -56,6 +56,7 @@ def oracles() -> dict[str, str]:
         "text_helpers": P.text_helpers_sql(),
         "feed_to_snapshots": P.feed_snapshots_sql(FLAGSHIP_INTERVAL_S),
         "book_best_per_message": P.book_sql("best"),
+        "binding_asof": P.refdata_sql("asof"),
         "stream_book": P.book_sql("best"),
         "stream_feed": P.feed_snapshots_sql(FLAGSHIP_INTERVAL_S),
         "size_projection": P.inventory_sql("projection"),

@@ -285,11 +285,29 @@ b AS (SELECT refresh_ts, market_key, 'yes' AS side, 0 AS o, yes_asset_id AS asse
       UNION ALL SELECT refresh_ts, market_key, 'no', 1, no_asset_id FROM eff WHERE yes_asset_id IS NOT NULL)
 SELECT refresh_ts, asset_id, market_key, side FROM b
 QUALIFY row_number() OVER (PARTITION BY refresh_ts, asset_id ORDER BY market_key DESC, o DESC) = 1"""
+    if which == "asof":
+        # Tokens are shared: seven per side, moving on with every bucket, so a token changes hands between markets.
+        token = "'tok-' || split_part({0}, '-', 3) || '-' || CAST((CAST(split_part({0}, '-', 4) AS BIGINT) // 300 + CASE WHEN {0} LIKE 'pm-eth-%' THEN 3 ELSE 0 END) % 7 AS VARCHAR)"
+        return eff + f""",
+{PRED_EV_SQL},
+b AS (SELECT refresh_ts, market_key, 0 AS o, {token.format('yes_asset_id')} AS asset_id, meta_slug, meta_bucket, condition_id FROM eff WHERE yes_asset_id IS NOT NULL
+      UNION ALL SELECT refresh_ts, market_key, 1, {token.format('no_asset_id')}, meta_slug, meta_bucket, condition_id FROM eff WHERE yes_asset_id IS NOT NULL),
+best AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY refresh_ts, asset_id ORDER BY market_key DESC, o DESC) = 1),
+times AS (SELECT refresh_ts, lead(refresh_ts) OVER (ORDER BY refresh_ts) AS following FROM (SELECT DISTINCT refresh_ts FROM eff)),
+marks AS (SELECT *, true AS bound FROM best
+          UNION ALL SELECT t.following, NULL, NULL, best.asset_id, NULL, NULL, NULL, false FROM best JOIN times t USING (refresh_ts)
+          WHERE t.following IS NOT NULL AND NOT EXISTS (SELECT 1 FROM best n WHERE n.refresh_ts = t.following AND n.asset_id = best.asset_id)),
+msg AS (SELECT seq, recv_s, {token.format('asset_id')} AS asset_id,
+               CASE event_type WHEN 'purchase' THEN 'trade' WHEN 'view' THEN 'quote' ELSE 'book_update' END AS kind
+        FROM pe WHERE event_type IN ('click', 'view', 'purchase', 'signup'))
+SELECT seq, CAST(0 AS BIGINT) AS pos, kind, msg.asset_id, marks.market_key, CASE WHEN o = 1 THEN 'no' ELSE 'yes' END AS side,
+       meta_slug AS slug, meta_bucket AS bucket_start_ts, condition_id, refresh_ts AS since
+FROM msg ASOF JOIN marks ON msg.asset_id = marks.asset_id AND msg.recv_s >= marks.refresh_ts WHERE bound"""
     if which == "delta":
         return eff + """,
 des AS (SELECT DISTINCT refresh_ts, a AS asset_id FROM eff, unnest([yes_asset_id, no_asset_id]) t(a) WHERE yes_asset_id IS NOT NULL),
-times AS (SELECT DISTINCT refresh_ts FROM eff),
-prv AS (SELECT d.refresh_ts + 300 AS refresh_ts, d.asset_id FROM des d WHERE d.refresh_ts + 300 IN (SELECT refresh_ts FROM times))
+times AS (SELECT refresh_ts, lead(refresh_ts) OVER (ORDER BY refresh_ts) AS following FROM (SELECT DISTINCT refresh_ts FROM eff)),
+prv AS (SELECT following AS refresh_ts, asset_id FROM des JOIN times USING (refresh_ts) WHERE following IS NOT NULL)
 SELECT refresh_ts, asset_id, 'subscribe' AS op FROM (SELECT * FROM des EXCEPT SELECT * FROM prv)
 UNION ALL
 SELECT refresh_ts, asset_id, 'unsubscribe' AS op FROM (SELECT * FROM prv EXCEPT SELECT * FROM des)"""
