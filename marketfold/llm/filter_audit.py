@@ -68,41 +68,51 @@ def facts(text: bytes) -> tuple[int, int, bool, bytes]:
             len(text.translate(None, SYMBOLS)) < len(text), hashlib.blake2b(text, digest_size=16).digest())
 
 
-def sparse_rows(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words in order of appearance, and the CSR arrays over them."""
-    numbers: dict[bytes, int] = {}
-    rows = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in t.split()), dtype=np.int64) for t in texts]
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def sparse_rows(texts: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row lengths, column numbers and counts of the texts' CSR rows; new words
+    get the next numbers."""
+    rows = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in t.split()), dtype=np.int32) for t in texts]
+    owner = np.repeat(np.arange(len(rows), dtype=np.int64), [len(r) for r in rows])
     width = max(len(numbers), 1)
-    cells, counts = np.unique(owner * width + (np.concatenate(rows) if rows else owner), return_counts=True)
-    indptr = np.searchsorted(cells, np.arange(len(rows) + 1) * width)
-    return list(numbers), indptr.astype(np.int64), (cells % width).astype(np.int32), counts.astype(np.int32)
+    cells, counts = np.unique(owner * width + np.concatenate(rows), return_counts=True)
+    return np.bincount(cells // width, minlength=len(rows)), (cells % width).astype(np.int32), counts.astype(np.int32)
+
+
+class _Block:
+    """A block under construction: only numbers are held, not texts."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema, self.size, self.numbers = schema, 0, {}
+        self.lengths, self.indices, self.counts, self.docs = [], [], [], []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        texts = row_texts(batch)
+        self.size += sum(map(len, texts))
+        for held, new in zip((self.lengths, self.indices, self.counts), sparse_rows(texts, self.numbers)):
+            held.append(new)
+        doc = self.schema.field("docs").type.value_type
+        known = [pa.array(list(c), doc.field(name).type) for c, (name, _) in zip(zip(*map(facts, texts)), _FACTS)]
+        self.docs.append(pa.StructArray.from_arrays([batch.column("_key"), *known], fields=list(doc)))
+
+    def row(self, number: int) -> pa.RecordBatch:
+        indptr = np.concatenate(([0], np.cumsum(np.concatenate(self.lengths)))).astype(np.int64)
+        arrays = [pa.array([_pack(a)], pa.binary()) for a in (indptr, np.concatenate(self.indices), np.concatenate(self.counts))]
+        words, docs = pa.array(list(self.numbers), pa.binary()).cast(pa.string()), pa.concat_arrays(self.docs)
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a).cast(self.schema.field(name).type) for name, a in (("words", words), ("docs", docs))]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), lists[0], *arrays, lists[1]], schema=self.schema)
 
 
 def _block_rows(schema: pa.Schema):
     """Map packed rows to blocks: CSR over the block's own word numbers."""
-    def block(number: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        texts = [t for b in batches for t in row_texts(b)]
-        words, indptr, indices, counts = sparse_rows(texts)
-        keys = pa.concat_arrays([b.column("_key") for b in batches])
-        known = [pa.array(list(c), schema.field("docs").type.value_type.field(name).type) for c, (name, _) in zip(zip(*map(facts, texts)), _FACTS)]
-        docs = pa.StructArray.from_arrays([keys, *known], fields=list(schema.field("docs").type.value_type))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
-             *[pa.array([_pack(a)], pa.binary()) for a in (indptr, indices, counts)],
-             pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs).cast(schema.field("docs").type)], schema=schema)
-
     def run(batches):
-        first, done, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
-        for b in byte_slices(batches, BLOCK_BYTES // 8):
-            n = b.column("_row").nbytes
-            if held and size + n > BLOCK_BYTES:
-                yield block(first + done, held)
-                done, held, size = done + 1, [], 0
-            held.append(b)
-            size += n
-        if held:
-            yield block(first + done, held)
+        first, done, block = TaskContext.get().partitionId() << 32, 0, _Block(schema)
+        for b in byte_slices(batches, BLOCK_BYTES // 16):
+            block.add(b)
+            if block.size >= BLOCK_BYTES:
+                yield block.row(first + done)
+                done, block = done + 1, _Block(schema)
+        if block.docs:
+            yield block.row(first + done)
     return run
 
 
