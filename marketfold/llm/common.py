@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +93,17 @@ def rebatched(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[p
             yield b.slice(at, rows)
 
 
+class WordNumbers(dict):
+    """Numbers words in order of appearance: a new word gets the next number."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+    def of(self, words: list[bytes], kind) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=kind, count=len(words))
+
+
 def byte_slices(batches: Iterator[pa.RecordBatch], max_bytes: int, rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``rows`` rows whose packed texts have at most
     ``max_bytes`` bytes (or that are one longer row)."""

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import UPPER, byte_slices, id_key, row_texts
+from marketfold.llm.common import UPPER, WordNumbers, byte_slices, id_key, row_texts
 from marketfold.session import cut_lineage
 
 BLOCK_BYTES = 16 << 20
@@ -68,10 +68,10 @@ def facts(text: bytes) -> tuple[int, int, bool, bytes]:
             len(text.translate(None, SYMBOLS)) < len(text), hashlib.blake2b(text, digest_size=16).digest())
 
 
-def sparse_rows(texts: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sparse_rows(texts: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row lengths, column numbers and counts of the texts' CSR rows; new words
     get the next numbers."""
-    rows = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in t.split()), dtype=np.int32) for t in texts]
+    rows = [numbers.of(t.split(), np.int32) for t in texts]
     owner = np.repeat(np.arange(len(rows), dtype=np.int64), [len(r) for r in rows])
     width = max(len(numbers), 1)
     cells, counts = np.unique(owner * width + np.concatenate(rows), return_counts=True)
@@ -82,7 +82,7 @@ class _Block:
     """A block under construction: only numbers are held, not texts."""
 
     def __init__(self, schema: pa.Schema):
-        self.schema, self.size, self.numbers = schema, 0, {}
+        self.schema, self.size, self.numbers = schema, 0, WordNumbers()
         self.lengths, self.indices, self.counts, self.docs = [], [], [], []
 
     def add(self, batch: pa.RecordBatch) -> None:

@@ -33,11 +33,11 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import byte_slices, packed, row_texts, unpacked, words_of
+from marketfold.llm.common import WordNumbers, byte_slices, packed, row_texts, unpacked, words_of
 
 MIN_LENGTH, EXPONENT = 24, 3
 BATCH_BYTES = 2 << 20
@@ -184,8 +184,8 @@ def with_runs(rows: DataFrame, min_length: int = MIN_LENGTH, exponent: int = EXP
 
     def scan(batches):
         for b in byte_slices(batches, BATCH_BYTES):
-            texts, vocabulary = [t.split() for t in row_texts(b)], {}
-            ids = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), dtype=np.int64, count=len(words)) for words in texts]
+            texts, numbers = [t.split() for t in row_texts(b)], WordNumbers()
+            ids = [numbers.of(words, np.int64) for words in texts]
             starts = np.concatenate(([0], np.cumsum([len(x) for x in ids])[:-1])).astype(np.int64)
             found: list[list[Run]] = [[] for _ in texts]
             for t in repeating_texts(np.concatenate(ids), starts, overlap).tolist():
@@ -208,16 +208,20 @@ def collapse(docs: DataFrame, min_length: int = MIN_LENGTH, exponent: int = EXPO
 def planted(docs: DataFrame) -> DataFrame:
     """(doc_id, text), with a periodic end given to the texts that the
     query's rule names by id."""
-    h = F.crc32(F.col("doc_id").cast("string"))
-    g, words = F.floor(h / 10).cast("long"), words_of(F.col("text").cast("string"))
-    n = F.size(words).cast("long")
-    a = g % n
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("long")
-    unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
-    times = F.ceil((n - a) / p).cast("int")
-    tail = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), (n - a).cast("int"))
-    head = F.when(a > 0, F.slice(words, F.lit(1), a.cast("int"))).otherwise(F.array().cast("array<string>"))
-    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text").cast("string")).alias("text"))
+    h, text = F.crc32(F.col("doc_id").cast("string")), F.col("text").cast("string")
+    g = F.floor(h / 10).cast("long")
+
+    def with_periodic_end(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("long")
+        unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+        tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+        head = F.when(a > 0, F.slice(words, F.lit(1), a.cast("int"))).otherwise(F.array().cast("array<string>"))
+        return F.when(n > 0, F.array_join(F.concat(head, tail), " ")).otherwise(text)
+    # A lambda's variable: the words are split once for all their uses, and only where the id names the text.
+    split_once = F.element_at(F.transform(F.array(words_of(text)), with_periodic_end), 1)
+    return docs.select("doc_id", F.when(h % 10 == 0, split_once).otherwise(text).alias("text"))
 
 
 def report(docs: DataFrame) -> DataFrame:
