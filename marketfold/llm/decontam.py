@@ -250,10 +250,11 @@ def cut_spans(text: bytes, spans: list[int], min_words: int) -> bytes:
     return b"".join(out)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_span: int | None = None) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_span: int | None = None, length_column: str | None = None) -> DataFrame:
     """Documents whose hit words reach the coverage limit go.  With
     ``min_span``, the others lose their hit spans of at least that many words
-    (else they stay as they are).  Columns as in ``docs``."""
+    (else they stay as they are); ``length_column`` is then set to the length
+    of the texts that were cut.  Columns as in ``docs``."""
     kept = match_items(docs, benchmark, window).filter(~contaminated())
     if min_span is None:
         return unpacked(kept, docs.columns)
@@ -263,4 +264,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_s
             texts = [cut_spans(raw, spans or [], min_span).decode() for raw, spans in zip(row_texts(b), b.column("_spans").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(texts, pa.string())], names=["_row", "_clean"])
     cleaned = kept.select("_row", "_spans").mapInArrow(cut, T.StructType([kept.schema["_row"], T.StructField("_clean", T.StringType())]))
-    return unpacked(cleaned, docs.columns, text=F.when(F.col("_row.text").isNotNull(), F.col("_clean")))
+    instead = {"text": F.when(F.col("_row.text").isNotNull(), F.col("_clean"))}
+    if length_column in docs.columns:
+        old = F.col("_row").getField(length_column)
+        instead[length_column] = F.when(F.col("_row.text") != F.col("_clean"), F.length("_clean").cast(docs.schema[length_column].dataType)).otherwise(old)
+    return unpacked(cleaned, docs.columns, **instead)

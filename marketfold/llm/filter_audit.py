@@ -157,7 +157,8 @@ def csr_shards(docs: DataFrame, keys: tuple[str, ...], shard_rows: int = SHARD_R
         indptr = _unpack(left.column("indptr")[0].as_py(), np.int64)
         indices = ids[_unpack(left.column("indices")[0].as_py(), np.int32)]
         counts = _unpack(left.column("counts")[0].as_py(), np.int32)
-        by = np.lexsort((indices, np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))))
+        row = np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))
+        by = np.argsort(row * (ids.max(initial=0) + 1) + indices)  # (row, number) as one integer
         return left.set_column(left.schema.get_field_index("indices"), "indices", pa.array([_pack(indices[by])], pa.binary())) \
                    .set_column(left.schema.get_field_index("counts"), "counts", pa.array([_pack(counts[by])], pa.binary()))
     return blocks.drop("words").groupBy("block").cogroup(word_ids(blocks, shard_rows).groupBy("block")).applyInArrow(renumber, schema)
