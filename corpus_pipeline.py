@@ -5,6 +5,11 @@ and returns a DataFrame, which is written as Parquet and read again as the
 next one's ``docs``.  All but the last return the columns of ``documents``.
 The mix returns one row per take in training order, and the last stage writes
 the token files in that order (file number, then row of the file).
+
+Null, empty and repeated rows: null and empty texts fail the quality rules;
+rows that repeat an id are documents of their own there and in decontamination,
+and near-dedup keeps one row of each group whatever the ids (null ids rank
+last); an empty table passes through every stage empty.
 """
 
 from __future__ import annotations
@@ -53,8 +58,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark passages over the coverage limit go."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents with benchmark passages over the coverage limit go, the others
+    lose their passages of a window's words or more (13)."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=13, min_span=13, length_column="n_chars")
 
 
 @_stage
