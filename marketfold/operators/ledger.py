@@ -42,6 +42,17 @@ RECORDS = {
 }
 
 
+def decode_records(payload: Column, kind: Column, records: dict[str, str]) -> list[Column]:
+    """Fields of records of several kinds in one table: ``records`` names the
+    record of each value of ``kind``; a field that a record lacks is null."""
+    columns: dict[str, Column] = {}
+    for value, record in records.items():
+        for name, field in zip([n for n, _ in RECORDS[record]], decode_record(payload, record)):
+            own = F.when(kind == value, field)
+            columns[name] = F.coalesce(columns[name], own) if name in columns else own
+    return [c.alias(name) for name, c in columns.items()]
+
+
 def decode_record(payload: Column, record: str) -> list[Column]:
     """Fields of a record's JSON payload: missing text is empty, text is
     trimmed, a missing count is 0 (a count that is no number fails)."""

@@ -281,8 +281,10 @@ def q_batch_defaults(spark, sf_dir):
 
 
 def q_decode_records(spark, sf_dir):
-    c = _claims(spark, sf_dir).filter("stage = 'persist'")
-    return c.select("delivery", *ledger.decode_record(F.col("payload"), "bronze_written"))
+    """The records of all stages, each by its own codec."""
+    c = _claims(spark, sf_dir)
+    records = {"persist": "bronze_written", "transform": "bronze_written", "export": "export_intent", "relay": "relay_intent"}
+    return c.select("stage", "delivery", *ledger.decode_records(F.col("handoff"), F.col("stage"), records))
 
 
 def q_next_parts(spark, sf_dir):
@@ -422,6 +424,45 @@ def q_binding_asof(spark, sf_dir):
         "seq", "pos", "kind", "asset_id", "market_key", "side", "slug", "bucket_start_ts", "condition_id", "since")
 
 
+def q_rolled_parts(spark, sf_dir):
+    """Event lines rolled into parts of 2000 bytes, after the parts that are
+    listed for their days."""
+    from marketfold.sources import rolling
+    ev = read_table(spark, sf_dir, "events")
+    lines = derived.event_lines(ev)
+    parts = rolling.part_table(rolling.rolled(lines, 2000, ("ts", "event_id")), derived.listed_parts(ev))
+    return parts.drop("cut")
+
+
+def q_payload_audit(spark, sf_dir):
+    """Manifests of the listed files against what lies there: bytes that
+    changed, files that were cut short, files that are gone."""
+    from marketfold.sources.medallion import payload_status
+    listing = _listing(spark, sf_dir)
+    status = payload_status(derived.manifests_of(listing), derived.stored_bytes(listing))
+    return status.select("export_id", "staged_blob_path", "content_sha256", "content_length", "actual_sha256", "actual_length", "status")
+
+
+def q_stream_event_time(spark, sf_dir):
+    """Events arrive up to an hour late, some many hours; four parts by arrival,
+    a restart after each.  Per market and interval: rows in time and late ones."""
+    from marketfold.streaming.event_time_stream import EventTimeStream, event_second
+    from marketfold.streaming.snapshots_stream import FEED_SCHEMA, feed_rows, slices
+    base = _stream_root(spark, "event-time")
+    delay = F.pmod(F.col("seq") * F.lit(7919), F.lit(3600)) + F.when(F.pmod(F.col("seq"), F.lit(50)) == 7, F.lit(900_000)).otherwise(F.lit(0))
+    feed = cut_lineage(feed_rows(_canonical(spark, sf_dir).withColumn("recv_s", F.col("recv_s") + delay)), "stream-feed")
+    stream = EventTimeStream(spark, canon.markets_frame(spark), FLAGSHIP_INTERVAL_S, 3600, base)
+    for part in slices(feed, 4):
+        part.write.mode("append").parquet(f"{base}/landing")
+        stream.start(spark.readStream.schema(FEED_SCHEMA).parquet(f"{base}/landing")).awaitTermination()
+    stream.flush()
+    in_time = stream.output().select("market_key", "snapshot_ts", F.col("msg_count_1s").alias("in_time"), F.col("trade_count_1s").alias("trades"), "best_bid")
+    late = stream.late().groupBy("market_key", snap.boundary_of(event_second(), FLAGSHIP_INTERVAL_S).alias("snapshot_ts")).agg(F.count(F.lit(1)).alias("late"))
+    both = in_time.join(late, ["market_key", "snapshot_ts"], "full")
+    return both.select("market_key", "snapshot_ts", F.coalesce("in_time", F.lit(0)).alias("in_time"), F.coalesce("trades", F.lit(0)).alias("trades"),
+                       F.coalesce("late", F.lit(0)).alias("late"), "best_bid")
+
+
 def q_stream_book(spark, sf_dir):
     """Level-2 frames land in three parts; after each the stream of the keyed
     book is started again from its checkpoint."""
@@ -535,6 +576,9 @@ def registry() -> dict[str, QueryFn]:
         "text_helpers": q_text_helpers,
         "feed_to_snapshots": q_feed_to_snapshots,
         "binding_asof": q_binding_asof,
+        "rolled_parts": q_rolled_parts,
+        "payload_audit": q_payload_audit,
+        "stream_event_time": q_stream_event_time,
         "stream_book": q_stream_book,
         "stream_feed": q_stream_feed,
     }

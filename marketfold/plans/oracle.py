@@ -56,6 +56,9 @@ def oracles() -> dict[str, str]:
         "text_helpers": P.text_helpers_sql(),
         "feed_to_snapshots": P.feed_snapshots_sql(FLAGSHIP_INTERVAL_S),
         "book_best_per_message": P.book_sql("best"),
+        "rolled_parts": P.inventory_sql("rolled"),
+        "payload_audit": P.inventory_sql("payload_audit"),
+        "stream_event_time": P.event_time_sql(FLAGSHIP_INTERVAL_S),
         "binding_asof": P.refdata_sql("asof"),
         "stream_book": P.book_sql("best"),
         "stream_feed": P.feed_snapshots_sql(FLAGSHIP_INTERVAL_S),

@@ -456,9 +456,14 @@ def ledger_sql(which: str) -> str:
         return head + "\nSELECT * FROM fw"
     if which == "decoded":
         return head + """
-SELECT delivery, id AS batch_id, '' AS bronze_blob_path, source, market, snapshot_date, '' AS content_sha256,
-       CAST(json_extract_string(payload, '$.row_count') AS BIGINT) AS row_count, produced_at
-FROM claims WHERE stage = 'persist'"""
+SELECT stage, delivery, CASE WHEN w THEN id END AS batch_id, CASE WHEN w THEN '' END AS bronze_blob_path, CASE WHEN stage <> 'relay' THEN source END AS source,
+       CASE WHEN stage <> 'relay' THEN market END AS market, CASE WHEN stage <> 'relay' THEN snapshot_date END AS snapshot_date,
+       CASE WHEN w THEN '' ELSE sha256(id) END AS content_sha256, CASE WHEN w THEN CAST(json_extract_string(payload, '$.row_count') AS BIGINT) END AS row_count,
+       produced_at, CASE WHEN NOT w THEN id END AS export_id, CASE WHEN stage = 'export' THEN 'silver/' || id END AS silver_blob_path,
+       CASE WHEN NOT w THEN 'out/' || id END AS target_relpath,
+       CASE WHEN NOT w THEN CASE WHEN batch_no % 4 = 3 THEN 0 ELSE 100 * CAST(json_extract_string(payload, '$.row_count') AS BIGINT) END END AS content_length,
+       CASE WHEN stage = 'relay' THEN CASE WHEN batch_no % 5 = 2 THEN '' ELSE 'staged/' || id END END AS staged_blob_path
+FROM (SELECT *, stage IN ('persist', 'transform') AS w FROM claims)"""
     if which == "new_only":
         return head + """
 SELECT stage, id, delivery, produced_at FROM claims c
@@ -696,6 +701,23 @@ p AS (SELECT n.date_str, n.market_key, n.k, n.d, CAST(coalesce(most, 0) + row_nu
       FROM n LEFT JOIN h USING (date_str, market_key))
 SELECT date_str, market_key, k, part, market_key || '__start_' || strftime(d, '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(part AS VARCHAR), 4, '0') || '.ndjson.zst' AS filename
 FROM p"""
+    if which == "payload_audit":
+        return f"""WITH {LISTING_SQL},
+f AS (SELECT path, max(length) AS n FROM listing GROUP BY path),
+m AS (SELECT sha256(path) AS export_id, path AS staged_blob_path, sha256(path || '|' || CAST(n AS VARCHAR)) AS content_sha256, n AS content_length FROM f),
+a AS (SELECT *, CASE WHEN content_length % 11 <> 3 THEN CASE WHEN content_length % 13 = 5 THEN sha256(content_sha256) ELSE content_sha256 END END AS actual_sha256,
+             CASE WHEN content_length % 11 <> 3 THEN CASE WHEN content_length % 17 = 2 THEN content_length - 1 ELSE content_length END END AS actual_length FROM m)
+SELECT *, CASE WHEN actual_sha256 IS NULL THEN 'missing' WHEN actual_sha256 <> content_sha256 OR actual_length <> content_length THEN 'mismatch' ELSE 'ok' END AS status FROM a"""
+    if which == "rolled":
+        return f"""WITH {OPS_BASE_SQL},
+l AS (SELECT strftime(ts, '%Y-%m-%d') AS date_str, mk AS market_key, CAST(floor(ts_us / 1000000.0) AS BIGINT) AS s, seq,
+             strlen('{{"event_id":' || CAST(seq AS VARCHAR) || ',"event_type":"' || event_type || '","k":' || CAST(k AS VARCHAR) || '}}') + 1 AS n FROM b),
+c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY date_str, market_key ORDER BY s, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 2000 AS cut FROM l),
+p AS (SELECT date_str, market_key, cut, min(s) AS start, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS size_bytes FROM c GROUP BY ALL),
+h AS (SELECT strftime(ts, '%Y-%m-%d') AS date_str, mk AS market_key, max(k % 7 + 1) AS most FROM b WHERE event_type = 'error' GROUP BY ALL),
+q AS (SELECT p.*, CAST(coalesce(most, 0) + row_number() OVER (PARTITION BY p.date_str, p.market_key ORDER BY cut) AS INTEGER) AS part FROM p LEFT JOIN h USING (date_str, market_key))
+SELECT date_str, market_key, part, market_key || '__start_' || strftime(make_timestamp(start * 1000000), '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(part AS VARCHAR), 4, '0') || '.ndjson.zst' AS filename,
+       n_rows, size_bytes FROM q"""
     if which == "projection":
         return f"""WITH {MARKETS_SQL},
 {LISTING_SQL},
@@ -731,6 +753,19 @@ SELECT event_id, event_type || '/a/' || CAST(k AS VARCHAR) AS folder, sign,
 FROM f"""
 
 
+def event_time_sql(i: int = 300, delay: int = 3600, parts: int = 4) -> str:
+    """Lateness by the parts' watermarks, then plain counts."""
+    return f"""WITH {CANON_SQL},
+a AS (SELECT *, event_us // 1000000 AS e, recv_s + (seq * 7919) % 3600 + CASE WHEN seq % 50 = 7 THEN 900000 ELSE 0 END AS arrived FROM canon),
+s AS (SELECT min(arrived) AS lo, greatest(1, (max(arrived) - min(arrived) + {parts}) // {parts}) AS step FROM a),
+p AS (SELECT a.*, (arrived - lo) // step AS part, e - e % {i} + {i} AS snapshot_ts FROM a, s),
+w AS (SELECT part, max(max(e)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay} AS mark FROM p GROUP BY part),
+r AS (SELECT p.*, coalesce(snapshot_ts <= mark, false) AS late FROM p JOIN w USING (part))
+SELECT market_key, snapshot_ts, count(*) FILTER (NOT late) AS in_time, count(*) FILTER (NOT late AND lower(trim(kind)) = 'trade') AS trades, count(*) FILTER (late) AS late,
+       max_by(bid, e * 1000000000 + seq) FILTER (NOT late AND venue = 'coinbase' AND bid IS NOT NULL) AS best_bid
+FROM r GROUP BY market_key, snapshot_ts"""
+
+
 def feed_snapshots_sql(i: int = 300) -> str:
     """Dense snapshots over the parsed feed: the parsers' oracles and the
     resolver's metas, in place of the adapted events."""

@@ -92,6 +92,38 @@ def file_listing(orders: DataFrame, root: str = "landing") -> DataFrame:
     return df.groupBy("path").agg(F.max("modificationTime").alias("modificationTime"), F.max("length").alias("length"))
 
 
+def event_lines(events: DataFrame) -> DataFrame:
+    """(date_str, market_key, ts, event_id, row_json): a line per event."""
+    b = _base(events)
+    day = F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd")
+    line = F.concat(F.lit('{"event_id":'), F.col("seq").cast("string"), F.lit(',"event_type":"'), F.col("event_type"), F.lit('","k":'), F.col("k").cast("string"), F.lit("}"))
+    return b.select(day.alias("date_str"), F.col("mk").alias("market_key"), F.floor(F.col("ts_us") / F.lit(1_000_000)).cast("bigint").alias("ts"),
+                    F.col("seq").alias("event_id"), line.alias("row_json"))
+
+
+def listed_parts(events: DataFrame) -> DataFrame:
+    """A listing (path, length) of part files, one per error event's day and market."""
+    b = _base(events).filter("event_type = 'error'")
+    at = F.timestamp_micros("ts_us")
+    name = F.concat(F.col("mk"), F.lit("__start_"), F.date_format(at, "yyyyMMdd'T'HHmmss'Z'"), F.lit("__part_"), F.lpad((F.col("k") % 7 + 1).cast("string"), 4, "0"), F.lit(".ndjson.zst"))
+    return b.select(F.concat_ws("/", F.lit("landing"), F.date_format(at, "yyyy-MM-dd"), name).alias("path"), F.lit(1).cast("bigint").alias("length"))
+
+
+def manifests_of(listing: DataFrame) -> DataFrame:
+    """Manifests that describe the listed files."""
+    digest = F.sha2(F.concat_ws("|", "path", F.col("length").cast("string")), 256)
+    return listing.select(F.sha2("path", 256).alias("export_id"), F.col("path").alias("staged_blob_path"), digest.alias("content_sha256"), F.col("length").alias("content_length"))
+
+
+def stored_bytes(listing: DataFrame) -> DataFrame:
+    """What lies there now: by length some files are gone, some have other
+    bytes, some are one byte short under an unchanged digest."""
+    m = manifests_of(listing)
+    n = F.col("content_length")
+    return m.filter(n % 11 != 3).select("staged_blob_path", F.when(n % 13 == 5, F.sha2("content_sha256", 256)).otherwise(F.col("content_sha256")).alias("actual_sha256"),
+                                        F.when(n % 17 == 2, n - 1).otherwise(n).alias("actual_length"))
+
+
 def probes(events: DataFrame) -> DataFrame:
     """(worker, ts_us, ready): every health operation is one probe."""
     return worker_ops(events).select("worker", "ts_us", (F.col("op") != "heartbeat").alias("ready"))
@@ -123,7 +155,15 @@ def claims_from_envelopes(envelopes: DataFrame, redeliver_every: int = 3) -> Dat
     step = F.col("s.offset") * (F.lit(1) + F.pmod(F.col("batch_no"), F.lit(7)))
     produced = F.timestamp_seconds(F.unix_seconds(base) + step + F.col("delivery") * F.lit(60))
     produced_at = F.date_format(produced, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    payload = F.to_json(F.struct(F.col("batch_id"), F.col("source"), F.col("market"), F.col("snapshot_date"),
+    written = F.to_json(F.struct(F.col("batch_id"), F.col("source"), F.col("market"), F.col("snapshot_date"),
                                  F.col("row_count"), produced_at.alias("produced_at")))
+    # Hand-offs of a file: blank and missing fields, a length as text, digests with white space around.
+    digest, no = F.sha2("batch_id", 256), F.col("batch_no")
+    shared = [F.col("batch_id").alias("export_id"), F.concat(F.lit("out/"), F.col("batch_id")).alias("target_relpath"),
+              F.when(F.pmod(no, F.lit(3)) == 1, F.concat(F.lit(" "), digest, F.lit(" "))).otherwise(digest).alias("content_sha256"),
+              F.when(F.pmod(no, F.lit(4)) != 3, (F.col("row_count") * 100).cast("string")).alias("content_length"), produced_at.alias("produced_at")]
+    intent = F.to_json(F.struct(*shared, F.concat(F.lit("silver/"), F.col("batch_id")).alias("silver_blob_path"), "snapshot_date", "source", "market"))
+    relay = F.to_json(F.struct(*shared, F.when(F.pmod(no, F.lit(5)) == 2, F.lit("  ")).otherwise(F.concat(F.lit("staged/"), F.col("batch_id"))).alias("staged_blob_path")))
+    handoff = F.when(F.col("s.stage") == "export", intent).when(F.col("s.stage") == "relay", relay).otherwise(written)
     return e.select(F.col("s.stage").alias("stage"), F.col("batch_id").alias("id"), "delivery",
-                    produced_at.alias("produced_at"), payload.alias("payload"), "batch_no", "source", "market")
+                    produced_at.alias("produced_at"), written.alias("payload"), handoff.alias("handoff"), "batch_no", "source", "market")

@@ -32,7 +32,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.functions import constants as C
 from marketfold.operators import silver as S
 from marketfold.session import cut_lineage
 from marketfold.sources.files import CommitLog, FileSystem
@@ -331,13 +330,3 @@ def payload_status(manifests: DataFrame, stored: DataFrame) -> DataFrame:
     status = F.when(F.col("actual_sha256").isNull(), F.lit("missing")).when(
         (F.col("content_sha256") != F.col("actual_sha256")) | (F.col("content_length") != F.col("actual_length")), F.lit("mismatch")).otherwise(F.lit("ok"))
     return manifests.join(stored, "staged_blob_path", "left").withColumn("status", status)
-
-
-def write_rolling(rows: DataFrame, root: str, max_bytes: int = C.ROTATE_THRESHOLD_BYTES, compression: str = "gzip") -> None:
-    """Rows (date, market, row_json) as rolling NDJSON files: a folder per day
-    and market, a new file whenever about ``max_bytes`` of rows are in one
-    (the byte threshold as a number of rows of mean size)."""
-    mean = rows.agg(F.avg(F.octet_length("row_json") + 1)).first()[0] or max_bytes
-    rows.select("date", "market", F.col("row_json").alias("value")).repartition("date", "market") \
-        .write.mode("append").partitionBy("date", "market").option("maxRecordsPerFile", max(1, int(max_bytes / mean))) \
-        .option("compression", compression).text(root)

@@ -140,10 +140,9 @@ class SnapshotStream:
         old = [n for n in done if n > upto][:-self.keep]
         if len(old) < self.compact:
             return
-        parts = [p for p in (self._part(n, "done") for n in old) if p is not None]
-        if parts:
-            rows = self.spark.read.parquet(*[f"{self.root}/folds/batch={n}/part=done" for n in old if self.files.exists(f"{self.root}/folds/batch={n}/part=done")])
-            rows.repartition("market_key").write.mode("overwrite").parquet(f"{self.root}/sealed/upto={old[-1]}")
+        paths = [p for p in (f"{self.root}/folds/batch={n}/part=done" for n in old) if self.files.exists(p)]
+        if paths:
+            self.spark.read.parquet(*paths).repartition("market_key").write.mode("overwrite").parquet(f"{self.root}/sealed/upto={old[-1]}")
             for n in old:
                 self.files.delete(f"{self.root}/folds/batch={n}")
 
@@ -161,17 +160,22 @@ class SnapshotStream:
         if folds:
             self.files.create(f"{self.root}/ended/batch={folds[-1]}", b"")
 
-    def output(self) -> DataFrame:
-        """All completed boundaries (and the open one after ``flush``)."""
+    def _rows(self) -> DataFrame | None:
+        """Rows of all completed boundaries (and the open ones after ``flush``)."""
         sealed = self._numbers("sealed")
         folds = [n for n in self._numbers("folds") if n > max(sealed, default=-1)]
         paths = [f"{self.root}/sealed/upto={n}" for n in sealed] + [f"{self.root}/folds/batch={n}/part=done" for n in folds]
         if folds and self.files.exists(f"{self.root}/ended/batch={folds[-1]}"):
             paths.append(f"{self.root}/folds/batch={folds[-1]}/part=open")
         paths = [p for p in paths if self.files.exists(p)]
-        rows = self.spark.read.parquet(*paths) if paths else densify(
-            interval_aggregates(self.spark.createDataFrame([], FEED_SCHEMA), self.markets, self.interval_s, with_order=True), self.markets, 0, -1, self.interval_s,
-            (*GAUGE_NAMES, *_ORDERS)).limit(0)
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def output(self) -> DataFrame:
+        """Snapshots of all completed boundaries (and the open one after ``flush``)."""
+        rows = self._rows()
+        if rows is None:
+            nothing = interval_aggregates(self.spark.createDataFrame([], FEED_SCHEMA), self.markets, self.interval_s)
+            rows = densify(nothing, self.markets, 0, 0, self.interval_s).limit(0)
         return finalize_snapshots(rows, {g: F.col(g) for g in GAUGE_NAMES}, self.interval_s)
 
 

@@ -206,3 +206,44 @@ def test_checkpoint_folder_is_required_off_a_local_master():
     for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://https://host"):
         with pytest.raises(ValueError):
             require_local_master(master)
+
+
+def event_rows(spark, rows):
+    """(seq, event second, arrival second, market, price)"""
+    df = spark.createDataFrame(rows, "seq long, event_s long, recv_s long, market_key string, price double")
+    return feed_rows(canon.conform(df.withColumn("pos", F.lit(0).cast("long")).withColumn("kind", F.lit("trade")).withColumn("event_us", F.col("event_s") * 1_000_000)))
+
+
+def test_event_time_intervals_equal_the_batch_whatever_the_order(spark, tmp_path):
+    from marketfold.streaming.event_time_stream import EventTimeStream, intervals
+    ev = canon.events_to_canonical(read_table(spark, SF001, "events"))
+    markets = canon.markets_frame(spark)
+    span = ev.agg((F.max("recv_s") - F.min("recv_s")).alias("s")).first()["s"]
+    stream = EventTimeStream(spark, markets, INTERVAL, span + INTERVAL, str(tmp_path / "s"), keep=2, compact=2)
+    shuffled = feed_rows(ev.withColumn("event_us", F.col("recv_s") * 1_000_000))
+    for k in range(4):  # parts without any order in time
+        stream.fold(shuffled.filter(F.pmod(F.hash("seq"), F.lit(4)) == k), k)
+    assert stream.output().count() == 0 and stream.late().count() == 0
+    stream.flush()
+    want = intervals(ev.withColumn("event_us", F.col("recv_s") * 1_000_000), markets, INTERVAL).withColumnRenamed("snap_ts", "snapshot_ts")
+    got = stream.output()
+    assert same(want.select(*got.columns), got)
+
+
+def test_rows_behind_the_watermark_go_to_the_side_table(spark, tmp_path):
+    from marketfold.streaming.event_time_stream import EventTimeStream
+    stream = EventTimeStream(spark, canon.markets_frame(spark), 60, 120, str(tmp_path))
+    parts = [[(1, 1000, 1000, "cb-btcusd", 1.0), (2, 1290, 1290, "cb-btcusd", 2.0)],          # watermark 1170
+             [(3, 1139, 1300, "cb-btcusd", 3.0), (4, 1200, 1300, "cb-btcusd", 4.0), (5, 1100, 1310, "cb-ethusd", 5.0)],  # 3 and 5 are late
+             [(6, 1600, 1600, "cb-btcusd", 6.0)]]
+    for k, part in enumerate(parts):
+        stream.fold(event_rows(spark, part), k)
+        stream.fold(event_rows(spark, part), k)  # a replay
+
+    def counts():
+        return {(r["market_key"], r["snapshot_ts"]): (r["trade_count_1s"], r["last_trade_px"]) for r in stream.output().collect()}
+    final = {("cb-btcusd", 1020): (1, 1.0), ("cb-btcusd", 1260): (1, 4.0), ("cb-btcusd", 1320): (1, 2.0)}
+    assert counts() == final and stream.watermark() == 1480
+    assert sorted(r["seq"] for r in stream.late().collect()) == [3, 5]
+    stream.flush()
+    assert counts() == {**final, ("cb-btcusd", 1620): (1, 6.0)}
