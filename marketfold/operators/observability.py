@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketfold.operators.ordering import with_positions
 from marketfold.session import cut_lineage
 from marketfold.functions.exprs import sanitize_label_name, sanitize_metric_name
 
@@ -75,8 +76,7 @@ def metric_text(rollup: DataFrame) -> DataFrame:
     ``name{k="v"} value``; ``line_order`` gives the global sort order."""
     sample = F.concat(F.col("name"), F.when(F.col("label_text") != "", F.concat(F.lit("{"), F.col("label_text"), F.lit("}")))
                       .otherwise(F.lit("")), F.lit(" "), python_float_text(F.col("value")))
-    order = F.row_number().over(Window.orderBy("name", "label_text"))  # one row per series
-    return rollup.select("name", "label_text", order.cast("long").alias("line_order"), F.concat(F.lit("# TYPE "), F.col("name"), F.lit(" "), F.col("kind")).alias("type_line"),
+    return with_positions(rollup, ("name", "label_text"), "line_order").select("name", "label_text", "line_order", F.concat(F.lit("# TYPE "), F.col("name"), F.lit(" "), F.col("kind")).alias("type_line"),
                          sample.alias("sample_line"))
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from marketfold.functions import constants as C
 from marketfold.functions.exprs import strip_ws
+from marketfold.session import cut_lineage
+
+REFRESH_BLOCK_S = 86_400
 
 
 def bindings_from_canonical(canonical: DataFrame) -> DataFrame:
@@ -172,24 +175,21 @@ def bindings_by_asset(metas: DataFrame) -> DataFrame:
 
 def meta_in_effect(metas: DataFrame) -> DataFrame:
     """Refresh semantics: at each refresh a market keeps its previous meta
-    when the lookup fails.  Carry-forward per market over refresh points
-    (rows per market = number of refreshes, not events).  ``changed`` marks
-    refreshes whose binding set differs from the previous refresh's."""
-    w = Window.partitionBy("market_key").orderBy("bucket_start_ts").rowsBetween(Window.unboundedPreceding, 0)
-    ok = F.col("error").isNull()
-    cols = {"meta_bucket": F.when(ok, F.col("bucket_start_ts")), "meta_slug": F.when(ok, F.col("slug")),
-            "condition_id": F.when(ok, F.col("condition_id")), "yes_asset_id": F.when(ok, F.col("yes_asset_id")),
-            "no_asset_id": F.when(ok, F.col("no_asset_id"))}
-    df = metas.select("market_key", F.col("bucket_start_ts").alias("refresh_ts"), "bucket_start_ts", "error",
-                      *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in cols.items()])
-    key = F.when(F.col("meta_bucket").isNotNull(),
-                 F.concat_ws("|", F.col("meta_bucket").cast("string"), "meta_slug", "condition_id", "yes_asset_id", "no_asset_id"))
-    prev = F.lag(key).over(Window.partitionBy("market_key").orderBy("refresh_ts"))
-    df = df.withColumn("meta_changed", F.coalesce(key != prev, key.isNotNull() & prev.isNull()) & key.isNotNull())
+    when the lookup fails: an as-of join of the refreshes with the successful
+    lookups, in blocks of time.  ``changed`` marks refreshes whose binding set
+    differs from the previous refresh's."""
+    from marketfold.operators.asof import asof_join
+    metas = cut_lineage(metas, "metas")
+    fields = {"meta_bucket": "bucket_start_ts", "meta_slug": "slug", "condition_id": "condition_id", "yes_asset_id": "yes_asset_id", "no_asset_id": "no_asset_id"}
+    found = metas.filter(F.col("error").isNull()).select("market_key", F.col("bucket_start_ts").alias("at"), F.struct(*[F.col(c).alias(n) for n, c in fields.items()]).alias("now"))
+    points = metas.select("market_key", F.col("bucket_start_ts").alias("refresh_ts"), F.col("bucket_start_ts").alias("at"))
+    df = asof_join(points, found, "market_key", "at", "now", block=REFRESH_BLOCK_S)
+    # Lookups happen at refreshes, so what was in effect a second before is what the refresh before left.
+    before = asof_join(points.withColumn("at", F.col("at") - 1), found.withColumnRenamed("now", "was"), "market_key", "at", "was", block=REFRESH_BLOCK_S)
+    df = df.drop("at").join(before.drop("at"), ["market_key", "refresh_ts"]).withColumn("meta_changed", F.col("now").isNotNull() & ~F.col("now").eqNullSafe(F.col("was")))
     # The refresh as a whole changed something if any market's bindings did (a row per market).
     df = df.withColumn("bindings_changed", F.max("meta_changed").over(Window.partitionBy("refresh_ts")))
-    return df.select("market_key", "refresh_ts", "meta_bucket", "meta_slug", "condition_id", "yes_asset_id",
-                     "no_asset_id", "meta_changed", "bindings_changed")
+    return df.select("market_key", "refresh_ts", *[F.col(f"now.{n}").alias(n) for n in fields], "meta_changed", "bindings_changed")
 
 
 def bindings_in_effect(effective: DataFrame) -> DataFrame:

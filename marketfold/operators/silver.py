@@ -47,14 +47,14 @@ _FLOATS = ("stale_ms", "best_bid", "best_ask", "mid", "spread_bps", "last_trade_
 _COUNTS = ("msg_count_1s", "trade_count_1s", "book_update_count_1s", "dropped_events_1s")
 
 
-def parse_row_text(df: DataFrame, col: str = "row_json") -> DataFrame:
+def parse_row_text(df: DataFrame, col: str = "row_json", keys: tuple[str, ...] = tuple(RAW_KEYS)) -> DataFrame:
     """Row text -> per key ``raw_<key>`` (its text) and ``kind_<key>``
     (``s`` text, ``n`` number, ``b`` boolean, NULL otherwise), so that the
     number 1.0 and the text "1.0" stay apart."""
     df = df.withColumn("_v", F.try_parse_json(F.col(col)))
-    df = df.select("*", *[F.try_variant_get("_v", f"$.{k}", "variant").alias(f"_v_{k}") for k in RAW_KEYS]).drop("_v")
+    df = df.select("*", *[F.try_variant_get("_v", f"$.{k}", "variant").alias(f"_v_{k}") for k in keys]).drop("_v")
     out = [F.col(c) for c in df.columns if not c.startswith("_v_")]
-    for k in RAW_KEYS:
+    for k in keys:
         t = F.schema_of_variant(F.col(f"_v_{k}"))
         kind = F.when(t == "STRING", F.lit("s")).when(t == "BOOLEAN", F.lit("b")).when(
             t.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | t.startswith("DECIMAL"), F.lit("n"))
@@ -93,14 +93,22 @@ def with_batch_check(silver: DataFrame) -> DataFrame:
 
 
 def split_valid(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, quarantined batches); a batch goes as a whole."""
-    flagged = with_batch_check(silver)
+    """(accepted rows, quarantined batches); a batch goes as a whole.  Rows
+    that were checked before (``with_batch_check``) are not checked again."""
+    flagged = silver if "bad" in silver.columns else with_batch_check(silver)
     rejected = (flagged.filter("bad").groupBy("batch_id", "snapshot_date", "source", "market")
                 .agg(F.count(F.lit(1)).alias("row_count"))
                 .withColumn("error", F.lit("silver_row_missing_ts_utc")))
     return flagged.filter(~F.col("bad")).drop("bad"), rejected
 
 
+def batch_hours(rows: DataFrame, col: str = "row_json") -> DataFrame:
+    """(batch_id, snapshot_date, source, market, hour) per batch: where its
+    files go, from the one key of the row text that decides it."""
+    ts = X.silver_timestamp(F.col("raw_ts_utc"), F.col("kind_ts_utc"))
+    return parse_row_text(rows, col, ("ts_utc",)).groupBy("batch_id", "snapshot_date", "source", "market").agg(F.min_by(F.hour(ts), F.col("rn")).alias("hour"))
+
+
 def partition_hour(silver: DataFrame, placement: str = "first_row") -> DataFrame:
     """``hour`` partition value: the hour of the batch's first row (smallest
     ``rn``) for all of its rows (``first_row``, as the upstream writer places

@@ -141,9 +141,12 @@ def q_batch_validate(spark, sf_dir):
     return batches.validate_batches(b)
 
 
+def _silver_rows(spark, sf_dir):
+    return _batched(spark, sf_dir).withColumnRenamed("venue", "source").withColumn("market", F.col("market_key"))
+
+
 def _silver(spark, sf_dir):
-    b = _batched(spark, sf_dir).withColumnRenamed("venue", "source").withColumn("market", F.col("market_key"))
-    return silver.normalize(silver.parse_row_text(b), keep=("batch_id", "rn"))
+    return silver.normalize(silver.parse_row_text(_silver_rows(spark, sf_dir)), keep=("batch_id", "rn"))
 
 
 def q_silver_normalize(spark, sf_dir):
@@ -153,8 +156,7 @@ def q_silver_normalize(spark, sf_dir):
 
 
 def q_partition_paths(spark, sf_dir):
-    s = silver.partition_hour(_silver(spark, sf_dir))
-    per_batch = s.groupBy("batch_id", "snapshot_date", "source", "market").agg(F.first("hour").alias("hour"))
+    per_batch = silver.batch_hours(_silver_rows(spark, sf_dir))
     d, so, m, b, h = (F.col(c) for c in ("snapshot_date", "source", "market", "batch_id", "hour"))
     rel = silver.export_relpath(b, d, so, m, h)
     return per_batch.select("batch_id", silver.bronze_path(d, so, m, b).alias("bronze_path"),

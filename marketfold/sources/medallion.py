@@ -218,11 +218,10 @@ class Medallion:
         raw = self.bronze(todo).withColumnRenamed("date", "snapshot_date")
         rows = S.normalize(S.parse_row_text(raw, "value"), keep=("batch_id", "rn"))
         checked = cut_lineage(S.with_batch_check(rows), "silver-checked")
-        good = S.partition_hour(checked.filter(~F.col("bad")).drop("bad"))
-        out = good.withColumn("date", F.col("snapshot_date")).withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+        good, refused = S.split_valid(checked)
+        out = S.partition_hour(good).withColumn("date", F.col("snapshot_date")).withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
         self._write(out, "silver", commit, PLACES, order=("batch_id", "rn"), compression="zstd")
         head = ("batch_id", "snapshot_date", "source", "market")
-        refused = checked.filter("bad").groupBy(*head).agg(F.count(F.lit(1)).alias("row_count"), F.lit("silver_row_missing_ts_utc").alias("error"))
         self._write(refused, "quarantine", commit)
         mine = [{"commit": commit, "tables": tables}]
         done = self.silver(mine).groupBy(*head).agg(F.count(F.lit(1)).alias("row_count"), F.min("file").alias("silver_blob_path"), F.lit("silver").alias("status"))
