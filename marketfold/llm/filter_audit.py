@@ -30,6 +30,7 @@ says so, rows without an id have no labels; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
@@ -40,11 +41,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import UPPER, WordNumbers, byte_slices, id_key, row_texts
+from marketfold.llm.common import SMALL_BATCHES, UPPER, WordNumbers, byte_slices, id_key, row_texts
 from marketfold.session import cut_lineage
 
 BLOCK_BYTES = 16 << 20
 SHARD_ROWS = 20_000      # (block, word) rows that share a shard of the dictionary
+WORD_ROWS = 1 << 16      # of a batch of words
 LETTERS = "ABCDE"
 # Fixed values of the filters.
 MIN_WORDS, MIN_DISTINCT, MAX_UPPER, SYMBOLS = 50, 65, 5, b"#$%&*|"
@@ -94,12 +96,21 @@ class _Block:
         known = [pa.array(list(c), doc.field(name).type) for c, (name, _) in zip(zip(*map(facts, texts)), _FACTS)]
         self.docs.append(pa.StructArray.from_arrays([batch.column("_key"), *known], fields=list(doc)))
 
-    def row(self, number: int) -> pa.RecordBatch:
+    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
+        """The block's words, a row each, and then its matrix."""
+        words = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
+        self.numbers.clear()
+        for at in range(0, len(words), WORD_ROWS):
+            part = words.slice(at, WORD_ROWS)
+            yield self._batch(len(part), block=pa.array(np.full(len(part), number)), local=pa.array(np.arange(at, at + len(part), dtype=np.int32)), word=part)
         indptr = np.concatenate(([0], np.cumsum(np.concatenate(self.lengths)))).astype(np.int64)
-        arrays = [pa.array([_pack(a)], pa.binary()) for a in (indptr, np.concatenate(self.indices), np.concatenate(self.counts))]
-        words, docs = pa.array(list(self.numbers), pa.binary()).cast(pa.string()), pa.concat_arrays(self.docs)
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a).cast(self.schema.field(name).type) for name, a in (("words", words), ("docs", docs))]
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), lists[0], *arrays, lists[1]], schema=self.schema)
+        packed = {k: pa.array([_pack(a)], pa.binary()) for k, a in (("indptr", indptr), ("indices", np.concatenate(self.indices)), ("counts", np.concatenate(self.counts)))}
+        docs = pa.concat_arrays(self.docs)
+        docs = pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs).cast(self.schema.field("docs").type)
+        yield self._batch(1, block=pa.array([number], pa.int64()), docs=docs, **packed)
+
+    def _batch(self, rows: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)) for f in self.schema], schema=self.schema)
 
 
 def _block_rows(schema: pa.Schema):
@@ -109,29 +120,29 @@ def _block_rows(schema: pa.Schema):
         for b in byte_slices(batches, BLOCK_BYTES // 16):
             block.add(b)
             if block.size >= BLOCK_BYTES:
-                yield block.row(first + done)
+                yield from block.rows(first + done)
                 done, block = done + 1, _Block(schema)
         if block.docs:
-            yield block.row(first + done)
+            yield from block.rows(first + done)
     return run
 
 
 def encoded_blocks(docs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One row per block: its words, its CSR arrays and per document the key
-    columns and facts; materialised, as block numbers must not change."""
+    """Per block a row with its CSR arrays and per document the key columns and
+    facts, and a row (``local``, ``word``) for each of its words; materialised,
+    as block numbers must not change."""
     from pyspark.sql.pandas.types import to_arrow_schema
     rows = docs.select(F.struct(F.col("text").cast("string").alias("text")).alias("_row"), F.struct(*keys).alias("_key"))
     doc = T.StructType([rows.schema["_key"], *[T.StructField(n, t) for n, t in _FACTS]])
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())), *_CSR,
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("local", T.IntegerType()), T.StructField("word", T.StringType()), *_CSR,
                            T.StructField("docs", T.ArrayType(doc))])
-    return cut_lineage(rows.mapInArrow(_block_rows(to_arrow_schema(schema)), schema), "term-blocks")
+    return cut_lineage(rows.mapInArrow(_block_rows(to_arrow_schema(schema)), schema), "term-blocks", SMALL_BATCHES)
 
 
 def word_ids(blocks: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(block, local, id): the global number of every block's words."""
-    total = blocks.agg(F.sum(F.size("words"))).first()[0] or 0
-    shards = max(1, -(-int(total) // shard_rows))
-    words = blocks.select("block", F.posexplode("words").alias("local", "word"))
+    words = blocks.filter(F.col("local").isNotNull()).select("block", "local", "word")
+    shards = max(1, -(-words.count() // shard_rows))
     words = words.withColumn("shard", F.pmod(F.xxhash64("word"), F.lit(shards)))
     ranked = words.withColumn("rank", F.dense_rank().over(Window.partitionBy("shard").orderBy("word")))
     ranked = cut_lineage(ranked.select("block", "local", "shard", "rank"), "term-ranks")
@@ -145,43 +156,39 @@ def word_ids(blocks: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
 
 def csr_shards(docs: DataFrame, keys: tuple[str, ...], shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The document-term matrix in shards of rows: ``docs`` (key columns as
-    ``_key`` and facts, one entry per row), ``indptr`` (int64), ``indices``
-    (global word numbers, int64, ascending in a row) and ``counts`` (int32)."""
-    blocks = encoded_blocks(docs, keys)
-    schema = blocks.drop("words").schema
+    """The document-term matrix in shards of rows: ``docs`` (one entry per row:
+    key columns as ``_key``, facts, row sum ``n_words``, nonzero count
+    ``n_distinct``), ``indptr`` (int64), ``indices`` (global word numbers, int64,
+    ascending in a row) and ``counts`` (int32)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    rows = encoded_blocks(docs, keys)
+    blocks = rows.filter(F.col("local").isNull()).drop("local", "word")
+    summed = T.StructType([*blocks.schema["docs"].dataType.elementType.fields, T.StructField("n_words", T.LongType()), T.StructField("n_distinct", T.LongType())])
+    schema = T.StructType([f if f.name != "docs" else T.StructField("docs", T.ArrayType(summed)) for f in blocks.schema.fields])
+    arrow = to_arrow_schema(schema)
 
     def renumber(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = np.empty(right.num_rows, dtype=np.int64)
         ids[right.column("local").to_numpy()] = right.column("id").to_numpy()
         indptr = _unpack(left.column("indptr")[0].as_py(), np.int64)
         indices = ids[_unpack(left.column("indices")[0].as_py(), np.int32)]
-        counts = _unpack(left.column("counts")[0].as_py(), np.int32)
         row = np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))
         by = np.argsort(row * (ids.max(initial=0) + 1) + indices)  # (row, number) as one integer
-        return left.set_column(left.schema.get_field_index("indices"), "indices", pa.array([_pack(indices[by])], pa.binary())) \
-                   .set_column(left.schema.get_field_index("counts"), "counts", pa.array([_pack(counts[by])], pa.binary()))
-    return blocks.drop("words").groupBy("block").cogroup(word_ids(blocks, shard_rows).groupBy("block")).applyInArrow(renumber, schema)
-
-
-def document_counts(shards: DataFrame) -> DataFrame:
-    """Per document: ``_key``, facts, row sum ``n_words``, nonzero count ``n_distinct``."""
-    def run(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                indptr = _unpack(b.column("indptr")[i].as_py(), np.int64)
-                sums = np.concatenate(([0], np.cumsum(_unpack(b.column("counts")[i].as_py(), np.int32), dtype=np.int64)))
-                docs = b.column("docs").slice(i, 1).flatten()
-                yield pa.RecordBatch.from_arrays([docs, pa.array(np.diff(sums[indptr])), pa.array(np.diff(indptr))], names=["doc", "n_words", "n_distinct"])
-    doc = shards.schema["docs"].dataType.elementType
-    schema = T.StructType([T.StructField("doc", doc), T.StructField("n_words", T.LongType()), T.StructField("n_distinct", T.LongType())])
-    return shards.mapInArrow(run, schema).select("doc.*", "n_words", "n_distinct")
+        counts = _unpack(left.column("counts")[0].as_py(), np.int32)[by]
+        sums = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))[indptr]
+        known = left.column("docs").combine_chunks().flatten()
+        doc = arrow.field("docs").type.value_type
+        full = pa.StructArray.from_arrays([*known.flatten(), pa.array(np.diff(sums)), pa.array(np.diff(indptr))], fields=list(doc))
+        return pa.Table.from_arrays(
+            [left.column("block").combine_chunks(), left.column("indptr").combine_chunks(), pa.array([_pack(indices[by])], pa.binary()), pa.array([_pack(counts)], pa.binary()),
+             pa.ListArray.from_arrays(pa.array([0, len(full)], pa.int32()), full).cast(arrow.field("docs").type)], schema=arrow)
+    return blocks.groupBy("block").cogroup(word_ids(rows, shard_rows).groupBy("block")).applyInArrow(renumber, schema)
 
 
 def failing(docs: DataFrame) -> DataFrame:
     """(doc_id, part, digest, A, B, C, D) per document."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), "text")
-    d = document_counts(csr_shards(keyed, ("doc_id", "part")))
+    d = csr_shards(keyed, ("doc_id", "part")).select(F.inline("docs"))
     return d.select("_key.doc_id", "_key.part", "digest", (F.col("n_words") < MIN_WORDS).alias("A"),
                     (100 * F.col("n_distinct") < MIN_DISTINCT * F.col("n_words")).alias("B"),
                     (100 * F.col("upper") > MAX_UPPER * F.col("chars")).alias("C"), F.col("symbol").alias("D"))
@@ -192,7 +199,7 @@ def patterns(flags: DataFrame, labels: DataFrame) -> DataFrame:
     they fail, bit ``k`` for the ``k``-th letter."""
     said = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    flags = cut_lineage(flags, "filter-flags")
+    flags = cut_lineage(flags, "filter-flags", SMALL_BATCHES)
     has = flags.filter(F.col("doc_id").isNotNull()).join(said, "doc_id", "left")
     rows = has.unionByName(flags.filter(F.col("doc_id").isNull()), allowMissingColumns=True).fillna(0, ["good", "toxic"])
     bits = sum((F.col(c).cast("int") * (1 << k) for k, c in enumerate("ABCD")), F.lit(0))
