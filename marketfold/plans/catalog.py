@@ -426,6 +426,30 @@ def q_binding_asof(spark, sf_dir):
         "seq", "pos", "kind", "asset_id", "market_key", "side", "slug", "bucket_start_ts", "condition_id", "since")
 
 
+def q_stream_hops(spark, sf_dir):
+    """The file layer as streams: batches land in three parts, the middle one
+    twice; each stage is started again after each part.  Every seventh batch
+    holds a row without a time and is quarantined.  What is there in the end:
+    intact payloads, refused batches, and how often each batch was claimed."""
+    from marketfold.sources.medallion import Medallion
+    base = _stream_root(spark, "hops")
+    rows = _batched(spark, sf_dir)
+    poison = (F.col("batch_no") % 7 == 3) & (F.col("rn") % 250 == 9)
+    rows = cut_lineage(rows.withColumn("row_json", F.when(poison, F.lit('{"mid": 1}')).otherwise(F.col("row_json"))), "hops-batches")
+    store = Medallion(spark, f"{base}/store")
+    for k in (0, 1, 1, 2):
+        rows.filter(F.col("batch_no") % 3 == k).write.mode("append").parquet(f"{base}/landing")
+        store.start_persist(spark.readStream.schema(rows.schema).parquet(f"{base}/landing"), f"{base}/checkpoints").awaitTermination()
+        for stage in ("transform", "export", "relay"):
+            store.start_stage(stage, f"{base}/checkpoints").awaitTermination()
+    place = ("snapshot_date", "source", "market")
+    kept = store.audit().select(*place, "status", F.col("export_id").alias("batch_id"), "row_count")
+    refused = store.quarantine().select(*place, F.col("error").alias("status"), "batch_id", "row_count")
+    claims = store.ledger().groupBy(F.col("id").alias("batch_id")).agg(F.count(F.lit(1)).alias("claims"))
+    return kept.unionByName(refused).join(claims, "batch_id").groupBy(*place, "status").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("row_count").alias("row_count"), F.sum("claims").alias("claims"))
+
+
 def q_rolled_parts(spark, sf_dir):
     """Event lines rolled into parts of 2000 bytes, after the parts that are
     listed for their days."""
@@ -578,6 +602,7 @@ def registry() -> dict[str, QueryFn]:
         "text_helpers": q_text_helpers,
         "feed_to_snapshots": q_feed_to_snapshots,
         "binding_asof": q_binding_asof,
+        "stream_hops": q_stream_hops,
         "rolled_parts": q_rolled_parts,
         "payload_audit": q_payload_audit,
         "stream_event_time": q_stream_event_time,

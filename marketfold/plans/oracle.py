@@ -56,6 +56,7 @@ def oracles() -> dict[str, str]:
         "text_helpers": P.text_helpers_sql(),
         "feed_to_snapshots": P.feed_snapshots_sql(FLAGSHIP_INTERVAL_S),
         "book_best_per_message": P.book_sql("best"),
+        "stream_hops": P.batch_sql("hops"),
         "rolled_parts": P.inventory_sql("rolled"),
         "payload_audit": P.inventory_sql("payload_audit"),
         "stream_event_time": P.event_time_sql(FLAGSHIP_INTERVAL_S),

@@ -368,6 +368,11 @@ FROM e"""
   SELECT batch_id, snapshot_date, venue AS source, market_key AS market, substr(batch_first_ts, 12, 2) AS hour, count(*) AS n
   FROM g GROUP BY ALL)
 SELECT snapshot_date, source, market, hour, 'ok' AS status, CAST(count(*) AS BIGINT) AS batches, CAST(sum(n) AS BIGINT) AS row_count
+FROM p GROUP BY ALL"""
+    if which == "hops":
+        return head + """, p AS (SELECT batch_id, snapshot_date, venue AS source, market_key AS market, bool_or(batch_no % 7 = 3 AND rn % 250 = 9) AS bad, count(*) AS n FROM g GROUP BY ALL)
+SELECT snapshot_date, source, market, CASE WHEN bad THEN 'silver_row_missing_ts_utc' ELSE 'ok' END AS status, count(*) AS batches, CAST(sum(n) AS BIGINT) AS row_count,
+       CAST(sum(CASE WHEN bad THEN 2 ELSE 4 END) AS BIGINT) AS claims
 FROM p GROUP BY ALL"""
     if which == "validate":
         return "WITH " + _snap_cte() + """,

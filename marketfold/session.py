@@ -122,11 +122,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-        return str(configured).rstrip("/")
-    require_local_master(sc.master)
-    local = tempfile.mkdtemp(prefix="marketfold-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    else:
+        require_local_master(sc.master)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="marketfold-ckpt-"))
+    # Spark makes a folder of its own in the one that was named.
+    return str(sc.getCheckpointDir()).rstrip("/")
 
 
 def require_local_master(master: str) -> None:
