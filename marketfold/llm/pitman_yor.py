@@ -1,25 +1,26 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
-Restaurants: one per context, the previous token, for contexts that hold at
-least ``CONTEXT_SHARE`` of the training tokens (so there are no more than its
-inverse), and one for all rarer contexts.  They share the unigram restaurant
-as parent, whose base is uniform over the training words and one unknown word.
-Each training token is a customer; a table of a context's restaurant is a
-customer of the parent.  Seating is sampled by Gibbs: a sweep seats all
-customers of every dish (a word in a restaurant) anew.  Probabilities need only
-how many tables a dish has, so that number is drawn from its law under the
-Chinese restaurant rule (``table_counts``).  The predictive probabilities of
-the samples are averaged.
-
-Scale: a word's tables in all restaurants are one row (no more entries than
-there are restaurants), so a sweep is a map over the words; what restaurants
-share are their totals of customers and tables, which are added up between
-sweeps (a few numbers per restaurant).  A word with a single customer has only
-one possible seating and takes no part in the sweeps.  Words live in shards by
-hash; counts, questions and answers travel packed per shard.  Scoring works on
-blocks of documents: the distinct (word, context) pairs of a block meet the
-model shard by shard, and the answers meet the block's texts.  Counts and
-shards grow with the corpus; nothing of its size is broadcast or collected.
+Restaurants: one per context, that is for every token that another follows, and
+the unigram restaurant that they share as parent, whose base is uniform over
+the training words and one unknown word.  Each training token is a customer; a
+table of a context's restaurant is a customer of the parent.  Seating is
+sampled by Gibbs: a sweep seats all customers of every dish (a word in a
+restaurant) anew.  Probabilities need only how many tables a dish has, so that
+number is drawn from its law under the Chinese restaurant rule
+(``table_counts``).  The predictive probabilities of the samples are averaged.
+
+Scale: counts live in pair shards (the dishes, by hash of their word; the pairs
+of very frequent words by both words, so no shard holds all that follows or
+precedes "the") and word shards (per word its tokens, its customers and tables
+in the unigram restaurant, and the tables of its own restaurant).  A shard is
+one row of packed arrays, a pair or word shard grows no larger with the corpus,
+there are more of them.  A dish with one customer has one table for ever; only
+the others are seated.  In a round every pair shard seats its dishes and sends
+the sums of tables by word and by context to the word shards, which add them
+up, seat the unigram restaurant and answer: two shuffles of small integers, in
+an order that both sides know.  Scoring works on blocks of documents: the
+distinct pairs and words of a block are asked for shard by shard, and answers
+meet the block's texts.  The driver holds a few numbers per round.
 
 Defined results: null text is empty, one end token; a null ``doc_id`` hashes
 as empty text; repeated documents are counted and scored one by one; without
@@ -28,7 +29,6 @@ training tokens every probability is 1 over one word.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -38,200 +38,254 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import byte_texts, id_back, id_key, lower_words, rebatched
+from marketfold.llm.common import WordNumbers, byte_texts, id_back, id_key, lower_words, rebatched, text_or_empty
 from marketfold.session import cut_lineage, cuts, drop_cuts
 
 END = b""  # the end token; it is also the context of a text's first word
-CONTEXT_SHARE = 0.001
 BLOCK_BITS = 10            # a block has up to 2**10 documents
 PAIRS_PER_SHARD = 200_000  # about so many of the blocks' distinct pairs meet in one group
+FREQUENT, LOOK = 0.002, 64  # words of this share, in one text of so many, have their pairs dealt out by both words
+FLUSH = 3_000_000          # distinct pairs that a counting task holds
 STRENGTH = 1.0
-SWEEP, BURN_IN, SAMPLES = 4, 1, 2
+BURN_IN, SAMPLES = 2, 2
 LISTED, NODES = 2048, 160  # up to so many customers a dish's law is listed in a table; points of an integral beyond that
 
 
-# ---- counting ---------------------------------------------------------------
+# ---- packing ----------------------------------------------------------------
 
-def _often(share: float):
-    """Words that hold at least ``share`` of a task's tokens (a flush of the
-    counter counts as a task), and the number of tokens as a row without word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+def _pack(a: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
 
-        def out() -> pa.RecordBatch:
-            total = sum(counts.values())
-            kept = [(w, n) for w, n in counts.items() if n >= share * total]
-            return pa.RecordBatch.from_arrays([pa.array([None, *(w for w, _ in kept)], pa.binary()), pa.array([total, *(n for _, n in kept)], pa.int64())],
-                                              names=["word", "n"])
-        for b in rebatched(batches):
-            for text in byte_texts(b):
-                counts.update(lower_words(text))
-                counts[END] += 1
-            if len(counts) > 500_000:
-                yield out()
-                counts.clear()
-        yield out()
-    return run
 
+def _unpack(raw: bytes, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw), dtype=kind)
 
-def _count_of(wanted: frozenset[bytes]):
-    """Exact counts of the wanted words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for b in rebatched(batches):
-            for text in byte_texts(b):
-                counts.update(filter(wanted.__contains__, lower_words(text)))
-                counts[END] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-    return run
+
+def _pack_names(names: list[bytes]) -> bytes:
+    """Words have no white space; a line each, as the end token is empty."""
+    return zstandard.compress(b"".join(w + b"\n" for w in names), 3)
+
+
+def _unpack_names(raw: bytes) -> list[bytes]:
+    return zstandard.decompress(raw).split(b"\n")[:-1]
 
 
-def find_contexts(texts: DataFrame, share: float) -> tuple[int, dict[bytes, int]]:
-    """Number of tokens, and the words that hold at least ``share`` of them.
-
-    Tasks report words above a tenth of the share; what a word has in tasks
-    that do not report it is less than that tenth of all tokens, so every
-    frequent word keeps nine tenths in the sum, and no more than 1 / (0.9 *
-    share) words can.  Those few are then counted exactly."""
-    often = texts.mapInArrow(_often(share / 10), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    often = cut_lineage(often, "py-often")
-    tokens = int(often.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0)
-    likely = often.filter(F.col("word").isNotNull() & (F.col("n") >= 0.9 * share * tokens)).collect() if tokens else []
-    wanted = frozenset(bytes(r["word"]) for r in likely)
-    exact = texts.mapInArrow(_count_of(wanted), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect() if wanted else []
-    frequent = sorted((-r["n"], bytes(r["word"])) for r in exact if r["n"] >= share * tokens)
-    return tokens, {w: i for i, (_, w) in enumerate(frequent, 1)}
-
-
-class WordIds(dict):
-    """Numbers of words in the order they come.  The words that are contexts
-    come first, so a token's context follows from the number before it."""
-
-    def __init__(self, contexts: dict[bytes, int]):
-        super().__init__((w, c - 1) for w, c in contexts.items())
-        self.contexts = len(contexts)
-        self.start = contexts.get(END, 0)
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-    def pairs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(token, context) numbers of the texts, each with its end token: the
-        token before a text's first word is the end of the text before it."""
-        flat: list[bytes] = []
-        for text in texts:
-            flat += lower_words(text)
-            flat.append(END)
-        ids = np.fromiter(map(self.__getitem__, flat), dtype=np.int64, count=len(flat))
-        ctx = np.empty(len(ids), dtype=np.int64)
-        ctx[:1] = self.start
-        ctx[1:] = np.where(ids[:-1] < self.contexts, ids[:-1] + 1, 0)
-        return ids, ctx
-
-    def keys(self, ids: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-        return ids * (self.contexts + 1) + ctx
-
-    def split(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.divmod(keys, self.contexts + 1)
-
-
-def shard_of(word: bytes, shards: int) -> int:
-    return xxhash.xxh32_intdigest(word) % shards
-
-
-def _by_shard(names: list[bytes], ids: np.ndarray, *columns: np.ndarray, shards: int) -> Iterator[tuple]:
-    """(shard, words joined by a space, column bytes ...): words have no white space."""
-    at = np.fromiter((shard_of(w, shards) for w in names), dtype=np.int64, count=len(names))[ids]
-    order = np.argsort(at, kind="stable")
-    ends = np.flatnonzero(np.diff(at[order], append=-1)) + 1
+def _rows(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.table({name: pa.array(list(c), kind) for c, (name, kind) in zip(columns, schema.items())})
+
+
+# ---- where a pair and a word live -------------------------------------------
+
+@dataclass(frozen=True)
+class Places:
+    shards: int
+    frequent: frozenset[bytes]
+
+    def hashes(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Per word its hash, and whether it is frequent."""
+        h = np.fromiter(map(xxhash.xxh32_intdigest, names), dtype=np.uint64, count=len(names))
+        return h, np.fromiter(map(self.frequent.__contains__, names), dtype=bool, count=len(names))
+
+    def words(self, h: np.ndarray) -> np.ndarray:
+        return (h % np.uint64(self.shards)).astype(np.int32)
+
+    def pairs(self, h: np.ndarray, often: np.ndarray, w: np.ndarray, u: np.ndarray) -> np.ndarray:
+        both = h[w] * np.uint64(0x9E3779B97F4A7C15) + h[u] * np.uint64(0xC2B2AE3D27D4EB4F)
+        both ^= both >> np.uint64(31)
+        return (np.where(often[w], both, h[w]) % np.uint64(self.shards)).astype(np.int32)
+
+
+def token_pairs(texts: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
+    """(token, context) numbers of the texts, each with its end token: the
+    token before a text's first word is the end of the text before it."""
+    flat: list[bytes] = []
+    for text in texts:
+        flat += lower_words(text)
+        flat.append(END)
+    ids = numbers.of(flat, np.int64)
+    ctx = np.empty(len(ids), dtype=np.int64)
+    ctx[:1] = numbers[END]
+    ctx[1:] = ids[:-1]
+    return ids, ctx
+
+
+def _segments(key: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(value, places) for every value of ``key``, by value; ``order`` sorts by it."""
+    ends = np.flatnonzero(np.diff(key[order], append=-1)) + 1
     start = 0
     for end in ends.tolist():
-        own = order[start:end]
-        yield (int(at[own[0]]), b" ".join([names[i] for i in ids[own].tolist()]), *(c[own].tobytes() for c in columns))
+        yield int(key[order[start]]), order[start:end]
         start = end
 
 
-PAIRS = "shard int, words binary, ctx binary, n binary"
+# ---- counting ---------------------------------------------------------------
+
+def frequent_words(texts: DataFrame) -> frozenset[bytes]:
+    """Words that hold ``FREQUENT`` of the tokens of one text in ``LOOK``; what
+    is found decides where pairs are kept, never a result."""
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for b in rebatched(batches):
+            for text in byte_texts(b):
+                counts.update(lower_words(text))
+        total = sum(counts.values())
+        kept = [(None, total), *((w, n) for w, n in counts.items() if n >= FREQUENT / 2 * total)]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"])
+    some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(LOOK)) == 0)
+    # At most 2 / FREQUENT words a task; added up before they come here.
+    rows = some.mapInArrow(often, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = rows.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    found = rows.filter(F.col("word").isNotNull() & (F.col("n") >= FREQUENT / 2 * total)).collect()
+    return frozenset([END, *(bytes(r["word"]) for r in found)])
+
+
+PAIRS = "shard int, names binary, w binary, u binary, n binary"
+_PAIRS = {"shard": pa.int32(), "names": pa.binary(), "w": pa.binary(), "u": pa.binary(), "n": pa.binary()}
 
 
-def _count_pairs(known: dict[bytes, int], shards: int):
+def _local(names: list[bytes], w: np.ndarray, u: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words that the pairs use, and the pairs over them."""
+    used, at = np.unique(np.concatenate([w, u]), return_inverse=True)
+    return [names[i] for i in used.tolist()], at[:len(w)].astype(np.int32), at[len(w):].astype(np.int32)
+
+
+def _count_pairs(places: Places):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, size = WordIds(known), [], 0
+        numbers, parts, size = WordNumbers(), [], 0
 
         def out() -> pa.RecordBatch:
             keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype("<i4")
-            ids, ctx = words.split(keys)
-            rows = _by_shard(list(words), ids, ctx.astype("<i2"), n, shards=shards)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                                              names=["shard", "words", "ctx", "n"])
+            n = np.bincount(at, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
+            names, w, u = list(numbers), keys >> 32, keys & 0xFFFFFFFF
+            shard, rows = places.pairs(*places.hashes(names), w, u), []
+            for p, own in _segments(shard, np.argsort(shard, kind="stable")):
+                used, lw, lu = _local(names, w[own], u[own])
+                rows.append((p, _pack_names(used), _pack(lw), _pack(lu), _pack(n[own])))
+            return _rows(_PAIRS, rows).to_batches()[0]
         for b in rebatched(batches):
             if b.num_rows:
-                parts.append(np.unique(words.keys(*words.pairs(byte_texts(b))), return_counts=True))
+                ids, ctx = token_pairs(byte_texts(b), numbers)
+                parts.append(np.unique(ids << 32 | ctx, return_counts=True))
                 size += len(parts[-1][0])
-                if size > 3_000_000:
+                if size > FLUSH:
                     yield out()
-                    words, parts, size = WordIds(known), [], 0
+                    numbers, parts, size = WordNumbers(), [], 0
         if parts:
             yield out()
     return run
 
 
-WORDS = "shard int, word binary, c long, ctx array<int>, n array<long>"
+DISHES = "shard int, names binary, w binary, u binary, n binary, listed binary, listed_q binary, listed_n binary, pairs long, ones long, twos long"
+_DISHES = {**_PAIRS, "listed": pa.binary(), "listed_q": pa.binary(), "listed_n": pa.binary(), "pairs": pa.int64(), "ones": pa.int64(), "twos": pa.int64()}
+
+
+def _add_pairs(places: Places):
+    """One pair shard: its dishes, by word and context.  ``listed``: the words
+    of dishes with two customers or more, by word shard (``listed_q``, so many
+    of them: ``listed_n``) and then by name."""
+    def run(group: pa.Table) -> pa.Table:
+        numbers, w, u, n = WordNumbers(), [], [], []
+        for names, *packed in zip(*(group.column(c).to_pylist() for c in ("names", "w", "u", "n"))):
+            at = numbers.of(_unpack_names(names), np.int64)
+            w.append(at[_unpack(packed[0])])
+            u.append(at[_unpack(packed[1])])
+            n.append(_unpack(packed[2], np.int64))
+        names = sorted(numbers)
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[numbers.of(names, np.int64)] = np.arange(len(names))
+        keys, at = np.unique(rank[np.concatenate(w)] << 32 | rank[np.concatenate(u)], return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate(n)).astype(np.int64)
+        w, u = keys >> 32, keys & 0xFFFFFFFF
+        several = total > 1
+        used = np.unique(np.concatenate([w[several], u[several]]))
+        q = places.words(places.hashes(names)[0])[used] if len(used) else np.empty(0, dtype=np.int32)
+        order = np.argsort(q, kind="stable")
+        at_q, per_q = np.unique(q, return_counts=True)
+        return _rows(_DISHES, [(group.column("shard")[0].as_py(), _pack_names(names), _pack(w.astype(np.int32)), _pack(u.astype(np.int32)), _pack(total),
+                                _pack(used[order].astype(np.int32)), _pack(at_q), _pack(per_q.astype(np.int32)), len(keys), int((total == 1).sum()), int((total == 2).sum()))])
+    return run
 
 
-def _add_pairs(group: pa.Table) -> pa.Table:
-    """One shard's packed counts -> one row per word, in the order of words."""
-    ids = WordIds({})
-    word, ctx, n = [], [], []
-    for w, c, x in zip(*(group.column(c).to_pylist() for c in ("words", "ctx", "n"))):
-        w = w.split(b" ")
-        word.append(np.fromiter(map(ids.__getitem__, w), dtype=np.int64, count=len(w)))
-        ctx.append(np.frombuffer(c, "<i2"))
-        n.append(np.frombuffer(x, "<i4"))
-    names = sorted(ids)
-    rank = np.empty(len(ids), dtype=np.int64)
-    rank[np.fromiter(map(ids.__getitem__, names), dtype=np.int64, count=len(names))] = np.arange(len(names))
-    keys, at = np.unique(rank[np.concatenate(word)] << 16 | np.concatenate(ctx), return_inverse=True)
-    n = np.bincount(at, weights=np.concatenate(n)).astype(np.int64)
-    word, ctx = keys >> 16, keys & 0xFFFF
-    per = np.bincount(word, minlength=len(names))
-    total = np.add.reduceat(n, np.concatenate(([0], np.cumsum(per)[:-1])))
-    return pa.table({"shard": pa.array([group.column("shard")[0].as_py()] * len(names), pa.int32()), "word": pa.array(names, pa.binary()), "c": pa.array(total),
-                     "ctx": _lists(ctx.astype(np.int32), per, pa.int32()), "n": _lists(n, per, pa.int64())})
+TOLD = "q int, shard int, names binary, sums binary, listed binary"
+_TOLD = {"q": pa.int32(), "shard": pa.int32(), "names": pa.binary(), "sums": pa.binary(), "listed": pa.binary()}
+# Per word: tokens, dishes with one customer and with more, and as a context dishes with one and with more.
+SUMS = ("c", "ones", "many", "ctx_ones", "ctx_many")
+
+
+def _tell_words(places: Places):
+    """Pair shards -> what word shards must know of them, once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                names, w, u, n = _unpack_names(r["names"]), _unpack(r["w"]), _unpack(r["u"]), _unpack(r["n"], np.int64)
+                one, size = n == 1, len(names)
+                c = np.bincount(w, weights=n, minlength=size)
+                sums = np.stack([c, *(np.bincount(x[m], minlength=size) for x in (w, u) for m in (one, ~one))], axis=1).astype(np.int64)
+                listed = np.zeros(size, dtype=np.uint8)
+                listed[_unpack(r["listed"])] = 1
+                q, rows = places.words(places.hashes(names)[0]), []
+                for k, own in _segments(q, np.argsort(q, kind="stable")):
+                    rows.append((k, r["shard"], _pack_names([names[i] for i in own.tolist()]), _pack(sums[own]), _pack(listed[own])))
+                yield from _rows(_TOLD, rows).to_batches()
+    return run
+
+
+WORDS = "q int, names binary, sums binary, route_shard binary, route_n binary, route binary, words long, tokens long, ones long, twos long, customers long"
+_WORDS = {"q": pa.int32(), "names": pa.binary(), "sums": pa.binary(), "route_shard": pa.binary(), "route_n": pa.binary(), "route": pa.binary(),
+          "words": pa.int64(), "tokens": pa.int64(), "ones": pa.int64(), "twos": pa.int64(), "customers": pa.int64()}
+
+
+def _add_words(group: pa.Table) -> pa.Table:
+    """One word shard: its words and, per pair shard that listed some of them,
+    which ones (in that shard's order)."""
+    rows = sorted(zip(*(group.column(c).to_pylist() for c in ("shard", "names", "sums", "listed"))), key=lambda r: r[0])
+    told = [(p, _unpack_names(names), _unpack(sums, np.int64).reshape(-1, len(SUMS)), _unpack(listed, np.uint8)) for p, names, sums, listed in rows]
+    names = sorted({w for _, own, _, _ in told for w in own})
+    at = dict(zip(names, range(len(names))))
+    total, routes = np.zeros((len(names), len(SUMS)), dtype=np.int64), []
+    for p, own, sums, listed in told:
+        place = np.fromiter(map(at.__getitem__, own), dtype=np.int64, count=len(own))
+        total[place] += sums  # a shard tells a word once
+        routes.append((p, place[listed == 1].astype(np.int32)))
+    routes = [(p, x) for p, x in routes if len(x)]
+    dishes = total[:, 1] + total[:, 2]
+    return _rows(_WORDS, [(group.column("q")[0].as_py(), _pack_names(names), _pack(total), _pack(np.array([p for p, _ in routes], dtype=np.int32)),
+                           _pack(np.array([len(x) for _, x in routes], dtype=np.int32)), _pack(np.concatenate([x for _, x in routes]) if routes else np.empty(0, np.int32)),
+                           len(names), int(total[:, 0].sum()), int((dishes == 1).sum()), int((dishes == 2).sum()), int(dishes.sum()))])
 
 
 # ---- seating ----------------------------------------------------------------
 
-@dataclass
+@dataclass(frozen=True)
 class Totals:
-    """What all restaurants of a sample sum up to."""
-    customers: np.ndarray    # per context restaurant; fixed by the corpus
-    tables: np.ndarray       # per context restaurant
-    top_customers: float
-    top_tables: float
+    """What the unigram restaurant of a sample sums up to, and the discounts."""
+    customers: float
+    tables: float
     vocabulary: int          # training words
     discount: float
     top_discount: float
 
     def top_base(self) -> float:
         """Mass per word that the unigram restaurant takes from the uniform base."""
-        if not self.top_customers:
+        if not self.customers:
             return 1.0 / (self.vocabulary + 1)
-        return (STRENGTH + self.top_discount * self.top_tables) / (STRENGTH + self.top_customers) / (self.vocabulary + 1)
+        return (STRENGTH + self.top_discount * self.tables) / (STRENGTH + self.customers) / (self.vocabulary + 1)
 
     def top(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        return (customers - self.top_discount * tables) / (STRENGTH + self.top_customers) + self.top_base()
+        return (customers - self.top_discount * tables) / (STRENGTH + self.customers) + self.top_base()
 
-    def backoff(self) -> np.ndarray:
-        return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
+    def open_weight(self, ctx_tables: np.ndarray, top: np.ndarray) -> np.ndarray:
+        """Weight of a new table for a dish: of its restaurant's tables and its word."""
+        return (STRENGTH + self.discount * ctx_tables) * top
 
-    def predictive(self, ctx: np.ndarray, n: np.ndarray, tables: np.ndarray, top: np.ndarray) -> np.ndarray:
-        return (n - self.discount * tables) / (STRENGTH + self.customers[ctx]) + self.backoff()[ctx] * top
+    def predictive(self, n, tables, ctx_customers, ctx_tables, top) -> np.ndarray:
+        backoff = (STRENGTH + self.discount * ctx_tables) / (STRENGTH + ctx_customers)
+        return (n - self.discount * tables) / (STRENGTH + ctx_customers) + backoff * top
 
 
 @lru_cache(maxsize=2)
@@ -318,214 +372,105 @@ def table_counts(customers: np.ndarray, new_weight: np.ndarray, discount: float,
     return tables
 
 
-class Seats:
-    """Tables of many dishes at once: ``size`` lists the tables of dish 0,
-    then of dish 1 ...; ``count`` says how many each dish has.  The plain
-    sampler, customer by customer, that ``table_counts`` is held against."""
-
-    def __init__(self, size: np.ndarray, count: np.ndarray):
-        self.size, self.count = size.astype(np.int64), count.astype(np.int64)
-
-    def _pick(self, weight: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """One table per dish, with probability in proportion to its weight."""
-        with np.errstate(divide="ignore"):
-            race = np.where(weight > 0, rng.exponential(size=len(weight)) / weight, np.inf)
-        first = np.concatenate(([0], np.cumsum(self.count)[:-1]))
-        best = np.minimum.reduceat(race, first)
-        return np.flatnonzero(race == np.repeat(best, self.count))
-
-    def reseat(self, new_weight: np.ndarray, discount: float, rng: np.random.Generator) -> None:
-        """One random customer of every dish leaves and is seated anew: at an
-        old table by its size less the discount, at a new one by ``new_weight``."""
-        if not len(self.count):
-            return
-        dish = np.repeat(np.arange(len(self.count)), self.count)
-        customers = np.add.reduceat(self.size, np.concatenate(([0], np.cumsum(self.count)[:-1])))
-        left = self._pick(self.size.astype(np.float64), rng)
-        self.size[left] -= 1
-        empty = np.zeros(len(self.count), dtype=bool)
-        empty[dish[left]] = self.size[left] == 0
-        old = customers - 1 - discount * (self.count - empty)
-        opens = rng.random(len(old)) * (old + new_weight) < new_weight
-        opens |= (self.count - empty) == 0
-        stays = ~opens
-        if stays.any():
-            weight = np.where((self.size > 0) & stays[dish], self.size - discount, 0.0)
-            weight[stays[dish] & (weight <= 0) & (self.size > 0)] = 1e-12
-            seat = self._pick(weight, rng)
-            seat = seat[weight[seat] > 0]
-            self.size[seat] += 1
-        # An emptied table is the new one where the customer opens one.
-        place = np.full(len(self.count), -1)
-        place[dish[left]] = left
-        again = opens & empty
-        self.size[place[again]] = 1
-        fresh = np.flatnonzero(opens & ~empty)
-        ends = np.cumsum(self.count)
-        gone = place[empty & ~opens]
-        keep = np.ones(len(self.size), dtype=bool)
-        keep[gone] = False
-        size = np.insert(self.size, ends[fresh], 1)
-        keep = np.insert(keep, ends[fresh], True)
-        self.size = size[keep]
-        self.count = self.count + (opens & ~empty) - (empty & ~opens)
-
-    def follow(self, customers: np.ndarray, new_weight: float, discount: float, rng: np.random.Generator) -> None:
-        """Customers come (seated by the rule) and leave (at random) until each
-        dish has the given number."""
-        have = np.add.reduceat(self.size, np.concatenate(([0], np.cumsum(self.count)[:-1]))) if len(self.count) else self.count
-        change = customers - have
-        moved = np.flatnonzero(change)
-        if not len(moved):
-            return
-        first = np.concatenate(([0], np.cumsum(self.count)[:-1]))
-        seated = []
-        for start, n, more in zip(first[moved].tolist(), self.count[moved].tolist(), change[moved].tolist()):
-            tables = self.size[start:start + n].tolist()
-            total = sum(tables)
-            for x in rng.random(abs(more)).tolist():
-                if more > 0:
-                    x *= total - discount * len(tables) + new_weight
-                    if x < new_weight or not tables:
-                        tables.append(1)
-                    else:
-                        x -= new_weight
-                        k = 0
-                        while k < len(tables) - 1 and x >= tables[k] - discount:
-                            x -= tables[k] - discount
-                            k += 1
-                        tables[k] += 1
-                    total += 1
-                else:
-                    x *= total
-                    k = 0
-                    while k < len(tables) - 1 and x >= tables[k]:
-                        x -= tables[k]
-                        k += 1
-                    tables[k] -= 1
-                    total -= 1
-                    if not tables[k]:
-                        tables.pop(k)
-            seated.append(tables)
-        changed = np.zeros(len(self.count), dtype=bool)
-        changed[moved] = True
-        same = self.size[~np.repeat(changed, self.count)]
-        self.count[moved] = [len(t) for t in seated]
-        place = np.repeat(changed, self.count)
-        self.size = np.empty(len(place), dtype=np.int64)
-        self.size[~place] = same
-        self.size[place] = [x for t in seated for x in t]
-
-
-STATE = "shard int, word binary, c long, ctx array<int>, n array<long>, tables array<int>, top array<long>, p_sum array<double>, p_word array<double>"
-
-
-def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
-    """Values and lengths of a list column."""
-    column = column.cast(pa.list_(kind))
-    lengths = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(zero_copy_only=False), lengths
-
-
-def _lists(values: np.ndarray, lengths: np.ndarray, kind) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
-
-
-def _sweep(totals: Totals, n_contexts: int, first: bool, record: bool, sweeps: int, seed: int):
-    """Rows of words -> the same rows after some sweeps over all customers;
-    per task one row without a word that holds its table totals.  ``record``
-    adds the predictive probabilities of the tables that came in.  ``top`` is
-    how many tables the word has in the unigram restaurant."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables_total, top_total = np.zeros(n_contexts, dtype=np.int64), np.zeros(2, dtype=np.int64)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ctx, per_word = _flat(b.column("ctx"), pa.int32())
-            n, _ = _flat(b.column("n"), pa.int64())
-            word = np.repeat(np.arange(b.num_rows), per_word)
-            c = b.column("c").to_numpy()
-            rng = np.random.default_rng([seed, xxhash.xxh64_intdigest(b"\n".join(b.column("word").to_pylist()))])
-            if first:
-                # Start near the expected number of tables.
-                a = np.maximum((STRENGTH + totals.discount * totals.tables[ctx]) * (c[word] / max(1, totals.customers.sum())), 1e-9)
-                tables = np.clip(np.round(1 + a * np.log1p((n - 1) / a)), 1, n).astype(np.int64)
-                top = np.ones(b.num_rows, dtype=np.int64)
-                p_sum, p_word = np.zeros(len(n)), np.zeros((b.num_rows, 0))
-            else:
-                tables, top, p_sum, p_word = _seated(b)
-            if record:
-                p_sum, p_word = _recorded(totals, ctx, n, word, tables, top, p_sum, p_word)
-            open_top = np.full(b.num_rows, (STRENGTH + totals.top_discount * totals.top_tables) / (totals.vocabulary + 1))
-            k = np.bincount(word, weights=tables, minlength=b.num_rows).astype(np.int64)
-            for _ in range(sweeps):
-                new = (STRENGTH + totals.discount * totals.tables[ctx]) * totals.top(k, top)[word]
-                tables = table_counts(n, new, totals.discount, rng)
-                k = np.bincount(word, weights=tables, minlength=b.num_rows).astype(np.int64)
-                top = table_counts(k, open_top, totals.top_discount, rng)
-            tables_total += np.bincount(ctx, weights=tables, minlength=n_contexts).astype(np.int64)
-            top_total += (int(k.sum()), int(top.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("shard"), b.column("word"), b.column("c"), _lists(ctx, per_word, pa.int32()), _lists(n, per_word, pa.int64()),
-                 _lists(tables, per_word, pa.int32()), _lists(top, np.ones(b.num_rows, dtype=np.int64), pa.int64()), _lists(p_sum, per_word, pa.float64()),
-                 _lists(p_word.reshape(-1), np.full(b.num_rows, p_word.shape[1]), pa.float64())],
-                names=[x.split()[0] for x in STATE.split(", ")])
-        none = pa.array([None], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.int64()), none, pa.array([tables_total.tolist()], pa.list_(pa.int64())),
-             none, pa.array([top_total.tolist()], pa.list_(pa.int64())), pa.array([None], pa.list_(pa.float64())), pa.array([None], pa.list_(pa.float64()))],
-            names=[x.split()[0] for x in STATE.split(", ")])
+def seat(dishes: dict, numbers: np.ndarray, totals: Totals, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """One sweep of a pair shard.  ``numbers``: per listed word the tables of
+    its restaurant, and its customers and tables in the unigram restaurant.
+    Returns the tables of the dishes with more than one customer, and per listed
+    word their sums as dishes and as contexts."""
+    listed, w, u, n = (_unpack(dishes[c], k) for c, k in (("listed", np.int32), ("w", np.int32), ("u", np.int32), ("n", np.int64)))
+    several = n > 1
+    place = np.zeros(int(max(w.max(initial=0), u.max(initial=0))) + 1, dtype=np.int64)
+    place[listed] = np.arange(len(listed))
+    w, u, n = place[w[several]], place[u[several]], n[several]
+    top = totals.top(numbers[:, 1], numbers[:, 2])
+    tables = table_counts(n, totals.open_weight(numbers[u, 0], top[w]), totals.discount, rng)
+    return tables, np.stack([np.bincount(x, weights=tables, minlength=len(listed)).astype(np.int64) for x in (w, u)], axis=1)
+
+
+SEATED = "kind int, shard int, q int, numbers binary"
+_SEATED = {"kind": pa.int32(), "shard": pa.int32(), "q": pa.int32(), "numbers": pa.binary()}
+
+
+def _seat_dishes(totals: Totals, seed: int):
+    """A pair shard and the word shards' answers -> its tables (kind 0), and
+    the sums for the word shards (kind 1)."""
+    def run(dishes: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = []
+        for r in dishes.to_pylist():
+            at_q, per_q = _unpack(r["listed_q"]), _unpack(r["listed_n"])
+            told = dict(zip(answers.column("q").to_pylist(), answers.column("numbers").to_pylist()))
+            numbers = np.concatenate([np.empty((0, 3), dtype=np.int64), *(_unpack(told[q], np.int64).reshape(-1, 3) for q in at_q.tolist())])
+            tables, sums = seat(r, numbers, totals, np.random.default_rng([seed, r["shard"]]))
+            rows.append((0, r["shard"], None, _pack(tables.astype(np.int32))))
+            rows += [(1, r["shard"], q, _pack(part)) for q, part in zip(at_q.tolist(), np.split(sums, np.cumsum(per_q)[:-1]))]
+        return _rows(_SEATED, rows)
     return run
 
 
-def _seated(b: pa.RecordBatch) -> tuple:
-    return (_flat(b.column("tables"), pa.int32())[0].astype(np.int64), _flat(b.column("top"), pa.int64())[0],
-            np.array(_flat(b.column("p_sum"), pa.float64())[0]), _flat(b.column("p_word"), pa.float64())[0].reshape(b.num_rows, -1))
-
-
-def _recorded(totals: Totals, ctx, n, word, tables, top, p_sum, p_word) -> tuple:
-    p = totals.top(np.bincount(word, weights=tables, minlength=len(top)), top)
-    return p_sum + totals.predictive(ctx, n, tables, p[word]), np.concatenate([p_word, p[:, None]], axis=1)
-
-
-MODEL = "shard int, word binary, c long, ctx array<int>, p array<double>, p_word array<double>"
-
-
-def _averaged(totals: Totals, samples: int):
-    """Tables of the last sample -> model rows with averaged probabilities."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ctx, per_word = _flat(b.column("ctx"), pa.int32())
-            n, _ = _flat(b.column("n"), pa.int64())
-            p_sum, p_word = _recorded(totals, ctx, n, np.repeat(np.arange(b.num_rows), per_word), *_seated(b))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("shard"), b.column("word"), b.column("c"), _lists(ctx, per_word, pa.int32()), _lists(p_sum / samples, per_word, pa.float64()),
-                 _lists(p_word.reshape(-1), np.full(b.num_rows, p_word.shape[1]), pa.float64())], names=[x.split()[0] for x in MODEL.split(", ")])
+ADDED = "kind int, shard int, q int, numbers binary, customers long, tables long"
+_ADDED = {**_SEATED, "customers": pa.int64(), "tables": pa.int64()}
+
+
+def _answers(word_row: dict, numbers: np.ndarray) -> list[tuple]:
+    """Rows for the pair shards that listed words of this word shard, and its
+    own (kind 2) with what the unigram restaurant sums up to."""
+    q, at = word_row["q"], _unpack(word_row["route"])
+    parts = np.split(at, np.cumsum(_unpack(word_row["route_n"]))[:-1]) if len(at) else []
+    rows = [(1, p, q, _pack(numbers[part]), None, None) for p, part in zip(_unpack(word_row["route_shard"]).tolist(), parts)]
+    return [*rows, (2, None, q, _pack(numbers), int(numbers[:, 1].sum()), int(numbers[:, 2].sum()))]
+
+
+def _start(words: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Word shards at the start: every dish has one table."""
+    for b in words:
+        for r in b.to_pylist():
+            c, ones, many, ctx_ones, ctx_many = _unpack(r["sums"], np.int64).reshape(-1, len(SUMS)).T
+            yield from _rows(_ADDED, _answers(r, np.stack([ctx_ones + ctx_many, ones + many, np.ones_like(c)], axis=1))).to_batches()
+
+
+def _add_tables(totals: Totals, seed: int):
+    """A word shard and the pair shards' sums -> its numbers and answers."""
+    def run(words: pa.Table, sums: pa.Table) -> pa.Table:
+        rows = []
+        for r in words.to_pylist():
+            c, ones, many, ctx_ones, ctx_many = _unpack(r["sums"], np.int64).reshape(-1, len(SUMS)).T
+            as_dish, as_context = ones.copy(), ctx_ones.copy()
+            told = dict(zip(sums.column("shard").to_pylist(), sums.column("numbers").to_pylist()))
+            at = _unpack(r["route"])
+            for p, part in zip(_unpack(r["route_shard"]).tolist(), np.split(at, np.cumsum(_unpack(r["route_n"]))[:-1]) if len(at) else []):
+                new = _unpack(told[p], np.int64).reshape(-1, 2)
+                as_dish[part] += new[:, 0]
+                as_context[part] += new[:, 1]
+            weight = np.full(len(c), (STRENGTH + totals.top_discount * totals.tables) / (totals.vocabulary + 1))
+            top = table_counts(as_dish, weight, totals.top_discount, np.random.default_rng([seed, r["q"], 1]))
+            rows += _answers(r, np.stack([as_context, as_dish, top], axis=1))
+        return _rows(_ADDED, rows)
     return run
 
 
 @dataclass
 class Model:
-    """``words``: (shard, word, c, ctx, p, p_word) with averaged predictive
-    probabilities; the rest are a few numbers per restaurant and sample."""
+    """Shards of dishes and words, and per sample their tables and totals."""
+    dishes: DataFrame
     words: DataFrame
-    contexts: dict[bytes, int]
-    tokens: int
-    vocabulary: int
-    shards: int
+    seated: list[DataFrame]  # per sample: (shard, numbers) tables of the dishes with several customers
+    numbers: list[DataFrame]  # per sample: (q, numbers) of the words
     samples: list[Totals]
+    places: Places
+    tokens: int
 
-    def backoffs(self) -> list[np.ndarray]:
-        """Per sample and context: weight of the unigram restaurant."""
-        return [t.backoff() for t in self.samples]
+    def rows(self) -> DataFrame:
+        """All of it as (kind, at, piece, names, a, b, n): kind 0 dishes, 1
+        words; piece -1 the counts, 0 and on the samples."""
+        none = F.lit(None).cast("binary")
 
-    def unknown(self) -> list[float]:
-        """Per sample: unigram probability of the unknown word."""
-        return [t.top_base() for t in self.samples]
+        def row(df: DataFrame, kind: int, at: str, piece: int, names, a, b, n) -> DataFrame:
+            return df.select(F.lit(kind).alias("kind"), F.col(at).alias("at"), F.lit(piece).alias("piece"), *[c.alias(x) for c, x in zip((names, a, b, n), ("names", "a", "b", "n"))])
+        out = row(self.dishes, 0, "shard", -1, F.col("names"), F.col("w"), F.col("u"), F.col("n")).unionByName(
+            row(self.words, 1, "q", -1, F.col("names"), none, none, F.col("sums")))
+        for s, (tables, numbers) in enumerate(zip(self.seated, self.numbers)):
+            out = out.unionByName(row(tables, 0, "shard", s, none, none, none, F.col("numbers"))).unionByName(row(numbers, 1, "q", s, none, none, none, F.col("numbers")))
+        return out
 
 
 def _discount(ones: int | None, twos: int | None) -> float:
@@ -540,62 +485,81 @@ def shards_for(docs: DataFrame) -> int:
     return max(1, int(n // (24 * PAIRS_PER_SHARD)))
 
 
-def train(docs: DataFrame, shards: int | None = None, share: float = CONTEXT_SHARE, sweep: int = SWEEP, burn_in: int = BURN_IN,
-          samples: int = SAMPLES, seed: int = 11) -> Model:
+def train(docs: DataFrame, shards: int | None = None, burn_in: int = BURN_IN, samples: int = SAMPLES, seed: int = 11) -> Model:
     """Model of the texts of ``docs``."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    shards = shards or shards_for(texts)
-    tokens, contexts = find_contexts(texts, share)
-    words = texts.mapInArrow(_count_pairs(contexts, shards), PAIRS).groupBy("shard").applyInArrow(_add_pairs, WORDS)
-    words = cut_lineage(words, "py-words")
-    per = words.select("c", F.explode(F.arrays_zip("ctx", "n")).alias("e")).groupBy("e.ctx").agg(
-        F.sum("e.n").alias("customers"), F.count(F.lit(1)).alias("dishes"), F.count_if(F.col("c") == 1).alias("single"),
-        F.count_if(F.col("e.n") == 1).alias("ones"), F.count_if(F.col("e.n") == 2).alias("twos")).collect()
-    kinds = words.agg(F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("single"),
-                      F.count_if(F.size("ctx") == 1).alias("ones"), F.count_if(F.size("ctx") == 2).alias("twos")).first()
-    vocabulary, single_words, n_contexts = int(kinds["v"]), int(kinds["single"]), len(contexts) + 1
-    customers, tables, single = np.zeros(n_contexts), np.zeros(n_contexts), np.zeros(n_contexts)
-    for r in per:
-        customers[r["ctx"]], tables[r["ctx"]], single[r["ctx"]] = r["customers"], r["dishes"], r["single"]
-    totals = Totals(customers, tables, float(tables.sum()), float(vocabulary), vocabulary,
-                    _discount(sum(r["ones"] for r in per), sum(r["twos"] for r in per)), _discount(kinds["ones"], kinds["twos"]))
-    state, kept = words.filter("c > 1"), []
+    spark, texts = docs.sparkSession, docs.select(text_or_empty().alias("text"))
+    places = Places(shards or shards_for(texts), frequent_words(texts))
+    dishes = cut_lineage(texts.mapInArrow(_count_pairs(places), PAIRS).groupBy("shard").applyInArrow(_add_pairs(places), DISHES), "py-dishes")
+    words = cut_lineage(dishes.mapInArrow(_tell_words(places), TOLD).groupBy("q").applyInArrow(_add_words, WORDS), "py-words")
+    kinds = words.agg(*[F.sum(c).alias(c) for c in ("words", "tokens", "ones", "twos", "customers")]).first()
+    pairs = dishes.agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos")).first()
+    vocabulary, discounts = int(kinds["words"] or 0), (_discount(pairs["ones"], pairs["twos"]), _discount(kinds["ones"], kinds["twos"]))
+    totals = Totals(float(kinds["customers"] or 0), float(vocabulary), vocabulary, *discounts)
+    told, old = cut_lineage(words.mapInArrow(_start, ADDED), "py-numbers"), []
+    model = Model(dishes, words, [], [], [], places, int(kinds["tokens"] or 0))
     for turn in range(burn_in + samples):
-        record = turn > burn_in
-        # A sweep seats all customers of every dish anew; a round of sweeps ends with new totals.
-        done = cut_lineage(state.mapInArrow(_sweep(totals, n_contexts, turn == 0, record, sweep, seed + turn), STATE), "py-state")
-        if turn:
-            drop_cuts(spark, [held])  # the state before this one is not read again
-        held = cuts(spark)[-1]
-        state = done.filter("word IS NOT NULL")
-        sums = done.filter("word IS NULL").select(F.posexplode("n").alias("ctx", "t")).groupBy("ctx").agg(F.sum("t").alias("t")).collect()
-        top = done.filter("word IS NULL").agg(F.sum(F.get("top", F.lit(0))).alias("k"), F.sum(F.get("top", F.lit(1))).alias("t")).first()
-        tables = single.copy()
-        for r in sums:
-            tables[r["ctx"]] += r["t"]
-        totals = Totals(customers, tables, single_words + float(top["k"] or 0), single_words + float(top["t"] or 0), vocabulary,
-                        totals.discount, totals.top_discount)
+        first = len(cuts(spark)) - 1
+        seated = cut_lineage(dishes.groupBy("shard").cogroup(told.filter("kind = 1").groupBy("shard")).applyInArrow(_seat_dishes(totals, seed + turn), SEATED), "py-seated")
+        told = cut_lineage(words.groupBy("q").cogroup(seated.filter("kind = 1").groupBy("q")).applyInArrow(_add_tables(totals, seed + turn), ADDED), "py-numbers")
+        sums = told.filter("kind = 2").agg(F.sum("customers"), F.sum("tables")).first()
+        totals = Totals(float(sums[0] or 0), float(sums[1] or 0), vocabulary, *discounts)
         if turn >= burn_in:
-            kept.append(totals)
-    none = F.array().cast("array<double>")
-    alone = words.filter("c = 1").select("shard", "word", "c", "ctx", none.alias("p"), none.alias("p_word"))
-    return Model(state.mapInArrow(_averaged(kept[-1], samples), MODEL).unionByName(alone), contexts, tokens, vocabulary, shards, kept)
+            model.seated.append(seated.filter("kind = 0").select("shard", "numbers"))
+            model.numbers.append(told.filter("kind = 2").select("q", "numbers"))
+            model.samples.append(totals)
+        else:  # what the round before wrote is not read again
+            drop_cuts(spark, old)
+            old = cuts(spark)[first + 1:]
+    return model
 
 
 # ---- scoring ----------------------------------------------------------------
 
-NEEDS = "block long, shard int, words binary, ctx binary"
-
-
-def _needs(contexts: dict[bytes, int], shards: int):
-    """Texts of blocks -> per block and word shard its distinct (word, context)."""
-    def packed(block: int, texts: list[bytes]) -> pa.RecordBatch:
-        words = WordIds(contexts)
-        ids, ctx = words.split(np.unique(words.keys(*words.pairs(texts))))
-        rows = [(block, *r) for r in _by_shard(list(words), ids, ctx.astype("<i2"), shards=shards)]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-                                          names=["block", "shard", "words", "ctx"])
+@dataclass
+class Block:
+    """The distinct words and pairs of a block's texts, in an order that
+    follows from them alone."""
+    names: list[bytes]
+    tokens: np.ndarray       # word of every token
+    pair: np.ndarray         # distinct pair of every token
+    w: np.ndarray
+    u: np.ndarray
+    shard: np.ndarray        # of every distinct pair
+    q: np.ndarray            # of every word
+
+    @classmethod
+    def of(cls, texts: list[bytes], places: Places) -> "Block":
+        numbers = WordNumbers()
+        ids, ctx = token_pairs(texts, numbers)
+        names = sorted(numbers)
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[numbers.of(names, np.int64)] = np.arange(len(names))
+        keys, pair = np.unique(rank[ids] << 32 | rank[ctx], return_inverse=True)
+        h, often = places.hashes(names)
+        w, u = keys >> 32, keys & 0xFFFFFFFF
+        return cls(names, rank[ids], pair, w, u, places.pairs(h, often, w, u), places.words(h))
+
+    def pairs_by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
+        return _segments(self.shard, np.argsort(self.shard, kind="stable"))
+
+    def words_by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
+        return _segments(self.q, np.argsort(self.q, kind="stable"))
+
+
+ASKED = "kind int, at int, block long, names binary, w binary, u binary"
+_ASKED = {"kind": pa.int32(), "at": pa.int32(), "block": pa.int64(), "names": pa.binary(), "w": pa.binary(), "u": pa.binary()}
+
+
+def _ask(places: Places):
+    """Texts of blocks -> what they ask of the pair shards (kind 0) and word shards (kind 1)."""
+    def asked(block: int, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        own, rows = Block.of(texts, places), []
+        for p, at in own.pairs_by_shard():
+            names, w, u = _local(own.names, own.w[at], own.u[at])
+            rows.append((0, p, block, _pack_names(names), _pack(w), _pack(u)))
+        for q, at in own.words_by_shard():
+            rows.append((1, q, block, _pack_names([own.names[i] for i in at.tolist()]), None, None))
+        yield from _rows(_ASKED, rows).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, texts = None, []
@@ -603,82 +567,95 @@ def _needs(contexts: dict[bytes, int], shards: int):
             for block, text in zip(b.column("block").to_pylist(), byte_texts(b)):
                 if block != held:
                     if texts:
-                        yield packed(held, texts)
+                        yield from asked(held, texts)
                     held, texts = block, []
                 texts.append(text)
         if texts:
-            yield packed(held, texts)
+            yield from asked(held, texts)
     return run
 
 
-ANSWERS = "block long, words binary, ctx binary, c binary, p binary"
-
-
-def _answer(model: Model):
-    """One word shard: its part of the model, and what the blocks ask of it."""
-    samples, backoffs, unknown = model.samples, model.backoffs(), model.unknown()
-    # A word with one customer: the same probabilities for all of them.
-    one_top = [float(t.top(np.ones(1), np.ones(1))[0]) for t in samples]
-    every = np.arange(len(backoffs[0]))
-    one_p = sum(t.predictive(every, np.ones(len(every)), np.ones(len(every)), np.full(len(every), q)) for t, q in zip(samples, one_top)) / len(samples)
-    stacked = np.array(backoffs) / len(samples)
-
-    def run(needs: pa.Table, rows: pa.Table) -> pa.Table:
-        entry = dict(zip(rows.column("word").to_pylist(), range(rows.num_rows)))
-        count = np.append(rows.column("c").to_numpy(), 0)
-        tops = np.array([p or one_top for p in rows.column("p_word").to_pylist()] + [unknown], dtype=np.float64).T
-        # What the model has, as sorted keys (word, context).
-        ctxs, ps = rows.column("ctx").to_pylist(), rows.column("p").to_pylist()
-        per = np.fromiter(map(len, ctxs), dtype=np.int64, count=len(ctxs))
-        flat_ctx = np.fromiter(itertools.chain.from_iterable(ctxs), dtype=np.int64, count=int(per.sum()))
-        flat_p = np.fromiter(itertools.chain.from_iterable(p or (one_p[c[0]],) for c, p in zip(ctxs, ps)), dtype=np.float64, count=len(flat_ctx))
-        keys = np.append(np.repeat(np.arange(len(per)), per) << 16 | flat_ctx, np.iinfo(np.int64).max)
-        order = np.argsort(keys, kind="stable")
-        keys, flat_p = keys[order], np.append(flat_p, np.nan)[order]
-        out_c, out_p = [], []
-        for words, ctx in zip(needs.column("words").to_pylist(), needs.column("ctx").to_pylist()):
-            u = np.frombuffer(ctx, "<i2").astype(np.int64)
-            at = np.fromiter(map(entry.get, words.split(b" "), itertools.repeat(len(per))), dtype=np.int64, count=len(u))
-            asked = at << 16 | u
-            place = np.searchsorted(keys, asked)
-            elsewhere = (stacked[:, u] * tops[:, at]).sum(axis=0)
-            p = np.where(keys[place] == asked, flat_p[place], elsewhere)
-            out_c.append(count[at].astype("<i8").tobytes())
-            out_p.append(np.log10(p).astype("<f4").tobytes())
-        return pa.table({"block": needs.column("block"), "words": needs.column("words"), "ctx": needs.column("ctx"),
-                         "c": pa.array(out_c, pa.binary()), "p": pa.array(out_p, pa.binary())})
+TOLD_BLOCKS = "block long, kind int, at int, numbers binary"
+_TOLD_BLOCKS = {"block": pa.int64(), "kind": pa.int32(), "at": pa.int32(), "numbers": pa.binary()}
+
+
+def _answer_blocks(samples: int):
+    """One shard and what blocks ask of it.  Pairs: customers, and tables per
+    sample.  Words: tokens, and per sample the tables of the word's restaurant
+    and its customers and tables in the unigram restaurant."""
+    def run(asked: pa.Table, model: pa.Table) -> pa.Table:
+        pieces = {r["piece"]: r for r in model.to_pylist()}
+        known, rows = pieces.get(-1), []
+        names = _unpack_names(known["names"]) if known else []
+        at = dict(zip(names, range(len(names))))
+        kind = asked.column("kind")[0].as_py() if asked.num_rows else 0
+        width = 1 + samples * (1 if kind == 0 else 3)
+        if known and kind == 0:
+            n = _unpack(known["n"], np.int64)
+            keys, table = _unpack(known["a"]).astype(np.int64) << 32 | _unpack(known["b"]), np.ones((len(n) + 1, width), dtype=np.int64)
+            table[:-1, 0] = n
+            for s in range(samples):
+                table[:-1, 1 + s][n > 1] = _unpack(pieces[s]["n"])
+        elif known:
+            table = np.concatenate([_unpack(known["n"], np.int64).reshape(-1, len(SUMS))[:, :1], *(_unpack(pieces[s]["n"], np.int64).reshape(-1, 3) for s in range(samples))], axis=1)
+            table = np.concatenate([table, np.zeros((1, width), dtype=np.int64)])
+        else:
+            keys, table = np.empty(0, dtype=np.int64), np.zeros((1, width), dtype=np.int64)
+        table[-1] = 0  # what is not there
+        for block, shard, raw, w, u in zip(*(asked.column(c).to_pylist() for c in ("block", "at", "names", "w", "u"))):
+            own = _unpack_names(raw)
+            place = np.fromiter((at.get(x, -1) for x in own), dtype=np.int64, count=len(own))
+            if kind == 0:
+                a, b = place[_unpack(w)], place[_unpack(u)]
+                key = a << 32 | b
+                found = np.searchsorted(keys, key)
+                place = np.where((a >= 0) & (b >= 0) & (np.append(keys, -1)[found] == key), found, -1)
+            rows.append((block, kind, shard, _pack(table[place].T)))
+        return _rows(_TOLD_BLOCKS, rows)
     return run
 
 
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+PACKED = "block long, ids binary, held binary, sizes binary, texts binary"
+
+
+def _pack_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a block (of one batch) as one row."""
+    for b in rebatched(batches):
+        block, texts = b.column("block").to_numpy(), byte_texts(b)
+        ids, held = b.column("id").to_numpy(), np.array(b.column("held_out").to_pylist(), dtype=np.uint8)
+        ends = (np.flatnonzero(np.diff(block)) + 1).tolist()
+        rows = [(int(block[i]), _pack(ids[i:j]), _pack(held[i:j]), _pack(np.array([len(t) for t in texts[i:j]], dtype=np.int64)), zstandard.compress(b"".join(texts[i:j]), 1))
+                for i, j in zip([0, *ends], [*ends, len(block)]) if j > i]
+        yield from _rows({"block": pa.int64(), **dict.fromkeys(("ids", "held", "sizes", "texts"), pa.binary())}, rows).to_batches()
 
 
-def _score(contexts: dict[bytes, int], tokens: int, vocabulary: int):
-    """One block: its documents, and the answers for its words."""
+def _score(places: Places, samples: list[Totals], tokens: int, vocabulary: int):
+    """One block: its documents, and the answers for its words and pairs."""
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        words = WordIds(contexts)
-        keys, counts, logs = [], [], []
-        for w, ctx, c, p in zip(*(answers.column(k).to_pylist() for k in ("words", "ctx", "c", "p"))):
-            w = w.split(b" ")
-            keys.append(words.keys(np.fromiter(map(words.__getitem__, w), dtype=np.int64, count=len(w)), np.frombuffer(ctx, "<i2").astype(np.int64)))
-            counts.append(np.frombuffer(c, "<i8"))
-            logs.append(np.frombuffer(p, "<f4"))
-        key = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        count, log = (np.concatenate(x)[order].astype(np.float64) if x else np.empty(0) for x in (counts, logs))
-        base, known = np.log10((count + 1) / (tokens + vocabulary + 1)), count > 0
-        out = []
-        texts = [t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()]
-        for start in range(0, len(texts), 256):
-            ids, ctx = words.pairs(texts[start:start + 256])
-            at = np.searchsorted(key, words.keys(ids, ctx))
-            ends = np.flatnonzero(ids == words[END]) + 1
-            begins = np.concatenate(([0], ends[:-1]))
-            out.append((ends - begins, *(np.add.reduceat(x[at], begins) for x in (known.astype(np.int64), base, log))))
-        n, k, b, s = (np.concatenate(x) for x in zip(*out)) if out else ([], [], [], [])
-        return pa.table({"id": docs.column("id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()),
-                         "n_known": pa.array(k, pa.int64()), "base_score": pa.array(b, pa.float64()), "score": pa.array(s, pa.float64())})
+        ids, held, texts = [], [], []
+        for r in docs.to_pylist():
+            raw, ends = zstandard.decompress(r["texts"]), np.cumsum(_unpack(r["sizes"], np.int64)).tolist()
+            texts += [raw[i:j] for i, j in zip([0, *ends], ends)]
+            ids.append(_unpack(r["ids"], np.int64))
+            held.append(_unpack(r["held"], np.uint8))
+        own = Block.of(texts, places)
+        told = {(k, at): raw for k, at, raw in zip(*(answers.column(c).to_pylist() for c in ("kind", "at", "numbers")))}
+        pairs, words = np.zeros((1 + len(samples), len(own.w)), dtype=np.int64), np.zeros((1 + 3 * len(samples), len(own.names)), dtype=np.int64)
+        for kind, whole, parts in ((0, pairs, own.pairs_by_shard()), (1, words, own.words_by_shard())):
+            for shard, at in parts:
+                whole[:, at] = _unpack(told[kind, shard], np.int64).reshape(len(whole), -1)
+        p = np.zeros(len(own.w))
+        for s, totals in enumerate(samples):
+            ctx_tables, customers, tables = words[1 + 3 * s:4 + 3 * s]
+            p += totals.predictive(pairs[0], pairs[1 + s], words[0][own.u], ctx_tables[own.u], totals.top(customers, tables)[own.w])
+        score = np.log10(p / len(samples))[own.pair]
+        base, known = np.log10((words[0] + 1) / (tokens + vocabulary + 1))[own.tokens], (words[0] > 0)[own.tokens]
+        ends = np.flatnonzero(own.tokens == own.names.index(END)) + 1 if texts else np.empty(0, dtype=np.int64)
+        begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
+        n, k, b, x = (ends - begins, *(np.add.reduceat(v, begins) for v in (known.astype(np.int64), base, score))) if texts else (ends,) * 4
+        return pa.table({"id": pa.array(np.concatenate(ids) if ids else [], pa.int64()), "held_out": pa.array(np.concatenate(held).astype(bool) if held else [], pa.bool_()),
+                         "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(k, pa.int64()), "base_score": pa.array(b, pa.float64()), "score": pa.array(x, pa.float64())})
     return run
 
 
@@ -688,17 +665,19 @@ def with_blocks(docs: DataFrame) -> DataFrame:
 
 
 def file_blocks(files: DataFrame) -> Column:
-    """Blocks of neighbouring rows of a Parquet table, named by file and row
-    (the same whenever the table is read, so no copy of it is needed)."""
-    return F.xxhash64(F.col("_metadata.file_path"), F.shiftright(F.col("_metadata.row_index"), BLOCK_BITS)).alias("block")
+    """Blocks of neighbouring rows of a Parquet table, named by file, row and
+    task (the same whenever the table is read, so no copy of it is needed)."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.shiftright(F.col("_metadata.row_index"), BLOCK_BITS), F.spark_partition_id()).alias("block")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(id, held_out, n_tokens, n_known, base_score, score) of (id, held_out,
     text, block)."""
-    needs = docs.select("block", "text").mapInArrow(_needs(model.contexts, model.shards), NEEDS)
-    answers = needs.groupBy("shard").cogroup(model.words.groupBy("shard")).applyInArrow(_answer(model), ANSWERS)
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.contexts, model.tokens, model.vocabulary), SCORES)
+    asked = docs.select("block", "text").mapInArrow(_ask(model.places), ASKED)
+    told = asked.groupBy("kind", "at").cogroup(model.rows().groupBy("kind", "at")).applyInArrow(_answer_blocks(len(model.samples)), TOLD_BLOCKS)
+    packed = docs.select("block", "id", "held_out", "text").mapInArrow(_pack_docs, PACKED)
+    vocabulary = model.samples[0].vocabulary
+    return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(model.places, model.samples, model.tokens, vocabulary), SCORES)
 
 
 def report(docs: DataFrame, folds: int = 7, held_out: int = 2, blocks: Column | None = None) -> DataFrame:

@@ -14,8 +14,9 @@ from hypothesis import strategies as st
 
 from marketfold.llm import (bbit_minhash, chat_tools, curriculum, decontam, gear_chunks, line_ledger, pfor_tokens, pitman_yor,
                             quality_votes, queries, url_templates)
-from marketfold.llm.common import lower_words
+from marketfold.llm.common import ID_LAST, id_key, lower_words
 from tests.llm.conftest import ODD, prose
+from tests.llm.plain_seats import Seats
 
 
 def by_id(df):
@@ -329,23 +330,81 @@ def test_pitman_yor_sums_to_one_and_beats_the_base(make_docs, shipped):
         if r["held_out"] and r["doc_id"] < 150:
             held = [held[0] + r["base_score"], held[1] + r["score"]]
     assert held[1] > held[0]
-    m = pitman_yor.train(docs.filter("doc_id < 100"))
-    words = m.words.collect()
-    asked = [(r["word"], u) for r in words for u in range(3)] + [(b"-new-", u) for u in range(3)]
-    import pyarrow as pa
-    needs = pa.table({"block": pa.array([0]), "words": pa.array([b" ".join(bytes(w) for w, _ in asked)]),
-                      "ctx": pa.array([np.array([u for _, u in asked], dtype="<i2").tobytes()])})
-    rows = pa.table({c: [r[c] for r in words] for c in ("word", "c", "ctx", "p", "p_word")})
-    p = 10.0 ** np.frombuffer(pitman_yor._answer(m)(needs, rows).column("p")[0].as_py(), "<f4").astype(float)
-    for u in range(3):
-        assert p[[i for i, (_, x) in enumerate(asked) if x == u]].sum() == pytest.approx(1.0, abs=1e-5)
     assert pitman_yor.report(make_docs([])).count() == 0
 
 
+def plain_model(model):
+    """The shards as dictionaries: dishes (word, context) -> customers and
+    tables per sample; words -> tokens and, per sample, tables of the word's
+    restaurant, customers and tables in the unigram restaurant."""
+    dishes, words, rows = {}, {}, {}
+    for r in model.rows().collect():
+        rows.setdefault((r["kind"], r["at"]), {})[r["piece"]] = r
+    for (kind, _), pieces in rows.items():
+        names = pitman_yor._unpack_names(pieces[-1]["names"])
+        n = pitman_yor._unpack(pieces[-1]["n"], np.int64)
+        if kind == 0:
+            w, u = pitman_yor._unpack(pieces[-1]["a"]), pitman_yor._unpack(pieces[-1]["b"])
+            tables = np.ones((len(model.samples), len(n)), dtype=np.int64)
+            for k in range(len(model.samples)):
+                tables[k][n > 1] = pitman_yor._unpack(pieces[k]["n"])
+            for i in range(len(n)):
+                assert (names[w[i]], names[u[i]]) not in dishes
+                dishes[names[w[i]], names[u[i]]] = int(n[i]), tables[:, i].tolist()
+        else:
+            c = n.reshape(-1, len(pitman_yor.SUMS))[:, 0]
+            numbers = [pitman_yor._unpack(pieces[k]["n"], np.int64).reshape(-1, 3) for k in range(len(model.samples))]
+            for i, name in enumerate(names):
+                words[name] = int(c[i]), [x[i].tolist() for x in numbers]
+    return dishes, words
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_every_previous_word_has_its_restaurant(make_docs, shipped, shards, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "LOOK", 1)
+    monkeypatch.setattr(pitman_yor, "FLUSH", 50)
+    rnd = random.Random(6)
+    vocab = prose(5, 30).split()
+    rows = [(i, " ".join(rnd.choice(vocab[:rnd.randint(1, 30)]) for _ in range(rnd.randint(0, 90)))) for i in range(80)] + [(900, None), (901, "ODD Words x"), (None, vocab[0]), (5, "a b")]
+    docs = make_docs(rows)
+    model = pitman_yor.train(docs.filter("doc_id < 60 OR doc_id = 900"), shards)
+    dishes, words = plain_model(model)
+    train = [[*lower_words((t or "").encode()), b""] for i, t in rows if i is not None and (i < 60 or i == 900)]
+    pairs = Counter((w, u) for t in train for u, w in zip([b"", *t], t))
+    assert {k: n for k, (n, _) in dishes.items()} == pairs
+    assert {w: c for w, (c, _) in words.items()} == Counter(w for t in train for w in t) and model.tokens == sum(map(len, train))
+    for k, totals in enumerate(model.samples):  # what restaurants share adds up
+        as_dish, as_context = Counter(), Counter()
+        for (w, u), (n, tables) in dishes.items():
+            assert 1 <= tables[k] <= n
+            as_dish[w] += tables[k]
+            as_context[u] += tables[k]
+        assert all((as_context[w], as_dish[w]) == tuple(x[k][:2]) and 1 <= x[k][2] <= x[k][1] for w, (_, x) in words.items())
+        assert (totals.customers, totals.tables, totals.vocabulary) == (sum(as_dish.values()), sum(x[k][2] for _, x in words.values()), len(words))
+
+    def p(w, u):
+        out = 0.0
+        for k, t in enumerate(model.samples):
+            customers, tables = words[w][1][k][1:] if w in words else (0, 0)
+            base = (1 + t.top_discount * t.tables) / (1 + t.customers) / (t.vocabulary + 1)
+            top = (customers - t.top_discount * tables) / (1 + t.customers) + base
+            c, open_ = (words[u][0], words[u][1][k][0]) if u in words else (0, 0)
+            n, tables = (dishes[w, u][0], dishes[w, u][1][k]) if (w, u) in dishes else (0, 0)
+            out += ((n - t.discount * tables) + (1 + t.discount * open_) * top) / (1 + c) / len(model.samples)
+        return out
+    for u in [b"", *map(str.encode, vocab[:5]), b"never seen"]:
+        assert sum(p(w, u) for w in [*words, b"-new-"]) == pytest.approx(1.0)
+    from pyspark.sql import functions as F
+    asked = pitman_yor.with_blocks(docs.select(id_key().alias("id"), F.lit(False).alias("held_out"), F.coalesce("text", F.lit("")).alias("text")))
+    got = sorted((r["id"] == ID_LAST, r["id"] % ID_LAST, round(r["score"], 6), r["n_tokens"]) for r in pitman_yor.score(asked, model).collect())
+    texts = [(i, [*lower_words((t or "").encode()), b""]) for i, t in rows]
+    assert got == sorted((i is None, i or 0, round(sum(math.log10(p(w, u)) for u, w in zip([b"", *t], t)), 6), len(t)) for i, t in texts)
+
+
 def test_seats_keep_every_customer():
     rng = np.random.default_rng(1)
     n = np.array([1, 2, 5, 40, 3])
-    seats = pitman_yor.Seats(n, np.ones(5))
+    seats = Seats(n, np.ones(5))
     for _ in range(300):
         seats.reseat(np.array([0.5, 0.1, 3.0, 20.0, 1e-9]), 0.6, rng)
         first = np.concatenate(([0], np.cumsum(seats.count)[:-1]))
@@ -359,15 +418,21 @@ def test_a_sweep_seats_all_customers_of_a_dish():
     # The law of one sweep is the one that reseating customers one by one converges to, wherever a dish started.
     rng, d, many = np.random.default_rng(2), 0.6, 4000
     drawn = pitman_yor.table_counts(np.full(many, 40), np.full(many, 0.8), d, rng)
-    seats = pitman_yor.Seats(np.full(many, 40), np.ones(many))
+    seats = Seats(np.full(many, 40), np.ones(many))
     for _ in range(3000):
         seats.reseat(np.full(many, 0.8), d, rng)
     assert drawn.mean() == pytest.approx(seats.count.mean(), rel=0.04) and drawn.std() == pytest.approx(seats.count.std(), rel=0.08)
     # One sweep from the model's start has that law too, whatever a dish's size.
-    totals = pitman_yor.Totals(np.array([4e6]), np.array([9.0]), 9.0, 1.0, 1, d, 0.5)
-    import pyarrow as pa
-    batch = pa.RecordBatch.from_pydict({"shard": [0], "word": [b"w"], "c": [4_000_000], "ctx": [[0]], "n": [[4_000_000]]})
-    ends = {next(pitman_yor._sweep(totals, 1, True, False, 4, seed)(iter([batch]))).column("tables")[0][0].as_py() for seed in range(12)}
+    totals, pack = pitman_yor.Totals(9.0, 1.0, 1, d, 0.5), pitman_yor._pack
+    zero, dish = np.zeros(1, dtype=np.int32), {}
+    dish.update(listed=pack(zero), w=pack(zero), u=pack(zero), n=pack(np.array([4_000_000])))
+    numbers, ends = np.array([[9, 9, 1]]), set()
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        for _ in range(4):
+            tables, sums = pitman_yor.seat(dish, numbers, totals, rng)
+            numbers = np.array([[sums[0, 1], sums[0, 0], 1]])
+        ends.add(int(tables[0]))
     assert len(ends) > 8 and max(ends) - min(ends) > 50
 
 
