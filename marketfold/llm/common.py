@@ -80,6 +80,12 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def row_mark(col: str = "text") -> Column:
+    """A number that tells the texts of one id apart (64-bit hash; texts that
+    share it are only worked on together)."""
+    return F.xxhash64(F.col(col).cast("string"))
+
+
 def lower_words(text: bytes) -> list[bytes]:
     """A-Z lower-cased, split at ASCII white space (``bytes.split`` splits at
     exactly the six characters of ``SPACE``)."""

@@ -13,7 +13,9 @@ removed; shorter runs are chance and stay.
 Scale: digests are reduced map-side (smallest and largest id), so a chunk that
 a third of all documents hold costs one row per task; holders meet the table
 of shared digests in a sort-merge join whose skewed partitions Spark splits.
-A document's own shared digests are gathered, bounded by its length.
+A text's own shared digests are gathered, bounded by its length (rows
+without an id are one document for the choice of who keeps a passage, but each
+of their texts is cleaned by itself).
 
 Defined results: null and empty text has no chunks and stays as it is; repeats
 inside one document stay; rows that repeat a ``doc_id`` are one document;
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import byte_texts, id_back, id_key, packed, rebatched, row_texts, unpacked
+from marketfold.llm.common import byte_texts, id_back, id_key, packed, rebatched, row_mark, row_texts, unpacked
 from marketfold.session import cut_lineage
 
 REACH, MIN_WORDS = 24, 12
@@ -78,8 +80,11 @@ def chunks(text: bytes) -> tuple[list[int], list[bytes]]:
     return ends, [digest(text[a:b]) for a, b in zip([0, *ends], ends)]
 
 
+HELD = "d1 long, d2 long, id long, row long"
+
+
 def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> (d1, d2, id), a row per distinct digest of a document."""
+    """(id, row, text) -> (d1, d2, id, row), a row per distinct digest of a text."""
     for b in rebatched(batches):
         counts, joined = [], []
         for text in byte_texts(b):
@@ -88,13 +93,14 @@ def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             joined += own
         d = np.frombuffer(b"".join(joined), dtype="<i8").reshape(-1, 2)
         ids = np.repeat(np.array(b.column("id").to_pylist(), dtype=np.int64), counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1])), pa.array(ids)],
-                                         names=["d1", "d2", "id"])
+        rows = np.repeat(np.array(b.column("row").to_pylist(), dtype=np.int64), counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1])), pa.array(ids), pa.array(rows)],
+                                         names=["d1", "d2", "id", "row"])
 
 
 def shared_digests(docs: DataFrame) -> DataFrame:
     """(d1, d2, first): digests that two or more documents hold."""
-    held = docs.mapInArrow(_holders, "d1 long, d2 long, id long")
+    held = docs.mapInArrow(_holders, HELD).drop("row")
     return held.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("d1", "d2", "first")
 
 
@@ -162,14 +168,15 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents as ``_row`` plus ``_chunks``, ``_shared_words``,
     ``_removed``, ``_spans``, ``_from`` and ``_clean`` (the text without its
     repeated passages)."""
-    slim = docs.select(id_key().alias("id"), F.col("text").cast("string").alias("text"))
+    slim = docs.select(id_key().alias("id"), row_mark().alias("row"), F.col("text").cast("string").alias("text"))
     shared = cut_lineage(shared_digests(slim), "chunks-shared")
-    held = slim.mapInArrow(_holders, "d1 long, d2 long, id long").join(shared, ["d1", "d2"])
-    own = held.groupBy("id").agg(F.collect_list(F.struct("d1", "d2", "first")).alias("_held")).withColumnRenamed("id", "_id")
+    held = slim.mapInArrow(_holders, HELD).join(shared, ["d1", "d2"])
+    # Gathered per text, not per id: all rows without an id are one holder.
+    own = held.groupBy("id", "row").agg(F.collect_set(F.struct("d1", "d2", "first")).alias("_held")).withColumnsRenamed({"id": "_id", "row": "_mark"})
     kinds = (T.LongType(), T.LongType(), T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.StringType())
-    rows = packed(docs, id_key().alias("_id"))
+    rows = packed(docs, id_key().alias("_id"), row_mark().alias("_mark"))
     out = T.StructType([rows.schema["_row"], *(T.StructField(n, k) for n, k in zip(ADDED, kinds))])
-    return rows.join(own, "_id", "left").mapInArrow(_judge(min_words), out)
+    return rows.join(own, ["_id", "_mark"], "left").mapInArrow(_judge(min_words), out)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
