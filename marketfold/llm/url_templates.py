@@ -8,7 +8,8 @@ from those of the node; statistically similar branches merge into a wildcard.
 Levels go on while a node below the first ``LEVELS`` still has labels of both
 kinds: under any other no branch can differ.  A template is rejected by the
 share of blocked labels under it, smoothed towards its host's, and that
-towards the domain's and the whole table's.
+towards the domain's and the whole table's; without a blocked label under its
+domain nothing speaks against it and it is allowed.
 
 Labels are the verdicts of the rules (or any labelled URLs given).
 
@@ -119,8 +120,9 @@ def smoothed(own_b: str, own_l: str, wider: Column) -> Column:
 
 
 def with_purity(paths: DataFrame) -> DataFrame:
-    """(host, path, template ...) -> (host, path, template, purity): the
-    smoothed share of blocked labels under the template."""
+    """(host, path, template ...) -> (host, path, template, purity, evidence):
+    the smoothed share of blocked labels under the template, and whether there
+    is a blocked label under its domain at all."""
     sums = [F.sum("labelled").alias("l"), F.sum("blocked").alias("b")]
     domain = F.substring_index("host", ".", -2)
     whole = paths.agg(*sums).first()
@@ -128,9 +130,9 @@ def with_purity(paths: DataFrame) -> DataFrame:
     leaf = cut_lineage(paths.groupBy("host", "template").agg(*sums), "url-templates")
     hosts = leaf.groupBy("host").agg(F.sum("l").alias("hl"), F.sum("b").alias("hb")).withColumn("domain", domain)
     domains = hosts.groupBy("domain").agg(F.sum("hl").alias("dl"), F.sum("hb").alias("db"))
-    hosts = hosts.join(domains, "domain").select("host", smoothed("hb", "hl", smoothed("db", "dl", F.lit(overall))).alias("host_purity"))
-    leaf = leaf.join(cut_lineage(hosts, "url-hosts"), "host").select("host", "template", smoothed("b", "l", F.col("host_purity")).alias("purity"))
-    return paths.join(cut_lineage(leaf, "url-leaf"), ["host", "template"]).select("host", "path", "template", "purity")
+    hosts = hosts.join(domains, "domain").select("host", smoothed("hb", "hl", smoothed("db", "dl", F.lit(overall))).alias("host_purity"), (F.col("db") > 0).alias("evidence"))
+    leaf = leaf.join(cut_lineage(hosts, "url-hosts"), "host").select("host", "template", smoothed("b", "l", F.col("host_purity")).alias("purity"), "evidence")
+    return paths.join(cut_lineage(leaf, "url-leaf"), ["host", "template"]).select("host", "path", "template", "purity", "evidence")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame | None = None) -> DataFrame:
@@ -146,6 +148,6 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame |
         given = labels.groupBy("host", "path").agg(F.count(F.lit(1)).alias("labelled"), F.sum("blocked").alias("blocked"))
         paths = parsed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).join(given, ["host", "path"], "left").fillna(0, ["labelled", "blocked"])
     judged = cut_lineage(with_purity(templates(paths)), "url-judged")
-    own = F.when(F.col("purity") >= REJECT, F.lit(True)).otherwise(F.lit(False))
+    own = F.coalesce((F.col("purity") >= REJECT) & F.col("evidence"), F.lit(False))
     verdict = F.when(F.coalesce(blocks, own), F.lit("block")).otherwise(F.lit("allow"))
     return parsed.join(judged, ["host", "path"]).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template", "purity")
