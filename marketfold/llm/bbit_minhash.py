@@ -336,10 +336,12 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, k: int = 3, similarity: float = 0.85) -> DataFrame:
-    """One row per document: size of its set, component, whether it stays."""
+    """One row per document: size of its set, component, whether it stays: by
+    the contract every row whose id is the component's (``keep_one`` keeps one
+    row of rows that share an id)."""
     c = NearDuplicates(docs, k, similarity).components()
     return c.select(id_back("id").alias("doc_id"), F.col("n").alias("n_shingles"), id_back("component").alias("component_id"),
-                    "kept")
+                    (F.col("id") == F.col("component")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
