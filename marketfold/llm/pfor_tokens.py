@@ -260,7 +260,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, order: tuple[str,
     the block files under ``path``, documents in ascending ``order``."""
     keys = [id_key().alias("id") if c == "doc_id" else F.col(c) for c in order]
     keyed = docs.select(id_key().alias("id"), text_or_empty().alias("text"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    by = [F.col(f"_k{i}").asc_nulls_last() for i in range(len(keys))]
+    # Rows equal in ``order`` go on by a hash of their text, so that they are not one range.
+    keyed = keyed.withColumn("_tie", F.xxhash64("text"))
+    by = [*[F.col(f"_k{i}").asc_nulls_last() for i in range(len(keys))], F.col("_tie")]
     ranged = keyed.repartitionByRange(*by).sortWithinPartitions(*by, "id", "text")
     blocks = ranged.select("id", "text", F.spark_partition_id().alias("shard")).mapInArrow(_blocks_of(vocabulary, end_id, block), BLOCK_SCHEMA)
     with conf_scope(docs.sparkSession, SMALL_BATCHES):
