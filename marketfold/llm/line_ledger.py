@@ -4,7 +4,7 @@ A line's key is the line without white space at both ends, A-Z lower-cased;
 keys of at least ``MIN_CHARS`` code points count.  The ledger keeps, sharded by
 key digest:
 
-* ``postings``  (key, id): which document holds which key;
+* ``postings``  (key, id, row): which document, and which text of it, holds which key;
 * ``filters``   one cuckoo filter per shard with an entry for every held key;
 * ``refs``      exact reference counts (key, refs, first) of the keys that two
   or more documents hold.  A key that the filter knows but this table does not
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import ASCII_LOWER, SPACE, byte_texts, id_back, id_key, packed, rebatched, row_texts, unpacked
+from marketfold.llm.common import ASCII_LOWER, SPACE, byte_texts, id_back, id_key, packed, rebatched, row_mark, row_texts, unpacked
 from marketfold.session import cut_lineage
 
 MIN_CHARS = 10
@@ -126,18 +126,20 @@ def line_key(line: bytes) -> bytes | None:
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> one row per document and distinct key."""
+    """(id, row, text) -> one row per text and distinct key."""
     for b in rebatched(batches):
-        ids, keys = [], []
-        for doc, text in zip(b.column("id").to_pylist(), byte_texts(b)):
+        ids, rows, keys = [], [], []
+        for doc, row, text in zip(b.column("id").to_pylist(), b.column("row").to_pylist(), byte_texts(b)):
             own = {k for line in text.split(b"\n") if (k := line_key(line))}
             ids += [doc] * len(own)
+            rows += [row] * len(own)
             keys += sorted(own)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], names=["key", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(rows, pa.int64())], names=["key", "id", "row"])
 
 
 def postings_of(docs: DataFrame) -> DataFrame:
-    return docs.select(id_key().alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(_postings, "key binary, id long")
+    slim = docs.select(id_key().alias("id"), row_mark().alias("row"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(_postings, "key binary, id long, row long")
 
 
 def _known(group: pa.Table) -> pa.Table:
@@ -178,7 +180,7 @@ class LineLedger:
 
     def __init__(self, spark: SparkSession, shards: int | None = None):
         self.spark, self.shards = spark, shards
-        self.postings: DataFrame | None = None  # key, id
+        self.postings: DataFrame | None = None  # key, id, row
         self.filters: DataFrame | None = None   # shard, slots
         self.refs: DataFrame | None = None      # key, refs, first
 
@@ -220,7 +222,7 @@ class LineLedger:
     def delete(self, ids: DataFrame) -> "LineLedger":
         """Without the documents of the table ``ids`` (doc_id)."""
         gone = ids.select(id_key().alias("id")).distinct()
-        left = cut_lineage(self.postings.join(gone, "id", "left_anti").select("key", "id"), "ledger-postings")
+        left = cut_lineage(self.postings.join(gone, "id", "left_anti").select("key", "id", "row"), "ledger-postings")
         touched = cut_lineage(self.postings.join(gone, "id", "left_semi").select("key").distinct(), "ledger-touched")
         still = left.join(touched, "key", "left_semi").select("key").distinct()
         unheld = touched.join(still, "key", "left_anti")
@@ -231,18 +233,23 @@ class LineLedger:
         refs = cut_lineage(self.refs.join(touched, "key", "left_anti").unionByName(recount), "ledger-refs")
         return self._next(left, filters, refs)
 
-    def dropped_keys(self) -> DataFrame:
-        """(id, keys): the keys that a document loses, because a smaller id holds them."""
-        lost = self.postings.join(self.refs, "key").filter("id > first").select("id", "key")
-        return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    def dropped_keys(self, docs: DataFrame | None = None) -> DataFrame:
+        """(id, row, keys): the keys that each text loses, because its document
+        holds them in the ledger and a smaller id does too; of the inserted
+        texts, or of ``docs``.  Gathered per text, as all rows without an id are
+        one holder."""
+        held = self.postings if docs is None else postings_of(docs).join(self.postings.select("key", "id"), ["key", "id"], "left_semi")
+        lost = held.join(self.refs, "key").filter("id > first").select("id", "row", "key")
+        return lost.groupBy("id", "row").agg(F.collect_set("key").alias("keys"))
 
-    def clean(self, docs: DataFrame) -> DataFrame:
+    def clean(self, docs: DataFrame, as_inserted: bool = False) -> DataFrame:
         """The documents as ``_row`` plus ``_kept`` (its text without repeated
-        lines), ``_lines`` and ``_dropped`` (counts)."""
-        drops = self.dropped_keys().select(F.col("id").alias("_id"), F.col("keys").alias("_keys"))
-        rows = packed(docs, id_key().alias("_id"))
+        lines), ``_lines`` and ``_dropped`` (counts).  ``as_inserted``: their
+        texts are the inserted ones, so their keys need not be taken again."""
+        drops = self.dropped_keys(None if as_inserted else docs).select(F.col("id").alias("_id"), F.col("row").alias("_mark"), F.col("keys").alias("_keys"))
+        rows = packed(docs, id_key().alias("_id"), row_mark().alias("_mark"))
         added = [T.StructField("_kept", T.StringType()), T.StructField("_lines", T.LongType()), T.StructField("_dropped", T.LongType())]
-        return rows.join(drops, "_id", "left").mapInArrow(_drop_lines, T.StructType([rows.schema["_row"], *added]))
+        return rows.join(drops, ["_id", "_mark"], "left").mapInArrow(_drop_lines, T.StructType([rows.schema["_row"], *added]))
 
     def remove_repeats(self, docs: DataFrame) -> DataFrame:
         """``docs`` without their repeated lines, columns as they were."""
@@ -269,6 +276,6 @@ def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: lines, lines dropped, digest of the kept text."""
     docs = docs.select(id_back(id_key()).alias("doc_id"), "text")
-    cleaned = LineLedger(docs.sparkSession).insert(docs).clean(docs)
+    cleaned = LineLedger(docs.sparkSession).insert(docs).clean(docs, as_inserted=True)
     return unpacked(cleaned, ["doc_id"], F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
                           F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
