@@ -34,6 +34,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,8 @@ from marketfold.llm.common import WordNumbers, byte_texts, id_back, id_key, lowe
 from marketfold.session import cut_lineage, cuts, drop_cuts
 
 END = b""  # the end token; it is also the context of a text's first word
-BLOCK_BITS = 10            # a block has up to 2**10 documents
-PAIRS_PER_SHARD = 200_000  # about so many of the blocks' distinct pairs meet in one group
+BLOCK_BITS = 12            # a block has up to 2**12 documents
+PAIRS_PER_SHARD = 500_000  # about so many of the blocks' distinct pairs meet in one group
 FREQUENT, LOOK = 0.002, 64  # words of this share, in one text of so many, have their pairs dealt out by both words
 FLUSH = 3_000_000          # distinct pairs that a counting task holds
 STRENGTH = 1.0
@@ -65,6 +66,26 @@ def _unpack(raw: bytes, kind=np.int32) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw), dtype=kind)
 
 
+def _pack_small(a: np.ndarray) -> bytes:
+    """Numbers from 0 on, in as few bytes each as the largest needs."""
+    most = int(a.max(initial=0))
+    kind = np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64
+    return bytes([np.dtype(kind).itemsize]) + _pack(a.astype(kind))
+
+
+def _unpack_small(raw: bytes) -> np.ndarray:
+    return _unpack(raw[1:], f"<u{raw[0]}").astype(np.int64)
+
+
+def _pack_pairs(w: np.ndarray, u: np.ndarray) -> tuple[bytes, bytes]:
+    """Pairs in ascending order: the steps of the word, and the context."""
+    return _pack_small(np.diff(w, prepend=0)), _pack_small(u)
+
+
+def _unpack_pairs(w: bytes, u: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(_unpack_small(w)), _unpack_small(u)
+
+
 def _pack_names(names: list[bytes]) -> bytes:
     """Words have no white space; a line each, as the end token is empty."""
     return zstandard.compress(b"".join(w + b"\n" for w in names), 3)
@@ -81,6 +102,20 @@ def _rows(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
 
 # ---- where a pair and a word live -------------------------------------------
 
+def name_hashes(names: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, names), dtype=np.uint64, count=len(names))
+
+
+def in_fixed_order(names: list[bytes]) -> np.ndarray:
+    """An order of distinct words that does not depend on how they come: by
+    hash, and by name where two have the same."""
+    h = name_hashes(names)
+    order = np.argsort(h)
+    if (h[order[1:]] == h[order[:-1]]).any():
+        order = np.array(sorted(range(len(names)), key=lambda i: (h[i], names[i])), dtype=np.int64)
+    return order
+
+
 @dataclass(frozen=True)
 class Places:
     shards: int
@@ -88,8 +123,7 @@ class Places:
 
     def hashes(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Per word its hash, and whether it is frequent."""
-        h = np.fromiter(map(xxhash.xxh32_intdigest, names), dtype=np.uint64, count=len(names))
-        return h, np.fromiter(map(self.frequent.__contains__, names), dtype=bool, count=len(names))
+        return name_hashes(names), np.fromiter(map(self.frequent.__contains__, names), dtype=bool, count=len(names))
 
     def words(self, h: np.ndarray) -> np.ndarray:
         return (h % np.uint64(self.shards)).astype(np.int32)
@@ -103,11 +137,14 @@ class Places:
 def token_pairs(texts: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
     """(token, context) numbers of the texts, each with its end token: the
     token before a text's first word is the end of the text before it."""
-    flat: list[bytes] = []
-    for text in texts:
-        flat += lower_words(text)
-        flat.append(END)
-    ids = numbers.of(flat, np.int64)
+    parts = [np.empty(0, dtype=np.int64)]
+    for at in range(0, len(texts), 64):  # a few texts' words at a time
+        flat: list[bytes] = []
+        for text in texts[at:at + 64]:
+            flat += lower_words(text)
+            flat.append(END)
+        parts.append(numbers.of(flat, np.int64))
+    ids = np.concatenate(parts)
     ctx = np.empty(len(ids), dtype=np.int64)
     ctx[:1] = numbers[END]
     ctx[1:] = ids[:-1]
@@ -165,7 +202,7 @@ def _count_pairs(places: Places):
             shard, rows = places.pairs(*places.hashes(names), w, u), []
             for p, own in _segments(shard, np.argsort(shard, kind="stable")):
                 used, lw, lu = _local(names, w[own], u[own])
-                rows.append((p, _pack_names(used), _pack(lw), _pack(lu), _pack(n[own])))
+                rows.append((p, _pack_names(used), *_pack_pairs(lw, lu), _pack_small(n[own])))
             return _rows(_PAIRS, rows).to_batches()[0]
         for b in rebatched(batches):
             if b.num_rows:
@@ -191,13 +228,15 @@ def _add_pairs(places: Places):
     def run(group: pa.Table) -> pa.Table:
         numbers, w, u, n = WordNumbers(), [], [], []
         for names, *packed in zip(*(group.column(c).to_pylist() for c in ("names", "w", "u", "n"))):
-            at = numbers.of(_unpack_names(names), np.int64)
-            w.append(at[_unpack(packed[0])])
-            u.append(at[_unpack(packed[1])])
-            n.append(_unpack(packed[2], np.int64))
-        names = sorted(numbers)
+            at, (lw, lu) = numbers.of(_unpack_names(names), np.int64), _unpack_pairs(*packed[:2])
+            w.append(at[lw])
+            u.append(at[lu])
+            n.append(_unpack_small(packed[2]))
+        names = list(numbers)
+        order = in_fixed_order(names)
         rank = np.empty(len(names), dtype=np.int64)
-        rank[numbers.of(names, np.int64)] = np.arange(len(names))
+        rank[order] = np.arange(len(names))
+        names = [names[i] for i in order.tolist()]
         keys, at = np.unique(rank[np.concatenate(w)] << 32 | rank[np.concatenate(u)], return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(n)).astype(np.int64)
         w, u = keys >> 32, keys & 0xFFFFFFFF
@@ -206,7 +245,7 @@ def _add_pairs(places: Places):
         q = places.words(places.hashes(names)[0])[used] if len(used) else np.empty(0, dtype=np.int32)
         order = np.argsort(q, kind="stable")
         at_q, per_q = np.unique(q, return_counts=True)
-        return _rows(_DISHES, [(group.column("shard")[0].as_py(), _pack_names(names), _pack(w.astype(np.int32)), _pack(u.astype(np.int32)), _pack(total),
+        return _rows(_DISHES, [(group.column("shard")[0].as_py(), _pack_names(names), *_pack_pairs(w, u), _pack_small(total),
                                 _pack(used[order].astype(np.int32)), _pack(at_q), _pack(per_q.astype(np.int32)), len(keys), int((total == 1).sum()), int((total == 2).sum()))])
     return run
 
@@ -222,7 +261,7 @@ def _tell_words(places: Places):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                names, w, u, n = _unpack_names(r["names"]), _unpack(r["w"]), _unpack(r["u"]), _unpack(r["n"], np.int64)
+                names, (w, u), n = _unpack_names(r["names"]), _unpack_pairs(r["w"], r["u"]), _unpack_small(r["n"])
                 one, size = n == 1, len(names)
                 c = np.bincount(w, weights=n, minlength=size)
                 sums = np.stack([c, *(np.bincount(x[m], minlength=size) for x in (w, u) for m in (one, ~one))], axis=1).astype(np.int64)
@@ -230,7 +269,7 @@ def _tell_words(places: Places):
                 listed[_unpack(r["listed"])] = 1
                 q, rows = places.words(places.hashes(names)[0]), []
                 for k, own in _segments(q, np.argsort(q, kind="stable")):
-                    rows.append((k, r["shard"], _pack_names([names[i] for i in own.tolist()]), _pack(sums[own]), _pack(listed[own])))
+                    rows.append((k, r["shard"], _pack_names([names[i] for i in own.tolist()]), _pack_small(sums[own].T), _pack(listed[own])))
                 yield from _rows(_TOLD, rows).to_batches()
     return run
 
@@ -244,7 +283,7 @@ def _add_words(group: pa.Table) -> pa.Table:
     """One word shard: its words and, per pair shard that listed some of them,
     which ones (in that shard's order)."""
     rows = sorted(zip(*(group.column(c).to_pylist() for c in ("shard", "names", "sums", "listed"))), key=lambda r: r[0])
-    told = [(p, _unpack_names(names), _unpack(sums, np.int64).reshape(-1, len(SUMS)), _unpack(listed, np.uint8)) for p, names, sums, listed in rows]
+    told = [(p, _unpack_names(names), _unpack_small(sums).reshape(len(SUMS), -1).T, _unpack(listed, np.uint8)) for p, names, sums, listed in rows]
     names = sorted({w for _, own, _, _ in told for w in own})
     at = dict(zip(names, range(len(names))))
     total, routes = np.zeros((len(names), len(SUMS)), dtype=np.int64), []
@@ -254,7 +293,7 @@ def _add_words(group: pa.Table) -> pa.Table:
         routes.append((p, place[listed == 1].astype(np.int32)))
     routes = [(p, x) for p, x in routes if len(x)]
     dishes = total[:, 1] + total[:, 2]
-    return _rows(_WORDS, [(group.column("q")[0].as_py(), _pack_names(names), _pack(total), _pack(np.array([p for p, _ in routes], dtype=np.int32)),
+    return _rows(_WORDS, [(group.column("q")[0].as_py(), _pack_names(names), _pack_small(total.T), _pack(np.array([p for p, _ in routes], dtype=np.int32)),
                            _pack(np.array([len(x) for _, x in routes], dtype=np.int32)), _pack(np.concatenate([x for _, x in routes]) if routes else np.empty(0, np.int32)),
                            len(names), int(total[:, 0].sum()), int((dishes == 1).sum()), int((dishes == 2).sum()), int(dishes.sum()))])
 
@@ -377,7 +416,7 @@ def seat(dishes: dict, numbers: np.ndarray, totals: Totals, rng: np.random.Gener
     its restaurant, and its customers and tables in the unigram restaurant.
     Returns the tables of the dishes with more than one customer, and per listed
     word their sums as dishes and as contexts."""
-    listed, w, u, n = (_unpack(dishes[c], k) for c, k in (("listed", np.int32), ("w", np.int32), ("u", np.int32), ("n", np.int64)))
+    listed, (w, u), n = _unpack(dishes["listed"]), _unpack_pairs(dishes["w"], dishes["u"]), _unpack_small(dishes["n"])
     several = n > 1
     place = np.zeros(int(max(w.max(initial=0), u.max(initial=0))) + 1, dtype=np.int64)
     place[listed] = np.arange(len(listed))
@@ -399,10 +438,10 @@ def _seat_dishes(totals: Totals, seed: int):
         for r in dishes.to_pylist():
             at_q, per_q = _unpack(r["listed_q"]), _unpack(r["listed_n"])
             told = dict(zip(answers.column("q").to_pylist(), answers.column("numbers").to_pylist()))
-            numbers = np.concatenate([np.empty((0, 3), dtype=np.int64), *(_unpack(told[q], np.int64).reshape(-1, 3) for q in at_q.tolist())])
+            numbers = np.concatenate([np.empty((0, 3), dtype=np.int64), *(_unpack_small(told[q]).reshape(3, -1).T for q in at_q.tolist())])
             tables, sums = seat(r, numbers, totals, np.random.default_rng([seed, r["shard"]]))
-            rows.append((0, r["shard"], None, _pack(tables.astype(np.int32))))
-            rows += [(1, r["shard"], q, _pack(part)) for q, part in zip(at_q.tolist(), np.split(sums, np.cumsum(per_q)[:-1]))]
+            rows.append((0, r["shard"], None, _pack_small(tables)))
+            rows += [(1, r["shard"], q, _pack_small(part.T)) for q, part in zip(at_q.tolist(), np.split(sums, np.cumsum(per_q)[:-1]))]
         return _rows(_SEATED, rows)
     return run
 
@@ -416,15 +455,15 @@ def _answers(word_row: dict, numbers: np.ndarray) -> list[tuple]:
     own (kind 2) with what the unigram restaurant sums up to."""
     q, at = word_row["q"], _unpack(word_row["route"])
     parts = np.split(at, np.cumsum(_unpack(word_row["route_n"]))[:-1]) if len(at) else []
-    rows = [(1, p, q, _pack(numbers[part]), None, None) for p, part in zip(_unpack(word_row["route_shard"]).tolist(), parts)]
-    return [*rows, (2, None, q, _pack(numbers), int(numbers[:, 1].sum()), int(numbers[:, 2].sum()))]
+    rows = [(1, p, q, _pack_small(numbers[part].T), None, None) for p, part in zip(_unpack(word_row["route_shard"]).tolist(), parts)]
+    return [*rows, (2, None, q, _pack_small(numbers.T), int(numbers[:, 1].sum()), int(numbers[:, 2].sum()))]
 
 
 def _start(words: pa.Table) -> Iterator[pa.RecordBatch]:
     """Word shards at the start: every dish has one table."""
     for b in words:
         for r in b.to_pylist():
-            c, ones, many, ctx_ones, ctx_many = _unpack(r["sums"], np.int64).reshape(-1, len(SUMS)).T
+            c, ones, many, ctx_ones, ctx_many = _unpack_small(r["sums"]).reshape(len(SUMS), -1)
             yield from _rows(_ADDED, _answers(r, np.stack([ctx_ones + ctx_many, ones + many, np.ones_like(c)], axis=1))).to_batches()
 
 
@@ -433,14 +472,14 @@ def _add_tables(totals: Totals, seed: int):
     def run(words: pa.Table, sums: pa.Table) -> pa.Table:
         rows = []
         for r in words.to_pylist():
-            c, ones, many, ctx_ones, ctx_many = _unpack(r["sums"], np.int64).reshape(-1, len(SUMS)).T
+            c, ones, many, ctx_ones, ctx_many = _unpack_small(r["sums"]).reshape(len(SUMS), -1)
             as_dish, as_context = ones.copy(), ctx_ones.copy()
             told = dict(zip(sums.column("shard").to_pylist(), sums.column("numbers").to_pylist()))
             at = _unpack(r["route"])
             for p, part in zip(_unpack(r["route_shard"]).tolist(), np.split(at, np.cumsum(_unpack(r["route_n"]))[:-1]) if len(at) else []):
-                new = _unpack(told[p], np.int64).reshape(-1, 2)
-                as_dish[part] += new[:, 0]
-                as_context[part] += new[:, 1]
+                new = _unpack_small(told[p]).reshape(2, -1)
+                as_dish[part] += new[0]
+                as_context[part] += new[1]
             weight = np.full(len(c), (STRENGTH + totals.top_discount * totals.tables) / (totals.vocabulary + 1))
             top = table_counts(as_dish, weight, totals.top_discount, np.random.default_rng([seed, r["q"], 1]))
             rows += _answers(r, np.stack([as_context, as_dish, top], axis=1))
@@ -556,7 +595,7 @@ def _ask(places: Places):
         own, rows = Block.of(texts, places), []
         for p, at in own.pairs_by_shard():
             names, w, u = _local(own.names, own.w[at], own.u[at])
-            rows.append((0, p, block, _pack_names(names), _pack(w), _pack(u)))
+            rows.append((0, p, block, _pack_names(names), *_pack_pairs(w, u)))
         for q, at in own.words_by_shard():
             rows.append((1, q, block, _pack_names([own.names[i] for i in at.tolist()]), None, None))
         yield from _rows(_ASKED, rows).to_batches()
@@ -579,6 +618,23 @@ TOLD_BLOCKS = "block long, kind int, at int, numbers binary"
 _TOLD_BLOCKS = {"block": pa.int64(), "kind": pa.int32(), "at": pa.int32(), "numbers": pa.binary()}
 
 
+def _pack_found(table: np.ndarray) -> bytes:
+    """Columns of numbers: the first for every row, the others only where it is
+    above 1 (a single customer or token has one table of everything)."""
+    first = _pack_small(table[0])
+    return len(first).to_bytes(4, "little") + first + _pack_small(table[1:, table[0] > 1])
+
+
+def _unpack_found(raw: bytes, columns: int) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    first = _unpack_small(raw[4:4 + n])
+    out = np.empty((columns, len(first)), dtype=np.int64)
+    out[:] = np.minimum(first, 1)
+    out[0] = first
+    out[1:, first > 1] = _unpack_small(raw[4 + n:]).reshape(columns - 1, -1)
+    return out
+
+
 def _answer_blocks(samples: int):
     """One shard and what blocks ask of it.  Pairs: customers, and tables per
     sample.  Words: tokens, and per sample the tables of the word's restaurant
@@ -589,28 +645,27 @@ def _answer_blocks(samples: int):
         names = _unpack_names(known["names"]) if known else []
         at = dict(zip(names, range(len(names))))
         kind = asked.column("kind")[0].as_py() if asked.num_rows else 0
-        width = 1 + samples * (1 if kind == 0 else 3)
+        width, keys = 1 + samples * (1 if kind == 0 else 3), np.empty(0, dtype=np.int64)
+        table = np.zeros((width, 1), dtype=np.int64)  # the last column: what is not there
         if known and kind == 0:
-            n = _unpack(known["n"], np.int64)
-            keys, table = _unpack(known["a"]).astype(np.int64) << 32 | _unpack(known["b"]), np.ones((len(n) + 1, width), dtype=np.int64)
-            table[:-1, 0] = n
+            w, u = _unpack_pairs(known["a"], known["b"])
+            n, keys = _unpack_small(known["n"]), w << 32 | u
+            table = np.ones((width, len(n) + 1), dtype=np.int64)
+            table[0, :-1], table[:, -1] = n, 0
             for s in range(samples):
-                table[:-1, 1 + s][n > 1] = _unpack(pieces[s]["n"])
+                table[1 + s, :-1][n > 1] = _unpack_small(pieces[s]["n"])
         elif known:
-            table = np.concatenate([_unpack(known["n"], np.int64).reshape(-1, len(SUMS))[:, :1], *(_unpack(pieces[s]["n"], np.int64).reshape(-1, 3) for s in range(samples))], axis=1)
-            table = np.concatenate([table, np.zeros((1, width), dtype=np.int64)])
-        else:
-            keys, table = np.empty(0, dtype=np.int64), np.zeros((1, width), dtype=np.int64)
-        table[-1] = 0  # what is not there
+            parts = [_unpack_small(known["n"]).reshape(len(SUMS), -1)[:1], *(_unpack_small(pieces[s]["n"]).reshape(3, -1) for s in range(samples))]
+            table = np.concatenate([np.concatenate(parts), table], axis=1)
         for block, shard, raw, w, u in zip(*(asked.column(c).to_pylist() for c in ("block", "at", "names", "w", "u"))):
             own = _unpack_names(raw)
-            place = np.fromiter((at.get(x, -1) for x in own), dtype=np.int64, count=len(own))
+            place = np.fromiter(map(at.get, own, repeat(-1)), dtype=np.int64, count=len(own))
             if kind == 0:
-                a, b = place[_unpack(w)], place[_unpack(u)]
+                a, b = (place[x] for x in _unpack_pairs(w, u))
                 key = a << 32 | b
                 found = np.searchsorted(keys, key)
                 place = np.where((a >= 0) & (b >= 0) & (np.append(keys, -1)[found] == key), found, -1)
-            rows.append((block, kind, shard, _pack(table[place].T)))
+            rows.append((block, kind, shard, _pack_found(table[:, place])))
         return _rows(_TOLD_BLOCKS, rows)
     return run
 
@@ -644,7 +699,7 @@ def _score(places: Places, samples: list[Totals], tokens: int, vocabulary: int):
         pairs, words = np.zeros((1 + len(samples), len(own.w)), dtype=np.int64), np.zeros((1 + 3 * len(samples), len(own.names)), dtype=np.int64)
         for kind, whole, parts in ((0, pairs, own.pairs_by_shard()), (1, words, own.words_by_shard())):
             for shard, at in parts:
-                whole[:, at] = _unpack(told[kind, shard], np.int64).reshape(len(whole), -1)
+                whole[:, at] = _unpack_found(told[kind, shard], len(whole))
         p = np.zeros(len(own.w))
         for s, totals in enumerate(samples):
             ctx_tables, customers, tables = words[1 + 3 * s:4 + 3 * s]

@@ -342,18 +342,18 @@ def plain_model(model):
         rows.setdefault((r["kind"], r["at"]), {})[r["piece"]] = r
     for (kind, _), pieces in rows.items():
         names = pitman_yor._unpack_names(pieces[-1]["names"])
-        n = pitman_yor._unpack(pieces[-1]["n"], np.int64)
+        n = pitman_yor._unpack_small(pieces[-1]["n"])
         if kind == 0:
-            w, u = pitman_yor._unpack(pieces[-1]["a"]), pitman_yor._unpack(pieces[-1]["b"])
+            w, u = pitman_yor._unpack_pairs(pieces[-1]["a"], pieces[-1]["b"])
             tables = np.ones((len(model.samples), len(n)), dtype=np.int64)
             for k in range(len(model.samples)):
-                tables[k][n > 1] = pitman_yor._unpack(pieces[k]["n"])
+                tables[k][n > 1] = pitman_yor._unpack_small(pieces[k]["n"])
             for i in range(len(n)):
                 assert (names[w[i]], names[u[i]]) not in dishes
                 dishes[names[w[i]], names[u[i]]] = int(n[i]), tables[:, i].tolist()
         else:
-            c = n.reshape(-1, len(pitman_yor.SUMS))[:, 0]
-            numbers = [pitman_yor._unpack(pieces[k]["n"], np.int64).reshape(-1, 3) for k in range(len(model.samples))]
+            c = n.reshape(len(pitman_yor.SUMS), -1)[0]
+            numbers = [pitman_yor._unpack_small(pieces[k]["n"]).reshape(3, -1).T for k in range(len(model.samples))]
             for i, name in enumerate(names):
                 words[name] = int(c[i]), [x[i].tolist() for x in numbers]
     return dishes, words
@@ -425,7 +425,8 @@ def test_a_sweep_seats_all_customers_of_a_dish():
     # One sweep from the model's start has that law too, whatever a dish's size.
     totals, pack = pitman_yor.Totals(9.0, 1.0, 1, d, 0.5), pitman_yor._pack
     zero, dish = np.zeros(1, dtype=np.int32), {}
-    dish.update(listed=pack(zero), w=pack(zero), u=pack(zero), n=pack(np.array([4_000_000])))
+    small = pitman_yor._pack_small
+    dish.update(listed=pack(zero), w=small(zero), u=small(zero), n=small(np.array([4_000_000])))
     numbers, ends = np.array([[9, 9, 1]]), set()
     for seed in range(12):
         rng = np.random.default_rng(seed)
