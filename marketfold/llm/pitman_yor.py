@@ -38,7 +38,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +53,7 @@ FREQUENT, LOOK = 0.002, 64  # words of this share, in one text of so many, have
 FLUSH = 3_000_000          # distinct pairs that a counting task holds
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 2
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 LISTED, NODES = 2048, 160  # up to so many customers a dish's law is listed in a table; points of an integral beyond that
 
 
@@ -88,7 +89,7 @@ def _unpack_pairs(w: bytes, u: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _pack_names(names: list[bytes]) -> bytes:
     """Words have no white space; a line each, as the end token is empty."""
-    return zstandard.compress(b"".join(w + b"\n" for w in names), 3)
+    return zstandard.compress(b"\n".join(names) + b"\n" if names else b"", 3)
 
 
 def _unpack_names(raw: bytes) -> list[bytes]:
@@ -103,7 +104,19 @@ def _rows(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
 # ---- where a pair and a word live -------------------------------------------
 
 def name_hashes(names: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, names), dtype=np.uint64, count=len(names))
+    """A polynomial of the bytes, mixed; for all names at once.  It says where
+    words are kept, not what they are."""
+    sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
+    data = np.frombuffer(b"".join(names), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(data)) - np.repeat(starts, sizes)
+    powers = np.full(int(sizes.max(initial=0)) + 1, _STEP, dtype=np.uint64)
+    powers[0] = 1
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(data * np.cumprod(powers)[place], dtype=np.uint64)))
+    h = sums[starts + sizes] - sums[starts] + sizes.astype(np.uint64)
+    for shift in (33, 29, 32):
+        h = (h ^ (h >> np.uint64(shift))) * _STEP
+    return h ^ (h >> np.uint64(31))
 
 
 def in_fixed_order(names: list[bytes]) -> np.ndarray:
@@ -137,16 +150,21 @@ class Places:
 def token_pairs(texts: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
     """(token, context) numbers of the texts, each with its end token: the
     token before a text's first word is the end of the text before it."""
-    parts = [np.empty(0, dtype=np.int64)]
-    for at in range(0, len(texts), 64):  # a few texts' words at a time
-        flat: list[bytes] = []
-        for text in texts[at:at + 64]:
-            flat += lower_words(text)
-            flat.append(END)
-        parts.append(numbers.of(flat, np.int64))
+    end, parts = numbers[END], [np.empty(0, dtype=np.int64)]
+    for at in range(0, len(texts), 1024):
+        # Arrow's ASCII white space is that of ``lower_words``.
+        words = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts[at:at + 1024], pa.binary()).cast(pa.string())))
+        encoded = words.flatten().dictionary_encode()
+        names = encoded.dictionary.cast(pa.binary()).to_pylist()
+        # Empty pieces at the ends of a text are no words.
+        none = names.index(b"") if b"" in names else -1
+        place, index = numbers.of(names, np.int64), encoded.indices.to_numpy()
+        kept = index != none
+        ends = np.concatenate(([0], np.cumsum(kept)))[words.offsets.to_numpy()[1:] - words.offsets.to_numpy()[0]]
+        parts.append(np.insert(place[index[kept]], ends, end))
     ids = np.concatenate(parts)
     ctx = np.empty(len(ids), dtype=np.int64)
-    ctx[:1] = numbers[END]
+    ctx[:1] = end
     ctx[1:] = ids[:-1]
     return ids, ctx
 
