@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import WordNumbers, byte_texts, id_back, id_key, lower_words, rebatched, text_or_empty
+from marketfold.llm.common import byte_texts, id_back, id_key, lower_words, rebatched, text_or_empty
 from marketfold.session import cut_lineage, cuts, drop_cuts
 
 END = b""  # the end token; it is also the context of a text's first word
@@ -87,13 +87,28 @@ def _unpack_pairs(w: bytes, u: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(_unpack_small(w)), _unpack_small(u)
 
 
-def _pack_names(names: list[bytes]) -> bytes:
-    """Words have no white space; a line each, as the end token is empty."""
-    return zstandard.compress(b"\n".join(names) + b"\n" if names else b"", 3)
+def _pack_names(names: pa.BinaryArray) -> bytes:
+    """Words as their sizes and their bytes; no Python objects are made of them."""
+    offsets = np.frombuffer(names.buffers()[1], dtype=np.int32, count=len(names) + 1, offset=4 * names.offset) if len(names) else np.zeros(1, dtype=np.int32)
+    sizes = _pack_small(np.diff(offsets))
+    data = memoryview(names.buffers()[2])[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else b""
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(data, 3)
 
 
-def _unpack_names(raw: bytes) -> list[bytes]:
-    return zstandard.decompress(raw).split(b"\n")[:-1]
+def _unpack_names(raw: bytes) -> pa.BinaryArray:
+    n = int.from_bytes(raw[:4], "little")
+    offsets = np.concatenate(([0], np.cumsum(_unpack_small(raw[4:4 + n])))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(zstandard.decompress(raw[4 + n:]))])
+
+
+def _merged(lists: list[pa.BinaryArray]) -> tuple[pa.BinaryArray, list[np.ndarray]]:
+    """The distinct words of several lists in order, and where each list's words are there."""
+    encoded = pa.concat_arrays(lists).dictionary_encode()
+    order = pc.sort_indices(encoded.dictionary)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    place = rank[encoded.indices.to_numpy()]
+    return encoded.dictionary.take(order), np.split(place, np.cumsum([len(x) for x in lists])[:-1])
 
 
 def _rows(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
@@ -103,40 +118,32 @@ def _rows(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
 
 # ---- where a pair and a word live -------------------------------------------
 
-def name_hashes(names: list[bytes]) -> np.ndarray:
+def name_hashes(names: pa.BinaryArray) -> np.ndarray:
     """A polynomial of the bytes, mixed; for all names at once.  It says where
     words are kept, not what they are."""
-    sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
-    data = np.frombuffer(b"".join(names), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-    starts = np.cumsum(sizes) - sizes
+    offsets = np.frombuffer(names.buffers()[1], dtype=np.int32, count=len(names) + 1, offset=4 * names.offset).astype(np.int64) if len(names) else np.zeros(1, dtype=np.int64)
+    sizes, starts = np.diff(offsets), offsets[:-1] - offsets[0]
+    raw = names.buffers()[2] if offsets[-1] > offsets[0] else b""
+    data = np.frombuffer(raw, dtype=np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64) + np.uint64(1)
     place = np.arange(len(data)) - np.repeat(starts, sizes)
     powers = np.full(int(sizes.max(initial=0)) + 1, _STEP, dtype=np.uint64)
     powers[0] = 1
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(data * np.cumprod(powers)[place], dtype=np.uint64)))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(data * np.cumprod(powers)[place], dtype=np.uint64)))
     h = sums[starts + sizes] - sums[starts] + sizes.astype(np.uint64)
     for shift in (33, 29, 32):
         h = (h ^ (h >> np.uint64(shift))) * _STEP
     return h ^ (h >> np.uint64(31))
 
 
-def in_fixed_order(names: list[bytes]) -> np.ndarray:
-    """An order of distinct words that does not depend on how they come: by
-    hash, and by name where two have the same."""
-    h = name_hashes(names)
-    order = np.argsort(h)
-    if (h[order[1:]] == h[order[:-1]]).any():
-        order = np.array(sorted(range(len(names)), key=lambda i: (h[i], names[i])), dtype=np.int64)
-    return order
-
-
 @dataclass(frozen=True)
 class Places:
     shards: int
     frequent: frozenset[bytes]
 
-    def hashes(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(self, names: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Per word its hash, and whether it is frequent."""
-        return name_hashes(names), np.fromiter(map(self.frequent.__contains__, names), dtype=bool, count=len(names))
+        often = pc.is_in(names, value_set=pa.array(sorted(self.frequent), pa.binary()))
+        return name_hashes(names), often.to_numpy(zero_copy_only=False)
 
     def words(self, h: np.ndarray) -> np.ndarray:
         return (h % np.uint64(self.shards)).astype(np.int32)
@@ -147,26 +154,27 @@ class Places:
         return (np.where(often[w], both, h[w]) % np.uint64(self.shards)).astype(np.int32)
 
 
-def token_pairs(texts: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
-    """(token, context) numbers of the texts, each with its end token: the
-    token before a text's first word is the end of the text before it."""
-    end, parts = numbers[END], [np.empty(0, dtype=np.int64)]
-    for at in range(0, len(texts), 1024):
-        # Arrow's ASCII white space is that of ``lower_words``.
-        words = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts[at:at + 1024], pa.binary()).cast(pa.string())))
-        encoded = words.flatten().dictionary_encode()
-        names = encoded.dictionary.cast(pa.binary()).to_pylist()
-        # Empty pieces at the ends of a text are no words.
-        none = names.index(b"") if b"" in names else -1
-        place, index = numbers.of(names, np.int64), encoded.indices.to_numpy()
-        kept = index != none
-        ends = np.concatenate(([0], np.cumsum(kept)))[words.offsets.to_numpy()[1:] - words.offsets.to_numpy()[0]]
-        parts.append(np.insert(place[index[kept]], ends, end))
-    ids = np.concatenate(parts)
+def tokens_of(texts: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Distinct words of the texts, and the number of every token: each text's
+    words (Arrow's ASCII white space is that of ``lower_words``) and its end."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).cast(pa.string())))
+    encoded = words.flatten().dictionary_encode()
+    names, index = encoded.dictionary.cast(pa.binary()), encoded.indices.to_numpy()
+    end = pc.index(names, b"").as_py()  # empty pieces at the ends of a text are no words
+    if end < 0:
+        end, names = len(names), pa.concat_arrays([names, pa.array([END], pa.binary())])
+    kept = index != end
+    ends = np.concatenate(([0], np.cumsum(kept)))[words.offsets.to_numpy()[1:] - words.offsets.to_numpy()[0]]
+    return names, np.insert(index[kept].astype(np.int64), ends, end)
+
+
+def contexts_of(ids: np.ndarray, end: int) -> np.ndarray:
+    """The token before each token; before a text's first word that is the end
+    of the text before it."""
     ctx = np.empty(len(ids), dtype=np.int64)
     ctx[:1] = end
     ctx[1:] = ids[:-1]
-    return ids, ctx
+    return ctx
 
 
 def _segments(key: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -203,20 +211,36 @@ PAIRS = "shard int, names binary, w binary, u binary, n binary"
 _PAIRS = {"shard": pa.int32(), "names": pa.binary(), "w": pa.binary(), "u": pa.binary(), "n": pa.binary()}
 
 
-def _local(names: list[bytes], w: np.ndarray, u: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _local(names: pa.BinaryArray, w: np.ndarray, u: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
     """The words that the pairs use, and the pairs over them."""
-    used, at = np.unique(np.concatenate([w, u]), return_inverse=True)
-    return [names[i] for i in used.tolist()], at[:len(w)].astype(np.int32), at[len(w):].astype(np.int32)
+    used = np.zeros(len(names), dtype=bool)
+    used[w] = used[u] = True
+    at = np.cumsum(used) - 1
+    return names.take(pa.array(np.flatnonzero(used))), at[w], at[u]
+
+
+Counted = tuple[pa.BinaryArray, np.ndarray, np.ndarray, np.ndarray]  # words, and pairs over them with their counts
+
+
+def add_up(parts: list[Counted]) -> Counted:
+    """One count of several, words and pairs in order."""
+    names, places = _merged([p[0] for p in parts])
+    keys, at = np.unique(np.concatenate([x[w] << 32 | x[u] for x, (_, w, u, _) in zip(places, parts)]), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate([p[3] for p in parts])).astype(np.int64)
+    return names, keys >> 32, keys & 0xFFFFFFFF, total
 
 
 def _count_pairs(places: Places):
+    def counted(texts: list[bytes]) -> Counted:
+        names, ids = tokens_of(texts)
+        keys, n = np.unique(ids << 32 | contexts_of(ids, pc.index(names, END).as_py()), return_counts=True)
+        return names, keys >> 32, keys & 0xFFFFFFFF, n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, parts, size = WordNumbers(), [], 0
+        parts, size = [], 0
 
         def out() -> pa.RecordBatch:
-            keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
-            names, w, u = list(numbers), keys >> 32, keys & 0xFFFFFFFF
+            names, w, u, n = add_up(parts)
             shard, rows = places.pairs(*places.hashes(names), w, u), []
             for p, own in _segments(shard, np.argsort(shard, kind="stable")):
                 used, lw, lu = _local(names, w[own], u[own])
@@ -224,12 +248,11 @@ def _count_pairs(places: Places):
             return _rows(_PAIRS, rows).to_batches()[0]
         for b in rebatched(batches):
             if b.num_rows:
-                ids, ctx = token_pairs(byte_texts(b), numbers)
-                parts.append(np.unique(ids << 32 | ctx, return_counts=True))
-                size += len(parts[-1][0])
+                parts.append(counted(byte_texts(b)))
+                size += len(parts[-1][1])
                 if size > FLUSH:
                     yield out()
-                    numbers, parts, size = WordNumbers(), [], 0
+                    parts, size = [], 0
         if parts:
             yield out()
     return run
@@ -244,27 +267,15 @@ def _add_pairs(places: Places):
     of dishes with two customers or more, by word shard (``listed_q``, so many
     of them: ``listed_n``) and then by name."""
     def run(group: pa.Table) -> pa.Table:
-        numbers, w, u, n = WordNumbers(), [], [], []
-        for names, *packed in zip(*(group.column(c).to_pylist() for c in ("names", "w", "u", "n"))):
-            at, (lw, lu) = numbers.of(_unpack_names(names), np.int64), _unpack_pairs(*packed[:2])
-            w.append(at[lw])
-            u.append(at[lu])
-            n.append(_unpack_small(packed[2]))
-        names = list(numbers)
-        order = in_fixed_order(names)
-        rank = np.empty(len(names), dtype=np.int64)
-        rank[order] = np.arange(len(names))
-        names = [names[i] for i in order.tolist()]
-        keys, at = np.unique(rank[np.concatenate(w)] << 32 | rank[np.concatenate(u)], return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate(n)).astype(np.int64)
-        w, u = keys >> 32, keys & 0xFFFFFFFF
+        names, w, u, total = add_up([(_unpack_names(names), *_unpack_pairs(w, u), _unpack_small(n))
+                                     for names, w, u, n in zip(*(group.column(c).to_pylist() for c in ("names", "w", "u", "n")))])
         several = total > 1
         used = np.unique(np.concatenate([w[several], u[several]]))
         q = places.words(places.hashes(names)[0])[used] if len(used) else np.empty(0, dtype=np.int32)
         order = np.argsort(q, kind="stable")
         at_q, per_q = np.unique(q, return_counts=True)
         return _rows(_DISHES, [(group.column("shard")[0].as_py(), _pack_names(names), *_pack_pairs(w, u), _pack_small(total),
-                                _pack(used[order].astype(np.int32)), _pack(at_q), _pack(per_q.astype(np.int32)), len(keys), int((total == 1).sum()), int((total == 2).sum()))])
+                                _pack(used[order].astype(np.int32)), _pack(at_q), _pack(per_q.astype(np.int32)), len(total), int((total == 1).sum()), int((total == 2).sum()))])
     return run
 
 
@@ -287,7 +298,7 @@ def _tell_words(places: Places):
                 listed[_unpack(r["listed"])] = 1
                 q, rows = places.words(places.hashes(names)[0]), []
                 for k, own in _segments(q, np.argsort(q, kind="stable")):
-                    rows.append((k, r["shard"], _pack_names([names[i] for i in own.tolist()]), _pack_small(sums[own].T), _pack(listed[own])))
+                    rows.append((k, r["shard"], _pack_names(names.take(pa.array(own))), _pack_small(sums[own].T), _pack(listed[own])))
                 yield from _rows(_TOLD, rows).to_batches()
     return run
 
@@ -302,11 +313,9 @@ def _add_words(group: pa.Table) -> pa.Table:
     which ones (in that shard's order)."""
     rows = sorted(zip(*(group.column(c).to_pylist() for c in ("shard", "names", "sums", "listed"))), key=lambda r: r[0])
     told = [(p, _unpack_names(names), _unpack_small(sums).reshape(len(SUMS), -1).T, _unpack(listed, np.uint8)) for p, names, sums, listed in rows]
-    names = sorted({w for _, own, _, _ in told for w in own})
-    at = dict(zip(names, range(len(names))))
+    names, at = _merged([own for _, own, _, _ in told])
     total, routes = np.zeros((len(names), len(SUMS)), dtype=np.int64), []
-    for p, own, sums, listed in told:
-        place = np.fromiter(map(at.__getitem__, own), dtype=np.int64, count=len(own))
+    for place, (p, _, sums, listed) in zip(at, told):
         total[place] += sums  # a shard tells a word once
         routes.append((p, place[listed == 1].astype(np.int32)))
     routes = [(p, x) for p, x in routes if len(x)]
@@ -576,7 +585,7 @@ def train(docs: DataFrame, shards: int | None = None, burn_in: int = BURN_IN, sa
 class Block:
     """The distinct words and pairs of a block's texts, in an order that
     follows from them alone."""
-    names: list[bytes]
+    names: pa.BinaryArray    # in order; the end token is the first
     tokens: np.ndarray       # word of every token
     pair: np.ndarray         # distinct pair of every token
     w: np.ndarray
@@ -586,15 +595,13 @@ class Block:
 
     @classmethod
     def of(cls, texts: list[bytes], places: Places) -> "Block":
-        numbers = WordNumbers()
-        ids, ctx = token_pairs(texts, numbers)
-        names = sorted(numbers)
-        rank = np.empty(len(names), dtype=np.int64)
-        rank[numbers.of(names, np.int64)] = np.arange(len(names))
-        keys, pair = np.unique(rank[ids] << 32 | rank[ctx], return_inverse=True)
+        parts = [tokens_of(texts[at:at + 1024]) for at in range(0, len(texts), 1024)]
+        names, at = _merged([own for own, _ in parts])
+        ids = np.concatenate([x[own] for x, (_, own) in zip(at, parts)])
+        keys, pair = np.unique(ids << 32 | contexts_of(ids, 0), return_inverse=True)
         h, often = places.hashes(names)
         w, u = keys >> 32, keys & 0xFFFFFFFF
-        return cls(names, rank[ids], pair, w, u, places.pairs(h, often, w, u), places.words(h))
+        return cls(names, ids, pair, w, u, places.pairs(h, often, w, u), places.words(h))
 
     def pairs_by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
         return _segments(self.shard, np.argsort(self.shard, kind="stable"))
@@ -615,7 +622,7 @@ def _ask(places: Places):
             names, w, u = _local(own.names, own.w[at], own.u[at])
             rows.append((0, p, block, _pack_names(names), *_pack_pairs(w, u)))
         for q, at in own.words_by_shard():
-            rows.append((1, q, block, _pack_names([own.names[i] for i in at.tolist()]), None, None))
+            rows.append((1, q, block, _pack_names(own.names.take(pa.array(at))), None, None))
         yield from _rows(_ASKED, rows).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -660,8 +667,6 @@ def _answer_blocks(samples: int):
     def run(asked: pa.Table, model: pa.Table) -> pa.Table:
         pieces = {r["piece"]: r for r in model.to_pylist()}
         known, rows = pieces.get(-1), []
-        names = _unpack_names(known["names"]) if known else []
-        at = dict(zip(names, range(len(names))))
         kind = asked.column("kind")[0].as_py() if asked.num_rows else 0
         width, keys = 1 + samples * (1 if kind == 0 else 3), np.empty(0, dtype=np.int64)
         table = np.zeros((width, 1), dtype=np.int64)  # the last column: what is not there
@@ -675,9 +680,12 @@ def _answer_blocks(samples: int):
         elif known:
             parts = [_unpack_small(known["n"]).reshape(len(SUMS), -1)[:1], *(_unpack_small(pieces[s]["n"]).reshape(3, -1) for s in range(samples))]
             table = np.concatenate([np.concatenate(parts), table], axis=1)
-        for block, shard, raw, w, u in zip(*(asked.column(c).to_pylist() for c in ("block", "at", "names", "w", "u"))):
-            own = _unpack_names(raw)
-            place = np.fromiter(map(at.get, own, repeat(-1)), dtype=np.int64, count=len(own))
+        questions = list(zip(*(asked.column(c).to_pylist() for c in ("block", "at", "names", "w", "u"))))
+        lists = [_unpack_names(q[2]) for q in questions]
+        # All questions' words are looked up together.
+        found_at = pc.index_in(pa.concat_arrays(lists), value_set=_unpack_names(known["names"])) if known and lists else pa.nulls(sum(map(len, lists)), pa.int32())
+        found_at = np.split(pc.fill_null(found_at, -1).to_numpy().astype(np.int64), np.cumsum([len(x) for x in lists])[:-1]) if lists else []
+        for place, (block, shard, _, w, u) in zip(found_at, questions):
             if kind == 0:
                 a, b = (place[x] for x in _unpack_pairs(w, u))
                 key = a << 32 | b
@@ -724,10 +732,10 @@ def _score(places: Places, samples: list[Totals], tokens: int, vocabulary: int):
             p += totals.predictive(pairs[0], pairs[1 + s], words[0][own.u], ctx_tables[own.u], totals.top(customers, tables)[own.w])
         score = np.log10(p / len(samples))[own.pair]
         base, known = np.log10((words[0] + 1) / (tokens + vocabulary + 1))[own.tokens], (words[0] > 0)[own.tokens]
-        ends = np.flatnonzero(own.tokens == own.names.index(END)) + 1 if texts else np.empty(0, dtype=np.int64)
+        ends = np.flatnonzero(own.tokens == 0) + 1
         begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
-        n, k, b, x = (ends - begins, *(np.add.reduceat(v, begins) for v in (known.astype(np.int64), base, score))) if texts else (ends,) * 4
-        return pa.table({"id": pa.array(np.concatenate(ids) if ids else [], pa.int64()), "held_out": pa.array(np.concatenate(held).astype(bool) if held else [], pa.bool_()),
+        n, k, b, x = (ends - begins, *(np.add.reduceat(v, begins) for v in (known.astype(np.int64), base, score)))
+        return pa.table({"id": pa.array(np.concatenate(ids)), "held_out": pa.array(np.concatenate(held).astype(bool)),
                          "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(k, pa.int64()), "base_score": pa.array(b, pa.float64()), "score": pa.array(x, pa.float64())})
     return run
 

@@ -333,6 +333,17 @@ def test_pitman_yor_sums_to_one_and_beats_the_base(make_docs, shipped):
     assert pitman_yor.report(make_docs([])).count() == 0
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=["a", "B", "É", " ", "\x1c", "\x85", "\u2003", "\t", "\n", "\x0b", "\x0c", "\r", "zz", "Ж", "\x00"], max_size=30), min_size=1, max_size=9))
+def test_tokens_are_lower_words_and_ends(texts):
+    names, ids = pitman_yor.tokens_of([t.encode() for t in texts])
+    names = names.to_pylist()
+    assert len(set(names)) == len(names)
+    assert [names[i] for i in ids.tolist()] == [w for t in texts for w in [*lower_words(t.encode()), b""]]
+    packed = pitman_yor._unpack_names(pitman_yor._pack_names(pitman_yor.tokens_of([t.encode() for t in texts])[0]))
+    assert packed.to_pylist() == names
+
+
 def plain_model(model):
     """The shards as dictionaries: dishes (word, context) -> customers and
     tables per sample; words -> tokens and, per sample, tables of the word's
@@ -341,7 +352,7 @@ def plain_model(model):
     for r in model.rows().collect():
         rows.setdefault((r["kind"], r["at"]), {})[r["piece"]] = r
     for (kind, _), pieces in rows.items():
-        names = pitman_yor._unpack_names(pieces[-1]["names"])
+        names = pitman_yor._unpack_names(pieces[-1]["names"]).to_pylist()
         n = pitman_yor._unpack_small(pieces[-1]["n"])
         if kind == 0:
             w, u = pitman_yor._unpack_pairs(pieces[-1]["a"], pieces[-1]["b"])
