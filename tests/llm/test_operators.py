@@ -334,7 +334,7 @@ def test_pitman_yor_sums_to_one_and_beats_the_base(make_docs, shipped):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet=["a", "B", "É", " ", "\x1c", "\x85", "\u2003", "\t", "\n", "\x0b", "\x0c", "\r", "zz", "Ж", "\x00"], max_size=30), min_size=1, max_size=9))
+@given(st.lists(st.text(alphabet=["a", "B", "É", " ", "\x1c", "\x85", "\u2003", "\t", "\n", "\x0b", "\x0c", "\r", "z", "Ж", "\x00"], max_size=30), min_size=1, max_size=9))
 def test_tokens_are_lower_words_and_ends(texts):
     names, ids = pitman_yor.tokens_of([t.encode() for t in texts])
     names = names.to_pylist()
