@@ -704,7 +704,7 @@ h AS (SELECT parent AS date_str, regexp_extract(filename, '{rot}', 1) AS market_
 n AS (SELECT ds AS date_str, mk AS market_key, d, k FROM l0),
 p AS (SELECT n.date_str, n.market_key, n.k, n.d, CAST(coalesce(most, 0) + row_number() OVER (PARTITION BY n.date_str, n.market_key ORDER BY d, k) AS INTEGER) AS part
       FROM n LEFT JOIN h USING (date_str, market_key))
-SELECT date_str, market_key, k, part, market_key || '__start_' || strftime(d, '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(part AS VARCHAR), 4, '0') || '.ndjson.zst' AS filename
+SELECT date_str, market_key, k, part, market_key || '__start_' || strftime(d, '%Y%m%dT%H%M%SZ') || '__part_' || printf('%04d', part) || '.ndjson.zst' AS filename
 FROM p"""
     if which == "payload_audit":
         return f"""WITH {LISTING_SQL},
@@ -721,7 +721,7 @@ c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY date_str, market_key ORDER BY
 p AS (SELECT date_str, market_key, cut, min(s) AS start, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS size_bytes FROM c GROUP BY ALL),
 h AS (SELECT strftime(ts, '%Y-%m-%d') AS date_str, mk AS market_key, max(k % 7 + 1) AS most FROM b WHERE event_type = 'error' GROUP BY ALL),
 q AS (SELECT p.*, CAST(coalesce(most, 0) + row_number() OVER (PARTITION BY p.date_str, p.market_key ORDER BY cut) AS INTEGER) AS part FROM p LEFT JOIN h USING (date_str, market_key))
-SELECT date_str, market_key, part, market_key || '__start_' || strftime(make_timestamp(start * 1000000), '%Y%m%dT%H%M%SZ') || '__part_' || lpad(CAST(part AS VARCHAR), 4, '0') || '.ndjson.zst' AS filename,
+SELECT date_str, market_key, part, market_key || '__start_' || strftime(make_timestamp(start * 1000000), '%Y%m%dT%H%M%SZ') || '__part_' || printf('%04d', part) || '.ndjson.zst' AS filename,
        n_rows, size_bytes FROM q"""
     if which == "projection":
         return f"""WITH {MARKETS_SQL},
