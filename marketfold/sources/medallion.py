@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketfold.operators import silver as S
-from marketfold.session import cut_lineage
+from marketfold.session import NO_WHOLE_STAGE, cut_lineage
 from marketfold.sources.files import CommitLog, FileSystem
 
 LEDGER_SCHEMA = "stage string, id string, date string, source string, market string, produced_at string, payload string, commit string"
@@ -217,7 +217,7 @@ class Medallion:
         commit, tables = uuid.uuid4().hex, ["silver", "quarantine", "ledger"]
         raw = self.bronze(todo).withColumnRenamed("date", "snapshot_date")
         rows = S.normalize(S.parse_row_text(raw, "value"), keep=("batch_id", "rn"))
-        checked = cut_lineage(S.with_batch_check(rows), "silver-checked")
+        checked = cut_lineage(S.with_batch_check(rows), "silver-checked", NO_WHOLE_STAGE)
         good, refused = S.split_valid(checked)
         out = S.partition_hour(good).withColumn("date", F.col("snapshot_date")).withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
         self._write(out, "silver", commit, PLACES, order=("batch_id", "rn"), compression="zstd")

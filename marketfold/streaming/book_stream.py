@@ -25,7 +25,9 @@ from marketfold.functions import constants as C
 from marketfold.operators.book import MARK, _Side, book_ops
 from marketfold.operators.canonical import conform
 
-STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+# A micro-batch saves what it changed; whole copies of the state follow in the background.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 BEST_SCHEMA = "product string, market_key string, seq long, i int, recv_us long, event_us long, bid double, ask double"
 _ORDER = ["seq", "i", "phase", "j"]
 
