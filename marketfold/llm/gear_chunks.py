@@ -8,7 +8,8 @@ cut alike in every document.  Chunks (49 bytes on average) are compared by a
 128-bit digest: a chunk that two or more documents hold belongs to the
 smallest ``doc_id`` among them.  Runs of neighbouring chunks that belong to
 other documents, of at least ``MIN_WORDS`` words, are repeated passages and are
-removed; shorter runs are chance and stay.
+removed; shorter runs are chance and stay.  In scripts without spaces two
+characters are a word.
 
 Scale: digests are reduced map-side (smallest and largest id), so a chunk that
 a third of all documents hold costs one row per task; holders meet the table
@@ -24,6 +25,7 @@ documents without an id are one document, ranked last.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,7 +151,7 @@ def _runs(text: bytes, starts: list[int], flags: list[bool], min_words: int) ->
             j = i
             while j < len(flags) and flags[j]:
                 j += 1
-            words = len(text[starts[i]:starts[j]].split())
+            words = count_words(text[starts[i]:starts[j]], min_words)
             if words >= min_words:
                 yield i, j, words
             i = j
@@ -157,6 +159,17 @@ def _runs(text: bytes, starts: list[int], flags: list[bool], min_words: int) ->
             i += 1
 
 
+# Scripts that are written without spaces (Thai to Khmer, Han and kana, their further planes).
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u31ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def count_words(passage: bytes, enough: int) -> int:
+    """Words of a passage by white space; where these are fewer than ``enough``,
+    two characters of a script without spaces count as a word."""
+    words = len(passage.split())
+    return words if words >= enough else words + len(UNSPACED.findall(passage.decode(errors="ignore"))) // 2
+
+
 def _char_start(text: bytes, at: int) -> int:
     """The next place at or after ``at`` where a character starts."""
     while at < len(text) and text[at] & 0xC0 == 0x80:

@@ -77,6 +77,16 @@ def test_repeats_equal_brute_force(make_docs):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, plain_repeats(rows)))
 
 
+def test_passages_in_scripts_without_spaces_go(make_docs):
+    rnd = random.Random(3)
+    han = lambda n: "".join(chr(rnd.randint(0x4E00, 0x9FA0)) for _ in range(n))
+    passage, rows = han(120), [(1, None), (2, None), (3, han(150))]
+    rows[0], rows[1] = (1, han(60) + passage + han(60)), (2, han(70) + passage + han(30))
+    got = {r["doc_id"]: r for r in gear_chunks.report(make_docs(rows)).collect()}
+    assert got[2]["n_removed_spans"] == 1 and got[2]["n_removed_words"] >= 30 and got[2]["kept_in"] == [1]
+    assert got[1]["n_removed_spans"] == got[3]["n_shared_words"] == 0 < got[1]["n_shared_words"]
+
+
 def test_rows_without_an_id_are_cleaned_text_by_text(make_docs):
     """Many rows without an id that all lose something: the work is per text."""
     rows = repeating_rows(80, False)
