@@ -43,14 +43,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import byte_texts, id_back, id_key, lower_words, rebatched, text_or_empty
-from marketfold.session import cut_lineage, cuts, drop_cuts
+from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, lower_words, rebatched, text_or_empty
+from marketfold.session import conf_scope, cut_lineage, cuts, drop_cuts
 
 END = b""  # the end token; it is also the context of a text's first word
-BLOCK_BITS = 12            # a block has up to 2**12 documents
+BLOCK_BITS = 11            # a block has up to 2**11 documents
 PAIRS_PER_SHARD = 500_000  # about so many of the blocks' distinct pairs meet in one group
 FREQUENT, LOOK = 0.002, 64  # words of this share, in one text of so many, have their pairs dealt out by both words
-FLUSH = 3_000_000          # distinct pairs that a counting task holds
+FLUSH = 1_500_000          # distinct pairs that a counting task holds
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -60,7 +60,7 @@ LISTED, NODES = 2048, 160  # up to so many customers a dish's law is listed in a
 # ---- packing ----------------------------------------------------------------
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(a), 3)
 
 
 def _unpack(raw: bytes, kind=np.int32) -> np.ndarray:
@@ -202,8 +202,9 @@ def frequent_words(texts: DataFrame) -> frozenset[bytes]:
     some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(LOOK)) == 0)
     # At most 2 / FREQUENT words a task; added up before they come here.
     rows = some.mapInArrow(often, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = rows.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
-    found = rows.filter(F.col("word").isNotNull() & (F.col("n") >= FREQUENT / 2 * total)).collect()
+    with conf_scope(texts.sparkSession, SMALL_BATCHES):
+        total = rows.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
+        found = rows.filter(F.col("word").isNotNull() & (F.col("n") >= FREQUENT / 2 * total)).collect()
     return frozenset([END, *(bytes(r["word"]) for r in found)])
 
 
@@ -219,6 +220,11 @@ def _local(names: pa.BinaryArray, w: np.ndarray, u: np.ndarray) -> tuple[pa.Bina
     return names.take(pa.array(np.flatnonzero(used))), at[w], at[u]
 
 
+def give_back() -> None:
+    """What Arrow holds ready for later goes back, as a worker lives on."""
+    pa.default_memory_pool().release_unused()
+
+
 Counted = tuple[pa.BinaryArray, np.ndarray, np.ndarray, np.ndarray]  # words, and pairs over them with their counts
 
 
@@ -234,7 +240,7 @@ def _count_pairs(places: Places):
     def counted(texts: list[bytes]) -> Counted:
         names, ids = tokens_of(texts)
         keys, n = np.unique(ids << 32 | contexts_of(ids, pc.index(names, END).as_py()), return_counts=True)
-        return names, keys >> 32, keys & 0xFFFFFFFF, n
+        return names, (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32), n.astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -253,8 +259,11 @@ def _count_pairs(places: Places):
                 if size > FLUSH:
                     yield out()
                     parts, size = [], 0
+                    give_back()
         if parts:
             yield out()
+            parts = []
+            give_back()
     return run
 
 
@@ -267,6 +276,7 @@ def _add_pairs(places: Places):
     of dishes with two customers or more, by word shard (``listed_q``, so many
     of them: ``listed_n``) and then by name."""
     def run(group: pa.Table) -> pa.Table:
+        give_back()
         names, w, u, total = add_up([(_unpack_names(names), *_unpack_pairs(w, u), _unpack_small(n))
                                      for names, w, u, n in zip(*(group.column(c).to_pylist() for c in ("names", "w", "u", "n")))])
         several = total > 1
@@ -555,7 +565,7 @@ def train(docs: DataFrame, shards: int | None = None, burn_in: int = BURN_IN, sa
     """Model of the texts of ``docs``."""
     spark, texts = docs.sparkSession, docs.select(text_or_empty().alias("text"))
     places = Places(shards or shards_for(texts), frequent_words(texts))
-    dishes = cut_lineage(texts.mapInArrow(_count_pairs(places), PAIRS).groupBy("shard").applyInArrow(_add_pairs(places), DISHES), "py-dishes")
+    dishes = cut_lineage(texts.mapInArrow(_count_pairs(places), PAIRS).groupBy("shard").applyInArrow(_add_pairs(places), DISHES), "py-dishes", SMALL_BATCHES)
     words = cut_lineage(dishes.mapInArrow(_tell_words(places), TOLD).groupBy("q").applyInArrow(_add_words, WORDS), "py-words")
     kinds = words.agg(*[F.sum(c).alias(c) for c in ("words", "tokens", "ones", "twos", "customers")]).first()
     pairs = dishes.agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos")).first()
@@ -601,7 +611,7 @@ class Block:
         keys, pair = np.unique(ids << 32 | contexts_of(ids, 0), return_inverse=True)
         h, often = places.hashes(names)
         w, u = keys >> 32, keys & 0xFFFFFFFF
-        return cls(names, ids, pair, w, u, places.pairs(h, often, w, u), places.words(h))
+        return cls(names, ids.astype(np.int32), pair.astype(np.int32), w, u, places.pairs(h, often, w, u), places.words(h))
 
     def pairs_by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
         return _segments(self.shard, np.argsort(self.shard, kind="stable"))
@@ -623,7 +633,9 @@ def _ask(places: Places):
             rows.append((0, p, block, _pack_names(names), *_pack_pairs(w, u)))
         for q, at in own.words_by_shard():
             rows.append((1, q, block, _pack_names(own.names.take(pa.array(at))), None, None))
+        del own
         yield from _rows(_ASKED, rows).to_batches()
+        give_back()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, texts = None, []
@@ -692,6 +704,7 @@ def _answer_blocks(samples: int):
                 found = np.searchsorted(keys, key)
                 place = np.where((a >= 0) & (b >= 0) & (np.append(keys, -1)[found] == key), found, -1)
             rows.append((block, kind, shard, _pack_found(table[:, place])))
+        give_back()
         return _rows(_TOLD_BLOCKS, rows)
     return run
 
