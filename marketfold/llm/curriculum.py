@@ -103,29 +103,44 @@ def _key_of_source() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
 
 
-def plan_mix(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` as ``_row`` plus ``_m``: size,
-    source_size, target, rank, start (words of its source queued before it)."""
+def _sized(docs: DataFrame, *more: Column) -> DataFrame:
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("source").alias("_source"), _key_of_source().alias("_s"), size_of(text_or_empty()).alias("_size"),
-                        key.alias("_key"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text_or_empty()).alias("_tie"))
-    narrow = cut_lineage(sized.select("_source", "_s", "_size", "_key"), "mix-sizes")
-    n = narrow.count()
-    # About as many buckets as a bucket has rows: hexadecimal digits of the digest.
-    digits = max(1, math.ceil(math.log(max(n, 1), 16) / 2))
-    bucket = F.substring("_key", 1, digits)
-    targets = cut_lineage(source_targets(narrow.select(F.col("_source").alias("source"), F.col("_size").alias("size"))), "mix-targets")
-    totals = narrow.groupBy("_s", bucket.alias("_bucket")).agg(F.sum("_size").alias("_sum"))
-    before = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    starts = cut_lineage(starts.join(targets.withColumn("_s", _key_of_source()).drop("source"), "_s"), "mix-buckets")
-    # The join and the window share one partitioning, so the rows are shuffled once.
-    joined = sized.withColumn("_bucket", bucket).join(starts, ["_s", "_bucket"])
-    inside = Window.partitionBy("_s", "_bucket").orderBy("_key", F.col("_doc").asc_nulls_last(), "_tie") \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
-    return joined.withColumn("_start", start).select("_row", F.struct(
-        F.col("_size").alias("size"), "source_size", "target", "rank", F.col("_start").alias("start")).alias("_m"))
+    return docs.select(F.col("source").alias("_source"), _key_of_source().alias("_s"), size_of(text_or_empty()).alias("_size"), key.alias("_key"),
+                       F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text_or_empty()).alias("_tie"), *more)
+
+
+def _row_of(columns: list[str]) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
+
+
+class MixPlan:
+    """Targets of the sources and the queue places of their documents.
+
+    ``sizes`` holds a narrow row per document; sources and buckets are summed
+    up from it once, for any number of tables to be placed."""
+
+    def __init__(self, docs: DataFrame):
+        self.sizes = cut_lineage(_sized(docs, _row_of(["doc_id"])), "mix-sizes")
+        n = self.sizes.count()
+        # About as many buckets as a bucket has rows: hexadecimal digits of the digest.
+        digits = max(1, math.ceil(math.log(max(n, 1), 16) / 2))
+        self.bucket = F.substring("_key", 1, digits)
+        targets = cut_lineage(source_targets(self.sizes.select(F.col("_source").alias("source"), F.col("_size").alias("size"))), "mix-targets")
+        totals = self.sizes.groupBy("_s", self.bucket.alias("_bucket")).agg(F.sum("_size").alias("_sum"))
+        before = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+        self.starts = cut_lineage(starts.join(targets.withColumn("_s", _key_of_source()).drop("source"), "_s"), "mix-buckets")
+
+    def placed(self, sized: DataFrame) -> DataFrame:
+        """``_row`` of the documents (``_sized``) plus ``_m``: size,
+        source_size, target, rank, start (words of its source queued before it)."""
+        # The join and the window share one partitioning, so the rows are shuffled once.
+        joined = sized.withColumn("_bucket", self.bucket).join(self.starts, ["_s", "_bucket"])
+        inside = Window.partitionBy("_s", "_bucket").orderBy("_key", F.col("_doc").asc_nulls_last(), "_tie") \
+                       .rowsBetween(Window.unboundedPreceding, -1)
+        start = F.col("_before") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
+        return joined.withColumn("_start", start).select("_row", F.struct(
+            F.col("_size").alias("size"), "source_size", "target", "rank", F.col("_start").alias("start")).alias("_m"))
 
 
 def _words_due() -> Column:
@@ -140,13 +155,19 @@ def _taken_in(lap: int) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: sizes, its source's target, words taken, and the
-    training position of its first take (null if never taken)."""
-    m = plan_mix(docs.select("doc_id", "text", "source"), ["doc_id"])
-    taken = sum((_taken_in(lap) for lap in range(1, REPEATS)), _taken_in(0))
-    return unpacked(m, ["doc_id"], F.col("_m.size").alias("size"), F.col("_m.source_size").alias("source_size"),
-                    F.col("_m.target").alias("target"), taken.alias("taken"),
-                    F.when(taken > 0, position(0)).alias("position"))
+    """One row per document: sizes, its source's target, the words that the mix
+    holds of it, counted in the texts of its rows, and the training position of
+    its first row (null if never taken)."""
+    docs = docs.select("doc_id", "text", "source")
+    plan = MixPlan(docs)
+    rows = training_rows(plan, docs)
+    # The rows are in training order, so the lowest place is a document's first take.
+    takes = rows.select("_m.rank", "_m.start", size_of(taken_text()).alias("words"), F.col("_take.at").alias("at"), F.monotonically_increasing_id().alias("place"))
+    mixed = takes.groupBy("rank", "start").agg(F.sum("words").alias("words"), F.min_by("at", "place").alias("at"))
+    # Documents with words differ in their start; one without words is not in the mix.
+    m = plan.placed(plan.sizes).select("*", "_m.rank", F.when(F.col("_m.size") > 0, F.col("_m.start")).alias("start"))
+    return unpacked(m.join(mixed, ["rank", "start"], "left"), ["doc_id"], F.col("_m.size").alias("size"), F.col("_m.source_size").alias("source_size"),
+                    F.col("_m.target").alias("target"), F.coalesce("words", F.lit(0)).cast("long").alias("taken"), F.col("at").alias("position"))
 
 
 def position(lap: int, schedules: tuple[Schedule, ...] = SCHEDULES) -> Column:
@@ -164,18 +185,33 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({SPACE_CLASS}*[^\\x20\\x09-\\x0D]+)"), F.lit(1)), F.lit(1), n.cast("int")), "")
 
 
+def _is_part() -> Column:
+    return F.col("_take.words") < F.col("_m.size")
+
+
+def taken_text() -> Column:
+    """The text of a row of the mix: the document's, cut at the words still due."""
+    whole = F.col("_row.text")
+    return F.when(_is_part(), first_words(whole, F.col("_take.words"))).otherwise(whole)
+
+
+def training_rows(plan: MixPlan, docs: DataFrame, schedules: tuple[Schedule, ...] = SCHEDULES) -> DataFrame:
+    """(_row, _m, _take): one row per take, range-partitioned and sorted by
+    training position."""
+    m = plan.placed(_sized(docs, _row_of(docs.columns)))
+    takes = F.array(*[F.struct(_taken_in(lap).alias("words"), position(lap, schedules).alias("at"), F.lit(lap).alias("lap")) for lap in range(REPEATS)])
+    rows = m.withColumn("_take", F.explode(F.filter(takes, lambda t: t["words"] > 0)))
+    order = [F.col("_take.at"), F.col("_m.rank"), F.col("_take.lap"), F.col("_m.start"), F.col("_row.doc_id")]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame, schedules: tuple[Schedule, ...] = SCHEDULES) -> DataFrame:
     """Documents in training order: one row per take, columns as in ``docs``.
 
     The take at which a source's demand runs out holds only the words still
     due.  Rows are range-partitioned and sorted by position."""
-    m = plan_mix(docs, docs.columns)
-    takes = F.array(*[F.struct(_taken_in(lap).alias("words"), position(lap, schedules).alias("at"), F.lit(lap).alias("lap")) for lap in range(REPEATS)])
-    rows = m.withColumn("_take", F.explode(F.filter(takes, lambda t: t["words"] > 0)))
-    part = F.col("_take.words") < F.col("_m.size")
-    whole = F.col("_row.text")
-    instead = {"text": F.when(part, first_words(whole, F.col("_take.words"))).otherwise(whole)}
+    rows = training_rows(MixPlan(docs), docs, schedules)
+    instead = {"text": taken_text()}
     if "n_chars" in docs.columns:
-        instead["n_chars"] = F.when(part, F.length(instead["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
-    order = [F.col("_take.at"), F.col("_m.rank"), F.col("_take.lap"), F.col("_m.start"), F.col("_row.doc_id")]
-    return unpacked(rows.repartitionByRange(*order).sortWithinPartitions(*order), docs.columns, **instead)
+        instead["n_chars"] = F.when(_is_part(), F.length(instead["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return unpacked(rows, docs.columns, **instead)

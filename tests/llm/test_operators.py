@@ -191,6 +191,24 @@ def test_mix_reaches_targets_in_training_order(make_docs):
     assert curriculum.mix(make_docs([(1, None), (2, "")])).count() == 0
 
 
+def test_report_reads_the_training_rows(make_docs, monkeypatch):
+    """``taken`` counts the words of the mix's rows, ``position`` is the place of the first one."""
+    rows = [(i, prose(i, 20), "abc"[i % 3]) for i in range(60)] + [(7, prose(7, 20), "b"), (None, prose(70, 9), None), (None, None, "a"), (61, "", "c")]
+    docs = make_docs(rows)
+    words = Counter()
+    for r in curriculum.mix(docs).collect():
+        words[r["doc_id"]] += len(r["text"].split())
+    got, taken = curriculum.report(docs), Counter()
+    assert "rangepartitioning" in got._jdf.queryExecution().executedPlan().toString()
+    for r in got.collect():
+        taken[r["doc_id"]] += r["taken"]
+        assert (r["position"] is None) == (r["taken"] == 0)
+    assert len(got.collect()) == len(rows) and +taken == words
+    whole = curriculum.first_words
+    monkeypatch.setattr(curriculum, "first_words", lambda text, n: whole(text, n - 1))
+    assert sum(r["taken"] for r in curriculum.report(docs).collect()) < sum(words.values())
+
+
 def test_schedule_inverse(shipped):
     from pyspark.sql import functions as F
     for s in curriculum.SCHEDULES:
