@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, lower_words, packed, rebatched, row_texts, unpacked
+from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, lower_words, packed, rebatched, row_texts, unpacked, worker_memory
 from marketfold.session import cut_lineage
 
 PERMUTATIONS, BANDS, BAND_ROWS, LOW_BITS = 128, 25, 5, 4
@@ -100,6 +100,7 @@ def packed_bits(mins: np.ndarray) -> np.ndarray:
 
 def _sign(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("minhash")
         memo = WordHashes()
         for b in rebatched(batches):
             copies, sizes, bands, bits = [], [], [], []
@@ -127,6 +128,7 @@ def _with_copy(texts, at: str, once: bool):
     ``once``, of rows equal in the column ``at`` and in it a task passes on the
     first (and more when it has emptied its memory)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("minhash")
         seen: set = set()
         for b in rebatched(batches):
             copies, first = [], []
@@ -272,7 +274,7 @@ class NearDuplicates:
         wanted = self.classes.join(wanted.withColumnRenamed("id", "rep"), "rep")
         texts = self.docs.mapInArrow(_with_copy(byte_texts, "id", True), "id long, text string, copy binary")
         texts = texts.join(wanted, ["id", "copy"]).groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text"))
-        texts = cut_lineage(texts, "minhash-texts")
+        texts = cut_lineage(texts, "minhash-texts", SMALL_BATCHES)
         pairs = cut_lineage(self._estimated(self.met.select("a", "b")), "minhash-pairs")
         sure = confirmed(pairs.filter(F.col("near") >= self.threshold / 100 - MARGIN), texts, self.k) \
             .filter(100 * F.col("both") >= self.threshold * F.col("either")).select("a", "b")
@@ -346,9 +348,10 @@ def report(docs: DataFrame, k: int = 3, similarity: float = 0.85) -> DataFrame:
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """Of each component the row of the smallest id (and rows equal to it in id
-    and words), columns as in ``docs``; and all rows without words."""
+    and words), columns as in ``docs``; and all rows without words.  Written
+    here, since whole rows go through Python in batches set for the job."""
     stay = NearDuplicates(docs, k, similarity).leaders().filter("copy = keeper_copy").select(F.col("component").alias("_id"), "copy", F.lit(True).alias("_stays"))
     rows = packed(docs, id_key().alias("_id"))
     rows = rows.mapInArrow(_with_copy(row_texts, "_id", False), T.StructType([*rows.schema, T.StructField("copy", T.BinaryType())]))
     rows = rows.join(stay, ["_id", "copy"], "left").filter("_stays OR copy IS NULL")
-    return unpacked(rows, docs.columns)
+    return cut_lineage(unpacked(rows, docs.columns), "minhash-kept", SMALL_BATCHES)

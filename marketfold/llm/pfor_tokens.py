@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, rebatched, text_or_empty
+from marketfold.llm.common import SMALL_BATCHES, byte_texts, id_back, id_key, rebatched, text_or_empty, worker_memory
 from marketfold.session import checkpoint_dir, conf_scope
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
@@ -132,14 +132,12 @@ class WordEncoder(dict):
         return [b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder_for(vocabulary: str) -> WordEncoder:
     """The worker's encoder of a vocabulary file."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = WordEncoder(vocabulary)
-    return _encoders[vocabulary]
+    encoders = worker_memory("token encoders")
+    if vocabulary not in encoders:
+        encoders[vocabulary] = WordEncoder(vocabulary)
+    return encoders[vocabulary]
 
 
 # ---- blocks -----------------------------------------------------------------

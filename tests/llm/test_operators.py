@@ -643,3 +643,21 @@ def test_token_files_and_ranges(make_docs, shipped):
     for start, n in ((0, 5), (600, 1500), (len(stream) - 3, 50)):
         assert pfor_tokens.read_range(shipped, path, start, n).tolist() == stream[start:start + n]
     assert pfor_tokens.report(make_docs([]), queries.vocabulary_path()).count() == 0
+
+
+def test_near_dedup_hands_texts_over_in_small_batches(make_docs, monkeypatch):
+    """Every job that gives whole texts to Python sets its batch size, and its
+    tasks drop what the tasks of other operators left in their worker."""
+    import pyarrow as pa
+
+    from marketfold.llm import common
+    written, cut = {}, bbit_minhash.cut_lineage
+    monkeypatch.setattr(bbit_minhash, "cut_lineage", lambda df, name="stage", settings=None: (written.update({name: settings}), cut(df, name, settings))[1])
+    rows = [(i, prose(i // 2, 60) + (" end" if i % 2 else "")) for i in range(20)]
+    assert bbit_minhash.keep_one(make_docs(rows)).count() == 10
+    assert all(written[name] == common.SMALL_BATCHES for name in ("minhash-signed", "minhash-texts", "minhash-kept"))
+    left = common.worker_memory("token encoders")
+    left["file"] = "a large table of words"
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1], pa.int64()), "text": ["a b c d e f"]})
+    assert next(bbit_minhash._sign(5)(iter([batch]))).num_rows == 1
+    assert not left and "token encoders" not in common._kept
