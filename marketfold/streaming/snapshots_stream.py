@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketfold.operators.canonical import CANONICAL_SCHEMA
-from marketfold.operators.snapshots import GAUGE_NAMES, block_seconds, densify, finalize_snapshots, interval_aggregates
+from marketfold.operators.snapshots import GAUGE_NAMES, block_seconds, densify, feed_aggregates, finalize_snapshots, interval_aggregates
 from marketfold.sources.files import FileSystem
 
 FEED_SCHEMA = T.StructType([*CANONICAL_SCHEMA.fields, T.StructField("row_type", T.StringType()), T.StructField("n", T.LongType())])
@@ -101,10 +101,17 @@ class SnapshotStream:
             latest = F.greatest(*[F.col(f"{o}.arrived") for o in _ORDERS])
             lo, late_at = state.agg(F.max("snap_ts"), F.max(latest)).first()
         clock = max(clock, lo)
-        new = interval_aggregates(rows.filter("row_type = 'e'"), self.markets, i, rows.filter("row_type = 'd'"), not_before=lo, with_order=True, late_at=late_at)
-        dense = densify(self._merge(new, state), self.markets, lo, clock, i, (*GAUGE_NAMES, *_ORDERS))
-        part = F.when(F.col("snap_ts") < clock, F.lit("done")).otherwise(F.lit("open"))
-        dense.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/folds/batch={batch}")
+        new = feed_aggregates(rows, self.markets, i, not_before=lo, with_order=True, late_at=late_at)
+        # The sparse aggregate has several readers; the micro-batch's rows are read once.
+        path = f"{self.root}/aggregates/batch={batch}"
+        self._merge(new, state).write.mode("overwrite").parquet(path)
+        agg = self.spark.read.parquet(path)
+        dense = densify(agg, self.markets, lo, clock, i).withColumn("part", F.when(F.col("snap_ts") < clock, F.lit("done")).otherwise(F.lit("open")))
+        # Only the open boundary is merged again, so only it holds the order keys.
+        last = agg.groupBy("market_key").agg(*[F.max_by(o, F.when(F.col(o).isNotNull(), F.col("snap_ts"))).alias(o) for o in _ORDERS])
+        dense = dense.join(last, "market_key", "left").withColumns({o: F.when(F.col("part") == "open", F.col(o)) for o in _ORDERS})
+        dense.write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/folds/batch={batch}")
+        self.files.delete(f"{self.root}/aggregates")
         self._seal()
 
     def fold_once(self, rows: DataFrame, batch: int) -> None:
@@ -180,10 +187,12 @@ class SnapshotStream:
 
 
 def slices(feed: DataFrame, n: int) -> list[DataFrame]:
-    """The feed cut into ``n`` parts by arrival (a replay in landing order)."""
+    """The feed cut into ``n`` parts by arrival (a replay in landing order).  The
+    parts are ranges of arrival, so a feed that is derived and not stored yet
+    is worked out for the rows of the part that is read."""
     span = feed.agg(F.min("recv_s").alias("lo"), F.max("recv_s").alias("hi")).first()
     if span["lo"] is None:
         return [feed]
     step = max(1, -(-(span["hi"] - span["lo"] + 1) // n))
-    part = F.floor((F.col("recv_s") - F.lit(span["lo"])) / F.lit(step))
-    return [feed.filter(part == k) for k in range(n)]
+    at = F.col("recv_s")
+    return [feed.filter((at >= F.lit(span["lo"] + k * step)) & (at < F.lit(span["lo"] + (k + 1) * step))) for k in range(n)]

@@ -247,3 +247,28 @@ def test_rows_behind_the_watermark_go_to_the_side_table(spark, tmp_path):
     assert sorted(r["seq"] for r in stream.late().collect()) == [3, 5]
     stream.flush()
     assert counts() == {**final, ("cb-btcusd", 1620): (1, 6.0)}
+
+
+def test_a_micro_batch_is_aggregated_once(spark, tmp_path):
+    from pyspark.sql.functions import udf
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+    counted = udf(count, "string").asNondeterministic()
+    rows = event(spark, [(k, 1000 + 7 * k, "cb-btcusd", "trade", float(k)) for k in range(20)]).withColumn("kind", counted("kind"))
+    stream = SnapshotStream(spark, canon.markets_frame(spark), 60, str(tmp_path))
+    stream.fold(rows, 0)
+    stream.flush()
+    assert seen.value == 20
+    # Completed rows hold no order keys; the open ones do.
+    done, left = (spark.read.parquet(f"{tmp_path}/folds/batch=0/part={p}") for p in ("done", "open"))
+    assert done.filter("last_trade_px__o is not null").isEmpty() and left.filter("market_key = 'cb-btcusd'").first()["last_trade_px__o"]["seq"] == 19
+    assert sum(r["trade_count_1s"] for r in stream.output().collect()) == 20
+
+
+def test_slices_of_a_derived_feed_are_ranges_of_arrival(spark):
+    rows = [(k, t, "cb-btcusd", "trade", 1.0) for k, t in enumerate((100, 101, 104, 107, 108, 110, 111, None))]
+    parts = [sorted(r["recv_s"] for r in p.collect()) for p in slices(event(spark, rows), 4)]
+    assert parts == [[100, 101], [104], [107, 108], [110, 111]]
