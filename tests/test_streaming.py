@@ -272,3 +272,13 @@ def test_slices_of_a_derived_feed_are_ranges_of_arrival(spark):
     rows = [(k, t, "cb-btcusd", "trade", 1.0) for k, t in enumerate((100, 101, 104, 107, 108, 110, 111, None))]
     parts = [sorted(r["recv_s"] for r in p.collect()) for p in slices(event(spark, rows), 4)]
     assert parts == [[100, 101], [104], [107, 108], [110, 111]]
+
+
+def test_book_ops_travel_packed():
+    import pyarrow as pa
+    from marketfold.streaming.book_stream import pack_ops
+    rows = [{"product": p, "seq": s, "price": x} for p, s, x in (("A", 1, 1.5), ("B", 2, None), ("A", None, 2.5), ("A", 1 << 60, float("nan")))]
+    packed = [r for b in pack_ops(iter([pa.RecordBatch.from_pylist(rows), pa.RecordBatch.from_pylist(rows[:2])])) for r in b.to_pylist()]
+    back = [(r["product"], pa.ipc.open_stream(r["ops"]).read_all().to_pylist()) for r in packed]
+    assert [(p, len(ops)) for p, ops in back] == [("A", 3), ("B", 1), ("A", 1), ("B", 1)]
+    assert [o["seq"] for o in back[0][1]] == [1, None, 1 << 60] and back[1][1] == [{"seq": 2, "price": None}]
