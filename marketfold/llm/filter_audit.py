@@ -35,13 +35,14 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketfold.llm.common import SMALL_BATCHES, UPPER, WordNumbers, byte_slices, id_key, row_texts
+from marketfold.llm.common import SMALL_BATCHES, UPPER, byte_slices, id_key, row_texts
 from marketfold.session import cut_lineage
 
 BLOCK_BYTES = 16 << 20
@@ -70,27 +71,31 @@ def facts(text: bytes) -> tuple[int, int, bool, bytes]:
             len(text.translate(None, SYMBOLS)) < len(text), hashlib.blake2b(text, digest_size=16).digest())
 
 
-def sparse_rows(texts: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row lengths, column numbers and counts of the texts' CSR rows; new words
-    get the next numbers."""
-    rows = [numbers.of(t.split(), np.int32) for t in texts]
-    owner = np.repeat(np.arange(len(rows), dtype=np.int64), [len(r) for r in rows])
-    width = max(len(numbers), 1)
-    cells, counts = np.unique(owner * width + np.concatenate(rows), return_counts=True)
-    return np.bincount(cells // width, minlength=len(rows)), (cells % width).astype(np.int32), counts.astype(np.int32)
+def sparse_rows(texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of the texts, and row lengths, column numbers and counts
+    of their CSR rows over these words (Arrow's ASCII white space is that of
+    ``bytes.split``)."""
+    pieces = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+    owner, words = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(pieces).to_numpy()), pieces.flatten()
+    full = pc.greater(pc.binary_length(words), 0)  # empty pieces at the ends of a text are no words
+    encoded = words.filter(full).dictionary_encode()
+    width = max(len(encoded.dictionary), 1)
+    cells, counts = np.unique(owner[full.to_numpy(zero_copy_only=False)] * width + encoded.indices.to_numpy(), return_counts=True)
+    return encoded.dictionary, np.bincount(cells // width, minlength=len(texts)), (cells % width).astype(np.int32), counts.astype(np.int32)
 
 
 class _Block:
-    """A block under construction: only numbers are held, not texts."""
+    """A block under construction: only distinct words and numbers are held, as
+    arrays, not texts."""
 
     def __init__(self, schema: pa.Schema):
-        self.schema, self.size, self.numbers = schema, 0, WordNumbers()
-        self.lengths, self.indices, self.counts, self.docs = [], [], [], []
+        self.schema, self.size = schema, 0
+        self.words, self.lengths, self.indices, self.counts, self.docs = [], [], [], [], []
 
     def add(self, batch: pa.RecordBatch) -> None:
         texts = row_texts(batch)
         self.size += sum(map(len, texts))
-        for held, new in zip((self.lengths, self.indices, self.counts), sparse_rows(texts, self.numbers)):
+        for held, new in zip((self.words, self.lengths, self.indices, self.counts), sparse_rows(texts)):
             held.append(new)
         doc = self.schema.field("docs").type.value_type
         known = [pa.array(list(c), doc.field(name).type) for c, (name, _) in zip(zip(*map(facts, texts)), _FACTS)]
@@ -98,13 +103,15 @@ class _Block:
 
     def rows(self, number: int) -> Iterator[pa.RecordBatch]:
         """The block's words, a row each, and then its matrix."""
-        words = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
-        self.numbers.clear()
+        encoded = pa.concat_arrays(self.words).dictionary_encode()
+        words, places = encoded.dictionary, np.split(encoded.indices.to_numpy(), np.cumsum([len(w) for w in self.words])[:-1])
+        indices = np.concatenate([place[own] for place, own in zip(places, self.indices)])
+        del encoded, places, self.words, self.indices
         for at in range(0, len(words), WORD_ROWS):
             part = words.slice(at, WORD_ROWS)
             yield self._batch(len(part), block=pa.array(np.full(len(part), number)), local=pa.array(np.arange(at, at + len(part), dtype=np.int32)), word=part)
         indptr = np.concatenate(([0], np.cumsum(np.concatenate(self.lengths)))).astype(np.int64)
-        packed = {k: pa.array([_pack(a)], pa.binary()) for k, a in (("indptr", indptr), ("indices", np.concatenate(self.indices)), ("counts", np.concatenate(self.counts)))}
+        packed = {k: pa.array([_pack(a)], pa.binary()) for k, a in (("indptr", indptr), ("indices", indices), ("counts", np.concatenate(self.counts)))}
         docs = pa.concat_arrays(self.docs)
         docs = pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs).cast(self.schema.field("docs").type)
         yield self._batch(1, block=pa.array([number], pa.int64()), docs=docs, **packed)
@@ -122,8 +129,11 @@ def _block_rows(schema: pa.Schema):
             if block.size >= BLOCK_BYTES:
                 yield from block.rows(first + done)
                 done, block = done + 1, _Block(schema)
+                pa.default_memory_pool().release_unused()
         if block.docs:
             yield from block.rows(first + done)
+            block = None
+            pa.default_memory_pool().release_unused()
     return run
 
 

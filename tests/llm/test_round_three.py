@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -155,6 +157,31 @@ def test_matrix_has_one_dictionary_and_every_cell(make_docs, monkeypatch):
     assert cells == {k: sorted(Counter((t or "").split()).values()) for k, t in rows}
 
 
+def test_block_holds_its_words_as_arrays():
+    doc = pa.struct([("_key", pa.struct([("doc_id", pa.int64())])), ("upper", pa.int64()), ("chars", pa.int64()), ("symbol", pa.bool_()), ("digest", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), ("local", pa.int32()), ("word", pa.string()), *[(c, pa.binary()) for c in ("indptr", "indices", "counts")], ("docs", pa.list_(doc))])
+    texts = [" ".join(f"w{k}x{j}" for j in range(1000)) for k in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array([{"text": t} for t in texts]), pa.array([{"doc_id": k} for k in range(100)], doc.field("_key").type)], names=["_row", "_key"])
+    block, arrow = filter_audit._Block(schema), pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        block.add(batch)
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert held < 60 * 100_000  # bytes for each distinct word, all told
+    words = [w for b in block.rows(7) for w in b.column("word").to_pylist() if w is not None]
+    assert len(words) == 100_000 and set(words) == {w for t in texts for w in t.split()}
+
+
+def test_words_of_a_block_are_those_of_split():
+    texts = [b"", b" \t", b"b a\x0bb\x1cc\r\n", "\u3000x \x85y z\x0c".encode(), b"a\x1f"]
+    words, lengths, indices, counts = filter_audit.sparse_rows(texts)
+    names, ends = words.to_pylist(), np.cumsum(lengths)
+    for t, n, end in zip(texts, lengths, ends):
+        assert {names[i].encode(): c for i, c in zip(indices[end - n:end], counts[end - n:end].tolist())} == Counter(t.split())
+
+
 def test_audit_oracle(spark, con001):
     ok, what = compare(queries.op12_filter_audit(spark, SF001), con001, ORACLES["op12_filter_audit"])
     assert ok, what
